@@ -6,8 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
-from tallyweave.functions import variants
-
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _ISO_BASIC_DATE = r"^\d{8}$"
 _ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
@@ -32,19 +30,6 @@ def parse_iso(text: Column) -> Column:
     )
 
 
-def parse_iso_at(value: Column, *steps: str) -> Column:
-    return parse_iso(variants.scalar_text(value, *steps))
-
-
-def audit_text(value: Column, *steps: str) -> Column:
-    """Audit values come as plain text or as an object that holds the text under ``date``."""
-    return F.coalesce(variants.scalar_text(value, *steps), variants.scalar_text(value, *steps, "date"))
-
-
-def parse_audit(value: Column, *steps: str) -> Column:
-    return parse_iso(audit_text(value, *steps))
-
-
 def safe_date(text: Column) -> Column:
     """Text to a date, ignoring any time and offset; unreadable text is NULL."""
     return text.try_cast("date")

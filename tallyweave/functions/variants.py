@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 PathStep = str
 
@@ -37,16 +39,30 @@ def has_key(value: Column, key: PathStep) -> Column:
     return node(value, key).isNotNull()
 
 
-def scalar_text(value: Column, *steps: PathStep) -> Column:
-    """The text of a scalar; NULL for objects and arrays, whose text Spark would otherwise return."""
-    text = F.try_variant_get(value, json_path(*steps), "string")
-    container = text.rlike(r"^[{\[]") & F.schema_of_variant(node(value, *steps)).rlike("^(OBJECT|ARRAY)")
-    return F.when(container, F.lit(None).cast("string")).otherwise(text)
+def text_at(value: Column, *steps: PathStep) -> Column:
+    """The text under a path. Objects and arrays give their JSON text; see ``scalar_only``."""
+    return F.try_variant_get(value, json_path(*steps), "string")
+
+
+def scalar_only(text: Column, value: Column, *steps: PathStep) -> Column:
+    """``text``, unless it is the JSON text of an object or array found at the path; then NULL.
+
+    The type is looked up only for text that could be such JSON.
+    """
+    container = F.schema_of_variant(node(value, *steps)).rlike("^(OBJECT|ARRAY)")
+    return F.when(text.startswith("{") | text.startswith("["), F.when(~container, text)).otherwise(text)
+
 
+def read_scalars(df: DataFrame, value: str, paths: Mapping[str, Sequence[PathStep]]) -> DataFrame:
+    """Add a column with the scalar text of each path.
 
-def first_scalar_text(value: Column, *keys: PathStep) -> Column:
-    """The first top-level key that is not null; false, 0 and '' count as present."""
-    return F.coalesce(*[scalar_text(value, key) for key in keys])
+    Two projections, so that each path is read once although the check refers to it twice:
+    Spark keeps a projection apart when a later one uses its costly columns repeatedly.
+    """
+    texts = df.select("*", *[text_at(F.col(value), *steps).alias(name) for name, steps in paths.items()])
+    return texts.withColumns({
+        name: scalar_only(F.col(name), F.col(value), *steps) for name, steps in paths.items()
+    })
 
 
 def typed(value: Column, dtype: str, *steps: PathStep) -> Column:

@@ -11,6 +11,14 @@ from tallyweave.functions.amounts import money
 BILL_TYPE = "BILLPAY"
 VOID = "VOID"
 
+# Where the fields of a bill are in its raw record.
+FIELDS = {
+    "memo": ("memo",),
+    "payment_status": ("payment_status",),
+    "invoice_number": ("bill_extension", "invoice_number"),
+    "vendor_id": ("vendor_id",),
+}
+
 
 def only_bills(bills: DataFrame, bill_type: str = BILL_TYPE) -> DataFrame:
     return bills.filter(F.col("bill_type") == bill_type)
@@ -33,14 +41,8 @@ def read_fields(bills: DataFrame, *, token_prefix: str = "PO_", token_length: in
     kept = [name for name in bills.columns if name != "raw_json"]
     parsed = bills.select(*kept, variants.parse(F.col("raw_json")).alias("_raw"),
                           F.col("raw_json").isNotNull().alias("_present"))
-    raw = F.col("_raw")
-    fields = parsed.select(
-        *kept,
-        variants.scalar_text(raw, "memo").alias("memo"),
-        variants.scalar_text(raw, "payment_status").alias("payment_status"),
-        variants.scalar_text(raw, "bill_extension", "invoice_number").alias("invoice_number"),
-        variants.scalar_text(raw, "vendor_id").alias("vendor_id"),
-        (F.col("_present") & raw.isNull()).alias("is_malformed"),
+    fields = variants.read_scalars(parsed, "_raw", FIELDS).select(
+        *kept, *FIELDS, (F.col("_present") & F.col("_raw").isNull()).alias("is_malformed"),
     )
     token = texts.reference_token(F.col("memo"), token_prefix, token_length, case_insensitive)
     return fields.withColumn("po_number", token)
