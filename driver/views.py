@@ -160,6 +160,32 @@ VIEWS: dict[str, str] = {
                revision, status, created_at
         from f_nonconformances
     """,
+    "f_order_headers": """
+        select o_orderkey as purchase_order_id, concat('PO_', lpad(cast(o_orderkey as string), 10, '0')) as order_number,
+               concat('S', cast(o_custkey % 7 as string)) as site_code, cast(o_custkey as string) as partner_code,
+               concat('Partner#', cast(o_custkey as string)) as partner_name
+        from orders
+    """,
+    "f_known_orders": """
+        select case when o_orderkey % 11 = 0 then null else concat('S', cast(o_custkey % 7 as string)) end as site_code,
+               case when o_orderkey % 13 = 0 then null else concat('PO_', cast(o_orderkey as string)) end as order_number
+        from orders where o_orderkey % 3 <> 0
+    """,
+    "f_found_orders": """
+        select concat('S', cast(o_custkey % 7 as string)) as site_code,
+               case when o_orderkey % 13 = 0 then null when o_orderkey % 17 = 0 then ''
+                    else concat('PO_', cast(o_orderkey as string)) end as order_number
+        from orders where o_orderkey % 2 = 0
+    """,
+    "f_work_centers": """
+        select case when o_custkey % 5 = 0 then null else concat('S', cast(o_custkey % 70 as string)) end as site_code,
+               case when o_custkey % 7 = 0 then null else concat('id-', cast(o_custkey % 70 as string)) end as site_id
+        from orders
+    """,
+    "f_snapshot": """
+        select event_id, event_type, cast(value as decimal(18,4)) as value, cast(ts as timestamp) as seen_at, ts as local_at
+        from events
+    """,
 }
 
 

@@ -27,12 +27,18 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return _own_folder.name
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder; what is written there goes when the process ends."""
+    path = f"{checkpoint_folder(spark)}/tallyweave/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the written table."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/tallyweave/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
