@@ -58,7 +58,8 @@ def _segments(spark: SparkSession, sf_dir: str, prefix: str, **options) -> DataF
         spark, sf_dir, f"{prefix}_planning", f"{prefix}_stock", f"{prefix}_po_details", "f_po_lines",
     )
     supply = parts.supply_pool(stock, details, lines, AS_OF)
-    return allocation.allocate(allocation.allocation_pool(parts.demand_pool(planning), supply), **options)
+    pool = allocation.allocation_pool(parts.demand_pool(planning), supply)
+    return allocation.allocate(pool, counted=parts.pool_products(planning, stock, details), **options)
 
 
 def q_fifo_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,9 +116,13 @@ def _sweep_chunked(borders: DataFrame, chunks: int | None) -> DataFrame:
     )
 
 
-def allocate(pool: DataFrame, *, hot_rows: int = HOT_ROWS, chunks: int | None = None) -> DataFrame:
-    """Segments of (product_id, demand, supply, qty); ``demand`` or ``supply`` is NULL where none is in force."""
-    cold, hot = split_hot(pool, ["product_id"], hot_rows)
+def allocate(pool: DataFrame, *, hot_rows: int = HOT_ROWS, chunks: int | None = None,
+             counted: DataFrame | None = None) -> DataFrame:
+    """Segments of (product_id, demand, supply, qty); ``demand`` or ``supply`` is NULL where none is in force.
+
+    ``counted`` may name a cheaper frame than the pool to count rows per product in.
+    """
+    cold, hot = split_hot(pool, ["product_id"], hot_rows, counted=counted)
     segments = _sweep_windowed(_borders_windowed(cold))
     if hot is not None:
         segments = segments.unionByName(_sweep_chunked(_borders_chunked(hot, chunks), chunks))

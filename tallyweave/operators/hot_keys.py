@@ -67,14 +67,15 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequ
     return joined.select(*left.columns, *[F.col(f"_match.{name}").alias(name) for name in payload])
 
 
-def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS,
-              max_keys: int = MAX_SPLIT_KEYS) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, max_keys: int = MAX_SPLIT_KEYS,
+              counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys (None when there are none).
 
-    The driver sees at most ``max_keys`` keys.
+    The driver sees at most ``max_keys`` keys. Keys are counted in ``counted`` where that is
+    cheaper than in ``df``; the counts only decide which way a key's rows take, not the result.
     """
     spark = df.sparkSession
-    keys = hot_keys(df, by, hot_rows, max_keys)
+    keys = hot_keys(df if counted is None else counted, by, hot_rows, max_keys)
     found = keys.collect()
     if not found:
         return df, None

@@ -137,6 +137,15 @@ def supply_pool(stock: DataFrame, details: DataFrame, lines: DataFrame, as_of: d
     return available_stock(stock, as_of).unionByName(open_order_supply(details, lines))
 
 
+def pool_products(planning: DataFrame, stock: DataFrame, details: DataFrame) -> DataFrame:
+    """The product of every row that may enter the pools, without the join that describes order lines."""
+    return (
+        demand_pool(planning).select("product_id")
+        .unionByName(stock.filter(F.col("status") == AVAILABLE).select("product_id"))
+        .unionByName(details.filter(F.col("qty_remaining") > 0).select("product_id"))
+    )
+
+
 def supply_order() -> list[Column]:
     """By date; without a readable date first, stock before order lines of the same day."""
     return [F.asc_nulls_first("ecd_date"), F.asc("source_rank"), F.asc_nulls_first("reference"), F.asc("supply_id")]

@@ -114,7 +114,8 @@ def upsert_target(change: Change, target: TargetSpec, rows: DataFrame, options:
     keyed = one_per_key(rows, target.key, options.on_duplicate, "landed", what=target.table)
     source = stamped(keyed.select(*target.columns), instant_literal(options.time()))
     bucket = bucket_of(target.key, options.buckets)
-    touched = sorted(row[BUCKET] for row in source.select(bucket).distinct().collect())
+    per_bucket = source.groupBy(bucket).agg(F.count("*").alias("rows")).collect()  # at most one row per bucket
+    touched = sorted(row[BUCKET] for row in per_bucket)
     if not touched:
         if not change.has(target.table):
             change.replace_buckets(target.table, source.withColumn(BUCKET, bucket), BUCKET, [], options.buckets)
@@ -125,7 +126,7 @@ def upsert_target(change: Change, target: TargetSpec, rows: DataFrame, options:
     else:
         source_rows = source
     change.replace_buckets(target.table, source_rows.withColumn(BUCKET, bucket), BUCKET, touched, options.buckets)
-    return keyed.count()
+    return sum(row["rows"] for row in per_bucket)
 
 
 def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.datetime | None,

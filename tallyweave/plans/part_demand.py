@@ -60,6 +60,7 @@ def part_demand_status(inputs: PartInputs, part_codes: Sequence[str] | None = No
                 wanted(parts.supply_pool(inputs.stock, inputs.po_details, inputs.po_lines, as_of)),
             ),
             hot_rows=hot_rows,
+            counted=wanted(parts.pool_products(inputs.planning, inputs.stock, inputs.po_details)),
         ),
         "allocation",
     )
