@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tallyweave.functions import variants
 
@@ -29,8 +29,15 @@ def order_items(body: Column, items_key: str = ITEMS_KEY) -> Column:
     return F.when(variants.has_key(body, "guid"), F.array(body)).otherwise(envelope_items(body, items_key))
 
 
-def unnest(pages: DataFrame, *, body: str = "body", items_key: str = ITEMS_KEY, single_orders: bool = False) -> DataFrame:
-    """One row per item, in the VARIANT column ``item``; the other columns of the page are kept."""
+def unnest(pages: DataFrame, *, body: str = "body", items_key: str = ITEMS_KEY, single_orders: bool = False,
+           observed: Observation | None = None) -> DataFrame:
+    """One row per item, in the VARIANT column ``item``; the other columns of the page are kept.
+
+    ``observed`` receives the number of responses that are not JSON (``malformed``) as the rows pass by.
+    """
     items = order_items if single_orders else envelope_items
     kept = [name for name in pages.columns if name != body]
-    return with_body(pages, body).select(*kept, F.explode(items(F.col("_body"), items_key)).alias("item"))
+    parsed = with_body(pages, body)
+    if observed is not None:
+        parsed = parsed.observe(observed, F.count_if(variants.is_malformed(F.col(body), F.col("_body"))).alias("malformed"))
+    return parsed.select(*kept, F.explode(items(F.col("_body"), items_key)).alias("item"))

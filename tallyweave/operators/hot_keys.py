@@ -30,6 +30,13 @@ def top_keys(counts: DataFrame, on: Sequence[str], weight: str, max_keys: int =
     return counts.orderBy(F.desc(weight), *on).limit(max_keys).select(*on)
 
 
+def collected(keys: DataFrame) -> DataFrame | None:
+    """The hot keys as a local frame, or None when there are none. The driver sees at most the
+    bounded number of keys, and plans without hot keys stay as simple as if skew did not exist."""
+    found = keys.collect()
+    return keys.sparkSession.createDataFrame(found, keys.schema) if found else None
+
+
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], *,
            how: str = "left", hot: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Equi join of many rows to one row per key, with the load of hot and NULL keys spread.
@@ -38,32 +45,37 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequ
     without a key, then pass through the shuffle join under a salt made from ``spread_by``,
     which no right-hand row carries, so they neither match twice nor meet in one task. Every
     other row is joined by key; Spark still broadcasts the right side there if it is small.
+
+    ``hot`` gives the hot keys where the caller has counted them already.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"lookup joins are left or inner, not {how}")
     on = list(on)
     payload = [name for name in right.columns if name not in on]
     matches = right.select(*on, F.struct(*payload, F.lit(True).alias("_found")).alias("_match"))
 
-    keys = hot_keys(left, on, hot_rows) if hot is None else hot
-    keys = keys.select(*on).dropna()
-    hot_matches = matches.join(F.broadcast(keys), on, "left_semi").withColumnRenamed("_match", "_hot_match")
-    known = keys.join(F.broadcast(hot_matches), on, "left").withColumn("_is_hot", F.lit(True))
-    marked = left.join(F.broadcast(known), on, "left")
-
-    keyless = F.lit(False)
+    spread = F.lit(False)
     for name in on:
-        keyless = keyless | F.col(name).isNull()
-    salt = F.when(F.col("_is_hot") | keyless, F.lit(1) + F.pmod(F.xxhash64(*spread_by), F.lit(SALTS))).otherwise(0)
+        spread = spread | F.col(name).isNull()
+    keys = collected((hot_keys(left, on, hot_rows) if hot is None else hot.select(*on)).dropna())
+    if keys is not None:
+        hot_matches = matches.join(F.broadcast(keys), on, "left_semi").withColumnRenamed("_match", "_hot_match")
+        known = keys.join(F.broadcast(hot_matches), on, "left").withColumn("_is_hot", F.lit(True))
+        left_marked = left.join(F.broadcast(known), on, "left")
+        spread = spread | F.coalesce("_is_hot", F.lit(False))
+    else:
+        left_marked = left
+
+    salt = F.when(spread, F.lit(1) + F.pmod(F.xxhash64(*spread_by), F.lit(SALTS))).otherwise(0)
     # The right salt is always 0, but depends on the key so that it is not folded out of the join keys.
     unsalted = F.pmod(F.xxhash64(*on), F.lit(1))
-    joined = (
-        marked.withColumn("_salt", salt.cast("long"))
-        .join(matches.withColumn("_salt", unsalted.cast("long")), [*on, "_salt"], "left")
-        .withColumn("_match", F.coalesce("_hot_match", "_match"))
+    joined = left_marked.withColumn("_salt", salt.cast("long")).join(
+        matches.withColumn("_salt", unsalted.cast("long")), [*on, "_salt"], "left",
     )
+    if keys is not None:
+        joined = joined.withColumn("_match", F.coalesce("_hot_match", "_match"))
     if how == "inner":
         joined = joined.filter(F.col("_match._found"))
-    elif how != "left":
-        raise ValueError(f"lookup joins are left or inner, not {how}")
     return joined.select(*left.columns, *[F.col(f"_match.{name}").alias(name) for name in payload])
 
 
@@ -74,12 +86,10 @@ def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, max_ke
     The driver sees at most ``max_keys`` keys. Keys are counted in ``counted`` where that is
     cheaper than in ``df``; the counts only decide which way a key's rows take, not the result.
     """
-    spark = df.sparkSession
-    keys = hot_keys(df if counted is None else counted, by, hot_rows, max_keys)
-    found = keys.collect()
-    if not found:
+    keys = collected(hot_keys(df if counted is None else counted, by, hot_rows, max_keys))
+    if keys is None:
         return df, None
-    listed = F.broadcast(spark.createDataFrame(found, keys.schema).select(*[F.col(c).alias(f"_hot_{c}") for c in by]))
+    listed = F.broadcast(keys.select(*[F.col(name).alias(f"_hot_{name}") for name in by]))
     same: Column = F.lit(True)
     for name in by:
         same = same & F.col(name).eqNullSafe(F.col(f"_hot_{name}"))

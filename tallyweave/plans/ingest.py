@@ -3,7 +3,7 @@
 Per entity: the items of the responses are appended to raw staging and committed; then they are
 read back, mapped to typed rows, checked, and upserted into the entity's tables. All tables of an
 entity and its high-water mark change in one commit. A failure leaves them as they were, keeps
-the raw items, and is written to the run log.
+the raw items, and is written to the run log. Responses that are not JSON are kept as rejects.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import logging
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 from tallyweave.functions import variants
@@ -57,15 +57,21 @@ class EntityResult:
     rows_pulled: int
     rows_upserted: int
     error: str | None = None
+    responses_rejected: int = 0
+
+
+def rejects_table(entity: str) -> str:
+    return f"rejects/{entity}"
 
 
 def staging_table(entity: str) -> str:
     return f"staging/{entity}"
 
 
-def raw_items(pages: DataFrame, spec: EntitySpec, endpoint: str, pulled_at: dt.datetime) -> DataFrame:
+def raw_items(pages: DataFrame, spec: EntitySpec, endpoint: str, pulled_at: dt.datetime,
+              observed: Observation | None = None) -> DataFrame:
     """One staging row per item. ``landed`` orders the responses where the caller gives such a column."""
-    items = envelope.unnest(pages, items_key=spec.items_key, single_orders=spec.single_orders)
+    items = envelope.unnest(pages, items_key=spec.items_key, single_orders=spec.single_orders, observed=observed)
     landed = F.col("landed").cast("string") if "landed" in pages.columns else F.lit("")
     return items.select(
         instant_literal(pulled_at).alias("pulled_at"), F.to_json(ITEM).alias("raw_json"),
@@ -73,6 +79,20 @@ def raw_items(pages: DataFrame, spec: EntitySpec, endpoint: str, pulled_at: dt.d
     )
 
 
+def land(change: Change, spec: EntitySpec, pages: DataFrame, endpoint: str, options: LoadOptions) -> tuple[int, int]:
+    """Append the items to raw staging, and responses that are not JSON to the rejects. Returns both counts."""
+    observed = Observation()
+    pulled = change.append(staging_table(spec.name), raw_items(pages, spec, endpoint, options.time(), observed))
+    rejected = observed.get["malformed"]
+    if rejected:
+        bad = envelope.malformed_pages(pages).select(
+            instant_literal(options.time()).alias("pulled_at"), F.col("body").alias("response"),
+            F.lit(endpoint).alias("source_endpoint"),
+        )
+        change.append(rejects_table(spec.name), bad)
+    return pulled, rejected
+
+
 def read_mark(store: VersionedStore, endpoint: str) -> dt.datetime | None:
     """The high-water mark; an endpoint seen for the first time gets an empty one."""
     marks = store.manifest().marks
@@ -152,20 +172,18 @@ def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.dat
 def ingest_entity(store: VersionedStore, spec: EntitySpec, pages: DataFrame, *, endpoint: str | None = None,
                   options: LoadOptions = LoadOptions()) -> EntityResult:
     """One run for one entity. Never raises for bad data; the result says what happened."""
-    pulled = 0
+    pulled = rejected = 0
     try:
         mark = read_mark(store, spec.name) if spec.mark_column else None
         with store.commit() as landing:
-            pulled = landing.append(
-                staging_table(spec.name), raw_items(pages, spec, endpoint or spec.name, options.time()),
-            )
+            pulled, rejected = land(landing, spec, pages, endpoint or spec.name, options)
         staged = landing.written(staging_table(spec.name))
         with store.commit() as change:
             upserted = load_items(change, spec, staged, mark, options)
     except Exception as error:
         log.exception("load of %s failed", spec.name)
-        return EntityResult(spec.name, FAILED, pulled, 0, str(error))
-    return EntityResult(spec.name, SUCCESS, pulled, upserted)
+        return EntityResult(spec.name, FAILED, pulled, 0, str(error), rejected)
+    return EntityResult(spec.name, SUCCESS, pulled, upserted, responses_rejected=rejected)
 
 
 def write_run_log(store: VersionedStore, result: EntityResult, started: dt.datetime, ended: dt.datetime) -> None:

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from decimal import Decimal
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -148,8 +149,14 @@ def awaiting_rows(facts: DataFrame, options: MatchOptions = MatchOptions()) -> D
     )
 
 
-def three_way_match(inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> DataFrame:
-    """All bills and all unbilled approvals, 17 columns. Steps 1 and 2 run when this is called."""
+class MatchResult(NamedTuple):
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def match_with_rejects(inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> MatchResult:
+    """The match, and the bills whose raw record is not JSON. Those stay in the match, without an
+    order number. Steps 1 and 2 run when this is called."""
     if options.case_insensitive:
         inputs = inputs.folded()
     parsed = stage(parsed_bills(inputs.bills, options), "parsed-bills")
@@ -157,7 +164,12 @@ def three_way_match(inputs: MatchInputs, options: MatchOptions = MatchOptions())
     rows = billed_rows(parsed, facts, inputs.vendors, options).unionByName(
         awaiting_rows(facts, options), allowMissingColumns=True,
     )
-    return rows.withColumn("matched_at", options.batch_time()).select(*COLUMNS)
+    return MatchResult(rows.withColumn("matched_at", options.batch_time()).select(*COLUMNS), bill_ops.malformed(parsed))
+
+
+def three_way_match(inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> DataFrame:
+    """All bills and all unbilled approvals, 17 columns."""
+    return match_with_rejects(inputs, options).rows
 
 
 def status_rollup(match: DataFrame) -> DataFrame:
@@ -169,12 +181,16 @@ def status_rollup(match: DataFrame) -> DataFrame:
 
 def refresh_match_results(store: VersionedStore, inputs: MatchInputs, options: MatchOptions = MatchOptions(),
                           table: str = "match_results") -> int:
-    """Rebuild the match table. The new version is checked, then published; on failure the old one stays."""
-    spark_rows = stage(three_way_match(inputs, options), "match-results")
-    checks.assert_key(spark_rows, "bill_id", what=table)
-    checks.assert_rows(spark_rows, checks.row_violations(REQUIRED, MAX_LENGTH), what=table)
+    """Rebuild the match table and the list of unreadable bills. The new version is written once,
+    checked, and published only then; on failure the old one stays."""
+    result = match_with_rejects(inputs, options)
     with store.commit() as change:
-        return change.replace(table, spark_rows)
+        written = change.replace(table, result.rows)
+        new = change.read(table)
+        checks.assert_key(new, "bill_id", what=table)
+        checks.assert_rows(new, checks.row_violations(REQUIRED, MAX_LENGTH), what=table)
+        change.replace(f"{table}_rejects", result.rejects)
+    return written
 
 
 def publish(source: VersionedStore, target: VersionedStore, table: str = "match_results",

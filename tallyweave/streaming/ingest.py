@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyweave.plans.entities import EntitySpec
-from tallyweave.plans.ingest import LoadOptions, load_items, raw_items, staging_table
+from tallyweave.plans.ingest import LoadOptions, land, load_items, staging_table
 from tallyweave.sources.versioned import VersionedStore
 
 
@@ -32,9 +32,8 @@ def apply_batch(store: VersionedStore, spec: EntitySpec, pages: DataFrame, batch
     if store.manifest().batches.get(spec.name, -1) >= batch_id:
         return False
     with store.commit() as change:
-        table = staging_table(spec.name)
-        change.append(table, raw_items(pages, spec, endpoint or spec.name, options.time()))
-        load_items(change, spec, change.written(table), None, options)
+        land(change, spec, pages, endpoint or spec.name, options)
+        load_items(change, spec, change.written(staging_table(spec.name)), None, options)
         change.set_batch(spec.name, batch_id)
     return True
 

@@ -183,6 +183,12 @@ def test_parent_and_child_change_together(spark, store):
     assert values(store.read("products"), "product_id", "part_number") == [(guid(1), "A")]
 
 
+def test_unreadable_responses_are_kept_as_rejects(spark, store):
+    result = ingest_entity(store, BY_NAME["users"], pages(spark, "{broken", [{"id": guid(1)}]), options=OPTIONS)
+    assert (result.status, result.rows_pulled, result.rows_upserted, result.responses_rejected) == ("success", 1, 1, 1)
+    assert values(store.read("rejects/users"), "response") == [("{broken",)]
+
+
 def test_empty_pull(spark, store):
     spec = BY_NAME["process_plans"]
     result = ingest_entity(store, spec, pages(spark, {"items": []}), options=OPTIONS)

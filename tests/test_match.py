@@ -211,6 +211,7 @@ def test_hot_orders_and_vendors_give_the_same_rows(spark, hot_rows):
 def test_refresh_and_publish(spark, store, tmp_path):
     good = inputs(spark, bills=[bill("a", 1, po(1))], approvals=[(1, po(1), 1)])
     assert refresh_match_results(store, good, MatchOptions(as_of=NOW)) == 1
+    assert store.read("match_results_rejects").count() == 0
     reports = VersionedStore(spark, str(tmp_path / "reports"))
     assert publish(store, reports) == 1
     assert reports.read("match_results").columns == list(COLUMNS)
@@ -222,6 +223,9 @@ def test_refresh_and_publish(spark, store, tmp_path):
     with pytest.raises(checks.IntegrityError, match="memo is longer than 500"):
         refresh_match_results(store, long_memo, MatchOptions(as_of=NOW))
     assert values(store.read("match_results"), "bill_id") == [("a",)]
+    unreadable = inputs(spark, bills=[bill("a", 1, po(1)), bill("bad", 1, raw="{")])
+    assert refresh_match_results(store, unreadable, MatchOptions(as_of=NOW)) == 2
+    assert values(store.read("match_results_rejects"), "bill_id") == [("bad",)]
 
 
 def test_totals_by_currency(spark):
