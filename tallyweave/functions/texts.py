@@ -34,3 +34,12 @@ def guid(text: Column) -> Column:
 def fold_case(df: DataFrame, *columns: str) -> DataFrame:
     """Upper-case and right-trim the named columns so they compare without case and trailing blanks."""
     return df.withColumns({name: F.upper(F.rtrim(F.col(name))) for name in columns if name in df.columns})
+
+
+def canonical(df: DataFrame, column: str, *listed: str) -> DataFrame:
+    """Write values that differ from a listed one only in case or trailing blanks as listed."""
+    folded = F.upper(F.rtrim(F.col(column)))
+    value = F.col(column)
+    for known in listed:
+        value = F.when(folded == known.upper(), known).otherwise(value)
+    return df.withColumn(column, value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -40,6 +41,12 @@ def offset_text(instant: Column) -> Column:
     return F.date_format(instant, "yyyy-MM-dd HH:mm:ss.SSSSSS'0' xxx")
 
 
+def to_millis(time: Column) -> Column:
+    """A time rounded (not cut) to the millisecond. Plain arithmetic, so the session zone plays no part."""
+    shifted = time + F.expr("interval 500 microseconds")
+    return shifted - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), shifted) % F.lit(Decimal("0.001")))
+
+
 def utc_datetime(value: dt.datetime) -> dt.datetime:
     """A Python time in UTC; times without a zone are taken as UTC already."""
     if value.tzinfo is None:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyweave.sources.staging import stage
+
 HOT_ROWS = 2_000_000
 MAX_LOOKUP_KEYS = 1_000
 MAX_SPLIT_KEYS = 10_000
@@ -85,6 +87,7 @@ def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, max_ke
 
     The driver sees at most ``max_keys`` keys. Keys are counted in ``counted`` where that is
     cheaper than in ``df``; the counts only decide which way a key's rows take, not the result.
+    With hot keys, ``df`` is staged, because both parts read it, the hot one more than once.
     """
     keys = collected(hot_keys(df if counted is None else counted, by, hot_rows, max_keys))
     if keys is None:
@@ -93,4 +96,5 @@ def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, max_ke
     same: Column = F.lit(True)
     for name in by:
         same = same & F.col(name).eqNullSafe(F.col(f"_hot_{name}"))
-    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+    rows = stage(df, "split")
+    return rows.join(listed, same, "left_anti"), rows.join(listed, same, "left_semi")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyweave.functions import texts
 from tallyweave.operators import allocation, parts
 from tallyweave.operators.hot_keys import HOT_ROWS, lookup
 from tallyweave.sources.staging import stage
@@ -25,6 +26,17 @@ class PartInputs:
     po_lines: DataFrame
     nonconformances: DataFrame
 
+    def folded(self) -> PartInputs:
+        """The same inputs with part codes, types and statuses made comparable without case and trailing blanks."""
+        return replace(
+            self,
+            products=texts.fold_case(self.products, "code"),
+            planning=texts.canonical(self.planning, "type", *parts.DEMAND_TYPES),
+            stock=texts.canonical(texts.fold_case(self.stock, "product_code", "revision"), "status", parts.AVAILABLE, *parts.BLOCKED),
+            po_details=texts.canonical(self.po_details, "status", *parts.CLOSED_LINES),
+            nonconformances=texts.fold_case(self.nonconformances, "product_code", "revision"),
+        )
+
 
 class PartReport(NamedTuple):
     headers: DataFrame
@@ -36,9 +48,12 @@ class PartReport(NamedTuple):
 
 def part_demand_status(inputs: PartInputs, part_codes: Sequence[str] | None = None, *,
                        as_of: dt.date | None = None, nonconformance_key: str = "product_id",
-                       hot_rows: int = HOT_ROWS) -> PartReport:
+                       case_insensitive: bool = False, hot_rows: int = HOT_ROWS) -> PartReport:
     """The report for the given part codes, or for all parts. Codes that mean no product are in ``unknown``."""
     spark = inputs.products.sparkSession
+    if case_insensitive:
+        inputs = inputs.folded()
+        part_codes = None if part_codes is None else [code.rstrip(" ").upper() for code in part_codes]
     products = inputs.products
     if part_codes is None:
         requested = products.select("code").limit(0)

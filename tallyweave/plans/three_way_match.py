@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave.functions import texts
 from tallyweave.functions.amounts import money
-from tallyweave.functions.times import instant_literal
+from tallyweave.functions.times import instant_literal, to_millis
 from tallyweave.operators import bills as bill_ops, checks, classify
 from tallyweave.operators.hot_keys import HOT_ROWS, lookup, top_keys
 from tallyweave.operators.purchase_orders import approvals_by_po, receipt_summary
@@ -126,7 +126,7 @@ def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
     )
     return joined.select(
         "bill_id", "po_number", "memo", "invoice_number", "supplier", money(F.col("amount")).alias("bill_amount"),
-        F.col("status").alias("bill_status"), "payment_status", F.col("submitted_at").alias("bill_submitted_at"),
+        F.col("status").alias("bill_status"), "payment_status", to_millis(F.col("submitted_at")).alias("bill_submitted_at"),
         money(F.col("authorized_amount")).alias("authorized_amount"), "approval_status", "is_fully_received",
         "has_suspended_line", bucket.alias("status_bucket"),
         classify.amount_variance(F.col("billed_amount"), F.col("authorized_amount")).alias("amount_variance"),

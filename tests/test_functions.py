@@ -106,3 +106,11 @@ def test_dates_and_offsets(spark):
 def test_line_amount(spark):
     df = spark.createDataFrame([(2.0, 1.00005), (None, 1.0), (1.0, None)], "q double, c double")
     assert [row[0] for row in df.select(line_amount(F.col("q"), F.col("c"))).collect()] == [Decimal("2.0001"), None, None]
+
+
+@pytest.mark.parametrize("given, expected", [
+    ("10:00:00.0014999", "10:00:00.001"), ("10:00:00.0015", "10:00:00.002"), ("10:00:59.9996", "10:01:00"), ("10:00:00", "10:00:00"),
+])
+def test_to_millis(spark, given, expected):
+    row = spark.range(1).select(times.to_millis(F.lit(f"2024-01-05 {given}").cast("timestamp_ntz"))).first()
+    assert row[0] == dt.datetime.fromisoformat(f"2024-01-05T{expected}")

@@ -214,3 +214,17 @@ def test_report_for_all_parts(spark, hot_rows):
     assert values(report.allocation, "part_number", "demand_id") == [("A", "d0"), ("A", "d1"), ("A", "d1"), ("B", "d9")]
     assert values(report.excess, "part_number", "supply_id") == [("A", "l1")]
     assert report.unknown.isEmpty()
+
+
+def test_case_insensitive_report(spark):
+    given = part_inputs(
+        spark, products=[product("p1", "abc ")], planning=[plan("p1", "d1", 6, kind="MASTERschedule")],
+        stock=[("i1", "p1", "Available ", "SN", None, None, "R", "P", Decimal(5)), ("i2", "p1", "on_hold", None, None, None, "r", "P", Decimal(4))],
+        po_details=[("l1", "p1", "completed", Decimal(7))], po_lines=[("l1", "PO1", 1, "2024-07-01", "R2", "P2")],
+        nonconformances=[("n1", "p1", "R ", "OPEN", dt.datetime(2024, 1, 1), "Cat")],
+    )
+    report = part_demand_status(given, ["ABc"], as_of=TODAY, case_insensitive=True)
+    assert values(report.allocation, "part_number", "supply_id", "allocated_qty") == [
+        ("ABC", "i1", Decimal("5.00000")), ("ABC", None, Decimal("0.00000"))]
+    assert values(report.blocked, "inventory_id", "nc_number") == [("i2", "n1")]
+    assert values(part_demand_status(given, ["ABc"], as_of=TODAY).unknown, "code") == [("ABc",)]
