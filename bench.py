@@ -16,10 +16,11 @@ from tallyweave.session import local_session
 from tallyweave.sources.staging import release
 
 HEADLINE = (
-    "status_rollup", "three_way_match", "three_way_match_hot_order", "po_receipt_summary", "approval_by_po",
-    "bill_latest", "bill_parsed", "supply_pool", "fifo_allocation", "fifo_allocation_hot_part", "excess_supply",
-    "blocked_stock", "part_report_allocation", "po_totals_by_currency", "json_entity_map", "json_child_explode",
-    "map_purchase_order_lines", "upsert_merge", "upsert_buckets", "ingest_batch", "stream_upsert", "snapshot_copy",
+    "po_receipt_summary", "approval_by_po", "bill_latest", "bill_parsed", "supply_pool", "fifo_allocation",
+    "excess_supply", "blocked_stock", "po_totals_by_currency", "json_entity_map", "json_child_explode",
+    "map_purchase_order_lines", "three_way_match", "status_rollup", "part_report_allocation",
+    "three_way_match_hot_order", "fifo_allocation_hot_part", "upsert_merge", "upsert_buckets", "ingest_batch",
+    "stream_upsert", "snapshot_copy",
 )
 
 

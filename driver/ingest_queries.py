@@ -9,11 +9,12 @@ from pyspark.sql.types import TimestampType
 
 from driver import item_fixtures
 from driver.views import BASE_TABLES, base_table, load, reads, with_views
+from tallyweave.functions.times import instant_literal
 from tallyweave.operators import envelope, mapping, purchase_orders, upsert as upsert_ops
 from tallyweave.operators.mapping import AMOUNT, AUDIT_TIME, INT, Field, first, nested, plain, text
 from tallyweave.plans.entities import EntitySpec, target
 from tallyweave.plans.ingest import (
-    RUN_LOG, EntityResult, LoadOptions, highest_mark, ingest_entity, marks_table, since, upsert_target, write_run_log,
+    RUN_LOG, EntityResult, LoadOptions, ingest_entity, marks_table, since, upsert_target, write_run_log,
 )
 from tallyweave.sources.snapshot import snapshot_copy
 from tallyweave.sources.staging import new_path
@@ -78,9 +79,10 @@ def q_incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mark after loading the rows since the old one, and how many rows those are."""
     rows = since(EVENTS.map(_events(spark, sf_dir), EVENTS.targets[0]), "updated_on", MARK)
-    new = highest_mark(rows, "updated_on", MARK)
-    micros = (new.replace(tzinfo=dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
-    return rows.agg(F.count("*").alias("rows")).withColumn("mark", F.lit(micros).cast("long"))
+    return rows.agg(
+        F.count("*").alias("rows"),
+        F.greatest(F.max(F.unix_micros("updated_on")), F.unix_micros(instant_literal(MARK))).alias("mark"),
+    )
 
 
 def q_order_line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,26 +14,36 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
+def last_per_key(source: DataFrame, key: str, order: str) -> DataFrame:
+    """The row with the highest ``order`` of each key; one row per key and task leaves the map side."""
+    newest = Window.partitionBy(key).orderBy(F.desc(order))
+    return source.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
+
+
 def one_per_key(source: DataFrame, key: str, on_duplicate: str = "error", order: str | None = None,
                 what: str = "source") -> DataFrame:
-    """The source with unique keys.
-
-    ``error`` refuses NULL and repeated keys. ``last`` keeps the row with the highest ``order``
-    of each key (one row per key and task leaves the map side) and still refuses NULL keys.
-    """
+    """The source with unique keys: ``error`` refuses repeated keys, ``last`` keeps the last row of
+    each. NULL keys are refused either way."""
     if on_duplicate == "last":
         if order is None:
             raise ValueError("on_duplicate='last' needs an order column")
-        newest = Window.partitionBy(key).orderBy(F.desc(order))
-        source = source.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
-        if not source.filter(F.col(key).isNull()).isEmpty():
-            return assert_key(source, key, what=what)
-        return source
-    if on_duplicate != "error":
+        source = last_per_key(source, key, order)
+    elif on_duplicate != "error":
         raise ValueError(f"on_duplicate is error or last, not {on_duplicate}")
     return assert_key(source, key, what=what)
 
 
+def rows_per_bucket(source: DataFrame, key: str, buckets: int, what: str = "source") -> dict[int, int]:
+    """How many rows fall in each bucket. Checks the key in the same pass: where rows and distinct
+    keys differ, a key is NULL or repeated."""
+    counted = source.groupBy(bucket_of(key, buckets)).agg(
+        F.count("*").alias("rows"), F.count_distinct(key).alias("keys"),
+    ).collect()  # at most one row per bucket
+    if any(row["rows"] != row["keys"] for row in counted):
+        assert_key(source, key, what=what)
+    return {row[BUCKET]: row["rows"] for row in counted}
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target rows whose key the source does not have, and all source rows. Keys are unique on both
     sides. NULLs in the source overwrite; a column the source lacks (``synced_at`` before stamping) is NULL."""

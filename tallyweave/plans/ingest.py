@@ -21,7 +21,7 @@ from tallyweave.functions.times import instant_literal, mark_text, utc_datetime
 from tallyweave.operators import checks, envelope
 from tallyweave.operators.mapping import ITEM, VIOLATIONS
 from tallyweave.operators.purchase_orders import order_worklist, require_rows, site_directory
-from tallyweave.operators.upsert import BUCKET, bucket_of, one_per_key, stamped, upsert
+from tallyweave.operators.upsert import BUCKET, bucket_of, last_per_key, rows_per_bucket, stamped, upsert
 from tallyweave.plans.entities import GROUPS, EntitySpec, TargetSpec
 from tallyweave.sources.staging import stage
 from tallyweave.sources.versioned import Change, VersionedStore
@@ -120,49 +120,53 @@ def since(rows: DataFrame, column: str, mark: dt.datetime | None) -> DataFrame:
     return rows if mark is None else rows.filter(F.col(column) >= instant_literal(mark))
 
 
-def highest_mark(rows: DataFrame, column: str, mark: dt.datetime | None) -> dt.datetime | None:
-    """The highest value of the column, or the old mark when that is later or there is none."""
-    micros = rows.agg(F.max(F.unix_micros(column)).alias("high")).first()["high"]
-    if micros is None:
+def later_mark(high_micros: int | None, mark: dt.datetime | None) -> dt.datetime | None:
+    """The new mark: the highest value seen, unless there is none or the old mark is later."""
+    if high_micros is None:
         return mark
-    high = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+    high = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=high_micros)
     return high if mark is None else max(high, utc_datetime(mark))
 
 
 def upsert_target(change: Change, target: TargetSpec, rows: DataFrame, options: LoadOptions) -> int:
     """Upsert into the buckets that the rows fall in; the files of all other buckets stay."""
-    keyed = one_per_key(rows, target.key, options.on_duplicate, "landed", what=target.table)
-    source = stamped(keyed.select(*target.columns), instant_literal(options.time()))
-    bucket = bucket_of(target.key, options.buckets)
-    per_bucket = source.groupBy(bucket).agg(F.count("*").alias("rows")).collect()  # at most one row per bucket
-    touched = sorted(row[BUCKET] for row in per_bucket)
-    if not touched:
-        if not change.has(target.table):
-            change.replace_buckets(target.table, source.withColumn(BUCKET, bucket), BUCKET, [], options.buckets)
+    if options.on_duplicate == "last":
+        rows = last_per_key(rows, target.key, "landed")
+    source = stamped(rows.select(*target.columns), instant_literal(options.time()))
+    per_bucket = rows_per_bucket(source, target.key, options.buckets, what=target.table)
+    touched = sorted(per_bucket)
+    if not touched and change.has(target.table):
         return 0
     if change.has(target.table):
         current = change.read(target.table, [str(number) for number in touched])
-        source_rows = upsert(current, source, target.key)
-    else:
-        source_rows = source
-    change.replace_buckets(target.table, source_rows.withColumn(BUCKET, bucket), BUCKET, touched, options.buckets)
-    return sum(row["rows"] for row in per_bucket)
+        source = upsert(current, source, target.key)
+    bucketed = source.withColumn(BUCKET, bucket_of(target.key, options.buckets))
+    change.replace_buckets(target.table, bucketed, BUCKET, touched, options.buckets)
+    return sum(per_bucket.values())
 
 
 def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.datetime | None,
                options: LoadOptions) -> int:
-    """Map, check and upsert the staged items of one entity; move its mark. Returns rows upserted."""
+    """Map, check and upsert the staged items of one entity; move its mark. Returns rows upserted.
+
+    Violations and the highest mark are observed while the typed rows are staged, not in passes of their own.
+    """
     items = staged.select(variants.parse(F.col("raw_json")).alias(ITEM), "landed")
     upserted = 0
     for target in spec.targets:
         rows = spec.map(items, target, ["landed"])
-        if spec.mark_column and not target.child_of:
+        seen = [F.count_if(F.size(VIOLATIONS) > 0).alias("bad")]
+        marked = spec.mark_column and not target.child_of
+        if marked:
             rows = since(rows, spec.mark_column, mark)
-        rows = stage(rows, target.table)
-        checks.assert_rows(rows, F.col(VIOLATIONS), what=target.table)
+            seen.append(F.max(F.unix_micros(spec.mark_column)).alias("high"))
+        observed = Observation()
+        rows = stage(rows.observe(observed, *seen), target.table)
+        if observed.get["bad"]:
+            checks.assert_rows(rows, F.col(VIOLATIONS), what=target.table)
         upserted += upsert_target(change, target, rows, options)
-        if spec.mark_column and not target.child_of:
-            new_mark = highest_mark(rows, spec.mark_column, mark)
+        if marked:
+            new_mark = later_mark(observed.get["high"], mark)
             change.set_mark(spec.name, {
                 "value": new_mark and mark_text(new_mark), "status": SUCCESS, "last_run_at": mark_text(options.time()),
             })

@@ -4,6 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# For a cluster: let Spark size shuffle partitions from measured data. Start from many small ones
+# (about three per core), merge them up to the advisory size, split what is skewed, and read
+# files in pieces of the same size, so that a task's share fits in memory at any data volume.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def local_session(cpus: int | str = "*", app: str = "tallyweave", **conf: str) -> SparkSession:
     settings = {
