@@ -8,6 +8,8 @@ forms and between offsets, and keys move between their alternative names.
 
 from __future__ import annotations
 
+import zlib
+
 from tallyweave.operators.mapping import Field
 from tallyweave.plans.entities import GROUPS, EntitySpec, TargetSpec
 
@@ -16,9 +18,7 @@ CHILDREN = (1, 2)
 
 
 def _guid(n: str, name: str) -> str:
-    digest = f"md5(concat(cast({n} as string), '|{name}'))"
-    return "concat(" + ", '-', ".join(f"substr({digest}, {start}, {size})"
-                                      for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
+    return f"concat('{zlib.crc32(name.encode()):08x}-abcd-ef00-0000-', lpad(cast({n} as string), 12, '0'))"
 
 
 def _value(field: Field, i: int, n: str) -> str:

@@ -7,7 +7,11 @@ from pyspark.sql import SparkSession
 # For a cluster: let Spark size shuffle partitions from measured data. Start from many small ones
 # (about three per core), merge them up to the advisory size, split what is skewed, and read
 # files in pieces of the same size, so that a task's share fits in memory at any data volume.
+# The JVM never compiles methods over 8,000 bytes, so generated code beyond that is better split
+# than fused; this matters for projections that read many JSON paths.
+SPLIT_LARGE_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 CLUSTER_SETTINGS = {
+    **SPLIT_LARGE_METHODS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -19,6 +23,7 @@ CLUSTER_SETTINGS = {
 
 def local_session(cpus: int | str = "*", app: str = "tallyweave", **conf: str) -> SparkSession:
     settings = {
+        **SPLIT_LARGE_METHODS,
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
