@@ -69,14 +69,15 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     signatures = stage(marked.select(*_SIGNATURE), "exact-signatures")
     survivors = stage(_shared(_shared(signatures, ["_bytes"]), ["_bytes", "_prefix"]).distinct(), "exact-survivors")
     keys = survivors.select(*[F.col(name).alias(f"{name}_s") for name in _SIGNATURE])
-    hashed = (marked.join(keys, F.col("_id").eqNullSafe(F.col("_id_s")) & (F.col("_bytes") == F.col("_bytes_s"))
+    # joined by key at every size: whether the survivors would fit a broadcast says nothing of the next corpus
+    hashed = (marked.join(keys.hint("merge"), F.col("_id").eqNullSafe(F.col("_id_s")) & (F.col("_bytes") == F.col("_bytes_s"))
                           & (F.col("_prefix") == F.col("_prefix_s")), "left_semi")
               .select(*_SIGNATURE, full_hash(text_column).alias("_full")))
     members = stage(hashed.groupBy(*_SIGNATURE, "_full").agg(F.count("*").alias("copies")), "exact-members")
     groups = members.groupBy(F.col("_full").alias("_full_g")).agg(
         F.max("_id").alias("keep_id"), F.sum("copies").alias("group_size"))
     grouped = members.join(groups, F.col("_full") == F.col("_full_g")).drop("_full_g")
-    alone = signatures.join(survivors, _same(signatures, survivors, _SIGNATURE), "left_anti").select(
+    alone = signatures.join(survivors.hint("merge"), _same(signatures, survivors, _SIGNATURE), "left_anti").select(
         *_SIGNATURE, F.lit(None).cast("string").alias("_full"), F.lit(1).cast("long").alias("copies"),
         F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     return grouped.select(*alone.columns).unionByName(alone)
@@ -112,7 +113,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     leaves = keyed(groups.filter("not (_id <=> keep_id) or copies > 1"))
     repeated = keyed(groups.filter("_id <=> keep_id and copies > 1"))
-    kept = marked.join(leaves, matches(leaves), "left_anti").select(*columns)
+    kept = marked.join(leaves.hint("merge"), matches(leaves), "left_anti").select(*columns)
     if repeated.isEmpty():
         return kept
     again = marked.withColumn("_full", full_hash(text_column)).join(repeated, matches(repeated), "left_semi")
