@@ -8,10 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import exact, packing, sharding
+from tallyweave.llm import chat, exact, packing, pieces, sharding, topk, warc
 from tallyweave.llm.common import table, text_or_empty
 
 
+def warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.page_captures(table(spark, sf_dir, "pages"))
+    revisit = F.col("record_type") == "revisit"
+    return captures.select(
+        "page_id", F.when(revisit, F.col("original_bytes")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("original_digest")).otherwise(F.col("response.payload_digest")).alias("payload_digest"),
+        "record_type", F.when(revisit, F.col("original_page")).alias("refers_to"))
+
+
+def perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rotated = chat.rotate(table(spark, sf_dir, "conversations"))
+    return rotated.select("conv_id", "speaker", "part", F.size("messages").cast("long").alias("messages"),
+                          F.size(F.filter("messages", lambda m: m["trained"])).cast("long").alias("trained"), "text", "mask")
+
+
+def sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.sampled_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), seed=7).withColumnRenamed("key", "doc_id")
+
+
+def kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -32,12 +56,63 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NORMAL = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 QUERIES = {
+    "op1_warc_transactions": warc_transactions,
+    "op2_perspective_rotation": perspective_rotation,
+    "op3_sampled_pieces": sampled_pieces,
+    "op5_kd_tree_top_k": kd_tree_top_k,
     "op6_best_fit_packing": best_fit_packing,
     "op9_histogram_sharding": histogram_sharding,
     "op10_exact_dedup": exact_dedup,
 }
 
+_BASE32 = " || ".join(
+    f"substr('{warc.BASE32}', cast((cast('0x' || substr(sha, {at}, 5) as bigint) >> {shift}) & 31 as int) + 1, 1)"
+    for at in range(1, 40, 5) for shift in (15, 10, 5, 0))
+
 ORACLES = {
+    "op1_warc_transactions": f"""
+        select page_id, strlen(payload) as payload_bytes, {_BASE32} as payload_digest,
+               case when nth = 1 then 'response' else 'revisit' end as record_type,
+               case when nth > 1 then first end as refers_to
+        from (select page_id, payload, sha1(payload) as sha, row_number() over (partition by payload order by page_id) as nth,
+                     first_value(page_id) over (partition by payload order by page_id) as first
+              from (select page_id, coalesce(html, '') as payload from pages))
+    """,
+    "op2_perspective_rotation": f"""
+        with turns as (
+            select distinct conv_id, turn, coalesce(role, 'unknown') as role, replace(coalesce(text, ''), '<|', '<​|') as content
+            from conversations where conv_id is not null),
+        speakers as (select distinct conv_id, role as speaker from turns where role <> 'system'),
+        said as (
+            select conv_id, speaker, coalesce(cast(floor(turn / {chat.TURNS_PER_PART}) as bigint), 0) as part, turn, role, content, role = speaker as trained,
+                   '{chat.OPEN}' || case when role = speaker then 'assistant' when role = 'system' then 'system'
+                                         else 'user name=' || role end || chr(10) as head
+            from turns join speakers using (conv_id)),
+        placed as (
+            select *, coalesce(sum(length(head) + length(content) + {len(chat.CLOSE) + 1}) over (
+                       partition by conv_id, speaker, part order by turn nulls first, role, content
+                       rows between unbounded preceding and 1 preceding), 0) + length(head) as start
+            from said)
+        select conv_id, speaker, part, count(*) as messages, count(*) filter (trained) as trained,
+               string_agg(head || content || '{chat.CLOSE}' || chr(10), '' order by turn nulls first, role, content) as text,
+               string_agg(cast(start as bigint) || '-' || cast(start + length(content) + {len(chat.CLOSE)} as bigint), ';'
+                          order by turn nulls first, role, content) filter (trained) as mask
+        from placed group by conv_id, speaker, part
+    """,
+    "op5_kd_tree_top_k": """
+        with whole as (
+            select vec_id, list_transform(min(embedding), lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and vec_id is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            group by vec_id),
+        scored as (
+            select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+            from whole q join whole c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+        select query_id, cast(rank as int) as rank, vec_id, score
+        from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+        where rank <= 10
+    """,
     "op10_exact_dedup": f"""
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                row_number() over (partition by normal order by doc_id desc) = 1 as kept, sha256(normal) as text_sha256
