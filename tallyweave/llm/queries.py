@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import chat, exact, packing, pieces, sharding, topk, warc
+from tallyweave.llm import chat, exact, packing, pieces, sharding, topk, toxicity, warc
 from tallyweave.llm.common import table, text_or_empty
 
 
@@ -41,6 +41,13 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    scores = toxicity.scored(docs, toxicity.fit(docs, labels.filter(~held_out)))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.shard_documents(docs, 40).select(
@@ -61,6 +68,7 @@ QUERIES = {
     "op3_sampled_pieces": sampled_pieces,
     "op5_kd_tree_top_k": kd_tree_top_k,
     "op6_best_fit_packing": best_fit_packing,
+    "op8_compression_toxicity": compression_toxicity,
     "op9_histogram_sharding": histogram_sharding,
     "op10_exact_dedup": exact_dedup,
 }
