@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from tallyweave.sources.staging import stage
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 200_000
+CACHED_WORDS = 250_000
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -44,38 +45,54 @@ WITH_IDS = T.StructType([*PIECES.fields, T.StructField("ids", T.BinaryType())])
 class WordEncoder:
     """Token ids of a text, word by word.
 
-    The tokenizer drops white space and no token crosses it, so the ids of a text are those of its words
-    put together. ASCII white space alone is split at here; other white space stays inside a
-    "word" and is left to the tokenizer.
+    The tokenizer ignores case and drops white space, and no token crosses it, so the ids of a text are those of its
+    lower-cased words put together. ASCII white space alone is split at here; other white space stays inside a
+    "word" and is left to the tokenizer. Texts that may spell a special token keep their case. Words are
+    kept in two generations, so that frequent ones stay when room is made.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached, self.known = Tokenizer.from_file(path), cached, {}
+        self.tokenizer, self.cached, self.known, self.older = Tokenizer.from_file(path), cached, {}, {}
+
+    def learn(self, words: set[bytes]) -> None:
+        unseen = []
+        for word in words:
+            ids = self.older.get(word)
+            if ids is None:
+                unseen.append(word)
+            else:
+                self.known[word] = ids
+        for word, found in zip(unseen, self.tokenizer.encode_batch_fast([w.decode() for w in unseen], add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for text in texts:
-            words = text.split()
+            words = (text if b"<|" in text else text.lower()).split()
             new = {word for word in words if word not in self.known}
             if new:
                 if len(self.known) > self.cached:
-                    self.known.clear()
+                    self.known, self.older = {}, self.known
                     new = set(words)
-                new = list(new)
-                for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-                    self.known[word] = np.array(found.ids, "<u4").tobytes()
+                self.learn(new)
             yield b"".join(map(self.known.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return WordEncoder(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
                  id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False) -> DataFrame:
     """Each document's pieces, numbered within their task and length: ``part`` and ``nth``."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, part = WordEncoder(tokenizer), {}, TaskContext.get().partitionId()
+        encoder, seen, part = word_encoder(tokenizer), {}, TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
