@@ -49,9 +49,9 @@ def compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(text_or_empty().cast("binary")))
     return sharding.shard_documents(docs, 40).select(
-        "doc_id", F.col("_size").alias("size"), F.crc32(text_or_empty().cast("binary")).alias("text_crc32"),
+        "doc_id", F.col("_size").alias("size"), "text_crc32",
         F.lit("bytes").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
 
