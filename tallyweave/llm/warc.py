@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.llm.common import text_or_empty
-from tallyweave.sources.staging import new_path
+from tallyweave.sources.staging import new_path, stage
 
 CRLF = "\r\n"
 MAX_FILE_BYTES = 64 << 20
@@ -244,12 +244,17 @@ def unassembled(records: DataFrame) -> DataFrame:
     return records.filter(F.col("record_type").isin(*MEMBERS)).join(owned, F.col("record_id") == F.col("member_id"), "left_anti")
 
 
-def page_captures(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def page_captures(pages: DataFrame, min_bytes: int = 0, payloads: bool = False) -> DataFrame:
     """Write the pages to archives, read them back, and give one assembled row per page, with revisits
-    resolved to the response that they refer to."""
+    resolved to the response that they refer to. The archives are parsed once; without ``payloads`` the bodies of
+    responses stay in them, and only their size and digest are carried."""
     path = new_path(pages.sparkSession, "warc")
     write_archives(pages, path, min_bytes=min_bytes)
-    captures = assemble(read_archives(pages.sparkSession, path)).withColumn(
+    records = read_archives(pages.sparkSession, path)
+    if not payloads:
+        records = records.withColumn("payload", F.when(F.col("record_type").isin(*MEMBERS), F.col("payload")))
+    records = stage(records, "warc-records")
+    captures = assemble(records).withColumn(
         "page_id", F.regexp_extract(F.col("metadata.payload").cast("string"), r"page-id: (-?\d+)", 1).try_cast("long"))
     originals = captures.filter("record_type = 'response'").select(
         F.col("capture_id").alias("original_id"), F.col("page_id").alias("original_page"),
