@@ -57,7 +57,7 @@ def segments(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
 def merged(pieces: DataFrame, size: int, dtype: str, total: np.ndarray, combine) -> np.ndarray:
     """Combine the pieces (``seg``, ``blob``) of all tasks into ``total``; each piece is merged in a task of its own."""
 
-    def merge(key: tuple, rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = None
         for batch in rows:
             for blob in batch.column("blob"):

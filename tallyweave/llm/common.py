@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import string
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,10 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a data folder. Python workers are told where this library lies, in case they do not have it installed."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import chat, exact, packing, pieces, sharding, topk, toxicity, warc
+from tallyweave.llm import chat, exact, jaccard, packing, pieces, sharding, topk, toxicity, warc
 from tallyweave.llm.common import table, text_or_empty
 
 
@@ -32,6 +32,10 @@ def sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.sampled_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), seed=7).withColumnRenamed("key", "doc_id")
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 def kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op1_warc_transactions": warc_transactions,
     "op2_perspective_rotation": perspective_rotation,
     "op3_sampled_pieces": sampled_pieces,
+    "op4_jaccard_join": jaccard_join,
     "op5_kd_tree_top_k": kd_tree_top_k,
     "op6_best_fit_packing": best_fit_packing,
     "op8_compression_toxicity": compression_toxicity,
