@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import chat, exact, jaccard, packing, pieces, sharding, topk, toxicity, warc
+from tallyweave.llm import chat, exact, jaccard, packing, pieces, sharding, suffix, topk, toxicity, warc
 from tallyweave.llm.common import table, text_or_empty
 
 
@@ -45,6 +45,11 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix.without_repeats(table(spark, sf_dir, "documents"), length=50)
+    return done.select("doc_id", *[F.col(f"_{name}").alias(name) for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+
+
 def compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_jaccard_join": jaccard_join,
     "op5_kd_tree_top_k": kd_tree_top_k,
     "op6_best_fit_packing": best_fit_packing,
+    "op7_suffix_array_dedup": suffix_array_dedup,
     "op8_compression_toxicity": compression_toxicity,
     "op9_histogram_sharding": histogram_sharding,
     "op10_exact_dedup": exact_dedup,
