@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm import chat, exact, jaccard, packing, pieces, sharding, suffix, topk, toxicity, warc
@@ -50,11 +50,15 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *[F.col(f"_{name}").alias(name) for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
 
 
+def held_out() -> Column:
+    """The fold that no classifier learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 def compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    scores = toxicity.scored(docs, toxicity.fit(docs, labels.filter(~held_out)))
-    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scores = toxicity.scored(docs, toxicity.fit(docs, labels.filter(~held_out())))
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
