@@ -33,3 +33,16 @@ def lower_ascii(text: Column) -> Column:
 def total_bytes(df: DataFrame, column: str) -> int:
     """UTF-8 bytes of a text column over all rows."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
+
+
+def numbered(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """The same rows with their columns named c0, c1, ..., so that no name clashes with an operator's own, and the new
+    names of the wanted columns. ``toDF(*docs.columns)`` names them back."""
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), [f"c{names.index(name)}" for name in wanted]
+
+
+def with_results(docs: DataFrame, done: DataFrame, results: list[str]) -> DataFrame:
+    """The columns of ``docs`` under their names, out of ``done`` that has them numbered, and the results. A column of
+    ``docs`` with the name of a result gives way to it."""
+    return done.select(*[done[f"c{i}"].alias(name) for i, name in enumerate(docs.columns) if name not in results], *results)

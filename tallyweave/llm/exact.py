@@ -7,9 +7,8 @@ count is reduced on the map side, so a group that holds a third of all rows cost
 
 Two texts are equal when they are identical after lower-casing A-Z. A NULL text counts as empty.
 Of equal texts the row with the largest id stays; a NULL id is smaller than any other, and of rows
-with the same id and text one stays. Tables without rows give results without rows. Columns of the
-input may have any names: the operator's own begin with ``_``, and only names of that form that it
-lists in ``OWN`` are taken.
+with the same id and text one stays. Tables without rows give results without rows. Further columns
+may have any names; ``membership`` leaves them out and ``keep_one`` keeps them.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import lower_ascii, text_or_empty
+from tallyweave.llm.common import lower_ascii, numbered, text_or_empty
 from tallyweave.sources.staging import stage
 
 PREFIX_CHARS = 64
@@ -35,7 +34,7 @@ def full_hash(text_column: str = "text") -> Column:
 
 def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
            prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """The documents with what the first two steps group by."""
+    """The documents, numbered columns or the two named ones, with what the first two steps group by."""
     text = text_or_empty(text_column)
     return docs.withColumns({
         "_id": F.col(id_column).cast("long"),
@@ -65,7 +64,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """One row per distinct (id, text): ``_id``, ``_bytes``, ``_prefix``, ``_full`` (SHA-256, NULL for rows
     that the first two steps found to be alone), ``copies`` (rows with this id and text), ``keep_id``
     and ``group_size``."""
-    marked = signed(docs, id_column, text_column, prefix_chars)
+    marked = signed(docs.select(id_column, text_column), id_column, text_column, prefix_chars)
     signatures = stage(marked.select(*_SIGNATURE), "exact-signatures")
     survivors = stage(_shared(_shared(signatures, ["_bytes"]), ["_bytes", "_prefix"]).distinct(), "exact-survivors")
     keys = survivors.select(*[F.col(name).alias(f"{name}_s") for name in _SIGNATURE])
@@ -87,7 +86,7 @@ def membership(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """One row per document, dropped ones too: ``doc_id``, ``keep_id``, ``group_size``, ``kept`` and
     ``text_sha256`` of the lower-cased text."""
     groups = exact_groups(docs, id_column, text_column)
-    digests = (signed(docs, id_column, text_column)
+    digests = (signed(docs.select(id_column, text_column), id_column, text_column)
                .select(*[F.col(n).alias(f"{n}_d") for n in _SIGNATURE], full_hash(text_column).alias("text_sha256")).distinct())
     matched = groups.join(digests, F.col("_id").eqNullSafe(F.col("_id_d")) & (F.col("_bytes") == F.col("_bytes_d"))
                           & (F.col("_prefix") == F.col("_prefix_d"))
@@ -100,6 +99,8 @@ def membership(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents that stay, with the columns they came with."""
+    names = docs.columns
+    docs, (id_column, text_column) = numbered(docs, id_column, text_column)
     columns = docs.columns
     groups = stage(exact_groups(docs, id_column, text_column).filter("_full is not null"), "exact-groups")
     marked = signed(docs, id_column, text_column)
@@ -115,6 +116,6 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     repeated = keyed(groups.filter("_id <=> keep_id and copies > 1"))
     kept = marked.join(leaves.hint("merge"), matches(leaves), "left_anti").select(*columns)
     if repeated.isEmpty():
-        return kept
+        return kept.toDF(*names)
     again = marked.withColumn("_full", full_hash(text_column)).join(repeated, matches(repeated), "left_semi")
-    return kept.unionByName(again.dropDuplicates(["_id", "_full"]).select(*columns))
+    return kept.unionByName(again.dropDuplicates(["_id", "_full"]).select(*columns)).toDF(*names)

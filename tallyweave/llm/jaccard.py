@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.llm.bits import bit_field, log2_bits_for, merged, segments
-from tallyweave.llm.common import text_or_empty
+from tallyweave.llm.common import numbered, text_or_empty
 from tallyweave.llm.components import components
 from tallyweave.llm.shingles import mixed, shingle_sets
 from tallyweave.sources.staging import stage
@@ -241,7 +241,7 @@ def prefix_entries(docs: DataFrame, counts: np.ndarray, words: int, threshold: T
                     rows = np.empty(len(own), kind)
                     rows["token"], rows["at"], rows["block"], rows["salt"] = own, at, 0, 0
                 else:
-                    own_salt = (int(mixed(np.array([node], np.int64).view(np.uint64))[0]) % salts).astype(np.int64)
+                    own_salt = int(mixed(np.array([node], np.int64).view(np.uint64))[0] >> np.uint64(1)) % salts
                     take = np.repeat(np.arange(len(own)), salts)
                     other = np.arange(len(take)) - np.repeat(np.cumsum(salts) - salts, salts)
                     low, high = np.minimum(own_salt[take], other), np.maximum(own_salt[take], other)
@@ -367,4 +367,5 @@ def one_per_component(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     and so do rows that repeat the id of one that stays."""
     groups = jaccard_components(docs, words, num, den, id_column, text_column)
     leave = groups.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_leaves")).distinct()
-    return docs.join(leave.hint("merge"), F.col(id_column).eqNullSafe(F.col("_leaves")), "left_anti")
+    inner, (own_id,) = numbered(docs, id_column)
+    return inner.join(leave.hint("merge"), F.col(own_id).eqNullSafe(F.col("_leaves")), "left_anti").toDF(*docs.columns)

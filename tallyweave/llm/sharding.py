@@ -8,7 +8,7 @@ The rows then move once. Candidates and counts are the only things the driver se
 
 Size of a row: UTF-8 bytes of its text plus a fixed number. NULL text has no bytes. A NULL id sorts
 first. Rows that repeat id and text cannot be told apart and stay on one side of a border. No rows
-give no rows. Names of the operator's own columns begin with ``_``; others are kept.
+give no rows. Further columns are kept, but for those with the name of a result.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyweave.llm.common import text_or_empty
+from tallyweave.llm.common import numbered, text_or_empty, with_results
 from tallyweave.sources.staging import stage
 
 ROW_BYTES = 16
@@ -123,8 +123,9 @@ def _part(cuts: list[tuple[int, int]]) -> Column:
 def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.001, rows_per_task: int = 1_000_000,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with ``_size``, ``_shard`` and ``_slot`` (gapless from 0 within the shard, in order)."""
+    inner, (id_column, text_column) = numbered(docs, id_column, text_column)
     text = text_or_empty(text_column)
-    keyed = docs.withColumns({
+    keyed = inner.withColumns({
         "_size": (F.octet_length(text) + ROW_BYTES).cast("long"), "_key": F.xxhash64(text),
         "_order": F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)),
     })
@@ -136,7 +137,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.001,
     first = counted.select("_piece_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     within = Window.partitionBy("_piece").orderBy("_key", "_order")
     moved = keyed.withColumn("_piece", _part(cuts)).withColumn("_nth", F.row_number().over(within) - 1)
-    return (moved.join(first, F.col("_piece") == F.col("_piece_c"))
+    done = (moved.join(first, F.col("_piece") == F.col("_piece_c"))
             .withColumn("_shard", F.expr(f"cast(_piece div {pieces} as int)"))
-            .withColumn("_slot", (F.col("_first") + F.col("_nth")).cast("long"))
-            .drop("_piece", "_piece_c", "_first", "_nth", "_key", "_order"))
+            .withColumn("_slot", (F.col("_first") + F.col("_nth")).cast("long")))
+    return with_results(docs, done, ["_size", "_shard", "_slot"])

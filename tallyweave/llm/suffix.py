@@ -21,7 +21,7 @@ sorted by doubling.
 
 NULL text is empty. A NULL id is larger than all others and not smaller than another NULL. Rows that repeat an id do not count
 against each other. Texts under ``length`` bytes stay whole. A text is kept as bytes: where a removal cuts a character, ``kept_text``
-leaves out its remaining bytes. No rows give no rows; names of the operator's own columns begin with ``_``, others are kept.
+leaves out its remaining bytes. No rows give no rows; further columns are kept, but for those with the name of a result.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.llm.bits import SEGMENT, BitField, log2_bits_for, merged, segments
-from tallyweave.llm.common import text_or_empty, total_bytes
+from tallyweave.llm.common import numbered, text_or_empty, total_bytes, with_results
 from tallyweave.llm.shingles import range_hash, running_hash, steps
 
 GRAM = 20
@@ -464,7 +464,8 @@ def without_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, id_colu
     ranges = covered_ranges(prepared, field, length, gram, max(1, size // SHARD_BYTES))
     per_doc = ranges.groupBy("doc_id", "doc_hash").agg(F.collect_list("ranges").alias("_ranges")).select(
         F.col("doc_id").alias("_id_r"), F.col("doc_hash").alias("_hash_r"), "_ranges")  # a few ranges of one document
-    marked = docs.withColumns({"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64(F.col(text_column))})
+    inner, (id_column, text_column) = numbered(docs, id_column, text_column)
+    marked = inner.withColumns({"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64(F.col(text_column))})
     joined = marked.join(per_doc.hint("merge"), (F.col("_id") == F.col("_id_r")) & (F.col("_hash") == F.col("_hash_r")), "left").drop(
         "_id", "_hash", "_id_r", "_hash_r")
     made = T.StructType([
@@ -487,4 +488,5 @@ def without_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, id_colu
             yield pa.RecordBatch.from_arrays([*plain.columns, *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]],
                                              [*plain.schema.names, *made.fieldNames()])
 
-    return joined.mapInArrow(rest, T.StructType([*docs.schema.fields, *made.fields]))
+    done = joined.mapInArrow(rest, T.StructType([*inner.schema.fields, *made.fields]))
+    return with_results(docs, done, made.fieldNames())
