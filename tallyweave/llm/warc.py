@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallyweave.llm.common import text_or_empty
 from tallyweave.sources.staging import new_path, stage
@@ -60,9 +61,10 @@ def base32_of_hex(digest: Column, digits: int = 40) -> Column:
     return F.concat(*characters)
 
 
-def _record_id(kind: str) -> Column:
-    h = F.md5(F.concat_ws("|", F.lit(kind), F.col("_page").cast("string"), F.col("_row").cast("string")))
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
+def _record_id(kind: str, page: Column, url: Column, sha1: Column, copy: Column) -> Column:
+    """An id that follows from the record's content alone, so that any run or retry gives the same one."""
+    h = F.md5(F.concat_ws("|", F.lit(kind), F.coalesce(page.cast("string"), F.lit("none")), F.coalesce(url, F.lit("\0none")), sha1, copy.cast("string")))
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
 
 
 def _escaped(url: Column) -> Column:
@@ -82,15 +84,19 @@ def _record(kind: Column | str, record_id: Column, fields: list[tuple[str, Colum
 
 def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Pages with their payload, its digest and, where a page with an equal payload and a smaller id exists,
-    that page. Payloads under ``min_bytes`` are never revisits."""
-    base = pages.select(F.col("page_id").cast("long").alias("_page"), F.col("url").alias("_url"),
-                        text_or_empty("html").alias("_payload")).withColumns({
-                            "_row": F.monotonically_increasing_id(), "_sha1": F.sha1(F.col("_payload").cast("binary"))})
-    order = F.struct(F.col("_page").isNull(), F.col("_page"), F.col("_row"))
-    groups = (base.filter(F.octet_length("_payload") >= min_bytes).groupBy(F.col("_sha1").alias("_sha1_g"))
-              .agg(F.min(order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1"))
+    that page (``_first``). Payloads under ``min_bytes`` are never revisits."""
+    base = pages.select(F.col("page_id").cast("long").alias("_page"), F.col("url").alias("_url"), text_or_empty("html").alias("_payload")).withColumn(
+        "_sha1", F.sha1(F.col("_payload").cast("binary")))
+    keys = stage(base.groupBy("_page", "_url", "_sha1", F.octet_length("_payload").alias("_bytes")).agg(F.count("*").alias("_copies")), "warc-keys")
+    order = F.struct(F.col("_page").isNull().alias("a"), F.col("_page").alias("page"), F.col("_url").isNull().alias("b"), F.col("_url").alias("url"))
+    groups = (keys.filter(F.col("_bytes") >= min_bytes).groupBy(F.col("_sha1").alias("_sha1_g"))
+              .agg(F.min(order).alias("_first"), F.sum("_copies").alias("_n")).filter("_n > 1"))
     joined = base.join(groups.hint("merge"), F.col("_sha1") == F.col("_sha1_g"), "left")
-    return joined.withColumn("_original", F.when(F.col("_first._row") != F.col("_row"), F.col("_first"))).drop("_sha1_g", "_first", "_n")
+    copy = F.lit(1)
+    if not keys.filter("_copies > 1").isEmpty():  # rows that agree in everything are told apart by a number
+        copy = F.row_number().over(Window.partitionBy("_sha1", "_page", "_url").orderBy(F.lit(1)))
+    is_first = F.col("_page").eqNullSafe(F.col("_first.page")) & F.col("_url").eqNullSafe(F.col("_first.url")) & (F.col("_copy") == 1)
+    return joined.withColumn("_copy", copy).withColumn("_first", F.when(~is_first, F.col("_first"))).drop("_sha1_g", "_n")
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0,
@@ -100,34 +106,31 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     page = with_revisits(pages, min_bytes)
     digest = F.concat(F.lit("sha1:"), base32_of_hex(F.col("_sha1")))
     uri = _escaped(F.col("_url"))
-    revisit = F.col("_original").isNotNull()
-    original = F.struct(F.col("_original._page").alias("_page"), F.col("_original._row").alias("_row"))
-    page = page.withColumn("_original_id", F.when(revisit, _record_id_of(original)))
+    revisit = F.col("_first").isNotNull()
+
+    def own_id(kind: str) -> Column:
+        return _record_id(kind, F.col("_page"), F.col("_url"), F.col("_sha1"), F.col("_copy"))
+
+    original = _record_id("response", F.col("_first.page"), F.col("_first.url"), F.col("_sha1"), F.lit(1))
+    page = page.withColumns({"_original_id": F.when(revisit, original), "_response_id": own_id("response")})
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
                     F.octet_length("_payload").cast("string"), F.lit(CRLF + CRLF))
     ask = F.concat(F.lit("GET "), F.coalesce(uri, F.lit("/")), F.lit(f" HTTP/1.1{CRLF}{CRLF}"))
     about = F.concat(F.lit("page-id: "), F.coalesce(F.col("_page").cast("string"), F.lit("")), F.lit(CRLF))
     common = [("WARC-Date", F.lit(date)), ("WARC-Target-URI", uri)]
     to_response = ("WARC-Concurrent-To", F.col("_response_id"))
-    page = page.withColumn("_response_id", _record_id("response"))
     records = F.array(
         _record(F.when(revisit, "revisit").otherwise("response"), F.col("_response_id"), [
             *common, ("WARC-Payload-Digest", digest),
             ("WARC-Profile", F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
             ("WARC-Refers-To", F.col("_original_id")), ("Content-Type", F.lit("application/http;msgtype=response")),
         ], F.when(revisit, http).otherwise(F.concat(http, F.col("_payload")))),
-        _record("request", _record_id("request"), [*common, to_response, ("Content-Type", F.lit("application/http;msgtype=request"))], ask),
-        _record("metadata", _record_id("metadata"), [*common, to_response, ("Content-Type", F.lit("application/warc-fields"))], about))
+        _record("request", own_id("request"), [*common, to_response, ("Content-Type", F.lit("application/http;msgtype=request"))], ask),
+        _record("metadata", own_id("metadata"), [*common, to_response, ("Content-Type", F.lit("application/warc-fields"))], about))
     (page.select(F.explode(records).alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", "gzip")
      .option("maxRecordsPerFile", per_file).text(path))
 
 
-def _record_id_of(page: Column) -> Column:
-    """The response id of another page, as ``_record_id`` makes it for the page itself."""
-    h = F.md5(F.concat_ws("|", F.lit("response"), page["_page"].cast("string"), page["_row"].cast("string")))
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
-
-
 def _unpacked(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
     """A file's bytes in steps; gzip files may have one member or one per record."""
     view = memoryview(content)
