@@ -3,15 +3,17 @@
 Two documents link when the Jaccard similarity of their shingle sets is at least ``num / den``. Documents with equal sets are
 one node from the start. Then:
 
-1. *Stars.* Nodes that share a min-hash are paired with the smallest of them, the pairs are verified, and what is linked
-   becomes a component. This is linear, and a large group of near copies is one component from here on.
+1. *Stars.* Of the nodes that share a min-hash, the one with the fewest rare shingles is their hub; the others are compared with it,
+   and what is linked becomes a component. This is linear, and a large group of near copies is one component from here on.
 2. *Prefixes.* Shingles are ordered from rare to frequent by counts over all documents. If two sets have t shingles
    in common, the first n - t + l of either share at least l. Every document chooses its l from the estimated cost of
    its candidates: the more rows its prefix would meet, the longer it makes the prefix and the more shared shingles it asks
    for. The larger document of a pair decides.
 3. *Counting.* Prefix shingles meet by hash. Those that one node alone has are dropped at once; of the rest, pairs in different
    components are counted, and pairs with too few shared prefix shingles are dropped. Pairs within a component need
-   no further proof, so a group of copies never makes all its pairs.
+   no further proof, so a group of copies never makes all its pairs. Nor does what is left of a group around its hub: two
+   nodes that share nothing outside their hub share at most what either shares with the hub. Where that is too little, the pair
+   is left to a count of the shingles that the hub lacks, which are few and rare.
 4. *Verification* of what is left, on the whole sets, and connected components.
 
 The counts of step 2 are kept in a table of fixed size (``CELLS``), which is the only thing besides bit fields of bounded size
@@ -43,6 +45,7 @@ from tallyweave.sources.staging import stage
 LOG2_CELLS = 22
 CELLS = 1 << LOG2_CELLS
 STARS = 4
+HUB_SHARE = 2  # a node has a hub if it shares one of HUB_SHARE of their shingles with it
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)  # shared prefix shingles that a document may ask for
 PER_MATCH = 8  # at most one of them for so many shingles of the document
 POST, SCAN, VERIFY = 1.0, 0.2, 20.0  # costs of a prefix entry, of a row that it meets, of a candidate
@@ -137,58 +140,89 @@ def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     return docs.select(F.col(id_column).cast("long"), text_or_empty(text_column)).mapInArrow(sign, schema)
 
 
-def star_pairs(nodes: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs of a node and the smallest one with the same min-hash, where their sizes allow a link."""
+def star_members(nodes: DataFrame) -> DataFrame:
+    """The nodes that share a min-hash with others: ``star``, ``node``."""
     found = None
     for i in range(STARS):
-        star = F.col(f"star{i}")
-        heads = nodes.groupBy(star.alias("_star")).agg(F.min(F.struct("node", "n")).alias("_head"), F.count("*").alias("_n")).filter("_n > 1")
-        pairs = nodes.join(heads, star == F.col("_star")).select(
-            F.col("_head.node").alias("a"), F.col("node").alias("b"), F.col("_head.n").alias("na"), F.col("n").alias("nb"))
-        found = pairs if found is None else found.union(pairs)
-    return found.filter("a <> b").filter(F.least("na", "nb") * threshold.den >= F.greatest("na", "nb") * threshold.num).select("a", "b").distinct()
+        star = F.xxhash64(F.lit(i), F.col(f"star{i}"))
+        several = nodes.groupBy(star.alias("_star")).agg(F.count("*").alias("_n")).filter("_n > 1")
+        own = nodes.join(several, star == F.col("_star")).select(F.col("_star").alias("star"), "node")
+        found = own if found is None else found.union(own)
+    return found
 
 
-def sets_of(docs: DataFrame, pairs: DataFrame, words: int, text_column: str) -> DataFrame:
-    """``node``, ``shingles`` for the nodes of the pairs (and few others)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def star_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each node with its hub, the node of the star with the fewest rare shingles: ``a`` (hub), ``b``."""
+    told = members.join(sets.select(F.col("node").alias("_node"), "rare", "n"), F.col("node") == F.col("_node")).drop("_node")
+    hubs = told.groupBy(F.col("star").alias("_star")).agg(F.min(F.struct("rare", "n", "node")).alias("hub"))
+    pairs = told.join(hubs, F.col("star") == F.col("_star")).filter(F.col("node") != F.col("hub.node"))
+    close = F.least("n", "hub.n") * HUB_SHARE >= F.greatest("n", "hub.n")
+    return pairs.filter(close).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, words: int, text_column: str) -> DataFrame:
+    """``node``, ``n``, ``shingles`` and ``rare``, how many shingles few documents seem to have, for the wanted nodes (and few others)."""
     n = wanted.count()
-    field = docs.sparkSession.sparkContext.broadcast(bit_field(wanted, "node", log2_bits_for(n)))
+    context = docs.sparkSession.sparkContext
+    field, table = context.broadcast(bit_field(wanted, "node", log2_bits_for(n))), context.broadcast(counts)
+    noise = float(counts.mean())
+    seldom = noise + 3 * noise ** 0.5 + 2
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for batch in batches:
-            found: dict[int, bytes] = {}
+            rows: list[tuple] = []
             for own in shingle_sets(_texts(batch), words):
                 if len(own):
                     node = node_of(own)
                     if node not in given and field.value.has(np.array([node], np.int64).view(np.uint64))[0]:
                         given.add(node)
-                        found[node] = own.tobytes()
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
+                        seen = table.value[(own & np.uint64(CELLS - 1)).astype(np.int64)]
+                        rows.append((node, len(own), own.tobytes(), int((seen <= seldom).sum())))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
+                                                 ["node", "n", "shingles", "rare"])
 
-    return docs.select(text_or_empty(text_column)).mapInArrow(spell, "node long, shingles binary")
+    made = docs.select(text_or_empty(text_column)).mapInArrow(spell, "node long, n long, shingles binary, rare long")
+    return stage(made, "jaccard-sets").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs that link, compared on their whole sets; ``a``, ``b``."""
+def compared(pairs: DataFrame, sets: DataFrame, added: bool = False) -> DataFrame:
+    """The pairs with what their whole sets have in common: ``a``, ``b``, ``common``, ``na``, ``nb``; on request also ``added``, the shingles
+    of b that a lacks, where they share one of HUB_SHARE."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            rows = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                keep.append(threshold.holds(int((large[at] == small).sum()), len(x), len(y)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    one = sets.dropDuplicates(["node"])
+                at = np.searchsorted(x, y)
+                at[at == len(x)] = 0
+                both = x[at] == y
+                common = int(both.sum())
+                rows.append((common, len(x), len(y), y[~both].tobytes() if added and common * HUB_SHARE >= len(x) + len(y) - common else None))
+            made = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *made], ["a", "b", "common", "na", "nb", "added"])
+
+    one = sets.select("node", "shingles")
     left = pairs.join(one.select(F.col("node").alias("_a"), F.col("shingles").alias("sa")).hint("merge"), F.col("a") == F.col("_a"))
     both = left.join(one.select(F.col("node").alias("_b"), F.col("shingles").alias("sb")).hint("merge"), F.col("b") == F.col("_b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long, common long, na long, nb long, added binary")
+
+
+def linked(compared_pairs: DataFrame, threshold: Threshold) -> DataFrame:
+    holds = F.col("common") * threshold.den >= (F.col("na") + F.col("nb") - F.col("common")) * threshold.num
+    return compared_pairs.filter(holds).select("a", "b")
+
+
+def hubs_of(compared_pairs: DataFrame) -> DataFrame:
+    """For each node the hub it shares most with: ``node``, ``hub``, ``shared``, ``n``, ``added``. A hub is its own."""
+    near = compared_pairs.filter("added is not null")
+    own = near.groupBy(F.col("a").alias("node")).agg(F.first("na").alias("n")).select(
+        "node", F.col("node").alias("hub"), F.col("n").alias("shared"), "n", F.lit(b"").alias("added"))
+    best = near.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("common", "a", "nb", "added")).alias("m")).select(
+        "node", F.col("m.a").alias("hub"), F.col("m.common").alias("shared"), F.col("m.nb").alias("n"), F.col("m.added").alias("added"))
+    return own.unionByName(best.join(own.select(F.col("node").alias("_own")), F.col("node") == F.col("_own"), "left_anti"))
 
 
 _POSTING = [("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "<u2"), ("block", "<u4"), ("salt", "<u2")]
@@ -289,13 +323,34 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(share, ", ".join(f"{name} long" for name, _ in _POSTING))
 
 
-def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold) -> DataFrame:
-    """Pairs of nodes of different components that share as many prefix shingles as the larger one asks for."""
+def added_entries(hubs: DataFrame, early: DataFrame) -> DataFrame:
+    """An entry for every shingle that a node has and its hub lacks, in a block of the hub's own."""
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("added")]
+            sizes = [len(x) for x in own]
+            if sum(sizes):
+                plain = [name for name in batch.schema.names if name != "added"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(own)), *[pa.array(np.repeat(batch.column(name).to_numpy(), sizes)) for name in plain]], ["token", *plain])
+
+    rows = hubs.join(early.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").select(
+        "added", F.lit(0).cast("long").alias("block"), "node", "n", F.lit(-1).cast("long").alias("at"), F.lit(0).cast("long").alias("asks"),
+        F.lit(0).cast("long").alias("salt"), F.coalesce("component", "node").alias("component"), "hub", "shared")
+    return rows.mapInArrow(spread, "token long, " + ", ".join(f"{name} long" for name in rows.columns if name != "added"))
+
+
+def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_hubs: bool = False) -> DataFrame:
+    """Pairs of nodes of different components that share as many prefix shingles as the larger one asks for; ``around_hubs``: pairs
+    with one hub that share as many shingles outside it as they lack inside."""
 
     def pair(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        f, new = _sorted_groups({name: table.column(name).to_numpy() for name in ("token", "block", "node", "n", "at", "asks", "salt", "component")},
-                                ("n", "node"))  # the larger one of a pair comes later
+        columns = {name: table.column(name).to_numpy() for name in ("token", "block", "node", "n", "at", "asks", "salt", "component", "hub", "shared")}
+        if around_hubs:  # the shingles of a hub's nodes meet among themselves, a hub being a block
+            columns["block"] = columns["hub"]
+        f, new = _sorted_groups(columns, ("n", "node"))  # the larger one of a pair comes later
         n, low, starts = f["n"], np.empty(len(new), np.int64), np.flatnonzero(new).tolist()
         for a, b in zip(starts, [*starts[1:], len(n)]):  # the first row of the group that is large enough for each
             low[a:b] = a + np.searchsorted(n[a:b], _ceil(n[a:b] * threshold.num, threshold.den), "left")
@@ -309,22 +364,29 @@ def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold) -> Data
             x = np.repeat(np.arange(at, upto), each)
             y = np.repeat(low[at:upto], each) + np.arange(len(x)) - np.repeat(np.cumsum(each) - each, each)
             need, asks, block = threshold.overlap(n[x], n[y]), f["asks"][x], f["block"][x] - 1
-            keep = (f["component"][x] != f["component"][y]) & (f["at"][x] < n[x] - need + asks) & (f["at"][y] < n[y] - need + asks)
+            keep = f["component"][x] != f["component"][y]
+            outside = need - np.minimum(f["shared"][x], f["shared"][y])  # what a pair must share besides its hub's shingles
+            around = (f["hub"][x] == f["hub"][y]) & (outside > 0)
+            if around_hubs:
+                keep &= around
+                asks = outside
+            else:
+                keep &= ~around & (f["at"][x] < n[x] - need + asks) & (f["at"][y] < n[y] - need + asks)
             # rows of one salt meet in that salt's own block alone, rows of two salts in the block of both
-            keep &= (block < 0) | (block >> 16 == block & 0xFFFF) | (f["salt"][x] != f["salt"][y])
+            keep &= around_hubs | (block < 0) | (block >> 16 == block & 0xFFFF) | (f["salt"][x] != f["salt"][y])
             if keep.any():
-                x, y = x[keep], y[keep]
+                x, y, asks = x[keep], y[keep], asks[keep]
                 order = np.lexsort((f["node"][y], f["node"][x]))
-                x, y = x[order], y[order]
+                x, y, asks = x[order], y[order], asks[order]
                 first = np.flatnonzero(np.append(True, (f["node"][x][1:] != f["node"][x][:-1]) | (f["node"][y][1:] != f["node"][y][:-1])))
-                for name, values in (("a", f["node"][x[first]]), ("b", f["node"][y[first]]), ("asks", f["asks"][x[first]]),
+                for name, values in (("a", f["node"][x[first]]), ("b", f["node"][y[first]]), ("asks", asks[first]),
                                      ("n", np.diff(np.append(first, len(x))))):
                     kept[name].append(values)
             at = upto
         if kept["a"]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in kept.values()], list(kept))
 
-    keyed = shared.withColumn("bucket", F.pmod(F.xxhash64("token", "block"), F.lit(buckets)))
+    keyed = shared.withColumn("bucket", F.pmod(F.xxhash64("token", "hub" if around_hubs else "block"), F.lit(buckets)))
     counted = keyed.groupBy("bucket").applyInArrow(pair, "a long, b long, asks long, n long")
     return counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("asks").alias("asks")).filter("n >= asks").select("a", "b")
 
@@ -339,17 +401,23 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
         F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(f"star{i}").alias(f"star{i}") for i in range(STARS)]), "jaccard-nodes")
     counts = merged(signed.filter("seg is not null"), CELLS, "u1", np.zeros(CELLS, np.uint32), np.add)
 
-    stars = stage(star_pairs(nodes, threshold), "jaccard-stars")
-    linked = stage(verified(stars, stage(sets_of(docs, stars, words, text_column), "jaccard-sets"), threshold), "jaccard-links")
-    early = stage(components(linked), "jaccard-components")
+    members = stage(star_members(nodes), "jaccard-stars")
+    sets = sets_of(docs, members.select("node").distinct(), counts, words, text_column)
+    stars = stage(compared(stage(star_pairs(members, sets), "jaccard-pairs"), sets, added=True), "jaccard-stars")
+    early = stage(components(linked(stars, threshold)), "jaccard-components")
+    hubs = stage(hubs_of(stars), "jaccard-hubs")
 
     size = nodes.agg(F.sum(F.col("n") * (den - num) / den + MATCHES[-1])).first()[0] or 0
     buckets = max(1, int(size // BUCKET_ROWS))
     entries = prefix_entries(docs, counts, words, threshold, buckets, text_column)
-    shared = shared_entries(entries).join(early.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left")
-    shared = shared.withColumn("component", F.coalesce("component", "node")).drop("_node")
-    pairs = stage(counted_pairs(shared, buckets, threshold), "jaccard-pairs")
-    more = verified(pairs, stage(sets_of(docs, pairs, words, text_column), "jaccard-sets"), threshold)
+    shared = (shared_entries(entries)
+              .join(early.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").drop("_node")
+              .join(hubs.select(F.col("node").alias("_node"), "hub", "shared"), F.col("node") == F.col("_node"), "left").drop("_node")
+              .withColumns({"component": F.coalesce("component", "node"), "hub": F.coalesce("hub", "node"), "shared": F.coalesce("shared", "n")}))
+    pairs = counted_pairs(shared, buckets, threshold).union(counted_pairs(added_entries(hubs, early), buckets, threshold, around_hubs=True))
+    pairs = stage(pairs.distinct(), "jaccard-pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    more = linked(compared(pairs, sets_of(docs, wanted, counts, words, text_column)), threshold)
     edges = early.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     final = components(stage(edges, "jaccard-links"))
 
