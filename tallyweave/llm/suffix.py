@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from tallyweave.llm.bits import SEGMENT, BitField, log2_bits_for, merged, segments
 from tallyweave.llm.common import numbered, text_or_empty, total_bytes, with_results
-from tallyweave.llm.shingles import range_hash, running_hash, steps
+from tallyweave.llm.shingles import mixed, range_hash, running_hash, steps
 
 GRAM = 20
 SHARD_BYTES = 8 << 20
@@ -209,7 +209,7 @@ def smallest_ids(stretches: list[bytes], ids: np.ndarray, length: int) -> list[n
 
 def stretches_of(texts: list[bytes], length: int, gram: int) -> Iterator[tuple]:
     """For about a megabyte of texts at a time: their first number, the bytes put together, where each text starts, and for each stretch its
-    text, first byte, end and anchor, and the running hash of the bytes."""
+    text, first byte, end, anchor and where in the stretch that is, and the running hash of the bytes."""
     with np.errstate(over="ignore"):
         for a, b in steps(texts):
             sizes = np.array([len(t) for t in texts[a:b]])
@@ -236,13 +236,28 @@ def stretches_of(texts: list[bytes], length: int, gram: int) -> Iterator[tuple]:
             new = valid & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1]) | ~valid[:-1]])
             ends = valid & np.concatenate([new[1:] | ~valid[1:], [True]])
             first, last = np.flatnonzero(new), np.flatnonzero(ends)
-            yield a, whole, starts, of[first], first, last + length, grams[anchor[first]], sums
+            yield a, whole, starts, of[first], first, last + length, grams[anchor[first]], anchor[first] - first, sums
 
 
 def _packed(kind: str, values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype(kind)).tobytes()
 
 
+def _key(anchors: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of anchors; that some share them by chance makes candidates, not results."""
+    return anchors & ~np.uint64(0xFFFF)
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers in rising order, byte by byte, so that the bytes that hardly change are together."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes())
+
+
+def _unsqueezed(data: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
 def shared_anchors(docs: DataFrame, length: int, gram: int, log2_bits: int, buckets: int) -> BitField:
     """A field of the anchors that more than one row has."""
 
@@ -254,14 +269,15 @@ def shared_anchors(docs: DataFrame, length: int, gram: int, log2_bits: int, buck
         def flush() -> pa.RecordBatch:
             found, count = np.unique(np.concatenate(held), return_counts=True)
             repeated = np.unique(np.concatenate(twice)) if twice else found[:0]
-            marked = (found & ~np.uint64(1)) | ((count > 1) | np.isin(found, repeated)).astype(np.uint64)
+            marked = found | ((count > 1) | np.isin(found, repeated)).astype(np.uint64)
             edges = np.searchsorted(marked >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << 32) // buckets + 1))
             full = np.flatnonzero(np.diff(edges))
             return pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array([marked[edges[i]:edges[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "anchors"])
+                [pa.array(full, pa.int32()), pa.array([_squeezed(marked[edges[i]:edges[i + 1]]) for i in full], pa.binary())], ["bucket", "anchors"])
 
         for batch in batches:
-            for _, _, _, of, _, _, anchors, _ in stretches_of(batch.column(0).cast(pa.binary()).to_pylist(), length, gram):
+            for _, _, _, of, _, _, anchors, _, _ in stretches_of(batch.column(0).cast(pa.binary()).to_pylist(), length, gram):
+                anchors = _key(anchors)
                 order = np.lexsort((of, anchors))
                 anchors, of = anchors[order], of[order]
                 kept = np.append(True, (anchors[1:] != anchors[:-1]) | (of[1:] != of[:-1]))[:len(anchors)]
@@ -277,9 +293,9 @@ def shared_anchors(docs: DataFrame, length: int, gram: int, log2_bits: int, buck
             yield flush()
 
     def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for batch in batches for x in batch.column("anchors")])
+        found = np.concatenate([_unsqueezed(x.as_py(), "<u8") for batch in batches for x in batch.column("anchors")])
         found.sort()
-        plain = found >> np.uint64(1)
+        plain = _key(found)
         shared = np.unique(plain[(found & np.uint64(1) == 1) | np.append(plain[1:] == plain[:-1], False)])
         field = BitField(log2_bits)
         field.add(shared)
@@ -292,7 +308,10 @@ def shared_anchors(docs: DataFrame, length: int, gram: int, log2_bits: int, buck
     return BitField(log2_bits, merged(pieces, size, "u1", np.zeros(size, np.uint8), np.bitwise_or))
 
 
-_SENT = "bucket int, hashes binary, anchors binary, sizes binary, ids binary, bytes binary, place_stretch binary, place_doc binary, place_at binary, doc_ids binary, doc_hashes binary, doc_id long, doc_hash long, ranges binary"
+# A task's stretches for one shard and the places of each: every array compressed. The last four fields hold ranges of some documents.
+_SENT = ("bucket int, leads binary, sizes binary, bytes binary, place_stretch binary, place_doc binary, place_at binary, doc_ids binary, "
+         "doc_hashes binary, doc_bucket int, doc_counts binary, ranges binary")
+_RANGES = ("doc_bucket", "doc_ids", "doc_hashes", "doc_counts", "ranges")
 
 
 def _ranges(firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -304,19 +323,26 @@ def _ranges(firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return firsts[new], ends[last]
 
 
-def _by_document(docs: np.ndarray, firsts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """The ranges of each document, packed."""
-    if not len(docs):
+def _by_document(ids: np.ndarray, hashes: np.ndarray, firsts: np.ndarray, ends: np.ndarray, buckets: int) -> Iterator[dict]:
+    """Ranges put together by document, and documents by bucket, packed: a row for each bucket of documents."""
+    if not len(ids):
         return
-    order = np.argsort(docs, kind="stable")
-    docs, firsts, ends = docs[order], firsts[order], ends[order]
-    edges = np.flatnonzero(np.append(True, docs[1:] != docs[:-1])).tolist()
-    for a, b in zip(edges, [*edges[1:], len(docs)]):
-        yield int(docs[a]), _packed("<i8", np.stack(_ranges(firsts[a:b], ends[a:b]), 1))
+    bucket = (mixed(ids.view(np.uint64) ^ hashes.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((firsts, hashes, ids, bucket))
+    bucket, ids, hashes, firsts, ends = (c[order] for c in (bucket, ids, hashes, firsts, ends))
+    new = np.append(True, (bucket[1:] != bucket[:-1]) | (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1]))
+    start = np.flatnonzero(new)
+    parts = [_ranges(firsts[a:b], ends[a:b]) for a, b in zip(start, np.append(start[1:], len(ids)))]
+    counts = np.array([len(f) for f, _ in parts])
+    edges = np.flatnonzero(np.append(True, bucket[start][1:] != bucket[start][:-1]))
+    for a, b in zip(edges, np.append(edges[1:], len(start))):
+        yield {"doc_bucket": int(bucket[start[a]]), "doc_ids": _packed("<i8", ids[start[a:b]]), "doc_hashes": _packed("<i8", hashes[start[a:b]]),
+               "doc_counts": _packed("<u4", counts[a:b]),
+               "ranges": _packed("<i8", np.concatenate([np.stack(p, 1) for p in parts[a:b]]))}
 
 
 def covered_ranges(docs: DataFrame, field: BitField, length: int, gram: int, buckets: int) -> DataFrame:
-    """``doc_id``, ``doc_hash`` and packed ranges of bytes to remove, several rows for a document."""
+    """``doc_id``, ``doc_hash`` and the packed ranges of bytes to remove, one row for a document."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     names = [part.split()[0] for part in _SENT.split(", ")]
 
@@ -345,24 +371,24 @@ def covered_ranges(docs: DataFrame, field: BitField, length: int, gram: int, buc
     def part(texts: list[bytes], ids: np.ndarray, text_hashes: np.ndarray, squeeze) -> list[tuple]:
         found: list[tuple] = []
         spelled: dict[int, bytes] = {}
-        for base, whole, starts, of, first, end, anchors, sums in stretches_of(texts, length, gram):
-            keep = shared.value.has(anchors >> np.uint64(1))
-            of, first, end, anchors = of[keep], first[keep], end[keep], anchors[keep]
+        for base, whole, starts, of, first, end, anchors, leads, sums in stretches_of(texts, length, gram):
+            keep = shared.value.has(_key(anchors))
+            of, first, end, anchors, leads = of[keep], first[keep], end[keep], anchors[keep], leads[keep]
             hashes = range_hash(sums, first, end)
             for i in np.unique(hashes, return_index=True)[1]:
                 spelled.setdefault(int(hashes[i]), whole[first[i]:end[i]])
-            found.append((hashes, anchors, of + base, first - starts[of], end - first))
+            found.append((hashes, anchors, leads, of + base, first - starts[of], end - first))
         if not spelled:
             return []
-        hashes, anchors, of, at, sizes = (np.concatenate(c) for c in zip(*found))
+        hashes, anchors, leads, of, at, sizes = (np.concatenate(c) for c in zip(*found))
         order = np.lexsort((ids[of], hashes))
-        hashes, anchors, of, at, sizes = (c[order] for c in (hashes, anchors, of, at, sizes))
+        hashes, anchors, leads, of, at, sizes = (c[order] for c in (hashes, anchors, leads, of, at, sizes))
         head = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         group = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(hashes))))
         least = ids[of[head]]
         later = ids[of] > least[group]  # a smaller id has the whole stretch
-        rows = [row(bucket=-1 - doc % 1024, doc_id=int(ids[doc]), doc_hash=int(text_hashes[doc]), ranges=ranges)
-                for doc, ranges in _by_document(of[later], at[later], at[later] + sizes[later])]
+        rows = [row(bucket=-1 - known["doc_bucket"], **known) for known in _by_document(
+            ids[of[later]], text_hashes[of[later]], at[later], at[later] + sizes[later], buckets)]
         bucket = (anchors[head] % np.uint64(buckets)).astype(np.int64)
         by_bucket = np.argsort(bucket, kind="stable")
         place = ~later
@@ -380,77 +406,78 @@ def covered_ranges(docs: DataFrame, field: BitField, length: int, gram: int, buc
             own, places = by_bucket[a:b], p_order[c:d]
             used, doc = np.unique(p_of[places], return_inverse=True)
             rows.append(row(
-                bucket=int(bucket[own[0]]), hashes=_packed("<u8", hashes[head[own]]), anchors=_packed("<u8", anchors[head[own]]),
-                sizes=_packed("<u4", sizes[head[own]]), ids=_packed("<i8", least[own]), bytes=squeeze(b"".join(spelled[int(h)] for h in hashes[head[own]])),
-                place_stretch=_packed("<u4", rank[p_group[places]]), place_doc=_packed("<u4", doc), place_at=_packed("<u4", p_at[places]),
-                doc_ids=_packed("<i8", ids[used]), doc_hashes=_packed("<i8", text_hashes[used])))
+                bucket=int(bucket[own[0]]), leads=squeeze(_packed("<u2", leads[head[own]])), sizes=squeeze(_packed("<u2", sizes[head[own]])),
+                bytes=squeeze(b"".join(spelled[int(h)] for h in hashes[head[own]])),
+                place_stretch=_squeezed(rank[p_group[places]].astype("<u4")), place_doc=_squeezed(doc.astype("<u4")),
+                place_at=_squeezed(p_at[places].astype("<u4")), doc_ids=_packed("<i8", ids[used]), doc_hashes=_packed("<i8", text_hashes[used])))
         return rows
 
     def judge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = ["doc_id", "doc_hash", "ranges"]
         if key[0].as_py() < 0:  # ranges that are known already
             for batch in batches:
-                yield batch.select(out)
+                yield batch.select(list(_RANGES))
             return
         unpack = zstandard.ZstdDecompressor().decompress
-        index: dict[int, int] = {}
-        spelled, least, anchors, places = [], [], [], []
+        index: dict[bytes, int] = {}
+        gram_index: dict[bytes, int] = {}
+        of_anchor, places, smallest = [], [], []
         for batch in batches:
             for values in batch.to_pylist():
-                own_ids = np.frombuffer(values["ids"], "<i8")
-                own_anchors = np.frombuffer(values["anchors"], "<u8")
                 text, at, local = unpack(values["bytes"]), 0, []
-                for h, size, own_id, anchor in zip(np.frombuffer(values["hashes"], "<u8").tolist(), np.frombuffer(values["sizes"], "<u4").tolist(),
-                                                   own_ids.tolist(), own_anchors.tolist()):
-                    i = index.setdefault(h, len(index))
-                    if i == len(spelled):
-                        spelled.append(text[at:at + size])
-                        least.append(own_id)
-                        anchors.append(anchor)
-                    else:
-                        least[i] = min(least[i], own_id)
-                    local.append(i)
+                for size, lead in zip(np.frombuffer(unpack(values["sizes"]), "<u2").tolist(), np.frombuffer(unpack(values["leads"]), "<u2").tolist()):
+                    own = text[at:at + size]
                     at += size
-                doc = np.frombuffer(values["place_doc"], "<u4")
-                places.append((np.array(local, np.int64)[np.frombuffer(values["place_stretch"], "<u4")], np.frombuffer(values["place_at"], "<u4").astype(np.int64),
+                    i = index.setdefault(own, len(index))
+                    if i == len(of_anchor):
+                        of_anchor.append(gram_index.setdefault(own[lead:lead + gram], len(gram_index)))
+                    local.append(i)
+                doc = _unsqueezed(values["place_doc"], "<u4")
+                places.append((np.array(local, np.int64)[_unsqueezed(values["place_stretch"], "<u4")], _unsqueezed(values["place_at"], "<u4").astype(np.int64),
                                np.frombuffer(values["doc_ids"], "<i8")[doc], np.frombuffer(values["doc_hashes"], "<i8")[doc]))
-        least, anchors = np.array(least), np.array(anchors, np.uint64)
-        _, of_anchor, count = np.unique(anchors, return_inverse=True, return_counts=True)
+        spelled, of_anchor = list(index), np.array(of_anchor)
+        stretch, at, ids, text_hashes = (np.concatenate(c) for c in zip(*places))
+        least = np.full(len(spelled), NO_ID)
+        np.minimum.at(least, stretch, ids)
+        count = np.bincount(of_anchor)
         several = np.flatnonzero(count[of_anchor] > 1)  # a stretch that is alone with its anchor has only its own ids
         decided: dict[int, np.ndarray] = {}
         if len(several):
             decided = dict(zip(several.tolist(), smallest_ids([spelled[i] for i in several], least[several], length)))
-        stretch, at, ids, text_hashes = (np.concatenate(c) for c in zip(*places))
-        docs_seen, doc = np.unique(np.stack([ids, text_hashes]), axis=1, return_inverse=True)
-        docs_, firsts, ends = [], [], []
         alone = np.ones(len(spelled), bool)
         alone[several] = False
         sizes = np.array([len(s) for s in spelled])
-        gone = alone[stretch] & (least[stretch] < ids)
-        docs_.append(doc[gone])
-        firsts.append(at[gone])
-        ends.append(at[gone] + sizes[stretch[gone]])
+        gone = np.flatnonzero(alone[stretch] & (least[stretch] < ids))
+        rows_, firsts, ends = [gone], [at[gone]], [at[gone] + sizes[stretch[gone]]]
         for i in np.flatnonzero(~alone[stretch]).tolist():
             hit = decided[int(stretch[i])] < ids[i]
             if hit.any():
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-                docs_.append(np.full(len(edge) // 2, doc[i]))
+                rows_.append(np.full(len(edge) // 2, i))
                 firsts.append(at[i] + edge[::2])
                 ends.append(at[i] + edge[1::2] - 1 + length)
-        rows = [(int(docs_seen[0, d]), int(docs_seen[1, d]), ranges)
-                for d, ranges in _by_document(np.concatenate(docs_), np.concatenate(firsts), np.concatenate(ends))]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], out)
+        rows_ = np.concatenate(rows_)
+        made = list(_by_document(ids[rows_], text_hashes[rows_], np.concatenate(firsts), np.concatenate(ends), buckets))
+        if made:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([m[name] for m in made], pa.int32() if name == "doc_bucket" else pa.binary()) for name in _RANGES], list(_RANGES))
+
+    def gather(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
+        for batch in batches:
+            for values in batch.to_pylist():
+                n = np.frombuffer(values["doc_counts"], "<u4")
+                both = np.frombuffer(values["ranges"], "<i8").reshape(-1, 2)
+                parts.append((np.repeat(np.frombuffer(values["doc_ids"], "<i8"), n), np.repeat(np.frombuffer(values["doc_hashes"], "<i8"), n), both[:, 0], both[:, 1]))
+        for done in _by_document(*(np.concatenate(c) for c in zip(*parts)), 1):
+            n = np.frombuffer(done["doc_counts"], "<u4").astype(np.int64)
+            edges = 16 * np.append(0, np.cumsum(n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(done["doc_ids"], "<i8")), pa.array(np.frombuffer(done["doc_hashes"], "<i8")),
+                 pa.array([done["ranges"][a:b] for a, b in zip(edges, edges[1:])], pa.binary())], ["doc_id", "doc_hash", "ranges"])
 
     sent = docs.select("_id", "_hash", text_or_empty("_text").alias("_text")).mapInArrow(cut, _SENT)
-    return sent.groupBy("bucket").applyInArrow(judge, "doc_id long, doc_hash long, ranges binary")
-
-
-def _together(packed: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
-    if not packed:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = np.concatenate([np.frombuffer(p, "<i8") for p in packed]).reshape(-1, 2)
-    return _ranges(both[:, 0], both[:, 1])
+    judged = sent.groupBy("bucket").applyInArrow(judge, "doc_bucket int, doc_ids binary, doc_hashes binary, doc_counts binary, ranges binary")
+    return judged.groupBy("doc_bucket").applyInArrow(gather, "doc_id long, doc_hash long, ranges binary")
 
 
 def without_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -462,8 +489,7 @@ def without_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, id_colu
     log2_bits = log2_bits_for(size // 40)
     field = shared_anchors(prepared, length, gram, log2_bits, max(1, size // SHARD_BYTES))
     ranges = covered_ranges(prepared, field, length, gram, max(1, size // SHARD_BYTES))
-    per_doc = ranges.groupBy("doc_id", "doc_hash").agg(F.collect_list("ranges").alias("_ranges")).select(
-        F.col("doc_id").alias("_id_r"), F.col("doc_hash").alias("_hash_r"), "_ranges")  # a few ranges of one document
+    per_doc = ranges.select(F.col("doc_id").alias("_id_r"), F.col("doc_hash").alias("_hash_r"), F.col("ranges").alias("_ranges"))
     inner, (id_column, text_column) = numbered(docs, id_column, text_column)
     marked = inner.withColumns({"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64(F.col(text_column))})
     joined = marked.join(per_doc.hint("merge"), (F.col("_id") == F.col("_id_r")) & (F.col("_hash") == F.col("_hash_r")), "left").drop(
@@ -478,7 +504,7 @@ def without_repeats(docs: DataFrame, length: int = 50, gram: int = GRAM, id_colu
             rows = []
             for text, packed in zip(batch.column(text_column).cast(pa.binary()).to_pylist(), batch.column("_ranges").to_pylist()):
                 text = text or b""
-                firsts, ends = _together(packed)
+                firsts, ends = np.frombuffer(packed or b"", "<i8").reshape(-1, 2).T
                 keeps = zip(np.append(0, ends).tolist(), np.append(firsts, len(text)).tolist())
                 kept = b"".join(text[a:b] for a, b in keeps)
                 rows.append((len(text), len(text) - len(kept), len(firsts), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"),
