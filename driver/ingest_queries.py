@@ -165,7 +165,7 @@ def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = pages.select("body")
     bad = good.select(F.regexp_replace("body", '"(id|eventId)":"e', '"other":"e').alias("body"))
     for given in (good, bad):
-        write_run_log(store, ingest_entity(store, EVENTS, given, options=OPTIONS), NOW, NOW)
+        write_run_log(store, (ingest_entity(store, EVENTS, given, options=OPTIONS), NOW, NOW))
     runs = store.read(RUN_LOG).select("endpoint_name", "rows_pulled", "rows_upserted", "status")
     marks = marks_table(store).select("endpoint_name", F.unix_micros("last_watermark").alias("mark"))
     return runs.join(F.broadcast(marks), "endpoint_name", "left")

@@ -80,11 +80,16 @@ def q_excess_supply_hot_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_blocked_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parts.blocked_stock(*load(spark, sf_dir, "f_stock", "f_nonconformances"), "product_id")
+
+
+def q_blocked_stock_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by product code; every code is on three products."""
     return parts.blocked_stock(*load(spark, sf_dir, "f_stock", "f_nonconformances"))
 
 
 def q_blocked_stock_hot_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parts.blocked_stock(*load(spark, sf_dir, "h_stock", "h_nonconformances"), hot_rows=SMALL_GROUP)
+    return parts.blocked_stock(*load(spark, sf_dir, "h_stock", "h_nonconformances"), "product_id", hot_rows=SMALL_GROUP)
 
 
 def _report(spark: SparkSession, sf_dir: str):
@@ -107,6 +112,28 @@ def q_part_report_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).blocked
 
 
+def _selected(spark: SparkSession, sf_dir: str):
+    """The report for every fifth part code, and for codes that mean no product."""
+    given = inputs(spark, sf_dir)
+    codes = [row[0] for row in given.products.filter("product_id % 5 = 0").select("code").distinct().collect()]
+    return part_demand_status(given, [*codes, "no such part", "NOR THIS ONE"], as_of=AS_OF)
+
+
+def q_part_report_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _selected(spark, sf_dir).allocation
+
+
+def q_part_report_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _selected(spark, sf_dir).unknown
+
+
+def q_part_report_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of parts whose codes are asked for in other letters, shown as the products have them."""
+    given = inputs(spark, sf_dir)
+    codes = [row[0].upper() + " " for row in given.products.filter("product_id % 5 = 0").select("code").distinct().collect()]
+    return part_demand_status(given, codes, as_of=AS_OF, case_insensitive=True).headers
+
+
 QUERIES = {
     name.removeprefix("q_"): function for name, function in list(globals().items()) if name.startswith("q_")
 }
@@ -128,8 +155,8 @@ _HEADERS = """
         select r.product_id, r.code as part_number, n.name as description,
                case when r.is_make and r.is_buy then 'Make/Buy' when r.is_make then 'Make' when r.is_buy then 'Buy'
                     else 'Neither' end as make_buy,
-               r.active, cast(null as boolean) as serial_tracked, cast(null as boolean) as lot_tracked,
-               cast(null as boolean) as inspection_required, r.lead_time as lead_time_days, v.default_revision
+               r.active, r.is_serial_tracked as serial_tracked, r.is_lot_tracked as lot_tracked,
+               r.is_inspection_required as inspection_required, r.lead_time as lead_time_days, v.default_revision
         from resolved r left join f_product_names n on n.product_id = r.product_id
         left join revisions v on v.product_id = r.product_id
 """
@@ -189,14 +216,14 @@ def _overlaps(prefix: str) -> str:
     )"""
 
 
-def _blocked(stock: str, nonconformances: str) -> str:
+def _blocked(stock: str, nonconformances: str, key: str = "product_id") -> str:
     return f"""blocked as (
       select i.inventory_id, i.product_id, i.status, i.revision as rev, coalesce(i.serial, i.lot, i.tag) as reference,
              i.pedigree, i.qty, n.nc_number, n.status as nc_status,
              row_number() over (partition by i.inventory_id
                                 order by n.created_at desc nulls last, n.nc_number desc nulls last) as rn
       from {stock} i left join {nonconformances} n
-        on n.product_id = i.product_id and (n.revision = i.revision or n.revision is null)
+        on n.{key} = i.{key} and (n.revision = i.revision or n.revision is null)
       where i.status in ('BLOCKED', 'ON_HOLD')
     )"""
 
@@ -226,6 +253,17 @@ ORACLES = {
         f"with {_blocked('f_stock', 'f_nonconformances')} select * exclude (rn) from blocked where rn = 1"),
     "blocked_stock_hot_part": with_views(
         f"with {_blocked('h_stock', 'h_nonconformances')} select * exclude (rn) from blocked where rn = 1"),
+    "blocked_stock_by_code": with_views(
+        f"with {_blocked('f_stock', 'f_nonconformances', 'product_code')} select * exclude (rn) from blocked where rn = 1"),
+    "part_report_selected": with_views(f"""with {_RESOLVED}, {_overlaps('f')}
+        select a.*, r.code as part_number,
+               case when v.default_revision is not null
+                    then v.default_revision || ' (best-effort - not tracked per demand line)' end as demand_rev
+        from allocation a join resolved r on r.product_id = a.product_id
+        left join revisions v on v.product_id = a.product_id
+        where r.code in (select code from f_products where product_id % 5 = 0)"""),
+    "part_report_unknown": "select code from (values ('no such part'), ('NOR THIS ONE')) t(code)",
+    "part_report_case": with_views(f"with {_RESOLVED} {_HEADERS} where r.code in (select code from f_products where product_id % 5 = 0)"),
     "part_report_headers": with_views(f"with {_RESOLVED} {_HEADERS}"),
     "part_report_allocation": with_views(f"""with {_RESOLVED}, {_overlaps('f')}
         select a.*, r.code as part_number,
@@ -235,7 +273,7 @@ ORACLES = {
         left join revisions v on v.product_id = a.product_id"""),
     "part_report_excess": with_views(f"""with {_RESOLVED}, {_overlaps('f')}
         select e.*, r.code as part_number from excess e join resolved r on r.product_id = e.product_id"""),
-    "part_report_blocked": with_views(f"""with {_RESOLVED}, {_blocked('f_stock', 'f_nonconformances')}
+    "part_report_blocked": with_views(f"""with {_RESOLVED}, {_blocked('f_stock', 'f_nonconformances', 'product_code')}
         select b.* exclude (rn), r.code as part_number
         from blocked b join resolved r on r.product_id = b.product_id where b.rn = 1"""),
 }

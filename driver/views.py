@@ -73,7 +73,9 @@ VIEWS: dict[str, str] = {
     """,
     "f_products": """
         select p_partkey as product_id, concat(p_name, ' ', p_brand) as code, p_size % 2 = 0 as is_make,
-               case when p_size % 5 = 0 then null else p_size % 3 = 0 end as is_buy, p_size as lead_time, p_size <> 13 as active from part
+               case when p_size % 5 = 0 then null else p_size % 3 = 0 end as is_buy, p_size as lead_time, p_size <> 13 as active,
+               p_size % 7 = 0 as is_serial_tracked, case when p_size % 4 <> 1 then p_size % 3 = 1 end as is_lot_tracked,
+               p_size > 25 as is_inspection_required from part
     """,
     "f_product_names": """
         select p_partkey as product_id, p_name as name from part where p_partkey % 9 <> 4
@@ -88,7 +90,7 @@ VIEWS: dict[str, str] = {
         from f_line where l_linestatus = 'O' and l_returnflag <> 'R'
     """,
     "f_stock": """
-        select line_id as inventory_id, l_partkey as product_id,
+        select line_id as inventory_id, l_partkey as product_id, concat('C', cast(l_partkey - l_partkey % 3 as string)) as product_code,
                case when l_returnflag = 'A' then 'AVAILABLE' when l_linenumber % 2 = 0 then 'BLOCKED' else 'ON_HOLD' end as status,
                case when l_linenumber = 1 then concat('SN', line_id) end as serial, case when l_linenumber <= 2 then concat('LOT', line_id) end as lot,
                case when l_linenumber <= 3 then concat('TAG', line_id) end as tag,
@@ -103,7 +105,7 @@ VIEWS: dict[str, str] = {
         from f_line where l_linestatus = 'F' and l_returnflag = 'N'
     """,
     "f_nonconformances": """
-        select line_id as nc_number, l_partkey as product_id, case when l_linenumber = 1 then null else concat('R', cast(l_linenumber % 3 as string)) end as revision,
+        select line_id as nc_number, l_partkey as product_id, concat('C', cast(l_partkey - l_partkey % 3 as string)) as product_code, case when l_linenumber = 1 then null else concat('R', cast(l_linenumber % 3 as string)) end as revision,
                case when l_tax < 0.04 then 'OPEN' else 'CLOSED' end as status, l_shipdate as created_at
         from f_line where l_linestatus = 'O' and l_returnflag = 'R'
     """,
@@ -147,7 +149,7 @@ VIEWS: dict[str, str] = {
     """,
     "h_stock": """
         select inventory_id, case when ascii(substr(md5(inventory_id), 1, 1)) % 3 = 0 then 1 else product_id end as product_id,
-               status, serial, lot, tag, revision, pedigree, qty
+               product_code, status, serial, lot, tag, revision, pedigree, qty
         from f_stock
     """,
     "h_po_details": """
@@ -157,7 +159,7 @@ VIEWS: dict[str, str] = {
     """,
     "h_nonconformances": """
         select nc_number, case when ascii(substr(md5(nc_number), 1, 1)) % 3 = 0 then 1 else product_id end as product_id,
-               revision, status, created_at
+               product_code, revision, status, created_at
         from f_nonconformances
     """,
     "f_order_headers": """
@@ -210,13 +212,7 @@ def needed(*names: str) -> list[str]:
 
 
 def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A test table. The small ones come as a single row group, which one task would read and
-    derive everything from; those are spread over the cores. Larger tables are read as they are."""
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if table in ("lineitem", "orders", "events") and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave.functions.amounts import QUANTITY
 from tallyweave.operators.hot_keys import HOT_ROWS, split_hot
-from tallyweave.operators.ordered import CHUNK, chunked_running_sum, ordered_chunks
+from tallyweave.operators.ordered import CHUNK, chunk_count, chunked_running_sum, ordered_chunks
 
 # Fixed value: the source shown on a shortage row.
 SHORTAGE = "SHORTAGE - no supply available"
@@ -78,7 +78,7 @@ def _sweep_windowed(borders: DataFrame) -> DataFrame:
     )
 
 
-def _borders_chunked(pool: DataFrame, chunks: int | None) -> DataFrame:
+def _borders_chunked(pool: DataFrame, chunks: int) -> DataFrame:
     by, order = ["product_id", "side"], _pool_order()
     chunked = ordered_chunks(pool, by, order, "allocation-pool", chunks)
     return chunked_running_sum(chunked, by, order, F.col("qty"), "border").select(
@@ -86,7 +86,7 @@ def _borders_chunked(pool: DataFrame, chunks: int | None) -> DataFrame:
     )
 
 
-def _sweep_chunked(borders: DataFrame, chunks: int | None) -> DataFrame:
+def _sweep_chunked(borders: DataFrame, chunks: int) -> DataFrame:
     """The same walk over contiguous chunks of the borders, each chunk starting with the demand
     and supply its predecessors left in force and ending at its successor's first border."""
     order = [F.desc("border")]
@@ -117,14 +117,16 @@ def _sweep_chunked(borders: DataFrame, chunks: int | None) -> DataFrame:
 
 
 def allocate(pool: DataFrame, *, hot_rows: int = HOT_ROWS, chunks: int | None = None,
-             counted: DataFrame | None = None) -> DataFrame:
+             counted: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Segments of (product_id, demand, supply, qty); ``demand`` or ``supply`` is NULL where none is in force.
 
-    ``counted`` may name a cheaper frame than the pool to count rows per product in.
+    ``counted`` may name a cheaper frame than the pool to count rows per product in, ``keys`` the hot products
+    where they are known.
     """
-    cold, hot = split_hot(pool, ["product_id"], hot_rows, counted=counted)
+    cold, hot = split_hot(pool, ["product_id"], hot_rows, counted=counted, keys=keys)
     segments = _sweep_windowed(_borders_windowed(cold))
     if hot is not None:
+        chunks = chunks or chunk_count(hot, hot_rows)
         segments = segments.unionByName(_sweep_chunked(_borders_chunked(hot, chunks), chunks))
     return segments.filter(F.col("length") > 0).select(
         "product_id", "demand", "supply", F.col("length").cast(QUANTITY).alias("qty"),

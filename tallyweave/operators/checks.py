@@ -27,6 +27,12 @@ def assert_key(df: DataFrame, *key: str, what: str = "table") -> DataFrame:
     return df
 
 
+def assert_unique(df: DataFrame, *key: str, what: str = "table") -> DataFrame:
+    """The right side of a lookup: keys may be NULL, which nothing finds, but not repeated."""
+    assert_key(df.select(*key).dropna(), *key, what=what)
+    return df
+
+
 def row_violations(required: Sequence[str] = (), max_length: Mapping[str, int] | None = None) -> Column:
     """``array<string>`` naming every rule a row breaks; empty for a clean row."""
     rules = [F.when(F.col(name).isNull(), F.lit(f"{name} is null")) for name in required]

@@ -31,7 +31,9 @@ def order_items(body: Column, items_key: str = ITEMS_KEY) -> Column:
 
 def unnest(pages: DataFrame, *, body: str = "body", items_key: str = ITEMS_KEY, single_orders: bool = False,
            observed: Observation | None = None) -> DataFrame:
-    """One row per item, in the VARIANT column ``item``; the other columns of the page are kept.
+    """One row per item, in the VARIANT column ``item``, with its ``position`` in the page; the other columns of the page are kept.
+
+    An object that repeats a key is not read as JSON, so its page counts as malformed and stays among the rejects.
 
     ``observed`` receives the number of responses that are not JSON (``malformed``) as the rows pass by.
     """
@@ -40,4 +42,4 @@ def unnest(pages: DataFrame, *, body: str = "body", items_key: str = ITEMS_KEY,
     parsed = with_body(pages, body)
     if observed is not None:
         parsed = parsed.observe(observed, F.count_if(variants.is_malformed(F.col(body), F.col("_body"))).alias("malformed"))
-    return parsed.select(*kept, F.explode(items(F.col("_body"), items_key)).alias("item"))
+    return parsed.select(*kept, F.posexplode(items(F.col("_body"), items_key)).alias("position", "item"))

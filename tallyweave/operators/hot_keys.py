@@ -1,41 +1,43 @@
 """Joins and splits that hold when one key owns a large share of the rows.
 
-A key counts as hot when it is among the ``max_keys`` most frequent keys and owns at least
-``hot_rows`` rows. The list of hot keys is therefore never longer than ``max_keys``, which is
-what makes broadcasting it safe at any data size, and no other key can own more than
-1/``max_keys`` of the rows.
+A key is hot when it owns at least ``hot_rows`` rows, about what one task can hold. There are at most rows / ``hot_rows``
+such keys, fewer than the tasks that read the rows, which is what makes broadcasting their list safe at any data size. No
+key that is hot is left whole.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave.sources.staging import stage
 
+log = logging.getLogger(__name__)
+
 HOT_ROWS = 2_000_000
-MAX_LOOKUP_KEYS = 1_000
-MAX_SPLIT_KEYS = 10_000
+MANY_KEYS = 50_000
 SALTS = 1 << 20
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS,
-             max_keys: int = MAX_LOOKUP_KEYS) -> DataFrame:
-    """At most ``max_keys`` keys of ``df``, counted with map-side combine."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= hot_rows)
-    return top_keys(counts, on, "_rows", max_keys)
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot keys of ``df``, counted with map-side combine."""
+    counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
+    return heavy_keys(counts, on, "_rows", hot_rows)
 
 
-def top_keys(counts: DataFrame, on: Sequence[str], weight: str, max_keys: int = MAX_LOOKUP_KEYS) -> DataFrame:
-    """The heaviest keys of a frame that already carries one row per key and its row count."""
-    return counts.orderBy(F.desc(weight), *on).limit(max_keys).select(*on)
+def heavy_keys(counts: DataFrame, on: Sequence[str], weight: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot keys of a frame that already carries one row per key and its row count."""
+    return counts.filter(F.col(weight) >= hot_rows).select(*on)
 
 
 def collected(keys: DataFrame) -> DataFrame | None:
-    """The hot keys as a local frame, or None when there are none. The driver sees at most the
-    bounded number of keys, and plans without hot keys stay as simple as if skew did not exist."""
-    found = keys.collect()
+    """The hot keys as a local frame, or None when there are none. Plans without hot keys stay as
+    simple as if skew did not exist."""
+    found = keys.collect()  # at most rows / hot_rows keys
+    if len(found) > MANY_KEYS:
+        log.warning("%d hot keys; raise hot_rows to about what a task can hold", len(found))
     return keys.sparkSession.createDataFrame(found, keys.schema) if found else None
 
 
@@ -48,7 +50,8 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequ
     which no right-hand row carries, so they neither match twice nor meet in one task. Every
     other row is joined by key; Spark still broadcasts the right side there if it is small.
 
-    ``hot`` gives the hot keys where the caller has counted them already.
+    ``hot`` gives the hot keys where the caller has counted them already. The right side must have one row per
+    key, which callers assert where it comes from outside; that bounds the broadcast to one row per hot key.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how}")
@@ -81,15 +84,15 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequ
     return joined.select(*left.columns, *[F.col(f"_match.{name}").alias(name) for name in payload])
 
 
-def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, max_keys: int = MAX_SPLIT_KEYS,
-              counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS,
+              counted: DataFrame | None = None, keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys (None when there are none).
 
-    The driver sees at most ``max_keys`` keys. Keys are counted in ``counted`` where that is
-    cheaper than in ``df``; the counts only decide which way a key's rows take, not the result.
+    Keys are counted in ``counted`` where that is
+    cheaper than in ``df``, and not at all where ``keys`` names the hot ones; the counts only decide which way a key's rows take, not the result.
     With hot keys, ``df`` is staged, because both parts read it, the hot one more than once.
     """
-    keys = collected(hot_keys(df if counted is None else counted, by, hot_rows, max_keys))
+    keys = collected(hot_keys(df if counted is None else counted, by, hot_rows) if keys is None else keys.select(*by))
     if keys is None:
         return df, None
     listed = F.broadcast(keys.select(*[F.col(name).alias(f"_hot_{name}") for name in by]))

@@ -166,8 +166,8 @@ def _rules(field: Field, value: Column, given: Column) -> list[Column]:
 
 
 def explode_children(parents: DataFrame, key: Field, *path: str, keep: Sequence[str] = ()) -> DataFrame:
-    """The items of a child array, each with ``keep`` and the key of its parent in the column ``key.name``."""
+    """The items of a child array, each with its ``child_position``, ``keep``, and the key of its parent in the column ``key.name``."""
     keyed = map_items(parents.select(ITEM, F.col(ITEM).alias("_whole"), *keep), [key], keep=["_whole", *keep])
     return keyed.select(
-        key.name, *keep, F.explode(variants.elements(F.col("_whole"), *path)).alias(ITEM),
+        key.name, *keep, F.posexplode(variants.elements(F.col("_whole"), *path)).alias("child_position", ITEM),
     )

@@ -17,17 +17,19 @@ from tallyweave.operators.hot_keys import HOT_ROWS, split_hot
 from tallyweave.sources.staging import stage
 
 CHUNK = "_chunk"
+MIN_CHUNK_ROWS = 500
 
 
-def chunk_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def chunk_count(df: DataFrame, hot_rows: int) -> int:
+    """So many pieces that one has about half of ``hot_rows`` rows, however many rows there are."""
+    return max(2, -(-2 * df.count() // max(hot_rows, MIN_CHUNK_ROWS)))
 
 
 def ordered_chunks(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str,
-                   chunks: int | None = None) -> DataFrame:
+                   chunks: int) -> DataFrame:
     """Number contiguous pieces of (by, order). Written out, because the piece borders are
     sampled and must be the same for every reader."""
-    pieces = df.repartitionByRange(chunks or chunk_count(df), *by, *order)
+    pieces = df.repartitionByRange(chunks, *by, *order)
     return stage(pieces.withColumn(CHUNK, F.spark_partition_id()), name)
 
 
@@ -56,5 +58,5 @@ def sequence(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str
     numbered = cold.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
     if hot is None:
         return numbered
-    chunked = ordered_chunks(hot, by, order, "sequence", chunks)
+    chunked = ordered_chunks(hot, by, order, "sequence", chunks or chunk_count(hot, hot_rows))
     return numbered.unionByName(chunked_running_sum(chunked, by, order, F.lit(1), out).drop(CHUNK))

@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave.functions.amounts import QUANTITY
+from tallyweave.functions.texts import shown
 from tallyweave.functions.times import as_date, safe_date
-from tallyweave.operators.hot_keys import HOT_ROWS, lookup
+from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, lookup
 from tallyweave.operators.ordered import sequence
 
 # The planning rows that are demand, the statuses of stock and order lines that
@@ -64,7 +65,7 @@ def part_headers(resolved: DataFrame, names: DataFrame, revisions: DataFrame) ->
         resolved.join(names.select("product_id", "name"), "product_id", "left")
         .join(default_revisions(revisions), "product_id", "left")
         .select(
-            "product_id", F.col("code").alias("part_number"), F.col("name").alias("description"),
+            "product_id", shown(resolved, "code").alias("part_number"), F.col("name").alias("description"),
             make_buy(F.col("is_make"), F.col("is_buy")).alias("make_buy"), "active", *flags,
             F.col("lead_time").alias("lead_time_days"), "default_revision",
         )
@@ -109,7 +110,7 @@ def available_stock(stock: DataFrame, as_of: dt.date | None = None) -> DataFrame
     """Stock that can be allocated; it is there today."""
     return stock.filter((F.col("status") == AVAILABLE) & F.col("product_id").isNotNull()).select(
         "product_id", F.col("inventory_id").cast("string").alias("supply_id"), F.lit(0).alias("source_rank"),
-        as_date(as_of).alias("ecd_date"), F.col("revision").alias("supply_rev"),
+        as_date(as_of).alias("ecd_date"), shown(stock, "revision").alias("supply_rev"),
         F.lit(STOCK_SOURCE).alias("source_type"), stock_reference(with_id=True).alias("reference"),
         "pedigree", F.col("qty").cast(QUANTITY).alias("qty"),
     )
@@ -155,10 +156,12 @@ def numbered_supply(supply: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame
     return sequence(supply, ["product_id"], supply_order(), "supply_seq", hot_rows=hot_rows)
 
 
-def blocked_stock(stock: DataFrame, nonconformances: DataFrame, product_key: str = "product_id", *,
+def blocked_stock(stock: DataFrame, nonconformances: DataFrame, product_key: str = "product_code", *,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Blocked and held stock with the newest non-conformance of its product and revision.
 
+    Products are matched by code, which may live on several sites; ``product_key`` names another column to match by.
+
     A non-conformance without a revision fits every revision. The newest one that fits is the
     newer of two: the newest of the same revision and the newest without one. Both are
     aggregated first and looked up once per distinct (product, revision) of the stock, so no
@@ -172,13 +175,13 @@ def blocked_stock(stock: DataFrame, nonconformances: DataFrame, product_key: str
     any_revision = best.filter(F.col("revision").isNull()).select(product_key, F.col("nc").alias("nc_any"))
 
     blocked = stock.filter(F.col("status").isin(*BLOCKED)).select(
-        "inventory_id", "product_id", *([] if product_key == "product_id" else [product_key]), "status",
-        F.col("revision").alias("rev"), stock_reference(with_id=False).alias("reference"), "pedigree", "qty",
+        "inventory_id", "product_id", *([] if product_key == "product_id" else [product_key]), shown(stock, "status").alias("status"),
+        shown(stock, "revision").alias("rev"), stock_reference(with_id=False).alias("reference"), "pedigree", "qty",
         # An unknown revision needs a value of its own, because a NULL key would never be found.
         F.struct(F.col("revision").isNull().alias("none"), F.coalesce("revision", F.lit("")).alias("code")).alias("_rev"),
     )
     wanted = blocked.groupBy(product_key, "_rev").agg(F.count("*").alias("_rows"))
-    hot = wanted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), product_key, "_rev").limit(1_000)
+    hot = heavy_keys(wanted, [product_key, "_rev"], "_rows", hot_rows)
     found = (
         wanted.withColumn("revision", F.when(~F.col("_rev.none"), F.col("_rev.code")))
         .join(same_revision, [product_key, "revision"], "left")
@@ -187,7 +190,7 @@ def blocked_stock(stock: DataFrame, nonconformances: DataFrame, product_key: str
     )
     linked = lookup(blocked, found, [product_key, "_rev"], ["inventory_id"], hot=hot)
     return linked.select(
-        *[name for name in blocked.columns if name != "_rev"],
+        *[name for name in blocked.columns if name not in ("_rev", "product_code")],
         "nc.nc_number", F.col("nc.status").alias("nc_status"),
         *[F.col(f"nc.{name}").alias(name) for name in _optional(nonconformances, "reject_category")],
     )

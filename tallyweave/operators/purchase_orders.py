@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.functions.amounts import line_amount
+from tallyweave.functions.texts import SHOWN
+from tallyweave.operators.checks import assert_unique
 from tallyweave.operators.hot_keys import HOT_ROWS, lookup
 
 # Fixed value: the status that takes a line or header out of the summary.
@@ -23,6 +25,7 @@ def receipt_summary(lines: DataFrame, headers: DataFrame) -> DataFrame:
     join as one row. A line without a status counts as cancelled. An order whose lines are all
     cancelled is received; one whose open quantities are all unknown is not.
     """
+    assert_unique(headers, "header_id", what="order headers")
     live = F.col("status") != CANCELLED
     value = F.coalesce("unit_cost", F.lit(0)) * F.col("qty_ordered")
     per_header = lines.groupBy("header_id", "header_number").agg(
@@ -45,12 +48,14 @@ def receipt_summary(lines: DataFrame, headers: DataFrame) -> DataFrame:
 
 def approvals_by_po(approvals: DataFrame, issues: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per order number: the authorised amount over all approvals that cite it, and their highest status."""
-    cited = approvals.filter(F.col("po_number").isNotNull()).select("issue_id", "po_number", "total_cost")
+    assert_unique(issues, "issue_id", what="issues")
+    written = [name for name in approvals.columns if name == f"po_number{SHOWN}"]
+    cited = approvals.filter(F.col("po_number").isNotNull()).select("issue_id", "po_number", "total_cost", *written)
     with_status = lookup(cited, issues.select("issue_id", "status"), ["issue_id"], ["issue_id", "po_number"],
                          how="inner", hot_rows=hot_rows)
     return with_status.groupBy("po_number").agg(
         F.sum("total_cost").alias("authorized_amount"),
-        F.max("status").alias("approval_status"),
+        F.max("status").alias("approval_status"), *[F.min(name).alias(name) for name in written],
     )
 
 
@@ -78,14 +83,17 @@ def site_directory(work_centers: DataFrame) -> DataFrame:
     return work_centers.select("site_code", "site_id").dropna().distinct()
 
 
-def order_worklist(known: DataFrame, discovered: DataFrame | None = None) -> DataFrame:
+def order_worklist(known: DataFrame, discovered: DataFrame | None = None, sites: DataFrame | None = None) -> DataFrame:
     """Distinct (site_code, order_number) pairs to pull: landed before, or newly discovered.
 
-    Discovered orders without a number, or with an empty one, are ignored.
+    Discovered orders without a number, with an empty one, or without a site are ignored, and with a directory of ``sites``
+    those of a site that it does not list.
     """
     pairs = known.select("site_code", "order_number").dropna()
     if discovered is not None:
-        found = discovered.select("site_code", "order_number").filter("order_number <> ''")
+        found = discovered.select("site_code", "order_number").filter("order_number <> '' and site_code is not null")
+        if sites is not None:
+            found = found.join(sites.select("site_code").distinct(), "site_code", "left_semi")
         pairs = pairs.unionByName(found)
     return pairs.distinct()
 

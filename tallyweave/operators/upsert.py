@@ -14,9 +14,9 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
-def last_per_key(source: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the highest ``order`` of each key; one row per key and task leaves the map side."""
-    newest = Window.partitionBy(key).orderBy(F.desc(order))
+def last_per_key(source: DataFrame, key: str, *order: str) -> DataFrame:
+    """The last row of each key in the given order; one row per key and task leaves the map side."""
+    newest = Window.partitionBy(key).orderBy(*[F.desc(name) for name in order])
     return source.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 

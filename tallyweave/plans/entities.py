@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 
 from tallyweave.operators.envelope import ITEMS_KEY
 from tallyweave.operators.mapping import (
@@ -31,9 +30,6 @@ class TargetSpec:
     def columns(self) -> list[str]:
         return [field.name for field in self.fields]
 
-    def schema(self) -> StructType:
-        return StructType.fromDDL(", ".join(f"`{field.name}` {field.type.sql}" for field in self.fields))
-
 
 @dataclass(frozen=True)
 class EntitySpec:
@@ -53,6 +49,7 @@ class EntitySpec:
         """Typed rows of one target from the entity's items."""
         if target.child_of:
             items = explode_children(items, self.targets[0].fields[0], *target.child_of, keep=keep)
+            keep = [*keep, "child_position"] if keep else keep
         return map_items(items, target.fields, keep)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
@@ -29,6 +29,8 @@ from tallyweave.sources.versioned import Change, VersionedStore
 log = logging.getLogger(__name__)
 
 BUCKETS = 64
+# What came later, from the outside in: landing, page, item, item of a child array.
+ARRIVAL = ("landed", "page", "position", "child_position")
 RUN_LOG = "run_log"
 RUN_LOG_SCHEMA = (
     "endpoint_name string, started_at timestamp, ended_at timestamp, rows_pulled long, rows_upserted long, "
@@ -40,11 +42,17 @@ NEVER_RUN, SUCCESS, FAILED = "never_run", "success", "failed"
 
 @dataclass(frozen=True)
 class LoadOptions:
-    """``buckets`` is fixed for the life of a store; choose it so that a bucket is a few files."""
+    """``buckets`` is fixed for the life of a store; choose it so that a bucket is a few files, for some targets
+    apart from the others in ``target_buckets``. Keys are random, so a batch of a few hundred rows already falls in most
+    buckets: an upsert costs about a rewrite of its target."""
 
     buckets: int = BUCKETS
     on_duplicate: str = "error"
     now: dt.datetime | None = None
+    target_buckets: Mapping[str, int] = field(default_factory=dict)
+
+    def buckets_of(self, table: str) -> int:
+        return self.target_buckets.get(table, self.buckets)
 
     def time(self) -> dt.datetime:
         return utc_datetime(self.now or dt.datetime.now(dt.timezone.utc))
@@ -64,23 +72,32 @@ def rejects_table(entity: str) -> str:
     return f"rejects/{entity}"
 
 
+def responses_table(entity: str) -> str:
+    """The responses as they came, to the letter."""
+    return f"responses/{entity}"
+
+
 def staging_table(entity: str) -> str:
     return f"staging/{entity}"
 
 
 def raw_items(pages: DataFrame, spec: EntitySpec, endpoint: str, pulled_at: dt.datetime,
               observed: Observation | None = None) -> DataFrame:
-    """One staging row per item. ``landed`` orders the responses where the caller gives such a column."""
-    items = envelope.unnest(pages, items_key=spec.items_key, single_orders=spec.single_orders, observed=observed)
+    """One staging row per item, with where it stood. ``landed`` orders the responses where the caller gives such a column;
+    ``page`` is the order in which they are read. The item is written anew; ``responses_table`` has the text as it came."""
+    items = envelope.unnest(pages.withColumn("page", F.monotonically_increasing_id()), items_key=spec.items_key, single_orders=spec.single_orders, observed=observed)
     landed = F.col("landed").cast("string") if "landed" in pages.columns else F.lit("")
     return items.select(
         instant_literal(pulled_at).alias("pulled_at"), F.to_json(ITEM).alias("raw_json"),
-        F.lit(endpoint).alias("source_endpoint"), landed.alias("landed"),
+        F.lit(endpoint).alias("source_endpoint"), landed.alias("landed"), "page", "position",
     )
 
 
 def land(change: Change, spec: EntitySpec, pages: DataFrame, endpoint: str, options: LoadOptions) -> tuple[int, int]:
-    """Append the items to raw staging, and responses that are not JSON to the rejects. Returns both counts."""
+    """Append the responses and their items to raw staging, and responses that are not JSON to the rejects. Returns the counts
+    of items and rejects."""
+    change.append(responses_table(spec.name), pages.select(
+        instant_literal(options.time()).alias("pulled_at"), F.col("body").alias("response"), F.lit(endpoint).alias("source_endpoint")))
     observed = Observation()
     pulled = change.append(staging_table(spec.name), raw_items(pages, spec, endpoint, options.time(), observed))
     rejected = observed.get["malformed"]
@@ -131,30 +148,33 @@ def later_mark(high_micros: int | None, mark: dt.datetime | None) -> dt.datetime
 def upsert_target(change: Change, target: TargetSpec, rows: DataFrame, options: LoadOptions) -> int:
     """Upsert into the buckets that the rows fall in; the files of all other buckets stay."""
     if options.on_duplicate == "last":
-        rows = last_per_key(rows, target.key, "landed")
+        rows = last_per_key(rows, target.key, *[name for name in ARRIVAL if name in rows.columns])
     source = stamped(rows.select(*target.columns), instant_literal(options.time()))
-    per_bucket = rows_per_bucket(source, target.key, options.buckets, what=target.table)
+    buckets = options.buckets_of(target.table)
+    per_bucket = rows_per_bucket(source, target.key, buckets, what=target.table)
     touched = sorted(per_bucket)
     if not touched and change.has(target.table):
         return 0
     if change.has(target.table):
         current = change.read(target.table, [str(number) for number in touched])
         source = upsert(current, source, target.key)
-    bucketed = source.withColumn(BUCKET, bucket_of(target.key, options.buckets))
-    change.replace_buckets(target.table, bucketed, BUCKET, touched, options.buckets)
+    bucketed = source.withColumn(BUCKET, bucket_of(target.key, buckets))
+    change.replace_buckets(target.table, bucketed, BUCKET, touched, buckets)
     return sum(per_bucket.values())
 
 
 def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.datetime | None,
-               options: LoadOptions) -> int:
+               options: LoadOptions, floor: dt.datetime | None = None) -> int:
     """Map, check and upsert the staged items of one entity; move its mark. Returns rows upserted.
 
+    Rows before ``mark`` are left out. The new mark is never before ``mark`` or ``floor``.
+
     Violations and the highest mark are observed while the typed rows are staged, not in passes of their own.
     """
-    items = staged.select(variants.parse(F.col("raw_json")).alias(ITEM), "landed")
+    items = staged.select(variants.parse(F.col("raw_json")).alias(ITEM), *ARRIVAL[:3])
     upserted = 0
     for target in spec.targets:
-        rows = spec.map(items, target, ["landed"])
+        rows = spec.map(items, target, ARRIVAL[:3])
         seen = [F.count_if(F.size(VIOLATIONS) > 0).alias("bad")]
         marked = spec.mark_column and not target.child_of
         if marked:
@@ -166,7 +186,7 @@ def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.dat
             checks.assert_rows(rows, F.col(VIOLATIONS), what=target.table)
         upserted += upsert_target(change, target, rows, options)
         if marked:
-            new_mark = later_mark(observed.get["high"], mark)
+            new_mark = later_mark(observed.get["high"], mark if floor is None else max(floor, mark or floor))
             change.set_mark(spec.name, {
                 "value": new_mark and mark_text(new_mark), "status": SUCCESS, "last_run_at": mark_text(options.time()),
             })
@@ -190,10 +210,15 @@ def ingest_entity(store: VersionedStore, spec: EntitySpec, pages: DataFrame, *,
     return EntityResult(spec.name, SUCCESS, pulled, upserted, responses_rejected=rejected)
 
 
-def write_run_log(store: VersionedStore, result: EntityResult, started: dt.datetime, ended: dt.datetime) -> None:
-    row = (result.name, started, ended, result.rows_pulled, result.rows_upserted, result.status, result.error)
+Run = tuple[EntityResult, dt.datetime, dt.datetime]
+
+
+def write_run_log(store: VersionedStore, *runs: Run) -> None:
+    """Append the runs, given with their start and end, in one commit."""
+    rows = [(result.name, started, ended, result.rows_pulled, result.rows_upserted, result.status, result.error)
+            for result, started, ended in runs]
     with store.commit() as change:
-        change.append(RUN_LOG, store.spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1))
+        change.append(RUN_LOG, store.spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1))
 
 
 def select_entities(selection: str | Iterable[str] = "all") -> Sequence[EntitySpec]:
@@ -220,17 +245,22 @@ class RunSummary:
 
 def run_entities(store: VersionedStore, pages: Mapping[str, DataFrame], selection: str | Iterable[str] = "all",
                  options: LoadOptions = LoadOptions()) -> RunSummary:
-    """Ingest the selected entities one after the other. A failing entity does not stop the others."""
-    results = []
+    """Ingest the selected entities one after the other. A failing entity does not stop the others, and a log that cannot be
+    written does not undo what was loaded."""
+    runs: list[Run] = []
     for spec in select_entities(selection):
         started = dt.datetime.now(dt.timezone.utc)
         if spec.name in pages:
             result = ingest_entity(store, spec, pages[spec.name], options=options)
         else:
             result = EntityResult(spec.name, FAILED, 0, 0, "nothing was landed for this entity")
-        write_run_log(store, result, started, dt.datetime.now(dt.timezone.utc))
-        results.append(result)
-    return RunSummary(tuple(results))
+        runs.append((result, started, dt.datetime.now(dt.timezone.utc)))
+    try:
+        if runs:
+            write_run_log(store, *runs)
+    except Exception:
+        log.exception("the run log could not be written; what was loaded stays")
+    return RunSummary(tuple(result for result, _, _ in runs))
 
 
 def order_pull_list(store: VersionedStore, discovered: DataFrame | None = None) -> DataFrame:
@@ -253,7 +283,7 @@ def order_pull_list(store: VersionedStore, discovered: DataFrame | None = None)
         store.read("purchase_orders") if store.has("purchase_orders")
         else store.spark.createDataFrame([], StructType.fromDDL("site_code string, order_number string"))
     )
-    pairs = require_rows(order_worklist(known, discovered), "no purchase orders known and none discovered")
+    pairs = require_rows(order_worklist(known, discovered, sites), "no purchase orders known and none discovered")
     return pairs.orderBy("site_code", "order_number")
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.functions import texts
 from tallyweave.operators import allocation, parts
-from tallyweave.operators.hot_keys import HOT_ROWS, lookup
+from tallyweave.operators.hot_keys import HOT_ROWS, hot_keys, lookup
 from tallyweave.sources.staging import stage
 
 
@@ -38,62 +38,89 @@ class PartInputs:
         )
 
 
-class PartReport(NamedTuple):
-    headers: DataFrame
-    allocation: DataFrame
-    excess: DataFrame
-    blocked: DataFrame
-    unknown: DataFrame
-
-
-def part_demand_status(inputs: PartInputs, part_codes: Sequence[str] | None = None, *,
-                       as_of: dt.date | None = None, nonconformance_key: str = "product_id",
-                       case_insensitive: bool = False, hot_rows: int = HOT_ROWS) -> PartReport:
-    """The report for the given part codes, or for all parts. Codes that mean no product are in ``unknown``."""
-    spark = inputs.products.sparkSession
-    if case_insensitive:
-        inputs = inputs.folded()
-        part_codes = None if part_codes is None else [code.rstrip(" ").upper() for code in part_codes]
-    products = inputs.products
-    if part_codes is None:
-        requested = products.select("code").limit(0)
-    else:
-        requested = spark.createDataFrame([(code,) for code in dict.fromkeys(part_codes)], "code string")
-        # The caller's list is the bound of this broadcast and of the next one.
-        products = products.join(F.broadcast(requested), "code", "left_semi")
-    resolved = parts.resolve_codes(products, inputs.planning)
-    codes = resolved.select("product_id", F.col("code").alias("part_number"))
-
-    def wanted(df: DataFrame) -> DataFrame:
-        return df if part_codes is None else df.join(F.broadcast(codes), "product_id", "left_semi")
-
-    headers = parts.part_headers(resolved, inputs.product_names, inputs.product_revisions)
-    segments = stage(
-        allocation.allocate(
-            allocation.allocation_pool(
-                wanted(parts.demand_pool(inputs.planning)),
-                wanted(parts.supply_pool(inputs.stock, inputs.po_details, inputs.po_lines, as_of)),
-            ),
-            hot_rows=hot_rows,
-            counted=wanted(parts.pool_products(inputs.planning, inputs.stock, inputs.po_details)),
-        ),
-        "allocation",
-    )
-    labels = codes.join(parts.default_revisions(inputs.product_revisions), "product_id", "left").select(
-        "product_id", "part_number", parts.revision_label(F.col("default_revision")).alias("demand_rev"),
-    )
-
-    def of_part(df: DataFrame, right: DataFrame, *spread: str) -> DataFrame:
-        return lookup(df, right, ["product_id"], spread, how="inner", hot_rows=hot_rows)
-
-    blocked = parts.blocked_stock(wanted(inputs.stock), inputs.nonconformances, nonconformance_key, hot_rows=hot_rows)
-    return PartReport(
-        headers,
-        of_part(allocation.allocations(segments), labels, "demand_id", "supply_id"),
-        of_part(allocation.excess(segments), codes, "supply_id"),
-        of_part(blocked, codes, "inventory_id"),
-        requested.join(resolved, "code", "left_anti"),
-    )
+class PartReport:
+    """The report for the given part codes, or for all parts. Each part of it is computed when it is first asked for;
+    what several of them need, the resolved parts and the segments of the allocation, is computed once.
+
+    ``headers``, ``allocation``, ``excess``, ``blocked``, and ``unknown``: the given codes that mean no product.
+    """
+
+    def __init__(self, inputs: PartInputs, part_codes: Sequence[str] | None = None, *, as_of: dt.date | None = None,
+                 nonconformance_key: str = "product_code", case_insensitive: bool = False, hot_rows: int = HOT_ROWS,
+                 reading_order: bool = False) -> None:
+        self.inputs = inputs.folded() if case_insensitive else inputs
+        self.all_parts, self.as_of, self.nonconformance_key = part_codes is None, as_of, nonconformance_key
+        self.hot_rows, self.reading_order = hot_rows, reading_order
+        listed = [(code.rstrip(" ").upper() if case_insensitive else code, code) for code in dict.fromkeys(part_codes or ())]
+        self.requested = inputs.products.sparkSession.createDataFrame(listed, "code string, written string")
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        """One product per code. Planning rows are counted for the products that have a requested code only."""
+        products, planning = self.inputs.products, self.inputs.planning
+        if not self.all_parts:
+            products = products.join(self.requested, "code", "left_semi")
+            planning = planning.join(products.select("product_id"), "product_id", "left_semi")
+        return stage(parts.resolve_codes(products, planning), "resolved-parts")
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        return self.resolved.select("product_id", texts.shown(self.resolved, "code").alias("part_number"))
+
+    def wanted(self, df: DataFrame) -> DataFrame:
+        return df if self.all_parts else df.join(self.codes, "product_id", "left_semi")
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        return parts.part_headers(self.resolved, self.inputs.product_names, self.inputs.product_revisions)
+
+    @cached_property
+    def hot_products(self) -> DataFrame:
+        """Products with very many rows in the pools, counted once and without the joins that describe the rows."""
+        given = self.inputs
+        pools = self.wanted(parts.pool_products(given.planning, given.stock, given.po_details))
+        return stage(hot_keys(pools, ["product_id"], self.hot_rows), "hot-products")
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        given = self.inputs
+        pool = allocation.allocation_pool(
+            self.wanted(parts.demand_pool(given.planning)),
+            self.wanted(parts.supply_pool(given.stock, given.po_details, given.po_lines, self.as_of)))
+        return stage(allocation.allocate(pool, hot_rows=self.hot_rows, keys=self.hot_products), "allocation")
+
+    def _named(self, df: DataFrame, right: DataFrame, hot: DataFrame, *spread: str) -> DataFrame:
+        return lookup(df, right, ["product_id"], spread, how="inner", hot=hot)
+
+    @cached_property
+    def allocation(self) -> DataFrame:
+        labels = self.codes.join(parts.default_revisions(self.inputs.product_revisions), "product_id", "left").select(
+            "product_id", "part_number", parts.revision_label(F.col("default_revision")).alias("demand_rev"))
+        rows = self._named(allocation.allocations(self.segments), labels, self.hot_products, "demand_id", "supply_id")
+        if not self.reading_order:
+            return rows
+        return rows.orderBy(F.asc_nulls_first("need_date"), "demand_id", F.asc_nulls_first("ecd_date"), "supply_id")
+
+    @cached_property
+    def excess(self) -> DataFrame:
+        rows = self._named(allocation.excess(self.segments), self.codes, self.hot_products, "supply_id")
+        return rows.orderBy(F.asc_nulls_first("ecd_date"), "supply_id") if self.reading_order else rows
+
+    @cached_property
+    def blocked(self) -> DataFrame:
+        stock = self.wanted(self.inputs.stock)
+        rows = parts.blocked_stock(stock, self.inputs.nonconformances, self.nonconformance_key, hot_rows=self.hot_rows)
+        held = hot_keys(stock.filter(F.col("status").isin(*parts.BLOCKED)), ["product_id"], self.hot_rows)
+        return self._named(rows, self.codes, held, "inventory_id")
+
+    @cached_property
+    def unknown(self) -> DataFrame:
+        return self.requested.join(self.resolved, "code", "left_anti").select(F.col("written").alias("code"))
+
+
+def part_demand_status(inputs: PartInputs, part_codes: Sequence[str] | None = None, **options) -> PartReport:
+    """The report; nothing is computed before a part of it is asked for."""
+    return PartReport(inputs, part_codes, **options)
 
 
 class UnknownPart(LookupError):
@@ -102,10 +129,7 @@ class UnknownPart(LookupError):
 
 def single_part_status(inputs: PartInputs, part_code: str, **options) -> PartReport:
     """The report for one part, in reading order; an unknown code is an error."""
-    report = part_demand_status(inputs, [part_code], **options)
+    report = PartReport(inputs, [part_code], reading_order=True, **options)
     if not report.unknown.isEmpty():
         raise UnknownPart(f'Part code "{part_code}" not found')
-    return report._replace(
-        allocation=report.allocation.orderBy(F.asc_nulls_first("need_date"), "demand_id", F.asc_nulls_first("ecd_date"), "supply_id"),
-        excess=report.excess.orderBy(F.asc_nulls_first("ecd_date"), "supply_id"),
-    )
+    return report

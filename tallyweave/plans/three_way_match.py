@@ -22,7 +22,7 @@ from tallyweave.functions import texts
 from tallyweave.functions.amounts import money
 from tallyweave.functions.times import instant_literal, to_millis
 from tallyweave.operators import bills as bill_ops, checks, classify
-from tallyweave.operators.hot_keys import HOT_ROWS, lookup, top_keys
+from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, lookup
 from tallyweave.operators.purchase_orders import approvals_by_po, receipt_summary
 from tallyweave.sources.staging import stage
 from tallyweave.sources.versioned import VersionedStore
@@ -90,7 +90,10 @@ def parsed_bills(bills: DataFrame, options: MatchOptions = MatchOptions()) -> Da
         case_insensitive=options.case_insensitive,
     )
     newest = bill_ops.latest(fields)
-    return texts.fold_case(newest, "vendor_id") if options.case_insensitive else newest
+    if not options.case_insensitive:
+        return newest
+    written = texts.written_token(F.col("memo"), options.token_prefix, options.token_length, True)
+    return texts.fold_case(newest, "vendor_id").withColumn(f"po_number{texts.SHOWN}", written)
 
 
 def order_facts(parsed: DataFrame, inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> DataFrame:
@@ -103,7 +106,7 @@ def order_facts(parsed: DataFrame, inputs: MatchInputs, options: MatchOptions =
         "po_number", F.col("supplier_name"), "is_fully_received", "has_suspended_line",
     )
     return billed.join(approved, "po_number", "full").join(received, "po_number", "left").select(
-        "po_number", "bills", "billed_amount", "is_approved", "authorized_amount", "approval_status",
+        "po_number", *[name for name in approved.columns if name.endswith(texts.SHOWN)], "bills", "billed_amount", "is_approved", "authorized_amount", "approval_status",
         "supplier_name", "is_fully_received", "has_suspended_line",
     )
 
@@ -112,9 +115,10 @@ def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
                 options: MatchOptions = MatchOptions()) -> DataFrame:
     """One row per bill with its status."""
     spread = ["bill_id"]
+    checks.assert_unique(vendors, "vendor_id", what="vendors")
     with_vendor = lookup(parsed, vendors.select("vendor_id", F.col("vendor_name").alias("supplier")),
                          ["vendor_id"], spread, hot_rows=options.hot_rows)
-    busy = top_keys(facts.filter(F.col("bills") >= options.hot_rows), ["po_number"], "bills")
+    busy = heavy_keys(facts, ["po_number"], "bills", options.hot_rows)
     per_order = facts.filter("bills is not null").select(
         "po_number", "billed_amount", "authorized_amount", "approval_status", "is_fully_received",
         "has_suspended_line",
@@ -125,8 +129,8 @@ def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
         options.tolerance, options.overrun,
     )
     return joined.select(
-        "bill_id", "po_number", "memo", "invoice_number", "supplier", money(F.col("amount")).alias("bill_amount"),
-        F.col("status").alias("bill_status"), "payment_status", to_millis(F.col("submitted_at")).alias("bill_submitted_at"),
+        "bill_id", texts.shown(joined, "po_number").alias("po_number"), "memo", "invoice_number", "supplier", money(F.col("amount")).alias("bill_amount"),
+        texts.shown(joined, "status").alias("bill_status"), "payment_status", to_millis(F.col("submitted_at")).alias("bill_submitted_at"),
         money(F.col("authorized_amount")).alias("authorized_amount"), "approval_status", "is_fully_received",
         "has_suspended_line", bucket.alias("status_bucket"),
         classify.amount_variance(F.col("billed_amount"), F.col("authorized_amount")).alias("amount_variance"),
@@ -142,7 +146,8 @@ def awaiting_rows(facts: DataFrame, options: MatchOptions = MatchOptions()) -> D
     if options.require_amount:
         waiting = waiting.filter(F.col("authorized_amount").isNotNull())
     return waiting.select(
-        texts.concat_empty(F.lit(NO_BILL_PREFIX), F.col("po_number")).alias("bill_id"), "po_number",
+        texts.concat_empty(F.lit(NO_BILL_PREFIX), texts.shown(facts, "po_number")).alias("bill_id"),
+        texts.shown(facts, "po_number").alias("po_number"),
         F.col("supplier_name").alias("supplier"), money(F.col("authorized_amount")).alias("authorized_amount"),
         "approval_status", "is_fully_received", "has_suspended_line",
         F.lit(classify.AWAITING).alias("status_bucket"), F.lit(classify.PENDING).alias("match_flag"),

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 # files in pieces of the same size, so that a task's share fits in memory at any data volume.
 # The JVM never compiles methods over 8,000 bytes, so generated code beyond that is better split
 # than fused; this matters for projections that read many JSON paths.
+# Set ``spark.checkpoint.dir`` besides, to a folder that driver and executors share: intermediate tables go there.
 SPLIT_LARGE_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 CLUSTER_SETTINGS = {
     **SPLIT_LARGE_METHODS,

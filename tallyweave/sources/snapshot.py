@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,19 +11,6 @@ from pyspark.sql.types import TimestampType
 from tallyweave.functions.times import offset_text
 from tallyweave.sources.versioned import VersionedStore
 
-# The copied relations, target name to source name, in copy order.
-RELATIONS = {
-    "purchase_order_overview": "external.purchase_order_overview",
-    "po_header_statuses": "inventory.vw_mrp_purchase_order_header_statuses",
-    "po_details": "inventory.MRP_PurchaseOrdersDetails",
-    "products": "master.Products",
-    "product_names": "master.vw_products",
-    "product_revisions": "master.Product_Revisions",
-    "scheduled_object": "mrp.scheduled_object",
-    "summary_report_view": "mrp.SummaryReportView",
-    "inventory_overview": "external.inventory_overview",
-    "nonconformance_overview": "external.nonconformance_condition_overview",
-}
 OFFSET_TEXT_TYPE = "varchar(50)"
 _CHAR_TYPE = "__CHAR_VARCHAR_TYPE_STRING"
 
@@ -38,12 +25,12 @@ class LandedColumn:
     type: str
 
 
-def probe(df: DataFrame, name: str) -> list[LandedColumn]:
+def probe(df: DataFrame, name: str, offset_columns: Sequence[str] = ()) -> list[LandedColumn]:
     """The ordered columns and their landed types. Text keeps its length and decimals their
-    precision; times with an offset land as text; all other types keep their bare name."""
+    precision; the columns named as times with an offset land as text; all others keep their own type."""
     columns = []
     for field in df.schema.fields:
-        if isinstance(field.dataType, TimestampType):
+        if field.name in offset_columns:
             landed = OFFSET_TEXT_TYPE
         else:
             landed = (field.metadata or {}).get(_CHAR_TYPE) or field.dataType.simpleString()
@@ -53,32 +40,40 @@ def probe(df: DataFrame, name: str) -> list[LandedColumn]:
     return columns
 
 
-def land_types(df: DataFrame) -> DataFrame:
-    """The columns as they are stored."""
-    return df.select(*[
-        offset_text(F.col(f"`{field.name}`")).alias(field.name) if isinstance(field.dataType, TimestampType)
-        else F.col(f"`{field.name}`")
-        for field in df.schema.fields
-    ])
+def land_types(df: DataFrame, offset_columns: Sequence[str] = ()) -> DataFrame:
+    """The columns as they are stored. A time with an offset should come as text, cast in the source's select list, and
+    keeps its offset then; one that comes as an instant has lost it and is written in UTC."""
+    instants = [f.name for f in df.schema.fields if f.name in offset_columns and isinstance(f.dataType, TimestampType)]
+    return df.withColumns({name: offset_text(F.col(f"`{name}`")) for name in instants}) if instants else df
 
 
-def snapshot_copy(store: VersionedStore, sources: Mapping[str, DataFrame]) -> dict[str, int]:
+def snapshot_copy(store: VersionedStore, sources: Mapping[str, DataFrame],
+                  offset_columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, int]:
     """Replace each target by its source, one commit per relation. An error stops the rest, but
-    the failing relation keeps its previous content."""
+    the failing relation keeps its previous content. ``offset_columns`` names each relation's times with an offset."""
     counts = {}
     for name, source in sources.items():
-        probe(source, name)
+        own = (offset_columns or {}).get(name, ())
+        probe(source, name, own)
         with store.commit() as change:
-            counts[name] = change.replace(name, land_types(source))
+            counts[name] = change.replace(name, land_types(source, own))
     return counts
 
 
+def select_list(relation: str, columns: Sequence[str], offset_columns: Sequence[str] = ()) -> str:
+    """A subquery for ``jdbc_relation`` that reads times with an offset as text, so that the offset survives."""
+    chosen = [f"CAST({name} AS {OFFSET_TEXT_TYPE}) AS {name}" if name in offset_columns else name for name in columns]
+    return f"(SELECT {', '.join(chosen)} FROM {relation}) landed"
+
+
 def jdbc_relation(spark: SparkSession, url: str, relation: str, *, properties: Mapping[str, str] | None = None,
                   partition_column: str | None = None, lower: object = None, upper: object = None,
                   partitions: int | None = None, fetch_size: int = 10_000) -> DataFrame:
     """A reader of a database relation. With a partition column and its bounds, the executors read
-    ranges of it side by side; rows outside the bounds go to the first and last range."""
-    reader = spark.read.format("jdbc").options(url=url, dbtable=relation, fetchsize=str(fetch_size), **(properties or {}))
+    ranges of it side by side; rows outside the bounds go to the first and last range. Times without an offset are read as
+    such and not as instants."""
+    reader = spark.read.format("jdbc").options(
+        url=url, dbtable=relation, fetchsize=str(fetch_size), preferTimestampNTZ="true", **(properties or {}))
     if partition_column is not None:
         if lower is None or upper is None or not partitions:
             raise ValueError("a partitioned read needs lower, upper and partitions")

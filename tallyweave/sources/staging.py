@@ -7,8 +7,11 @@ executor, and Spark knows its size when it plans the joins that read it.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +19,20 @@ _own_folder: tempfile.TemporaryDirectory | None = None
 _written: list[tuple[SparkSession, str]] = []
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session that names no folder all its executors share."""
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The cluster's folder; only where none is named (single-machine tests) a temporary one."""
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``.
+    Without either, a temporary folder serves a master on this machine alone; any other is refused, because each
+    executor would write to a disk of its own."""
     global _own_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that driver and executors share")
     if _own_folder is None:
         _own_folder = tempfile.TemporaryDirectory(prefix="tallyweave-")
     return _own_folder.name
@@ -42,9 +53,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Delete the tables this process has staged. Frames built on them can no longer be read."""
-    while _written:
+def release(keep: int = 0) -> None:
+    """Delete the tables this process has staged, but for the first ``keep``. Frames built on them can no longer be read."""
+    while len(_written) > keep:
         spark, path = _written.pop()
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -53,4 +64,14 @@ def release() -> None:
             continue
 
 
+@contextmanager
+def staged_tables() -> Iterator[None]:
+    """Owns what is staged inside: the tables go when the block ends, so a long-lived driver does not fill the shared folder."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(before)
+
+
 atexit.register(release)

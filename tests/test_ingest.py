@@ -13,7 +13,7 @@ from tallyweave.operators.mapping import BOOL, INT, Field, first, map_items, pla
 from tallyweave.operators.purchase_orders import order_worklist, site_directory
 from tallyweave.plans import entities, ingest
 from tallyweave.plans.ingest import LoadOptions, ingest_entity, marks_table, order_pull_list, read_mark, run_entities, select_entities
-from tallyweave.sources.snapshot import EmptyRelation, LandedColumn, jdbc_relation, probe, snapshot_copy
+from tallyweave.sources.snapshot import EmptyRelation, LandedColumn, jdbc_relation, probe, select_list, snapshot_copy
 from tallyweave.sources.versioned import StoreConflict, VersionedStore
 from tallyweave.streaming.ingest import apply_batch, ingest_stream
 
@@ -234,7 +234,7 @@ def test_worklist(spark, store):
     assert values(site_directory(store.read("work_centers")), "site_code", "site_id") == [("S", guid(2))]
     with pytest.raises(ValueError, match="no purchase orders"):
         order_pull_list(store)
-    assert [tuple(r) for r in order_pull_list(store, found).collect()] == [("S", "1"), ("T", "4")]
+    assert [tuple(r) for r in order_pull_list(store, found).collect()] == [("S", "1")]
     assert store.read("staging/discovered_orders").count() == 4
 
 
@@ -294,9 +294,11 @@ def test_bucket_count_is_fixed(spark, store):
 
 def test_snapshot(spark, store):
     source = spark.sql("select cast('ab' as string) as s, cast(1 as decimal(9,2)) as d, timestamp '2024-01-05 10:00:00' as t, timestamp_ntz '2024-01-05 10:00:00' as n")
-    assert probe(source, "x") == [LandedColumn("s", "string"), LandedColumn("d", "decimal(9,2)"), LandedColumn("t", "varchar(50)"), LandedColumn("n", "timestamp_ntz")]
-    assert snapshot_copy(store, {"one": source, "two": spark.range(4)}) == {"one": 1, "two": 4}
+    assert probe(source, "x") == [LandedColumn("s", "string"), LandedColumn("d", "decimal(9,2)"), LandedColumn("t", "timestamp"), LandedColumn("n", "timestamp_ntz")]
+    assert probe(source, "x", ["t"])[2] == LandedColumn("t", "varchar(50)")
+    assert snapshot_copy(store, {"one": source, "two": spark.range(4)}, {"one": ["t"]}) == {"one": 1, "two": 4}
     assert store.read("one").select("t", "n").first() == ("2024-01-05 10:00:00.0000000 +00:00", dt.datetime(2024, 1, 5, 10))
+    assert select_list("a.b", ["id", "t"], ["t"]) == "(SELECT id, CAST(t AS varchar(50)) AS t FROM a.b) landed"
     with pytest.raises(EmptyRelation, match="three"):
         snapshot_copy(store, {"two": spark.range(1), "three": spark.createDataFrame([()], "struct<>"), "four": spark.range(1)})
     assert store.read("two").count() == 1 and not store.has("four")
@@ -313,7 +315,74 @@ def test_jdbc_reads_are_partitioned():
         read = Reader()
 
     given = jdbc_relation(Session, "jdbc:x", "a.b", partition_column="id", lower=1, upper=9, partitions=4, properties={"user": "u"})
-    assert given == {"format": "jdbc", "url": "jdbc:x", "dbtable": "a.b", "fetchsize": "10000", "user": "u",
+    assert given == {"format": "jdbc", "url": "jdbc:x", "dbtable": "a.b", "fetchsize": "10000", "user": "u", "preferTimestampNTZ": "true",
                      "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
     with pytest.raises(ValueError):
         jdbc_relation(Session, "jdbc:x", "a.b", partition_column="id")
+
+
+# Streams over marks and bad rows, order of arrival, writers side by side
+
+def stream_round(spark, store, folder, checkpoint, *bodies):
+    spark.createDataFrame([(b if isinstance(b, str) else json.dumps(b),) for b in bodies], "body string").coalesce(1).write.mode("append").text(folder)
+    ingest_stream(store, BY_NAME["nonconformances"], folder, checkpoint, options=LoadOptions(buckets=4, on_duplicate="last")).awaitTermination()
+
+
+def test_a_stream_never_moves_the_mark_back(spark, store, tmp_path):
+    assert not ingest_entity(store, BY_NAME["nonconformances"], pages(spark, [nc(1, "2024-05-01T00:00:00Z")]), options=OPTIONS).error
+    mark = read_mark(store, "nonconformances")
+    for bodies in ([[nc(2, "2023-01-01T00:00:00Z")]], [[]]):
+        stream_round(spark, store, str(tmp_path / "in"), str(tmp_path / "cp"), *bodies)
+        assert read_mark(store, "nonconformances") == mark
+    assert store.read("nonconformances").count() == 2
+
+
+def test_a_bad_batch_keeps_its_items_and_later_ones_load(spark, store, tmp_path):
+    stream_round(spark, store, str(tmp_path / "in"), str(tmp_path / "cp"), [nc(1), {"number": "no id"}])
+    assert store.read("staging/nonconformances").count() == 2 and not store.has("nonconformances")
+    stream_round(spark, store, str(tmp_path / "in"), str(tmp_path / "cp"), [nc(3)])
+    assert store.read("nonconformances").count() == 1
+    assert values(store.read("run_log"), "status", "rows_pulled", "rows_upserted") == [("failed", 2, 0), ("success", 1, 1)]
+
+
+def test_the_last_copy_wins_wherever_it_stands(spark, store):
+    options = LoadOptions(buckets=4, on_duplicate="last")
+    given = pages(spark, [nc(1, number="a"), nc(1, number="b")], [nc(2, number="c"), nc(1, number="d")], [nc(2, number="e"), nc(2, number="f")]).coalesce(1)
+    assert not ingest_entity(store, BY_NAME["nonconformances"], given, options=options).error
+    names = [f.name for f in store.read("nonconformances").schema.fields]
+    column = next(name for name in names if name.endswith("number"))
+    assert values(store.read("nonconformances"), column) == [("d",), ("f",)]
+
+
+def test_responses_are_kept_to_the_letter(spark, store):
+    body = '{"items": [ {"id":"' + guid(1) + '", "number": "1.50"} ]}'
+    ingest_entity(store, BY_NAME["nonconformances"], pages(spark, body), options=OPTIONS)
+    assert values(store.read("responses/nonconformances"), "response") == [(body,)]
+
+
+def test_writers_of_different_tables_do_not_conflict(spark, store):
+    with store.commit() as mine:
+        with store.commit() as theirs:
+            theirs.replace("b", spark.range(2))
+        mine.replace("a", spark.range(3))
+    assert store.read("a").count() == 3 and store.read("b").count() == 2
+    assert store.manifest().version == 2
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from tallyweave.sources import staging
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self): return None
+
+    class Conf:
+        def get(self, key, default=None): return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(staging.NoSharedFolder):
+        staging.checkpoint_folder(Session)
+    Context.getCheckpointDir = lambda self: "hdfs:///shared/"
+    assert staging.checkpoint_folder(Session) == "hdfs:///shared"

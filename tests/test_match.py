@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 from decimal import Decimal
@@ -189,6 +190,7 @@ def test_case_insensitive(spark):
                    lines=[(1, "po_ABCDEFGHIJ", "S", "l", "open", False, Decimal(1), Decimal(1), Decimal(1))])
     rows = {row["bill_id"]: row for row in three_way_match(given, MatchOptions(as_of=NOW, case_insensitive=True)).collect()}
     assert {r["status_bucket"] for r in rows.values()} == {"Fully validated"}
+    assert rows["a"]["bill_status"] == "Void " and rows["a"]["po_number"] == "po_abcdefghij" and rows["b"]["po_number"] == "PO_ABCDEFGHIJ"
     assert rows["b"]["supplier"] == "Vendor 1" and rows["b"]["amount_variance"] == Decimal("0.00")
     assert buckets(spark, given) == {"a": "No PO in memo", "NOINVOICE:Po_abcDEFghij ": "Awaiting Invoice"}
 
@@ -217,7 +219,7 @@ def test_refresh_and_publish(spark, store, tmp_path):
     assert reports.read("match_results").columns == list(COLUMNS)
 
     twice = inputs(spark, bills=[bill("a", 1, po(1)), bill("b", 1)], vendors=[("v1", "one"), ("v1", "two")])
-    with pytest.raises(checks.IntegrityError, match="bill_id"):
+    with pytest.raises(checks.IntegrityError, match="vendors: key"):
         refresh_match_results(store, twice, MatchOptions(as_of=NOW))
     long_memo = inputs(spark, bills=[bill("a", 1, "m" * 501)])
     with pytest.raises(checks.IntegrityError, match="memo is longer than 500"):
@@ -235,3 +237,13 @@ def test_totals_by_currency(spark):
                                   "purchase_order_id int, currency_code string, line_amount decimal(18,4)")
     assert values(totals_by_currency(orders, lines), "order_number", "currency_code", "total_amount", "line_count") == sorted([
         ("PO1", "USD", Decimal("1.0000"), 1), ("PO1", "EUR", Decimal("2.0000"), 1), ("PO1", None, Decimal("3.0000"), 2)], key=repr)
+
+
+@pytest.mark.parametrize("what", ["vendors", "issues", "headers"])
+def test_repeated_right_sides_are_refused(spark, what):
+    given = inputs(spark, bills=[bill("a", 1, po(1))], approvals=[(1, po(1), 1)], lines=[(1, po(1), "S", "l", "open", False, Decimal(1), Decimal(1), Decimal(1))])
+    field = {"vendors": "vendors", "issues": "issues", "headers": "po_headers"}[what]
+    twice = getattr(given, field)
+    twice = dataclasses.replace(given, **{field: twice.union(twice)})
+    with pytest.raises(checks.IntegrityError, match="not unique"):
+        three_way_match(twice, MatchOptions(as_of=NOW))

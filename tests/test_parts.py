@@ -176,7 +176,7 @@ def test_newest_fitting_nonconformance(spark, hot_rows):
             nc("a1", "a", "R1", 1), nc("a2", "a", "R1", 2), nc("a3", "a", None, 1), nc("a4", "a", "R2", 9), nc("a5", "a", "R1", None),
             nc("b1", "b", "R1", 1), nc("b2", "b", None, 2), nc("c1", "c", "R2", 5), nc("d1", "d", "R1", 5), nc("d2", "d", None, 1), nc("d3", "d", None, 1)],
     )
-    rows = values(parts.blocked_stock(given.stock, given.nonconformances, hot_rows=hot_rows), "inventory_id", "nc_number", "nc_status", "reject_category")
+    rows = values(parts.blocked_stock(given.stock, given.nonconformances, "product_id", hot_rows=hot_rows), "inventory_id", "nc_number", "nc_status", "reject_category")
     assert rows == [("i0", "a2", "OPEN", "Cat"), ("i1", "b2", "OPEN", "Cat"), ("i2", None, None, None), ("i3", "d3", "OPEN", "Cat"), ("i5", None, None, None)]
 
 
@@ -191,7 +191,7 @@ def report_inputs(spark):
 
 
 def test_report_for_one_part(spark):
-    report = single_part_status(report_inputs(spark), "A", as_of=TODAY)
+    report = single_part_status(report_inputs(spark), "A", as_of=TODAY, nonconformance_key="product_id")
     note = "C (best-effort - not tracked per demand line)"
     got = [(r["demand_id"], r["supply_id"], int(r["allocated_qty"]), r["demand_rev"]) for r in report.allocation.collect()]
     assert got == [("d0", "i1", 3, note), ("d1", "i1", 2, note), ("d1", "l1", 4, note)]
@@ -210,7 +210,7 @@ def test_unknown_parts(spark):
 
 @pytest.mark.parametrize("hot_rows", [1, 1000])
 def test_report_for_all_parts(spark, hot_rows):
-    report = part_demand_status(report_inputs(spark), as_of=TODAY, hot_rows=hot_rows)
+    report = part_demand_status(report_inputs(spark), as_of=TODAY, hot_rows=hot_rows, nonconformance_key="product_id")
     assert values(report.allocation, "part_number", "demand_id") == [("A", "d0"), ("A", "d1"), ("A", "d1"), ("B", "d9")]
     assert values(report.excess, "part_number", "supply_id") == [("A", "l1")]
     assert report.unknown.isEmpty()
@@ -223,8 +223,39 @@ def test_case_insensitive_report(spark):
         po_details=[("l1", "p1", "completed", Decimal(7))], po_lines=[("l1", "PO1", 1, "2024-07-01", "R2", "P2")],
         nonconformances=[("n1", "p1", "R ", "OPEN", dt.datetime(2024, 1, 1), "Cat")],
     )
-    report = part_demand_status(given, ["ABc"], as_of=TODAY, case_insensitive=True)
+    report = part_demand_status(given, ["ABc"], as_of=TODAY, case_insensitive=True, nonconformance_key="product_id")
     assert values(report.allocation, "part_number", "supply_id", "allocated_qty") == [
-        ("ABC", "i1", Decimal("5.00000")), ("ABC", None, Decimal("0.00000"))]
+        ("abc ", "i1", Decimal("5.00000")), ("abc ", None, Decimal("0.00000"))]
+    assert values(report.blocked, "status", "rev") == [("on_hold", "r")]
     assert values(report.blocked, "inventory_id", "nc_number") == [("i2", "n1")]
     assert values(part_demand_status(given, ["ABc"], as_of=TODAY).unknown, "code") == [("ABc",)]
+
+
+def test_nonconformances_are_found_by_code_on_every_site(spark):
+    stock = spark.createDataFrame(
+        [("i1", "p1", "X", "BLOCKED", "R"), ("i2", "p2", "X", "ON_HOLD", "R"), ("i3", "p3", None, "BLOCKED", "R")],
+        "inventory_id string, product_id string, product_code string, status string, revision string").selectExpr(
+            "*", "cast(null as string) serial", "cast(null as string) lot", "cast(null as string) tag", "'P' pedigree", "cast(1 as decimal(18,5)) qty")
+    found = spark.createDataFrame([("n1", "p1", "X", "R", "OPEN", dt.datetime(2024, 1, 1)), ("n2", "p3", None, "R", "OPEN", dt.datetime(2024, 1, 1))],
+                                  "nc_number string, product_id string, product_code string, revision string, status string, created_at timestamp")
+    assert values(parts.blocked_stock(stock, found), "inventory_id", "nc_number") == [("i1", "n1"), ("i2", "n1"), ("i3", None)]
+
+
+def test_a_report_computes_only_what_is_asked_for(spark, monkeypatch):
+    report = part_demand_status(report_inputs(spark), ["A", "zz"], as_of=TODAY)
+    monkeypatch.setattr(allocation, "allocate", None)  # headers and unknown codes need no allocation
+    assert values(report.headers, "part_number", "product_id") == [("A", "p1")]
+    assert values(report.unknown, "code") == [("zz",)]
+
+
+def test_chunks_follow_the_rows(spark):
+    assert ordered.chunk_count(spark.range(4_000), 1_000) == 8
+    assert ordered.chunk_count(spark.range(40_000), 1_000) == 80
+    assert ordered.chunk_count(spark.range(10), 1_000) == 2
+
+
+def test_no_hot_key_is_left_whole(spark):
+    from tallyweave.operators.hot_keys import hot_keys
+
+    rows = spark.range(30_000).selectExpr("id % 15000 as k")
+    assert hot_keys(rows, ["k"], 2).count() == 15_000 and hot_keys(rows, ["k"], 3).count() == 0
