@@ -33,6 +33,7 @@ from tallyweave.sources.staging import stage
 CAPACITY = 4096
 END_ID = 1
 CACHED_WORDS = 250_000
+_MARKS = b".,;:!?\"()[]{}|*#%&$@+=/-"  # ASCII characters that are neither letters nor digits and begin nothing special
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -56,23 +57,42 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached, self.known, self.older = Tokenizer.from_file(path), cached, {}, {}
+        self.model = self.tokenizer.model
 
     def learn(self, words: set[bytes]) -> None:
-        unseen = []
+        known, rest, pairs, stems = self.known, [], [], set()
         for word in words:
             ids = self.older.get(word)
-            if ids is None:
-                unseen.append(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            stem = word.rstrip(_MARKS)
+            if stem and stem.decode().isalpha():  # letters and marks are split by the tokenizer, too
+                stems.add(stem)
+                if len(stem) < len(word):
+                    pairs.append((word, stem, word[len(stem):]))
+                    stems.add(word[len(stem):])
             else:
-                self.known[word] = ids
-        for word, found in zip(unseen, self.tokenizer.encode_batch_fast([w.decode() for w in unseen], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+                rest.append(word)
+        for stem in stems:
+            if stem in known:
+                continue
+            if stem.isalpha() and stem not in self.older:  # ASCII letters alone, as the model itself takes them
+                known[stem] = np.array([token.id for token in self.model.tokenize(stem.decode())], "<u4").tobytes()
+            elif stem in self.older:
+                known[stem] = self.older[stem]
+            else:
+                rest.append(stem)
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+            known[word] = np.array(found.ids, "<u4").tobytes()
+        for word, stem, marks in pairs:
+            known[word] = known[stem] + known[marks]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for text in texts:
             words = (text if b"<|" in text else text.lower()).split()
-            new = {word for word in words if word not in self.known}
+            new = set(words).difference(self.known)
             if new:
                 if len(self.known) > self.cached:
                     self.known, self.older = {}, self.known
