@@ -9,12 +9,12 @@ from pyspark.sql.types import TimestampType
 
 from driver import item_fixtures
 from driver.views import BASE_TABLES, base_table, load, reads, with_views
-from tallyweave.functions.times import instant_literal
-from tallyweave.operators import envelope, mapping, purchase_orders, upsert as upsert_ops
+from tallyweave.functions.times import instant_literal, safe_date
+from tallyweave.operators import checks, envelope, mapping, purchase_orders, upsert as upsert_ops
 from tallyweave.operators.mapping import AMOUNT, AUDIT_TIME, INT, Field, first, nested, plain, text
 from tallyweave.plans.entities import EntitySpec, target
 from tallyweave.plans.ingest import (
-    RUN_LOG, EntityResult, LoadOptions, ingest_entity, marks_table, since, upsert_target, write_run_log,
+    RUN_LOG, EntityResult, LoadOptions, ingest_entity, marks_table, order_pull_list, since, upsert_target, write_run_log,
 )
 from tallyweave.sources.snapshot import snapshot_copy
 from tallyweave.sources.staging import new_path
@@ -186,11 +186,84 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_snapshot_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two relations copied twice, the first one read back."""
+    return _copied(spark, sf_dir).read("events")
+
+
+def _copied(spark: SparkSession, sf_dir: str) -> VersionedStore:
     store = VersionedStore(spark, new_path(spark, "snapshot"))
     first_copy, second = load(spark, sf_dir, "f_snapshot", "f_order_headers")
     for _ in range(2):
-        snapshot_copy(store, {"events": first_copy, "orders": second})
-    return store.read("events")
+        snapshot_copy(store, {"events": first_copy, "orders": second}, {"events": ["seen_at"]})
+    return store
+
+
+def q_snapshot_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other relation of the same copy."""
+    return _copied(spark, sf_dir).read("orders")
+
+
+def q_snapshot_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times late in the day with an offset, landed as text: their day is the local one."""
+    store = VersionedStore(spark, new_path(spark, "snapshot"))
+    base_table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    snapshot_copy(store, {"events": spark.sql(f"select event_id, {_LATE} as due_text from events")}, {"events": ["due_text"]})
+    landed = store.read("events")
+    return landed.select("event_id", "due_text", safe_date(F.col("due_text")).alias("due_on"))
+
+
+def q_stream_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark of a batch run after a stream has brought older items, and then none."""
+    store = _ingested(spark, sf_dir)
+    (pages,) = load(spark, sf_dir, "f_pages")
+    folder, checkpoint = new_path(spark, "landed"), new_path(spark, "stream-checkpoint")
+    older = pages.select(F.regexp_replace("body", r'"(\d{4})-(\d\d-\d\dT)', '"1990-$2').alias("body"))
+    for bodies in (older, older.limit(0).union(spark.createDataFrame([("[]",)], "body string"))):
+        bodies.write.mode("append").text(folder)
+        ingest_stream(store, EVENTS, folder, checkpoint, options=LoadOptions(buckets=8, now=NOW, on_duplicate="last")).awaitTermination()
+    return marks_table(store).select("endpoint_name", F.unix_micros("last_watermark").alias("mark"))
+
+
+def q_upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item is in its page twice and comes again on a later page; the last copy stays."""
+    store = VersionedStore(spark, new_path(spark, "last"))
+    base_table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    pages = spark.sql(f"select {_TWICE} as body, '1' as landed from events union all select {_AGAIN}, '2' from events where event_id % 3 = 0")
+    _require(ingest_entity(store, EVENTS, pages, options=LoadOptions(buckets=8, now=NOW, on_duplicate="last")))
+    return store.read("events").select("event_id", "status_id", "status_description")
+
+
+def q_stream_bad_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run log says about a batch without keys and about the next one, next to the raw items kept."""
+    (pages,) = load(spark, sf_dir, "f_pages")
+    folder, checkpoint = new_path(spark, "landed"), new_path(spark, "stream-checkpoint")
+    store = VersionedStore(spark, new_path(spark, "stream"))
+    bad = pages.filter("event_id % 2 = 0").select(F.regexp_replace("body", '"(id|eventId)":"e', '"other":"e').alias("body"))
+    for bodies in (bad, pages.filter("event_id % 2 = 1").select("body")):
+        bodies.write.mode("append").text(folder)
+        ingest_stream(store, EVENTS, folder, checkpoint, options=LoadOptions(buckets=8, now=NOW, on_duplicate="last")).awaitTermination()
+    kept = store.read("staging/events").agg(F.count("*").alias("items"))
+    return store.read(RUN_LOG).select("status", "rows_pulled", "rows_upserted").join(F.broadcast(kept))
+
+
+def q_pull_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sorted list of orders to pull, from stored tables and discovered orders."""
+    store = VersionedStore(spark, new_path(spark, "pull"))
+    known, found, centers = load(spark, sf_dir, "f_known_orders", "f_found_orders", "f_work_centers")
+    with store.commit() as change:
+        change.replace("work_centers", centers)
+        change.replace("purchase_orders", known)
+    return order_pull_list(store, found.withColumn("raw_json", F.lit("{}")))
+
+
+def q_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (lines,) = load(spark, sf_dir, "f_planning")
+    return checks.key_violations(lines, "product_id", "due_at")
+
+
+def q_row_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (products,) = load(spark, sf_dir, "f_products")
+    rules = checks.row_violations(["code", "is_buy"], {"code": 40})
+    return products.select(F.explode(rules).alias("rule")).groupBy("rule").agg(F.count("*").alias("rows"))
 
 
 def _map_query(table: str):
@@ -236,7 +309,38 @@ _MERGED = """
     union all select * from f_upsert_source
 """
 
+_LATE = "concat(cast(cast(ts as date) as string), ' 23:30:00.0000000 -05:00')"
+_ITEM = """concat('{{"id":"e', cast(event_id as string), '","status":{{"id":{0},"description":"{1}"}}}}')"""
+_TWICE = f"concat('[', {_ITEM.format(1, 'first')}, ',', {_ITEM.format(2, 'second')}, ']')"
+_AGAIN = f"concat('[', {_ITEM.format(3, 'third')}, ']')"
+
 ORACLES = {
+    "snapshot_second": with_views("select * from f_order_headers"),
+    "snapshot_offsets": f"select event_id, {_LATE} as due_text, cast(ts as date) as due_on from events",
+    "stream_mark": f"select 'events' as endpoint_name, max(updated_on) as mark from ({_EVENTS})",
+    "upsert_last": """
+        select 'e' || event_id as event_id, cast(case when event_id % 3 = 0 then 3 else 2 end as integer) as status_id,
+               case when event_id % 3 = 0 then 'third' else 'second' end as status_description from events
+    """,
+    "stream_bad_row": """
+        with given as (select count(*) filter (event_id % 2 = 0) as bad, count(*) filter (event_id % 2 = 1) as good from events)
+        select 'failed' as status, bad as rows_pulled, 0 as rows_upserted, bad + good as items from given
+        union all select 'success', good, 3 * good, bad + good from given
+    """,
+    "pull_list": with_views("""
+        select site_code, order_number from f_known_orders where site_code is not null and order_number is not null
+        union select site_code, order_number from f_found_orders where order_number <> ''
+              and site_code in (select site_code from f_work_centers where site_code is not null and site_id is not null)
+    """),
+    "key_violations": with_views("""
+        select product_id, due_at, count(*) as rows from f_planning group by all having count(*) > 1 or product_id is null or due_at is null
+    """),
+    "row_violations": with_views("""
+        select rule, count(*) as rows from (
+          select 'code is null' as rule from f_products where code is null union all
+          select 'is_buy is null' from f_products where is_buy is null union all
+          select 'code is longer than 40' from f_products where length(code) > 40) group by rule
+    """),
     "json_entity_map": _EVENTS,
     "json_child_explode": _RECORDS,
     "envelope_shapes": """

@@ -39,20 +39,22 @@ class PartInputs:
 
 
 class PartReport:
-    """The report for the given part codes, or for all parts. Each part of it is computed when it is first asked for;
+    """The report for the given part codes (a list, or a frame with the column ``code`` if they are many), or for all parts. Each part of it is computed when it is first asked for;
     what several of them need, the resolved parts and the segments of the allocation, is computed once.
 
     ``headers``, ``allocation``, ``excess``, ``blocked``, and ``unknown``: the given codes that mean no product.
     """
 
-    def __init__(self, inputs: PartInputs, part_codes: Sequence[str] | None = None, *, as_of: dt.date | None = None,
+    def __init__(self, inputs: PartInputs, part_codes: Sequence[str] | DataFrame | None = None, *, as_of: dt.date | None = None,
                  nonconformance_key: str = "product_code", case_insensitive: bool = False, hot_rows: int = HOT_ROWS,
                  reading_order: bool = False) -> None:
         self.inputs = inputs.folded() if case_insensitive else inputs
         self.all_parts, self.as_of, self.nonconformance_key = part_codes is None, as_of, nonconformance_key
         self.hot_rows, self.reading_order = hot_rows, reading_order
-        listed = [(code.rstrip(" ").upper() if case_insensitive else code, code) for code in dict.fromkeys(part_codes or ())]
-        self.requested = inputs.products.sparkSession.createDataFrame(listed, "code string, written string")
+        if not isinstance(part_codes, DataFrame):
+            part_codes = inputs.products.sparkSession.createDataFrame([(code,) for code in part_codes or ()], "code string")
+        written = part_codes.select(F.col("code").alias("written")).distinct()
+        self.requested = written.withColumn("code", F.upper(F.rtrim("written")) if case_insensitive else F.col("written"))
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -118,7 +120,7 @@ class PartReport:
         return self.requested.join(self.resolved, "code", "left_anti").select(F.col("written").alias("code"))
 
 
-def part_demand_status(inputs: PartInputs, part_codes: Sequence[str] | None = None, **options) -> PartReport:
+def part_demand_status(inputs: PartInputs, part_codes: Sequence[str] | DataFrame | None = None, **options) -> PartReport:
     """The report; nothing is computed before a part of it is asked for."""
     return PartReport(inputs, part_codes, **options)
 
