@@ -34,7 +34,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyweave.llm.bits import bit_field, log2_bits_for, merged, segments
 from tallyweave.llm.common import numbered, text_or_empty

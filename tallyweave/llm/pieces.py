@@ -22,10 +22,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.llm.common import text_or_empty
+from tallyweave.llm.shingles import mixed
 
 MARK = "▁"
 STRETCH = re.compile(rb" *[^ \n]+| +|\n")
@@ -215,13 +215,6 @@ class Lattices:
         return out, counts
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """The finishing steps of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def uniform(keys: np.ndarray) -> np.ndarray:
     """Numbers from 0 up to, and never, 1, in steps that stay exact when a node number is added."""
     return (mixed(keys) >> np.uint64(34)).astype(np.float64) / (1 << 30)

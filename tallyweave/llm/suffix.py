@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyweave.llm.bits import SEGMENT, BitField, log2_bits_for, merged, segments
+from tallyweave.llm.bits import BitField, log2_bits_for, merged, segments
 from tallyweave.llm.common import numbered, text_or_empty, total_bytes, with_results
 from tallyweave.llm.shingles import mixed, range_hash, running_hash, steps
 
