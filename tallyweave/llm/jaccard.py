@@ -357,8 +357,8 @@ def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_
         ends = np.cumsum(many)
         kept: dict[str, list[np.ndarray]] = {"a": [], "b": [], "asks": [], "n": []}
         at = 0
-        while at < len(n):  # about two million pairs at a time
-            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 2_000_000, "right")))
+        while at < len(n):  # some hundred thousand pairs at a time
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 250_000, "right")))
             each = many[at:upto]
             x = np.repeat(np.arange(at, upto), each)
             y = np.repeat(low[at:upto], each) + np.arange(len(x)) - np.repeat(np.cumsum(each) - each, each)

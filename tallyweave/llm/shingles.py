@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 _BASE, _MASK = 0x9E3779B97F4A7C15 | 1, (1 << 64) - 1
 
 

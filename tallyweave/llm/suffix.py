@@ -208,7 +208,7 @@ def smallest_ids(stretches: list[bytes], ids: np.ndarray, length: int) -> list[n
 # ---- anchors and stretches ----
 
 def stretches_of(texts: list[bytes], length: int, gram: int) -> Iterator[tuple]:
-    """For about a megabyte of texts at a time: their first number, the bytes put together, where each text starts, and for each stretch its
+    """For about STEP_BYTES of texts at a time: their first number, the bytes put together, where each text starts, and for each stretch its
     text, first byte, end, anchor and where in the stretch that is, and the running hash of the bytes."""
     with np.errstate(over="ignore"):
         for a, b in steps(texts):
