@@ -32,6 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,12 +160,10 @@ def star_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.filter(close).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, words: int, text_column: str) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, counts: Broadcast, words: int, text_column: str) -> DataFrame:
     """``node``, ``n``, ``shingles`` and ``rare``, how many shingles few documents seem to have, for the wanted nodes (and few others)."""
-    n = wanted.count()
-    context = docs.sparkSession.sparkContext
-    field, table = context.broadcast(bit_field(wanted, "node", log2_bits_for(n))), context.broadcast(counts)
-    noise = float(counts.mean())
+    field = docs.sparkSession.sparkContext.broadcast(bit_field(wanted, "node", log2_bits_for(wanted.count())))
+    noise = float(counts.value.mean())
     seldom = noise + 3 * noise ** 0.5 + 2
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +175,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, words: int,
                     node = node_of(own)
                     if node not in given and field.value.has(np.array([node], np.int64).view(np.uint64))[0]:
                         given.add(node)
-                        seen = table.value[(own & np.uint64(CELLS - 1)).astype(np.int64)]
+                        seen = counts.value[(own & np.uint64(CELLS - 1)).astype(np.int64)]
                         rows.append((node, len(own), own.tobytes(), int((seen <= seldom).sum())))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
@@ -227,14 +226,13 @@ def hubs_of(compared_pairs: DataFrame) -> DataFrame:
 _POSTING = [("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "<u2"), ("block", "<u4"), ("salt", "<u2")]
 
 
-def prefix_entries(docs: DataFrame, counts: np.ndarray, words: int, threshold: Threshold, buckets: int, text_column: str) -> DataFrame:
+def prefix_entries(docs: DataFrame, counts: Broadcast, words: int, threshold: Threshold, buckets: int, text_column: str) -> DataFrame:
     """Prefix shingles of all nodes, packed by bucket: ``bucket``, and one array of bytes for each field."""
-    table = docs.sparkSession.sparkContext.broadcast(counts)
-    noise = float(counts.mean())
+    noise = float(counts.value.mean())
 
     def prefix(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         n = len(own)
-        seen = table.value[(own & np.uint64(CELLS - 1)).astype(np.int64)]
+        seen = counts.value[(own & np.uint64(CELLS - 1)).astype(np.int64)]
         order = np.lexsort((own, seen))
         own, seen = own[order], seen[order]
         asks = chosen_matches(np.maximum(seen - noise - 1, 0), threshold)
@@ -398,7 +396,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     rows = signed.filter("n is not null").select("doc_id", "node", "n")
     nodes = stage(signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(f"star{i}").alias(f"star{i}") for i in range(STARS)]), "jaccard-nodes")
-    counts = merged(signed.filter("seg is not null"), CELLS, "u1", np.zeros(CELLS, np.uint32), np.add)
+    counts = docs.sparkSession.sparkContext.broadcast(  # one for all steps: Python workers keep what they were sent
+        merged(signed.filter("seg is not null"), CELLS, "u1", np.zeros(CELLS, np.uint32), np.add))
 
     members = stage(star_members(nodes), "jaccard-stars")
     sets = sets_of(docs, members.select("node").distinct(), counts, words, text_column)
