@@ -380,8 +380,13 @@ def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_
                                      ("n", np.diff(np.append(first, len(x))))):
                     kept[name].append(values)
             at = upto
-        if kept["a"]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in kept.values()], list(kept))
+        if kept["a"]:  # a pair that several steps have met is one row
+            a, b, asks, n = (np.concatenate(v) for v in kept.values())
+            order = np.lexsort((b, a))
+            a, b, asks, n = a[order], b[order], asks[order], n[order]
+            first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a[first]), pa.array(b[first]), pa.array(asks[first]), pa.array(np.add.reduceat(n, first))], list(kept))
 
     keyed = shared.withColumn("bucket", F.pmod(F.xxhash64("token", "hub" if around_hubs else "block"), F.lit(buckets)))
     counted = keyed.groupBy("bucket").applyInArrow(pair, "a long, b long, asks long, n long")
