@@ -15,6 +15,7 @@ they occur, NULL ids stay NULL, and no rows give no rows. Further columns of the
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,6 +35,7 @@ CAPACITY = 4096
 END_ID = 1
 CACHED_WORDS = 250_000
 _MARKS = b".,;:!?\"()[]{}|*#%&$@+=/-"  # ASCII characters that are neither letters nor digits and begin nothing special
+_KEEP_CASE = (b"<|", b"\xcc", b"\xcd")  # special tokens, and what begins the UTF-8 form of U+0300 to U+037F
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -43,13 +45,20 @@ PIECES = T.StructType([
 WITH_IDS = T.StructType([*PIECES.fields, T.StructField("ids", T.BinaryType())])
 
 
+@lru_cache(maxsize=1 << 16)
+def stays_letter(letter: str) -> bool:
+    """Whether composing and lower-casing a letter leave a letter at its end."""
+    return unicodedata.normalize("NFC", letter).lower()[-1].isalpha()
+
+
 class WordEncoder:
     """Token ids of a text, word by word.
 
     The tokenizer ignores case and drops white space, and no token crosses it, so the ids of a text are those of its
     lower-cased words put together. ASCII white space alone is split at here; other white space stays inside a
-    "word" and is left to the tokenizer. Texts that may spell a special token keep their case. Words are
-    kept in two generations, so that frequent ones stay when room is made.
+    "word" and is left to the tokenizer. Words that may spell a special token keep their case, and so do those that may hold
+    combining marks, because some compose with a small letter only. Small ASCII letters alone skip the tokenizer's
+    normalizer. Words are kept in two generations, so that frequent ones stay when room is made.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -67,7 +76,8 @@ class WordEncoder:
                 known[word] = ids
                 continue
             stem = word.rstrip(_MARKS)
-            if stem and stem.decode().isalpha():  # letters and marks are split by the tokenizer, too
+            letters = stem.decode()
+            if letters.isalpha() and stays_letter(letters[-1]):  # letters and marks are split by the tokenizer, too
                 stems.add(stem)
                 if len(stem) < len(word):
                     pairs.append((word, stem, word[len(stem):]))
@@ -77,7 +87,7 @@ class WordEncoder:
         for stem in stems:
             if stem in known:
                 continue
-            if stem.isalpha() and stem not in self.older:  # ASCII letters alone, as the model itself takes them
+            if stem.isalpha() and stem.islower() and stem not in self.older:  # small ASCII letters, as the model itself takes them
                 known[stem] = np.array([token.id for token in self.model.tokenize(stem.decode())], "<u4").tobytes()
             elif stem in self.older:
                 known[stem] = self.older[stem]
@@ -91,7 +101,10 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for text in texts:
-            words = (text if b"<|" in text else text.lower()).split()
+            if any(sign in text for sign in _KEEP_CASE):
+                words = [word.lower() if word.isascii() and b"<|" not in word else word for word in text.split()]
+            else:
+                words = text.lower().split()
             new = set(words).difference(self.known)
             if new:
                 if len(self.known) > self.cached:

@@ -137,6 +137,26 @@ def test_special_tokens_and_odd_spaces_are_encoded_as_in_whole_texts():
         assert np.frombuffer(next(encoder.encode([text.encode()])), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    "<|x Hello NASA.", "<|X HELLO <|endoftext|> Hello, <|ENDOFTEXT|>", "A\u0130.", "\u0130. a\u0130.. A\u0130", "\u0958. \u0958", "J\u030c. T\u0308 w\u030a, W\u0344",
+    "\u00c4rger. \u00e4RGER, \u212a! e\u0301."])
+def test_words_have_the_ids_that_the_tokenizer_gives_them(text):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    expected = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(next(packing.WordEncoder(path).encode([text.encode()])), "<u4").tolist() == expected
+
+
+def test_every_letter_is_split_from_a_mark_behind_it():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    every = [f"{chr(c)}." for c in range(0x110000) if chr(c).isalpha()]
+    expected = [found.ids for found in Tokenizer.from_file(path).encode_batch_fast(every, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in packing.WordEncoder(path).encode([x.encode() for x in every])] == expected
+
+
 def test_shards_are_even_and_slots_gapless(docs):
     rows = sharding.shard_documents(docs, 4, rows_per_task=5).collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter(ROWS)
