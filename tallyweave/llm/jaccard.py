@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.bits import bit_field, log2_bits_for, merged, segments
@@ -53,6 +53,10 @@ HOT = 20_000
 BUCKET_ROWS = 400_000
 
 
+def text_hash(text_column: str) -> Column:
+    return F.xxhash64(text_or_empty(text_column))
+
+
 def node_of(shingles: np.ndarray) -> int:
     return int(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes())[:8], np.int64)[0])
 
@@ -113,31 +117,31 @@ def _texts(batch: pa.RecordBatch, at: int = 0) -> list[bytes]:
 
 
 def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """For each document its node, set size and min-hashes; and the counts of shingles by cell, in segments."""
+    """For each document the hash of its text, its node, set size and min-hashes; and the counts of shingles by cell, in segments."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.uint8)
         seeds = [np.uint64((i + 1) * 0xA0761D6478BD642F & (1 << 64) - 1) for i in range(STARS)]
-        names = ["doc_id", "node", "n", *[f"star{i}" for i in range(STARS)], "seg", "blob"]
-        types = [pa.int64(), pa.int64(), pa.int64(), *[pa.int64()] * STARS, pa.int32(), pa.binary()]
+        names = ["doc_id", "text_hash", "node", "n", *[f"star{i}" for i in range(STARS)], "seg", "blob"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), *[pa.int64()] * STARS, pa.int32(), pa.binary()]
         for batch in batches:
             rows = []
-            for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(_texts(batch, 1), words)):
+            for doc_id, hashed, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(_texts(batch, 1), words)):
                 if len(own):
                     cells = (own & np.uint64(CELLS - 1)).astype(np.int64)
                     counts[cells] += counts[cells] < 255
                     stars = [int(mixed(own ^ seed).min().view(np.int64)) for seed in seeds]
-                    rows.append((doc_id, node_of(own), len(own), *stars, None, None))
+                    rows.append((doc_id, hashed, node_of(own), len(own), *stars, None, None))
                 else:
-                    rows.append((doc_id, None, 0, *[None] * STARS, None, None))
+                    rows.append((doc_id, hashed, None, 0, *[None] * STARS, None, None))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-        rows = [(*[None] * (3 + STARS), seg, blob) for seg, blob in segments(counts)]
+        rows = [(*[None] * (4 + STARS), seg, blob) for seg, blob in segments(counts)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    schema = ", ".join(["doc_id long, node long, n long", *[f"star{i} long" for i in range(STARS)], "seg int, blob binary"])
-    return docs.select(F.col(id_column).cast("long"), text_or_empty(text_column)).mapInArrow(sign, schema)
+    schema = ", ".join(["doc_id long, text_hash long, node long, n long", *[f"star{i} long" for i in range(STARS)], "seg int, blob binary"])
+    return docs.select(F.col(id_column).cast("long"), text_or_empty(text_column), text_hash(text_column)).mapInArrow(sign, schema)
 
 
 def star_members(nodes: DataFrame) -> DataFrame:
@@ -396,9 +400,14 @@ def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, id_column: str = "doc_id",
                        text_column: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id of those that it is connected with."""
+    return labelled(docs, words, num, den, id_column, text_column).drop("text_hash")
+
+
+def labelled(docs: DataFrame, words: int, num: int, den: int, id_column: str, text_column: str) -> DataFrame:
+    """``jaccard_components`` with the ``text_hash`` of each document, which tells apart rows that repeat an id or have none."""
     threshold = Threshold(num, den)
     signed = stage(signatures(docs, words, id_column, text_column), "jaccard-signatures")
-    rows = signed.filter("n is not null").select("doc_id", "node", "n")
+    rows = signed.filter("n is not null").select("doc_id", "text_hash", "node", "n")
     nodes = stage(signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(f"star{i}").alias(f"star{i}") for i in range(STARS)]), "jaccard-nodes")
     counts = docs.sparkSession.sparkContext.broadcast(  # one for all steps: Python workers keep what they were sent
@@ -429,14 +438,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 4, den: int =
     least = grouped.groupBy(F.col("component").alias("_component")).agg(F.min("first_id").alias("component_id"))
     labels = grouped.join(least, F.col("component") == F.col("_component")).select(F.col("node").alias("_node"), "component_id")
     return rows.join(labels, F.col("node") == F.col("_node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, id_column: str = "doc_id",
                       text_column: str = "text") -> DataFrame:
     """The documents whose id is the smallest of their component, with the columns they came with. Rows without words stay,
-    and so do rows that repeat the id of one that stays."""
-    groups = jaccard_components(docs, words, num, den, id_column, text_column)
-    leave = groups.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_leaves")).distinct()
-    inner, (own_id,) = numbered(docs, id_column)
-    return inner.join(leave.hint("merge"), F.col(own_id).eqNullSafe(F.col("_leaves")), "left_anti").toDF(*docs.columns)
+    and so do rows of a component that repeat the id of one that stays. Rows are told apart by id and text, so what happens to a row says
+    nothing of another text with the same id or none."""
+    groups = labelled(docs, words, num, den, id_column, text_column)
+    leave = groups.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_leaves"), F.col("text_hash").alias("_text_leaves")).distinct()
+    inner, (own_id, own_text) = numbered(docs, id_column, text_column)
+    same = F.col(own_id).cast("long").eqNullSafe(F.col("_leaves")) & (text_hash(own_text) == F.col("_text_leaves"))
+    return inner.join(leave.hint("merge"), same, "left_anti").toDF(*docs.columns)

@@ -203,6 +203,16 @@ def test_jaccard_components_against_brute_force(docs, n, num, den):
     assert values(jaccard.jaccard_components(docs, n, num, den), "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
 
 
+def test_near_copies_leave_row_by_row(spark):
+    own = random.Random(9)
+    texts = [" ".join(f"w{own.randrange(10**6)}" for _ in range(60)) for _ in range(5)]
+    rows = [(1, texts[0]), (None, texts[0] + " end"), (None, texts[1]), (None, texts[2]), (None, None), (None, ""),  # NULL ids
+            (5, texts[0] + " stop"), (5, texts[3]), (5, ""), (5, None), (6, texts[3] + " end"), (6, texts[4]), (6, texts[4])]  # repeated ids
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = [row for row in rows if row not in [(None, texts[0] + " end"), (5, texts[0] + " stop"), (6, texts[3] + " end")]]
+    assert values(jaccard.one_per_component(frame), "doc_id", "text") == sorted(expected, key=repr)
+
+
 def test_hot_shingles_meet_in_blocks(docs, monkeypatch):
     expected = values(jaccard.jaccard_components(docs, 4, 85, 100), "doc_id", "component_id")
     monkeypatch.setattr(jaccard, "HOT", 2)
