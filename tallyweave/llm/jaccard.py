@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     """For each document the hash of its text, its node, set size and min-hashes; and the counts of shingles by cell, in segments."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint8)
+        counts = np.zeros(CELLS, np.uint32)
         seeds = [np.uint64((i + 1) * 0xA0761D6478BD642F & (1 << 64) - 1) for i in range(STARS)]
         names = ["doc_id", "text_hash", "node", "n", *[f"star{i}" for i in range(STARS)], "seg", "blob"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), *[pa.int64()] * STARS, pa.int32(), pa.binary()]
@@ -129,7 +129,7 @@ def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) ->
             for doc_id, hashed, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(_texts(batch, 1), words)):
                 if len(own):
                     cells = (own & np.uint64(CELLS - 1)).astype(np.int64)
-                    counts[cells] += counts[cells] < 255
+                    counts[cells] += 1  # a document once per cell
                     stars = [int(mixed(own ^ seed).min().view(np.int64)) for seed in seeds]
                     rows.append((doc_id, hashed, node_of(own), len(own), *stars, None, None))
                 else:
@@ -144,6 +144,11 @@ def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     return docs.select(F.col(id_column).cast("long"), text_or_empty(text_column), text_hash(text_column)).mapInArrow(sign, schema)
 
 
+def shingle_counts(signed: DataFrame) -> np.ndarray:
+    """How many documents have a shingle of each cell, over all tasks."""
+    return merged(signed.filter("seg is not null"), CELLS, "u4", np.zeros(CELLS, np.uint32), np.add)
+
+
 def star_members(nodes: DataFrame) -> DataFrame:
     """The nodes that share a min-hash with others: ``star``, ``node``."""
     found = None
@@ -410,8 +415,7 @@ def labelled(docs: DataFrame, words: int, num: int, den: int, id_column: str, te
     rows = signed.filter("n is not null").select("doc_id", "text_hash", "node", "n")
     nodes = stage(signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *[F.max(f"star{i}").alias(f"star{i}") for i in range(STARS)]), "jaccard-nodes")
-    counts = docs.sparkSession.sparkContext.broadcast(  # one for all steps: Python workers keep what they were sent
-        merged(signed.filter("seg is not null"), CELLS, "u1", np.zeros(CELLS, np.uint32), np.add))
+    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(signed))  # one for all steps: Python workers keep what they were sent
 
     members = stage(star_members(nodes), "jaccard-stars")
     sets = sets_of(docs, members.select("node").distinct(), counts, words, text_column)

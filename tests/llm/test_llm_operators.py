@@ -220,6 +220,12 @@ def test_hot_shingles_meet_in_blocks(docs, monkeypatch):
     assert values(jaccard.jaccard_components(docs, 4, 85, 100), "doc_id", "component_id") == expected
 
 
+def test_shingles_are_counted_beyond_a_byte(spark):
+    frame = spark.createDataFrame([(i, f"a b c d e {i}") for i in range(700)], "doc_id long, text string").coalesce(1)
+    counts = jaccard.shingle_counts(jaccard.signatures(frame, 5, "doc_id", "text").cache())
+    assert counts.max() >= 700 and 1399 <= counts.sum() <= 1400  # two shingles each, which share a cell at times
+
+
 def test_shingle_hashes_count_distinct_shingles():
     texts = [(t or "") for _, t in ROWS]
     for n in (1, 4):
