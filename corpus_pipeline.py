@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm import exact, jaccard, packing, suffix, toxicity
-from tallyweave.llm.common import table
+from tallyweave.llm.common import numbered, table
 from tallyweave.llm.queries import held_out
 from tallyweave.sources.staging import stage
 
@@ -34,9 +34,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without bytes of 50-byte strings that a document with a smaller id has; ``n_chars`` is counted anew."""
-    text = F.when(F.col("text").isNotNull(), F.col("_kept_text"))
-    done = suffix.without_repeats(docs, length=50)
-    return done.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    inner, (own_id, own_text, own_count) = numbered(docs, "doc_id", "text", "n_chars")  # a column may have the name of a result
+    text = F.when(F.col(own_text).isNotNull(), F.col("_kept_text"))
+    done = suffix.without_repeats(inner, length=50, id_column=own_id, text_column=own_text)
+    return done.withColumn(own_text, text).withColumn(own_count, F.char_length(own_text).cast("long")).select(*inner.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-ORACLE_SQL = None  # a trained classifier and a tokenizer have no SQL; tests/llm holds the stages against brute force
+ORACLE_SQL = None  # a trained classifier and a tokenizer have no SQL; tests/llm/test_pipeline.py holds two stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
