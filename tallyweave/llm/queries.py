@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import chat, exact, jaccard, packing, pieces, sharding, suffix, topk, toxicity, warc
+from tallyweave.llm import centroids, chat, exact, jaccard, merkle, packing, pieces, sharding, simhash, suffix, topk, toxicity, warc
 from tallyweave.llm.common import table, text_or_empty
 
 
@@ -73,6 +73,23 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.membership(table(spark, sf_dir, "documents"))
 
 
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    claim = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.proofs(table(spark, sf_dir, "documents"), claim).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, salt="3:")
+    spelled = F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(spelled, 256).alias("centroid_sha256"))
+
+
 _NORMAL = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 QUERIES = {
@@ -86,6 +103,9 @@ QUERIES = {
     "op8_compression_toxicity": compression_toxicity,
     "op9_histogram_sharding": histogram_sharding,
     "op10_exact_dedup": exact_dedup,
+    "op11_simhash_near_dedup": simhash_near_dedup,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_centroid_clustering": centroid_clustering,
 }
 
 _BASE32 = " || ".join(
