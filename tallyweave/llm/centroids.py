@@ -36,26 +36,23 @@ def whole_vectors(vectors: DataFrame, dim: int, id_column: str, vector_column: s
             .filter(F.col("x").isNotNull()).filter(usable).select("vec_id", F.transform("x", scaled).alias("point")))
 
 
-def _literal(values: Sequence[int]) -> Column:
-    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
+def _literal(values: Sequence[int]) -> str:
+    return f"array({', '.join(f'{v}L' for v in values)})"
 
 
-def _squared(point: Column, centroid: Sequence[int]) -> Column:
-    return F.aggregate(F.zip_with(point, _literal(centroid), lambda x, c: (x - c) * (x - c)), F.lit(0).cast("long"), lambda s, d: s + d)
+def nearest(centroids: Sequence[Sequence[int]]) -> Column:
+    """A struct of ``distance`` and ``cluster`` for the column ``point``; one SQL text, since its thousand literals would each be a call."""
+    squared = "aggregate(zip_with(point, {}, (x, c) -> (x - c) * (x - c)), 0L, (s, d) -> s + d)"
+    options = [f"struct({squared.format(_literal(c))} as distance, {i} as cluster)" for i, c in enumerate(centroids)]
+    return F.expr(f"array_min(array({', '.join(options)}))")
 
 
-def nearest(point: Column, centroids: Sequence[Sequence[int]]) -> Column:
-    """A struct of ``distance`` and ``cluster``."""
-    return F.array_min(F.array(*[F.struct(_squared(point, c).alias("distance"), F.lit(i).alias("cluster")) for i, c in enumerate(centroids)]))
-
-
-def _updated(points: DataFrame, centroids: list[list[int]], dim: int) -> list[list[int]]:
-    sums = [F.sum(F.col("point")[i]).alias(f"s{i}") for i in range(dim)]
-    chosen = points.select("point", nearest(F.col("point"), centroids).alias("near"))
-    found = chosen.groupBy(F.col("near.cluster").alias("cluster")).agg(F.count("*").alias("n"), *sums).collect()  # a row per centroid
+def updated(points: DataFrame, centroids: list[list[int]], sums: list[Column]) -> list[list[int]]:
+    """The mean of each cluster's vectors, rounded down; ``sums`` has one sum per component."""
+    chosen = points.select("point", nearest(centroids).alias("near"))
     out = list(centroids)
-    for row in found:
-        out[row["cluster"]] = [row[f"s{i}"] // row["n"] for i in range(dim)]
+    for cluster, n, *totals in chosen.groupBy("near.cluster").agg(F.count("*"), *sums).collect():  # a row per centroid
+        out[cluster] = [total // n for total in totals]
     return out
 
 
@@ -69,17 +66,18 @@ def clusters(vectors: DataFrame, k: int = 8, rounds: int = 10, dim: int = 64, sa
     centroids = [list(row["point"]) for row in points.orderBy(digest.asc_nulls_last(), "point").select("point").limit(k).collect()]
     if not centroids:
         return spark.createDataFrame([], SCHEMA)
+    sums = [F.sum(F.col("point")[i]) for i in range(dim)]
     for _ in range(rounds):
-        centroids = _updated(points, centroids, dim)
+        centroids = updated(points, centroids, sums)
 
-    chosen = points.select("vec_id", nearest(F.col("point"), centroids).alias("near"))
+    chosen = points.select("vec_id", nearest(centroids).alias("near"))
     assigned = stage(chosen.select("vec_id", "near.cluster", "near.distance"), "assigned")
     sums = assigned.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()
     inertia = [0] * len(centroids)
     for row in sums:
         inertia[row["cluster"]] = int(row["s"])
-    listed = F.expr(f"array({', '.join('array(' + ', '.join(f'{v}L' for v in c) + ')' for c in centroids)})")
+    listed = F.expr(f"array({', '.join(map(_literal, centroids))})")
     own = F.col("cluster") + 1
     return assigned.select(
-        "vec_id", "cluster", "distance", F.element_at(_literal([min(x, LONG_MAX) for x in inertia]), own).alias("cluster_inertia"),
+        "vec_id", "cluster", "distance", F.element_at(F.expr(_literal([min(x, LONG_MAX) for x in inertia])), own).alias("cluster_inertia"),
         F.lit(min(sum(inertia), LONG_MAX)).cast("long").alias("inertia"), F.element_at(listed, own).alias("centroid"))

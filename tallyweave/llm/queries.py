@@ -112,6 +112,98 @@ _BASE32 = " || ".join(
     f"substr('{warc.BASE32}', cast((cast('0x' || substr(sha, {at}, 5) as bigint) >> {shift}) & 31 as int) + 1, 1)"
     for at in range(1, 40, 5) for shift in (15, 10, 5, 0))
 
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text, four bits at a time; the table of sixteen follows from the polynomial."""
+    table = []
+    for x in range(16):
+        for _ in range(4):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        table.append(x)
+    nibbles = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c) & 15, ascii(c) >> 4]))"
+    step = f"xor(c >> 4, {table}[cast(xor(c, x) & 15 as int) + 1])"
+    return f"xor(list_reduce(list_transform({nibbles}, lambda x: cast(x as bigint)), lambda c, x: {step}, cast(4294967295 as bigint)), 4294967295)"
+
+
+def _tree_sql(name: str, leaves: str, levels: int) -> str:
+    """Trees of three: ``{name}_l`` has the nodes (tree, i, n, h) of level l, where a tree of one node rises unchanged."""
+    out = [f"{name}_0 as materialized ({leaves})"]
+    for l in range(1, levels + 1):
+        out.append(f"""{name}_{l} as materialized (
+            select tree, i // 3 as i, any_value((n + 2) // 3) as n, case when any_value(n) = 1 then min(h) else sha256(string_agg(h, '' order by i)) end as h
+            from {name}_{l - 1} group by tree, i // 3)""")
+    return ",\n".join(out)
+
+
+def _climb_sql(name: str, start: str, levels: int) -> str:
+    """From ``{name}_up_0`` (row, tree, i, own, proof) up the levels: the digest folded so far and the siblings met."""
+    out = [f"{name}_up_0 as materialized ({start})"]
+    for l in range(levels):
+        out.append(f"""{name}_up_{l + 1} as materialized (
+            select u.row, any_value(u.tree) as tree, any_value(u.i // 3) as i,
+                   case when any_value(s.n) = 1 then any_value(u.own) else sha256(string_agg(case when s.i = u.i then u.own else s.h end, '' order by s.i)) end as own,
+                   any_value(u.proof) || coalesce(string_agg(s.h, '' order by s.i) filter (s.i <> u.i), '') as proof
+            from {name}_up_{l} u join {name}_{l} s on s.tree = u.tree and s.i // 3 = u.i // 3 group by u.row)""")
+    return ",\n".join(out)
+
+
+def _merkle_sql(levels: int = 12, over: int = 8) -> str:
+    """For at most 3 ** levels documents of a source, and 3 ** over sources."""
+    def field(x: str) -> str:
+        return f"coalesce(strlen(cast({x} as varchar)) || ':' || {x}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', 'n_chars')))} || {field(text)})"
+
+    clean = "replace(text, chr(10), '')"
+    return f"""
+        with leaves as materialized (
+            select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by tree) as n,
+                   row_number() over () as row
+            from (select doc_id, case when source is null then '' else '=' || source end as tree, {leaf('text')} as leaf,
+                         case when coalesce({_crc32_sql('cast(doc_id as varchar)')} % 2 = 0, false) then {leaf(clean)} else {leaf('text')} end as claim
+                  from documents)),
+        {_tree_sql('d', 'select tree, i, n, leaf as h from leaves', levels)},
+        subs as materialized (select tree, h, row_number() over (order by tree) - 1 as i, count(*) over () as n from d_{levels}),
+        {_tree_sql('s', "select '' as tree, i, n, h from subs", over)},
+        {_climb_sql('d', "select row, tree, i, claim as own, '' as proof from leaves", levels)},
+        {_climb_sql('s', f"select u.row, '' as tree, subs.i, u.own, u.proof from d_up_{levels} u join subs using (tree)", over)}
+        select doc_id, leaf, subs.h as subroot, s.h as root, sha256(u.proof) as proof_sha256, u.own as folded_root, u.own = s.h as verified
+        from leaves join subs using (tree) join s_up_{over} u on u.row = leaves.row cross join s_{over} s
+    """
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    squared = "list_sum(list_transform(list_zip(point, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near_{r} as materialized (
+            select row, any_value(vec_id) as vec_id, any_value(point) as point, min(d) as distance, arg_min(cluster, (d, cluster)) as cluster
+            from (select row, vec_id, point, cluster, cast({squared} as bigint) as d from points, cents_{r}) group by row)""")
+        if r < rounds:
+            steps.append(f"""cents_{r + 1} as materialized (
+                select cluster, coalesce(any_value(mean), any_value(c)) as c
+                from cents_{r} left join (
+                    select cluster, list(cast(m as bigint) order by axis) as mean
+                    from (select cluster, axis, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as m
+                          from (select cluster, unnest(point) as x, unnest(range(1, 65)) as axis from near_{r}) group by cluster, axis)
+                    group by cluster) using (cluster)
+                group by cluster)""")
+    return f"""
+        with points as materialized (
+            select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as point
+            from embeddings
+            where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        cents_0 as materialized (
+            select row_number() over (order by sha256('3:' || vec_id) nulls last, point) - 1 as cluster, point as c from points qualify cluster < {k}),
+        {', '.join(steps)}
+        select vec_id, cast(cluster as int) as cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+               cast(sum(distance) over () as bigint) as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+        from near_{rounds} join cents_{rounds} using (cluster)
+    """
+
+
 ORACLES = {
     "op1_warc_transactions": f"""
         select page_id, strlen(payload) as payload_bytes, {_BASE32} as payload_digest,
@@ -156,6 +248,8 @@ ORACLES = {
         from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
         where rank <= 10
     """,
+    "op12_merkle_manifest": _merkle_sql(),
+    "op13_centroid_clustering": _centroid_sql(),
     "op10_exact_dedup": f"""
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                row_number() over (partition by normal order by doc_id desc) = 1 as kept, sha256(normal) as text_sha256
