@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
 from driver import item_fixtures
 from driver.views import BASE_TABLES, base_table, load, reads, with_views
+from tallyweave.functions import variants
 from tallyweave.functions.times import instant_literal, safe_date
 from tallyweave.operators import checks, envelope, mapping, purchase_orders, upsert as upsert_ops
 from tallyweave.operators.mapping import AMOUNT, AUDIT_TIME, INT, Field, first, nested, plain, text
 from tallyweave.plans.entities import EntitySpec, target
 from tallyweave.plans.ingest import (
-    RUN_LOG, EntityResult, LoadOptions, ingest_entity, marks_table, order_pull_list, since, upsert_target, write_run_log,
+    RUN_LOG, EntityResult, LoadOptions, ingest_entity, land, marks_table, order_pull_list, replay, since, upsert_target, write_run_log,
 )
 from tallyweave.sources.snapshot import snapshot_copy
 from tallyweave.sources.staging import new_path
@@ -158,6 +160,40 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(store.read("events").drop("synced_at"))
 
 
+def q_staging_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged text of items whose numbers, order of keys and repeated keys must stay as they came, and what they load as."""
+    store = VersionedStore(spark, new_path(spark, "texts"))
+    base_table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    pages = spark.sql(f"select concat('{{\"items\" : [ ', {_SPELLED}, ' , {{}}], \"hasNext\":false}}') as body from events")
+    with store.commit() as change:
+        land(change, EVENTS, pages, "events", OPTIONS)
+    staged = store.read("staging/events").filter("position = 0").select("raw_json")
+    return EVENTS.map(variants.with_parsed(staged, "raw_json", "item"), EVENTS.targets[0], ["raw_json"]).select("event_id", "status_id", "raw_json")
+
+
+def q_ingest_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items pulled on three days; those of the last two are mapped again into an empty store."""
+    store, other = VersionedStore(spark, new_path(spark, "days")), VersionedStore(spark, new_path(spark, "replayed"))
+    (pages,) = load(spark, sf_dir, "f_pages")
+    for day in range(3):
+        with store.commit() as change:
+            land(change, EVENTS, pages.filter(F.col("event_id") % 3 == day).select("body"), "events", replace(OPTIONS, now=NOW + dt.timedelta(days=day)))
+    replay(store, EVENTS, NOW + dt.timedelta(days=1), OPTIONS, other)
+    return _plain_times(other.read("events").drop("synced_at"))
+
+
+def q_upsert_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with repeated keys upserted into a stored table: the last copy of each key stays, new keys are added."""
+    store = VersionedStore(spark, new_path(spark, "once"))
+    orders = target("orders", plain("o_orderkey", INT), plain("o_orderstatus", text()), plain("price", AMOUNT))
+    old, new = load(spark, sf_dir, "f_upsert_target", "f_upsert_source")
+    twice = new.withColumn("page", F.lit(1)).unionByName(new.withColumns({"o_orderstatus": F.lit("second"), "page": F.lit(2)}).filter("o_orderkey % 4 = 0"))
+    for rows in (old, twice):
+        with store.commit() as change:
+            upsert_target(change, orders, rows, replace(OPTIONS, on_duplicate="last", task_rows=2000))
+    return store.read("orders").drop("synced_at")
+
+
 def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run log says about a good run and about one that fails on a missing key, next to the mark."""
     store = VersionedStore(spark, new_path(spark, "runs"))
@@ -309,6 +345,8 @@ _MERGED = """
     union all select * from f_upsert_source
 """
 
+_SPELLED = """concat('{"z":1.50,"eventId":"wrong","n":{"k":1e3,"k":-0.0},"a":12345678901234567890.10,"eventId":"e', cast(event_id as string),
+    '","status":{"id":', cast(cast(user_id as int) as string), '},"note":"x 1.0: [2.50,"}')"""
 _LATE = "concat(cast(cast(ts as date) as string), ' 23:30:00.0000000 -05:00')"
 _ITEM = """concat('{{"id":"e', cast(event_id as string), '","status":{{"id":{0},"description":"{1}"}}}}')"""
 _TWICE = f"concat('[', {_ITEM.format(1, 'first')}, ',', {_ITEM.format(2, 'second')}, ']')"
@@ -378,6 +416,12 @@ ORACLES = {
         select * exclude (half) from numbered
         where half = 0 or updated_on >= (select max(updated_on) from numbered where half = 0)
     """,
+    "staging_text": f"select 'e' || event_id as event_id, cast(user_id as integer) as status_id, {_SPELLED} as raw_json from events",
+    "ingest_pruned": f"select * from ({_EVENTS}) where cast(substr(event_id, 2) as bigint) % 3 <> 0",
+    "upsert_once": with_views("""
+        select o_orderkey, o_orderstatus, price from f_upsert_target t where not exists (select 1 from f_upsert_source s where s.o_orderkey = t.o_orderkey)
+        union all select o_orderkey, case when o_orderkey % 4 = 0 then 'second' else o_orderstatus end, price from f_upsert_source
+    """),
     "run_log": f"""
         with given as (select count(*) as n, max(updated_on) as mark from ({_EVENTS})),
              children as (select count(*) as c from ({_RECORDS}))

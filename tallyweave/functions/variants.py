@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 PathStep = str
 
@@ -13,11 +14,53 @@ def json_path(*steps: PathStep) -> str:
     return "$" + "".join(f".{step}" for step in steps)
 
 
+# The setting by which Spark reads an object that repeats a key, as most readers do: the last value counts.
+LAST_KEY_WINS = "spark.sql.variant.allowDuplicateKeys"
+# A number outside texts; each match begins where the one before ended, so quotes are always seen in pairs.
+_NUMBER = r'\G((?:[^"0-9\-]++|"(?:[^"\\]++|\\.)*+")*+)(-?[0-9][0-9.eE+\-]*+)'
+_MARK = "\ue000"
+
+
 def parse(text: Column) -> Column:
     """JSON text to VARIANT; NULL where the text is not JSON."""
     return F.try_parse_json(text)
 
 
+def with_parsed(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the VARIANT of a JSON text. Of a repeated key the last value counts: a session setting that Spark reads when the
+    column is resolved, and which stays on."""
+    df.sparkSession.conf.set(LAST_KEY_WINS, "true")
+    return df.withColumn(name, parse(F.col(text)))
+
+
+def can_mark(text: Column) -> Column:
+    """Whether the mark does not occur in the text itself."""
+    return ~text.contains(_MARK) & ~F.lower(text).contains(r"\ue000")
+
+
+def marked_numbers(text: Column) -> Column:
+    """JSON text with its numbers as marked texts, which Spark's JSON functions copy as they are spelled, where ``can_mark``."""
+    return F.when(can_mark(text), F.regexp_replace(text, _NUMBER, f'$1"{_MARK}$2"')).otherwise(text)
+
+
+def unmarked_numbers(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, f'"{_MARK}([^"]*)"', "$1"), f"^{_MARK}", "")
+
+
+def element_texts(marked: Column, key: str | None = None) -> Column:
+    """The items of a JSON array, or of the array under ``key``, as texts with marked numbers: repeated keys, the order of keys
+    and the spelling of numbers are kept; white space and escapes are written in one way. NULL for anything else."""
+    if key is None:
+        return F.from_json(marked, "array<string>")
+    return F.from_json(marked, StructType().add(key, ArrayType(StringType())))[key]
+
+
+def spelled(value: Column, text: Column, marked: Column) -> Column:
+    """The JSON text of an item: as it was written, or for a text in quotes. ``marked``: whether its numbers are marked."""
+    own = F.to_json(value)
+    return F.when(own.startswith('"'), own).otherwise(F.coalesce(F.when(marked, unmarked_numbers(text)).otherwise(text), own))
+
+
 def is_malformed(text: Column, parsed: Column) -> Column:
     """True for text that is present but is not JSON, so it can go to a reject output."""
     return text.isNotNull() & parsed.isNull()

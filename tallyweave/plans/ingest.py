@@ -11,9 +11,9 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 from tallyweave.functions import variants
@@ -21,7 +21,7 @@ from tallyweave.functions.times import instant_literal, mark_text, utc_datetime
 from tallyweave.operators import checks, envelope
 from tallyweave.operators.mapping import ITEM, VIOLATIONS
 from tallyweave.operators.purchase_orders import order_worklist, require_rows, site_directory
-from tallyweave.operators.upsert import BUCKET, bucket_of, last_per_key, rows_per_bucket, stamped, upsert
+from tallyweave.operators.upsert import BUCKET, MOST_BUCKETS, NEW, bucket_of, buckets_in, merged, stamped
 from tallyweave.plans.entities import GROUPS, EntitySpec, TargetSpec
 from tallyweave.sources.staging import stage
 from tallyweave.sources.versioned import Change, VersionedStore
@@ -29,8 +29,10 @@ from tallyweave.sources.versioned import Change, VersionedStore
 log = logging.getLogger(__name__)
 
 BUCKETS = 64
-# What came later, from the outside in: landing, page, item, item of a child array.
-ARRIVAL = ("landed", "page", "position", "child_position")
+# What came later, from the outside in: pull, landing, page, item, item of a child array.
+ARRIVAL = ("pulled_at", "landed", "page", "position", "child_position")
+# Raw tables lie in folders by the day of the pull (UTC).
+PULLED_ON = "pulled_on"
 RUN_LOG = "run_log"
 RUN_LOG_SCHEMA = (
     "endpoint_name string, started_at timestamp, ended_at timestamp, rows_pulled long, rows_upserted long, "
@@ -44,15 +46,19 @@ NEVER_RUN, SUCCESS, FAILED = "never_run", "success", "failed"
 class LoadOptions:
     """``buckets`` is fixed for the life of a store; choose it so that a bucket is a few files, for some targets
     apart from the others in ``target_buckets``. Keys are random, so a batch of a few hundred rows already falls in most
-    buckets: an upsert costs about a rewrite of its target."""
+    buckets: an upsert costs about a rewrite of its target. Buckets larger than ``task_rows`` are cut over several tasks."""
 
     buckets: int = BUCKETS
     on_duplicate: str = "error"
     now: dt.datetime | None = None
     target_buckets: Mapping[str, int] = field(default_factory=dict)
+    task_rows: int = 5_000_000
 
     def buckets_of(self, table: str) -> int:
-        return self.target_buckets.get(table, self.buckets)
+        buckets = self.target_buckets.get(table, self.buckets)
+        if not 0 < buckets <= MOST_BUCKETS:
+            raise ValueError(f"{table}: between 1 and {MOST_BUCKETS} buckets, not {buckets}")
+        return buckets
 
     def time(self) -> dt.datetime:
         return utc_datetime(self.now or dt.datetime.now(dt.timezone.utc))
@@ -81,35 +87,45 @@ def staging_table(entity: str) -> str:
     return f"staging/{entity}"
 
 
-def raw_items(pages: DataFrame, spec: EntitySpec, endpoint: str, pulled_at: dt.datetime,
+def _pulled(options: LoadOptions) -> list[Column]:
+    return [instant_literal(options.time()).alias("pulled_at"), F.lit(options.time().date()).alias(PULLED_ON)]
+
+
+def raw_items(pages: DataFrame, spec: EntitySpec, endpoint: str, options: LoadOptions,
               observed: Observation | None = None) -> DataFrame:
     """One staging row per item, with where it stood. ``landed`` orders the responses where the caller gives such a column;
-    ``page`` is the order in which they are read. The item is written anew; ``responses_table`` has the text as it came."""
-    items = envelope.unnest(pages.withColumn("page", F.monotonically_increasing_id()), items_key=spec.items_key, single_orders=spec.single_orders, observed=observed)
+    ``page`` is the order in which they are read. The item's text has its numbers, keys and their order as they came;
+    white space and escapes are written in one way. ``responses_table`` has the whole response."""
+    items = envelope.unnest(pages.withColumn("page", F.monotonically_increasing_id()), items_key=spec.items_key, single_orders=spec.single_orders,
+                            observed=observed, text="raw_json")
     landed = F.col("landed").cast("string") if "landed" in pages.columns else F.lit("")
-    return items.select(
-        instant_literal(pulled_at).alias("pulled_at"), F.to_json(ITEM).alias("raw_json"),
-        F.lit(endpoint).alias("source_endpoint"), landed.alias("landed"), "page", "position",
-    )
+    return items.select(*_pulled(options), "raw_json", F.lit(endpoint).alias("source_endpoint"), landed.alias("landed"), "page", "position")
 
 
 def land(change: Change, spec: EntitySpec, pages: DataFrame, endpoint: str, options: LoadOptions) -> tuple[int, int]:
     """Append the responses and their items to raw staging, and responses that are not JSON to the rejects. Returns the counts
     of items and rejects."""
-    change.append(responses_table(spec.name), pages.select(
-        instant_literal(options.time()).alias("pulled_at"), F.col("body").alias("response"), F.lit(endpoint).alias("source_endpoint")))
+    def kept(rows: DataFrame) -> DataFrame:
+        return rows.select(*_pulled(options), F.col("body").alias("response"), F.lit(endpoint).alias("source_endpoint"))
+
+    change.append(responses_table(spec.name), kept(pages), [PULLED_ON])
     observed = Observation()
-    pulled = change.append(staging_table(spec.name), raw_items(pages, spec, endpoint, options.time(), observed))
+    pulled = change.append(staging_table(spec.name), raw_items(pages, spec, endpoint, options, observed), [PULLED_ON])
     rejected = observed.get["malformed"]
     if rejected:
-        bad = envelope.malformed_pages(pages).select(
-            instant_literal(options.time()).alias("pulled_at"), F.col("body").alias("response"),
-            F.lit(endpoint).alias("source_endpoint"),
-        )
-        change.append(rejects_table(spec.name), bad)
+        change.append(rejects_table(spec.name), kept(envelope.malformed_pages(pages)), [PULLED_ON])
     return pulled, rejected
 
 
+def staged_since(store: VersionedStore, spec: EntitySpec, since: dt.datetime | None = None) -> DataFrame:
+    """The raw items pulled at or after a time. The folders of earlier days are not read."""
+    rows = store.read(staging_table(spec.name))
+    if since is None:
+        return rows
+    start = utc_datetime(since)
+    return rows.filter((F.col(PULLED_ON) >= F.lit(start.date())) & (F.col("pulled_at") >= instant_literal(start)))
+
+
 def read_mark(store: VersionedStore, endpoint: str) -> dt.datetime | None:
     """The high-water mark; an endpoint seen for the first time gets an empty one."""
     marks = store.manifest().marks
@@ -145,22 +161,28 @@ def later_mark(high_micros: int | None, mark: dt.datetime | None) -> dt.datetime
     return high if mark is None else max(high, utc_datetime(mark))
 
 
-def upsert_target(change: Change, target: TargetSpec, rows: DataFrame, options: LoadOptions) -> int:
-    """Upsert into the buckets that the rows fall in; the files of all other buckets stay."""
-    if options.on_duplicate == "last":
-        rows = last_per_key(rows, target.key, *[name for name in ARRIVAL if name in rows.columns])
-    source = stamped(rows.select(*target.columns), instant_literal(options.time()))
+def _in_buckets(key: str, buckets: int) -> list[Column]:
+    """What an upsert must know of its source: how many rows it has, and in which buckets."""
+    return [F.count("*").alias("rows"), F.bitmap_construct_agg(bucket_of(key, buckets).cast("long")).alias("buckets")]
+
+
+def upsert_target(change: Change, target: TargetSpec, rows: DataFrame, options: LoadOptions, counted: Mapping | None = None) -> int:
+    """Upsert into the buckets that the rows fall in; the files of all other buckets stay. ``counted`` has the values of
+    ``_in_buckets`` where the caller has seen them."""
     buckets = options.buckets_of(target.table)
-    per_bucket = rows_per_bucket(source, target.key, buckets, what=target.table)
-    touched = sorted(per_bucket)
+    counted = counted or rows.agg(*_in_buckets(target.key, buckets)).first().asDict()
+    touched = buckets_in(counted["buckets"])
     if not touched and change.has(target.table):
         return 0
-    if change.has(target.table):
-        current = change.read(target.table, [str(number) for number in touched])
-        source = upsert(current, source, target.key)
-    bucketed = source.withColumn(BUCKET, bucket_of(target.key, buckets))
-    change.replace_buckets(target.table, bucketed, BUCKET, touched, buckets)
-    return sum(per_bucket.values())
+    current = change.read(target.table, [str(number) for number in touched]) if change.has(target.table) else None
+    arrival = [name for name in ARRIVAL if name in rows.columns]
+    source = stamped(rows.select(*target.columns, *arrival), instant_literal(options.time()))
+    splits = -(-max(change.rows_of(target.table), counted["rows"]) // (buckets * options.task_rows)) or 1
+    observed = Observation()
+    changed = merged(current, source, target.key, buckets, splits=splits, arrival=arrival, on_duplicate=options.on_duplicate, what=target.table)
+    written = changed.observe(observed, F.count_if(NEW).alias("new")).drop(NEW)
+    change.replace_buckets(target.table, written, BUCKET, touched, buckets)
+    return observed.get["new"]
 
 
 def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.datetime | None,
@@ -169,13 +191,17 @@ def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.dat
 
     Rows before ``mark`` are left out. The new mark is never before ``mark`` or ``floor``.
 
-    Violations and the highest mark are observed while the typed rows are staged, not in passes of their own.
+    Items are parsed once; where several targets read them, they are staged as VARIANT. Violations, the highest mark and the
+    buckets are observed while the typed rows are staged, not in passes of their own.
     """
-    items = staged.select(variants.parse(F.col("raw_json")).alias(ITEM), *ARRIVAL[:3])
+    arrival = [name for name in ARRIVAL if name in staged.columns]
+    items = variants.with_parsed(staged.select("raw_json", *arrival), "raw_json", ITEM).drop("raw_json")
+    if len(spec.targets) > 1:
+        items = stage(items, f"{spec.name}-items")
     upserted = 0
     for target in spec.targets:
-        rows = spec.map(items, target, ARRIVAL[:3])
-        seen = [F.count_if(F.size(VIOLATIONS) > 0).alias("bad")]
+        rows = spec.map(items, target, arrival)
+        seen = [F.count_if(F.size(VIOLATIONS) > 0).alias("bad"), *_in_buckets(target.key, options.buckets_of(target.table))]
         marked = spec.mark_column and not target.child_of
         if marked:
             rows = since(rows, spec.mark_column, mark)
@@ -184,7 +210,7 @@ def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.dat
         rows = stage(rows.observe(observed, *seen), target.table)
         if observed.get["bad"]:
             checks.assert_rows(rows, F.col(VIOLATIONS), what=target.table)
-        upserted += upsert_target(change, target, rows, options)
+        upserted += upsert_target(change, target, rows, options, observed.get)
         if marked:
             new_mark = later_mark(observed.get["high"], mark if floor is None else max(floor, mark or floor))
             change.set_mark(spec.name, {
@@ -193,6 +219,14 @@ def load_items(change: Change, spec: EntitySpec, staged: DataFrame, mark: dt.dat
     return upserted
 
 
+def replay(store: VersionedStore, spec: EntitySpec, pulled_since: dt.datetime | None = None, options: LoadOptions = LoadOptions(),
+           into: VersionedStore | None = None) -> int:
+    """Map again what was pulled at or after a time, for a mapping that has changed since, and upsert it ``into`` this or another
+    store. Of an item pulled several times the last one counts. Returns rows upserted."""
+    with (into or store).commit() as change:
+        return load_items(change, spec, staged_since(store, spec, pulled_since), None, replace(options, on_duplicate="last"))
+
+
 def ingest_entity(store: VersionedStore, spec: EntitySpec, pages: DataFrame, *, endpoint: str | None = None,
                   options: LoadOptions = LoadOptions()) -> EntityResult:
     """One run for one entity. Never raises for bad data; the result says what happened."""

@@ -14,7 +14,7 @@ from tallyweave.operators.purchase_orders import order_worklist, site_directory
 from tallyweave.plans import entities, ingest
 from tallyweave.plans.ingest import LoadOptions, ingest_entity, marks_table, order_pull_list, read_mark, run_entities, select_entities
 from tallyweave.sources.snapshot import EmptyRelation, LandedColumn, jdbc_relation, probe, select_list, snapshot_copy
-from tallyweave.sources.versioned import StoreConflict, VersionedStore
+from tallyweave.sources.versioned import Change, StoreConflict, VersionedStore
 from tallyweave.streaming.ingest import apply_batch, ingest_stream
 
 BY_NAME = {spec.name: spec for spec in entities.GROUPS["all"]}
@@ -124,14 +124,144 @@ def test_upsert(spark):
     assert values(merged, "k", "v", "synced_at") == [("a", 1, "old"), ("b", None, "new"), ("c", 3, "new")]
 
 
-def test_duplicate_and_missing_keys(spark):
-    twice = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, n int")
-    with pytest.raises(checks.IntegrityError):
-        upsert_ops.one_per_key(twice, "k")
-    assert values(upsert_ops.one_per_key(twice, "k", "last", "n"), "k", "n") == [("a", 2), ("b", 1)]
-    for how in ("error", "last"):
-        with pytest.raises(checks.IntegrityError):
-            upsert_ops.one_per_key(spark.createDataFrame([(None, 1)], "k string, n int"), "k", how, "n")
+def merge(old, new, **options):
+    return upsert_ops.merged(old, new, "k", 4, what="t", **options)
+
+
+def test_merge_refuses_missing_and_repeated_keys_as_it_runs(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    for rows in ([("a", 1), ("a", 2)], [(None, 1)], [("c", 1), ("c", 1)]):
+        plan = merge(old, spark.createDataFrame(rows, "k string, v int"))  # no job yet
+        with pytest.raises(Exception, match=r"t: key \(k\) is NULL or not unique"):
+            plan.collect()
+    with pytest.raises(Exception, match="NULL"):
+        merge(None, spark.createDataFrame([(None, 1)], "k string, v int"), on_duplicate="last").collect()
+    with pytest.raises(ValueError, match="error or last"):
+        merge(old, old, on_duplicate="first")
+
+
+@pytest.mark.parametrize("splits", [1, 3])
+def test_merge_keeps_the_last_copy_and_its_buckets(spark, splits):
+    old = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old")], "k string, v int, synced_at string")
+    new = spark.createDataFrame([("b", 5, 1, 9), ("b", 6, 2, 0), ("b", 7, 1, 10), ("c", None, 0, 0)], "k string, v int, page int, position int")
+    got = merge(old, upsert_ops.stamped(new, F.lit("new")), splits=splits, arrival=["page", "position"], on_duplicate="last")
+    assert values(got, "k", "v", "synced_at", "is_new") == [("a", 1, "old", False), ("b", 6, "new", True), ("c", None, "new", True)]
+    assert got.filter(F.col("bucket") != upsert_ops.bucket_of("k", 4)).count() == 0 and set(got.columns) == {"k", "v", "synced_at", "is_new", "bucket"}
+
+
+def test_merge_is_one_exchange(spark, tmp_path):
+    """Also with the write by bucket, which needs no sort of its own."""
+    for name, rows in (("old", spark.range(1000)), ("new", spark.range(500, 1500))):
+        rows.withColumn("v", F.lit(name)).write.parquet(f"{tmp_path}/{name}")
+    old, new = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("old", "new"))
+    plan = upsert_ops.merged(old, new, "id", 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
+def test_buckets_are_seen_in_a_bitmap(spark):
+    numbers = [0, 7, 8, 63, 64, 32767]
+    bitmap = spark.createDataFrame([(n,) for n in numbers * 2], "n long").agg(F.bitmap_construct_agg("n")).first()[0]
+    assert upsert_ops.buckets_in(bitmap) == numbers
+
+
+def test_catalogs_with_row_level_operations_merge_by_themselves(spark):
+    """A Parquet table has none and says so: the statement reaches the catalog."""
+    spark.sql("create table if not exists merge_target (k string, v int) using parquet")
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            upsert_ops.merge_into(spark.createDataFrame([("a", 1)], "k string, v int"), "merge_target", "k")
+    finally:
+        spark.sql("drop table merge_target")
+
+
+# Items to the letter
+
+@pytest.mark.parametrize("body, texts", [
+    ('[{"b": 1.50, "a": 1e3, "s": "x \\" 3.0: [4.50,", "b": 2.50}]', ['{"b":1.50,"a":1e3,"s":"x \\" 3.0: [4.50,","b":2.50}']),
+    ('{"items": [{"n": {"k": 1.0, "k": -0.0}, "big": 12345678901234567890.1230}, 5.0, "t 1.0", "{}", null, true, [1, 2.0]], "hasNext": true}',
+     ['{"n":{"k":1.0,"k":-0.0},"big":12345678901234567890.1230}', "5.0", '"t 1.0"', '"{}"', "null", "true", "[1,2.0]"]),
+    ('{"items":[1],"items":[2.0,3]}', ["2.0", "3"]), ("[]", []), ('[{"u": "\ue000 7.0", "n": 1.0}]', ['{"u":"\ue000 7.0","n":1.0}']),
+    ('{"other": 1.0}', []), ("{broken", []), (' [ { } ]', ["{}"]),
+])
+def test_items_keep_numbers_and_keys_as_they_came(spark, body, texts):
+    items = envelope.unnest(pages(spark, body), text="raw").orderBy("position")
+    assert [row["raw"] for row in items.collect()] == texts
+
+
+def test_a_single_order_keeps_its_text(spark):
+    got = envelope.unnest(pages(spark, '{"guid": "x", "z": 1.50, "guid": "y"}', '{"items": [{"a": 2.0}]}'), single_orders=True, text="raw")
+    assert values(got, "raw") == [('{"a":2.0}',), ('{"guid":"x","z":1.50,"guid":"y"}',)]
+
+
+def test_of_a_repeated_key_the_last_value_loads(spark, store):
+    body = '{"items":[{"id":"%s","number":"first","number":"last"}],"items":[{"id":"%s","number":"a","number":"b"}]}' % (guid(1), guid(2))
+    result = ingest_entity(store, BY_NAME["nonconformances"], pages(spark, body), options=OPTIONS)
+    assert (result.status, result.rows_upserted, result.responses_rejected) == ("success", 1, 0)
+    assert values(store.read("nonconformances"), "nonconformance_id", "number") == [(guid(2), "b")]
+
+
+# Raw tables by day, and replay
+
+def test_replay_reads_only_the_days_it_needs(spark, store, tmp_path):
+    spec = BY_NAME["nonconformances"]
+    for day in (1, 2, 3):
+        at_day = LoadOptions(buckets=4, now=dt.datetime(2024, 5, day, 12, tzinfo=dt.timezone.utc))
+        assert not ingest_entity(store, spec, pages(spark, [nc(day, number=f"day {day}"), nc(9, number=f"nine {day}")]), options=at_day).error
+    since = dt.datetime(2024, 5, 2, tzinfo=dt.timezone.utc)
+    rows = ingest.staged_since(store, spec, since)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pulled_on" in plan and "pulled_on#" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert rows.count() == 4
+    assert ingest.staged_since(store, spec, dt.datetime(2024, 5, 2, 13, tzinfo=dt.timezone.utc)).count() == 2
+    other = VersionedStore(spark, str(tmp_path / "other"))
+    assert ingest.replay(store, spec, since, OPTIONS, other) == 3
+    assert values(other.read("nonconformances"), "nonconformance_id", "number") == [(guid(2), "day 2"), (guid(3), "day 3"), (guid(9), "nine 3")]
+
+
+def test_items_of_two_targets_are_parsed_once(spark, store, monkeypatch):
+    spec, parsed = BY_NAME["products"], []
+    seen = ingest.variants.with_parsed
+    monkeypatch.setattr(ingest.variants, "with_parsed", lambda df, text, name: parsed.append(name) or seen(df, text, name))
+    mapped, original = [], type(spec).map
+    monkeypatch.setattr(type(spec), "map", lambda self, items, *more: mapped.append(items) or original(self, items, *more))
+    ingest_entity(store, spec, pages(spark, [{"id": guid(1), "revisions": {"items": [{"id": guid(2), "code": "R"}]}}]), options=OPTIONS)
+    assert parsed.count("item") == 1 and len(mapped) == 2
+    assert all("parse_json" not in items._jdf.queryExecution().optimizedPlan().toString() for items in mapped)
+
+
+def test_manifests_stay_small_over_many_appends(spark, store, monkeypatch):
+    sizes, rows, write = [], spark.range(1).coalesce(1), Change._write
+    for n in range(200):
+        monkeypatch.setattr(Change, "_write", write if n % 50 == 0 else lambda *given: 0)  # most of them without rows
+        with store.commit() as change:
+            change.append("log", rows)
+        sizes.append(len(json.dumps(store.manifest().__dict__)))
+    assert max(sizes) - min(sizes) <= 2 and store.read("log").count() == 4 and len(store._names("_appends")) == 200
+
+
+def test_appends_of_failed_commits_are_not_seen(spark, store):
+    def append(change, n):
+        change.append("log", spark.range(n).withColumn("day", F.lit("d")), ["day"])
+        return change
+
+    with store.commit() as change:
+        append(change, 2)
+    with pytest.raises(RuntimeError):
+        with store.commit() as change:
+            append(change, 3)
+            assert change.read("log").count() == 5 and change.written("log").count() == 3
+            raise RuntimeError("stop")
+    assert store.read("log").count() == 2
+    with store.commit() as change:
+        append(change, 4)
+    assert store.read("log").count() == 6
+    folder = store._path(f"{store.root}/_appends")
+    newest = max(store._names("_appends"))
+    store._fs.delete(store._path(f"{store.root}/_appends/{newest}"), False)  # as if the writer had died before it wrote it
+    assert store.read("log").count() == 6
+    with store.commit() as change:
+        change.set_batch("x", 1)
+    assert store.read("log").count() == 6 and newest in store._names("_appends") and folder
 
 
 # Runs
