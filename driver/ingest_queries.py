@@ -14,11 +14,11 @@ from tallyweave.functions import variants
 from tallyweave.functions.times import instant_literal, safe_date
 from tallyweave.operators import checks, envelope, mapping, purchase_orders, upsert as upsert_ops
 from tallyweave.operators.mapping import AMOUNT, AUDIT_TIME, INT, Field, first, nested, plain, text
-from tallyweave.plans.entities import EntitySpec, target
+from tallyweave.plans.entities import GROUPS, EntitySpec, target
 from tallyweave.plans.ingest import (
-    RUN_LOG, EntityResult, LoadOptions, ingest_entity, land, marks_table, order_pull_list, replay, since, upsert_target, write_run_log,
+    RUN_LOG, EntityResult, LoadOptions, ingest_entity, land, marks_table, order_pull_list, replay, run_entities, since, upsert_target, write_run_log,
 )
-from tallyweave.sources.snapshot import snapshot_copy
+from tallyweave.sources.snapshot import probe, snapshot_copy
 from tallyweave.sources.staging import new_path
 from tallyweave.sources.versioned import VersionedStore
 from tallyweave.streaming.ingest import ingest_stream
@@ -298,8 +298,45 @@ def q_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_row_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     (products,) = load(spark, sf_dir, "f_products")
+    given = products.select(F.expr(_ODD_CODE).alias("code"), "is_buy")
     rules = checks.row_violations(["code", "is_buy"], {"code": 40})
-    return products.select(F.explode(rules).alias("rule")).groupBy("rule").agg(F.count("*").alias("rows"))
+    return given.select(F.explode(rules).alias("rule")).groupBy("rule").agg(F.count("*").alias("rows"))
+
+
+def q_mapping_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items whose numbers do not fit, whose texts are too long, and whose keys are missing."""
+    base_table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    items = envelope.unnest(spark.sql(f"select {_UNFIT} as body from events"))
+    rules = EVENTS.map(items, EVENTS.targets[0]).select(F.explode(mapping.VIOLATIONS).alias("rule"))
+    return rules.groupBy("rule").agg(F.count("*").alias("rows"))
+
+
+def q_probe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that a snapshot copy would land of three relations, and how many rows they have."""
+    found = None
+    for name in ("orders", "events", "documents"):
+        relation = base_table(spark, sf_dir, name)
+        listed = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c.name).alias("name"), F.lit(c.type).alias("type"))
+                           for i, c in enumerate(probe(relation, name, ["ts"] if name == "events" else []), 1)])
+        own = relation.agg(F.count("*").alias("rows")).select(F.lit(name).alias("relation"), "rows", F.explode(listed).alias("c"))
+        found = own if found is None else found.unionByName(own)
+    return found.select("relation", "rows", "c.*")
+
+
+def q_run_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three entities ingested side by side, one of which fails: what the log says of each, and what its table holds."""
+    store = VersionedStore(spark, new_path(spark, "entities"))
+    given = {}
+    for name in ("skills", "users", "work_centers"):
+        spec = next(spec for spec in GROUPS["all"] if spec.name == name)
+        sql = item_fixtures.items_sql(spec)
+        for read in set(reads(sql)) & set(BASE_TABLES):
+            base_table(spark, sf_dir, read).createOrReplaceTempView(read)
+        given[name] = spark.sql(sql).select("body")
+    given["users"] = given["users"].union(given["users"])  # every key twice
+    run_entities(store, given, list(given), OPTIONS, side_by_side=3)
+    held = spark.createDataFrame([(name, store.read(name).count() if store.has(name) else 0) for name in given], "endpoint_name string, held long")
+    return store.read(RUN_LOG).select("endpoint_name", "rows_pulled", "rows_upserted", "status").join(F.broadcast(held), "endpoint_name")
 
 
 def _map_query(table: str):
@@ -347,6 +384,9 @@ _MERGED = """
 
 _SPELLED = """concat('{"z":1.50,"eventId":"wrong","n":{"k":1e3,"k":-0.0},"a":12345678901234567890.10,"eventId":"e', cast(event_id as string),
     '","status":{"id":', cast(cast(user_id as int) as string), '},"note":"x 1.0: [2.50,"}')"""
+_ODD_CODE = "case when product_id % 7 = 0 then null when product_id % 5 = 0 then concat(code, repeat('x', 40)) else code end"
+_UNFIT = """concat('[{"id":', case when event_id % 4 = 0 then 'null' else concat('"', case when event_id % 4 = 2 then repeat('k', 51) else 'k' end, '"') end,
+    ',"status":{"id":', case when event_id % 4 = 1 then '3000000000' else '7' end, ',"description":"', case when event_id % 4 = 2 then repeat('d', 101) else 'd' end, '"}}]')"""
 _LATE = "concat(cast(cast(ts as date) as string), ' 23:30:00.0000000 -05:00')"
 _ITEM = """concat('{{"id":"e', cast(event_id as string), '","status":{{"id":{0},"description":"{1}"}}}}')"""
 _TWICE = f"concat('[', {_ITEM.format(1, 'first')}, ',', {_ITEM.format(2, 'second')}, ']')"
@@ -373,12 +413,32 @@ ORACLES = {
     "key_violations": with_views("""
         select product_id, due_at, count(*) as rows from f_planning group by all having count(*) > 1 or product_id is null or due_at is null
     """),
-    "row_violations": with_views("""
+    "row_violations": with_views(f"""
+        with given as (select {_ODD_CODE} as code, is_buy from f_products)
         select rule, count(*) as rows from (
-          select 'code is null' as rule from f_products where code is null union all
-          select 'is_buy is null' from f_products where is_buy is null union all
-          select 'code is longer than 40' from f_products where length(code) > 40) group by rule
+          select 'code is null' as rule from given where code is null union all
+          select 'is_buy is null' from given where is_buy is null union all
+          select 'code is longer than 40' from given where length(code) > 40) group by rule
     """),
+    "mapping_violations": """
+        select unnest(rules) as rule, count(*) as rows from (
+          select case event_id % 4 when 0 then ['event_id is null'] when 1 then ['status_id is not a int']
+                      when 2 then ['event_id is longer than 50', 'status_description is longer than 100'] else [] end as rules from events)
+        group by rule
+    """,
+    "probe_columns": """
+        with sizes as (select 'orders' as relation, count(*) as rows from orders union all select 'events', count(*) from events
+                       union all select 'documents', count(*) from documents)
+        select relation, rows, cast(column_index as integer) as position, column_name as name,
+               case when column_name = 'ts' then 'varchar(50)' when data_type = 'VARCHAR' then 'string' when data_type = 'INTEGER' then 'int'
+                    when data_type = 'TIMESTAMP' then 'timestamp_ntz' else lower(data_type) end as type
+        from duckdb_columns() join sizes on relation = table_name
+    """,
+    "run_entities": """
+        select name as endpoint_name, n * copies as rows_pulled, case when copies = 1 then n else 0 end as rows_upserted,
+               case when copies = 1 then 'success' else 'failed' end as status, case when copies = 1 then n else 0 end as held
+        from (select count(*) as n from orders) cross join (values ('skills', 1), ('users', 2), ('work_centers', 1)) v(name, copies)
+    """,
     "json_entity_map": _EVENTS,
     "json_child_explode": _RECORDS,
     "envelope_shapes": """

@@ -104,6 +104,15 @@ def q_part_report_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).allocation
 
 
+def q_part_report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each row of the allocation stands in reading order."""
+    return _report(spark, sf_dir).in_order("allocation").select("part_number", "demand_id", "supply_id", "position")
+
+
+def q_excess_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).in_order("excess").select("part_number", "supply_id", "position")
+
+
 def q_part_report_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).excess
 
@@ -279,3 +288,15 @@ ORACLES = {
         select b.* exclude (rn), r.code as part_number
         from blocked b join resolved r on r.product_id = b.product_id where b.rn = 1"""),
 }
+
+ORACLES |= {
+    "part_report_order": f"""
+        select part_number, demand_id, supply_id,
+               row_number() over (order by need_date nulls first, demand_id nulls first, ecd_date nulls first, supply_id nulls first) as position
+        from ({ORACLES["part_report_allocation"]})
+    """,
+    "excess_order": f"""
+        select part_number, supply_id, row_number() over (order by ecd_date nulls first, supply_id nulls first) as position
+        from ({ORACLES["part_report_excess"]})
+    """,
+}

@@ -60,3 +60,15 @@ def sequence(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str
         return numbered
     chunked = ordered_chunks(hot, by, order, "sequence", chunks or chunk_count(hot, hot_rows))
     return numbered.unionByName(chunked_running_sum(chunked, by, order, F.lit(1), out).drop(CHUNK))
+
+
+def positions(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
+    """The place of each row, from 1, in a total order over the whole frame. Ranges of the order are sorted side by side and written out;
+    each starts from the rows of the ranges before it, a table of one row per range."""
+    sorted_ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the lower bits number the rows of a partition
+    written = stage(sorted_ranges.withColumns({CHUNK: F.spark_partition_id(), "_at": at}), "positions")
+    sizes = written.groupBy(CHUNK).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)  # over one row per range
+    start = sizes.select(CHUNK, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_start"))
+    return written.join(F.broadcast(start), CHUNK).withColumn(out, F.col("_at") + F.col("_start")).drop(CHUNK, "_at", "_start")

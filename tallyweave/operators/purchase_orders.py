@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.functions.amounts import line_amount
 from tallyweave.functions.texts import SHOWN
-from tallyweave.operators.checks import assert_unique
+from tallyweave.operators.checks import unique_rows
 from tallyweave.operators.hot_keys import HOT_ROWS, lookup
 
 # Fixed value: the status that takes a line or header out of the summary.
@@ -14,8 +14,8 @@ CANCELLED = "CANCELLED"
 
 
 def live_headers(headers: DataFrame) -> DataFrame:
-    """Headers that are not cancelled; a header without a status is dropped."""
-    return headers.filter(F.col("status") != CANCELLED).select("header_id")
+    """Headers that are not cancelled; a header without a status is dropped. A repeated id is an error, whatever its status."""
+    return unique_rows(headers, "header_id", "status", what="order headers").filter(F.col("status") != CANCELLED).select("header_id")
 
 
 def receipt_summary(lines: DataFrame, headers: DataFrame) -> DataFrame:
@@ -25,7 +25,6 @@ def receipt_summary(lines: DataFrame, headers: DataFrame) -> DataFrame:
     join as one row. A line without a status counts as cancelled. An order whose lines are all
     cancelled is received; one whose open quantities are all unknown is not.
     """
-    assert_unique(headers, "header_id", what="order headers")
     live = F.col("status") != CANCELLED
     value = F.coalesce("unit_cost", F.lit(0)) * F.col("qty_ordered")
     per_header = lines.groupBy("header_id", "header_number").agg(
@@ -48,11 +47,10 @@ def receipt_summary(lines: DataFrame, headers: DataFrame) -> DataFrame:
 
 def approvals_by_po(approvals: DataFrame, issues: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per order number: the authorised amount over all approvals that cite it, and their highest status."""
-    assert_unique(issues, "issue_id", what="issues")
     written = [name for name in approvals.columns if name == f"po_number{SHOWN}"]
     cited = approvals.filter(F.col("po_number").isNotNull()).select("issue_id", "po_number", "total_cost", *written)
-    with_status = lookup(cited, issues.select("issue_id", "status"), ["issue_id"], ["issue_id", "po_number"],
-                         how="inner", hot_rows=hot_rows)
+    known = unique_rows(issues, "issue_id", "status", what="issues")
+    with_status = lookup(cited, known, ["issue_id"], ["issue_id", "po_number"], how="inner", hot_rows=hot_rows)
     return with_status.groupBy("po_number").agg(
         F.sum("total_cost").alias("authorized_amount"),
         F.max("status").alias("approval_status"), *[F.min(name).alias(name) for name in written],

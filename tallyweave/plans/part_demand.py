@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave.functions import texts
 from tallyweave.operators import allocation, parts
 from tallyweave.operators.hot_keys import HOT_ROWS, hot_keys, lookup
+from tallyweave.operators.ordered import positions
 from tallyweave.sources.staging import stage
 
 
@@ -38,6 +39,13 @@ class PartInputs:
         )
 
 
+# The reading order of the two lists of a report.
+READING_ORDER = {
+    "allocation": ("need_date", "demand_id", "ecd_date", "supply_id"),
+    "excess": ("ecd_date", "supply_id"),
+}
+
+
 class PartReport:
     """The report for the given part codes (a list, or a frame with the column ``code`` if they are many), or for all parts. Each part of it is computed when it is first asked for;
     what several of them need, the resolved parts and the segments of the allocation, is computed once.
@@ -99,14 +107,21 @@ class PartReport:
         labels = self.codes.join(parts.default_revisions(self.inputs.product_revisions), "product_id", "left").select(
             "product_id", "part_number", parts.revision_label(F.col("default_revision")).alias("demand_rev"))
         rows = self._named(allocation.allocations(self.segments), labels, self.hot_products, "demand_id", "supply_id")
-        if not self.reading_order:
-            return rows
-        return rows.orderBy(F.asc_nulls_first("need_date"), "demand_id", F.asc_nulls_first("ecd_date"), "supply_id")
+        return rows.orderBy(*self._order("allocation")) if self.reading_order else rows
 
     @cached_property
     def excess(self) -> DataFrame:
         rows = self._named(allocation.excess(self.segments), self.codes, self.hot_products, "supply_id")
-        return rows.orderBy(F.asc_nulls_first("ecd_date"), "supply_id") if self.reading_order else rows
+        return rows.orderBy(*self._order("excess")) if self.reading_order else rows
+
+    @staticmethod
+    def _order(part: str) -> list[Column]:
+        return [F.asc_nulls_first(name) for name in READING_ORDER[part]]
+
+    def in_order(self, part: str) -> DataFrame:
+        """``allocation`` or ``excess`` with ``position``, the place of each row in reading order, which unlike the order of rows
+        outlives writing and joining."""
+        return positions(getattr(self, part), self._order(part))
 
     @cached_property
     def blocked(self) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from decimal import Decimal
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +24,7 @@ from tallyweave.functions.times import instant_literal, to_millis
 from tallyweave.operators import bills as bill_ops, checks, classify
 from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, lookup
 from tallyweave.operators.purchase_orders import approvals_by_po, receipt_summary
-from tallyweave.sources.staging import stage
+from tallyweave.sources.staging import Stages
 from tallyweave.sources.versioned import VersionedStore
 
 # The output columns in order, their length limits, and the key prefix of rows
@@ -111,25 +111,20 @@ def order_facts(parsed: DataFrame, inputs: MatchInputs, options: MatchOptions =
     )
 
 
-def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
-                options: MatchOptions = MatchOptions()) -> DataFrame:
-    """One row per bill with its status."""
-    spread = ["bill_id"]
-    checks.assert_unique(vendors, "vendor_id", what="vendors")
-    with_vendor = lookup(parsed, vendors.select("vendor_id", F.col("vendor_name").alias("supplier")),
-                         ["vendor_id"], spread, hot_rows=options.hot_rows)
+def bill_statuses(parsed: DataFrame, facts: DataFrame, options: MatchOptions = MatchOptions()) -> DataFrame:
+    """One row per bill with its status, still with the id of its vendor."""
     busy = heavy_keys(facts, ["po_number"], "bills", options.hot_rows)
     per_order = facts.filter("bills is not null").select(
         "po_number", "billed_amount", "authorized_amount", "approval_status", "is_fully_received",
         "has_suspended_line",
     )
-    joined = lookup(with_vendor, per_order, ["po_number"], spread, hot=busy)
+    joined = lookup(parsed, per_order, ["po_number"], ["bill_id"], hot=busy)
     bucket = classify.status_bucket(
         F.col("po_number"), F.col("billed_amount"), F.col("authorized_amount"), F.col("is_fully_received"),
         options.tolerance, options.overrun,
     )
     return joined.select(
-        "bill_id", texts.shown(joined, "po_number").alias("po_number"), "memo", "invoice_number", "supplier", money(F.col("amount")).alias("bill_amount"),
+        "bill_id", texts.shown(joined, "po_number").alias("po_number"), "memo", "invoice_number", "vendor_id", money(F.col("amount")).alias("bill_amount"),
         texts.shown(joined, "status").alias("bill_status"), "payment_status", to_millis(F.col("submitted_at")).alias("bill_submitted_at"),
         money(F.col("authorized_amount")).alias("authorized_amount"), "approval_status", "is_fully_received",
         "has_suspended_line", bucket.alias("status_bucket"),
@@ -137,6 +132,14 @@ def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
     ).withColumn("match_flag", classify.match_flag(F.col("status_bucket")))
 
 
+def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
+                options: MatchOptions = MatchOptions()) -> DataFrame:
+    """One row per bill with its status and its vendor's name."""
+    known = checks.unique_rows(vendors.select("vendor_id", F.col("vendor_name").alias("supplier")), "vendor_id", "supplier", what="vendors")
+    statuses = bill_statuses(parsed, facts, options)
+    return lookup(statuses, known, ["vendor_id"], ["bill_id"], hot_rows=options.hot_rows).drop("vendor_id")
+
+
 def awaiting_rows(facts: DataFrame, options: MatchOptions = MatchOptions()) -> DataFrame:
     """One row per approved order that no bill cites. A VOID bill counts as citing it.
 
@@ -154,27 +157,58 @@ def awaiting_rows(facts: DataFrame, options: MatchOptions = MatchOptions()) -> D
     )
 
 
-class MatchResult(NamedTuple):
-    rows: DataFrame
-    rejects: DataFrame
+class Match:
+    """The match of the given inputs. Each part is computed when it is first asked for; the parsed bills and the facts per order,
+    which several parts read, are staged once. ``release`` (or leaving a ``with`` block) deletes them.
 
+    ``rows``, ``rejects`` (bills whose raw record is not JSON; they stay in the match, without an order number) and ``rollup``.
+    """
 
-def match_with_rejects(inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> MatchResult:
-    """The match, and the bills whose raw record is not JSON. Those stay in the match, without an
-    order number. Steps 1 and 2 run when this is called."""
-    if options.case_insensitive:
-        inputs = inputs.folded()
-    parsed = stage(parsed_bills(inputs.bills, options), "parsed-bills")
-    facts = stage(order_facts(parsed, inputs, options), "order-facts")
-    rows = billed_rows(parsed, facts, inputs.vendors, options).unionByName(
-        awaiting_rows(facts, options), allowMissingColumns=True,
-    )
-    return MatchResult(rows.withColumn("matched_at", options.batch_time()).select(*COLUMNS), bill_ops.malformed(parsed))
+    def __init__(self, inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> None:
+        self.inputs = inputs.folded() if options.case_insensitive else inputs
+        self.options = options
+        self._stages = Stages()
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return self._stages.stage(parsed_bills(self.inputs.bills, self.options), "parsed-bills")
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return self._stages.stage(order_facts(self.parsed, self.inputs, self.options), "order-facts")
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """All bills and all unbilled approvals, 17 columns."""
+        billed = billed_rows(self.parsed, self.facts, self.inputs.vendors, self.options)
+        both = billed.unionByName(awaiting_rows(self.facts, self.options), allowMissingColumns=True)
+        return both.withColumn("matched_at", self.options.batch_time()).select(*COLUMNS)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return bill_ops.malformed(self.parsed)
+
+    @cached_property
+    def rollup(self) -> DataFrame:
+        """``status_rollup`` of the rows, without looking up what it does not show."""
+        billed = bill_statuses(self.parsed, self.facts, self.options)
+        return status_rollup(billed.unionByName(awaiting_rows(self.facts, self.options), allowMissingColumns=True))
+
+    def release(self) -> None:
+        self._stages.release()
+        for name in ("parsed", "facts", "rows", "rejects", "rollup"):
+            self.__dict__.pop(name, None)
+
+    def __enter__(self) -> Match:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.release()
 
 
 def three_way_match(inputs: MatchInputs, options: MatchOptions = MatchOptions()) -> DataFrame:
     """All bills and all unbilled approvals, 17 columns."""
-    return match_with_rejects(inputs, options).rows
+    return Match(inputs, options).rows
 
 
 def status_rollup(match: DataFrame) -> DataFrame:
@@ -188,13 +222,12 @@ def refresh_match_results(store: VersionedStore, inputs: MatchInputs, options: M
                           table: str = "match_results") -> int:
     """Rebuild the match table and the list of unreadable bills. The new version is written once,
     checked, and published only then; on failure the old one stays."""
-    result = match_with_rejects(inputs, options)
-    with store.commit() as change:
-        written = change.replace(table, result.rows)
+    with Match(inputs, options) as match, store.commit() as change:
+        written = change.replace(table, match.rows)
         new = change.read(table)
         checks.assert_key(new, "bill_id", what=table)
         checks.assert_rows(new, checks.row_violations(REQUIRED, MAX_LENGTH), what=table)
-        change.replace(f"{table}_rejects", result.rejects)
+        change.replace(f"{table}_rejects", match.rejects)
     return written
 
 

@@ -18,6 +18,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.scheduler.mode": "FAIR",  # entities that are ingested side by side share the cluster
     "spark.sql.session.timeZone": "UTC",
 }
 

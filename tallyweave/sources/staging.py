@@ -53,15 +53,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session or its gateway is gone; the folder's own retention applies
+        pass
+
+
 def release(keep: int = 0) -> None:
     """Delete the tables this process has staged, but for the first ``keep``. Frames built on them can no longer be read."""
     while len(_written) > keep:
-        spark, path = _written.pop()
-        try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session or its gateway is gone; the folder's own retention applies
-            continue
+        _delete(*_written.pop())
+
+
+class Stages:
+    """The staged tables of one owner, which go together."""
+
+    def __init__(self) -> None:
+        self._own: list[tuple[SparkSession, str]] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        before = len(_written)
+        rows = stage(df, name)
+        self._own += _written[before:before + 1]
+        return rows
+
+    def release(self) -> None:
+        while self._own:
+            entry = self._own.pop()
+            _delete(*entry)
+            if entry in _written:
+                _written.remove(entry)
 
 
 @contextmanager

@@ -4,6 +4,7 @@ import dataclasses
 import datetime as dt
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from conftest import values
 from tallyweave.operators import bills as bill_ops, checks
 from tallyweave.operators.purchase_orders import approvals_by_po, receipt_summary, totals_by_currency
 from tallyweave.plans.three_way_match import (
-    COLUMNS, MatchInputs, MatchOptions, publish, refresh_match_results, three_way_match,
+    COLUMNS, Match, MatchInputs, MatchOptions, publish, refresh_match_results, status_rollup, three_way_match,
 )
 from tallyweave.sources.versioned import VersionedStore
 
@@ -219,7 +220,7 @@ def test_refresh_and_publish(spark, store, tmp_path):
     assert reports.read("match_results").columns == list(COLUMNS)
 
     twice = inputs(spark, bills=[bill("a", 1, po(1)), bill("b", 1)], vendors=[("v1", "one"), ("v1", "two")])
-    with pytest.raises(checks.IntegrityError, match="vendors: key"):
+    with pytest.raises(Exception, match="vendors: key"):
         refresh_match_results(store, twice, MatchOptions(as_of=NOW))
     long_memo = inputs(spark, bills=[bill("a", 1, "m" * 501)])
     with pytest.raises(checks.IntegrityError, match="memo is longer than 500"):
@@ -245,5 +246,19 @@ def test_repeated_right_sides_are_refused(spark, what):
     field = {"vendors": "vendors", "issues": "issues", "headers": "po_headers"}[what]
     twice = getattr(given, field)
     twice = dataclasses.replace(given, **{field: twice.union(twice)})
-    with pytest.raises(checks.IntegrityError, match="not unique"):
-        three_way_match(twice, MatchOptions(as_of=NOW))
+    with pytest.raises(Exception, match="not unique"):
+        three_way_match(twice, MatchOptions(as_of=NOW)).collect()
+
+
+def test_building_a_match_runs_no_checks_and_a_rollup_reads_no_vendors(spark, monkeypatch, tmp_path):
+    given = inputs(spark, bills=[bill("a", 1, po(1)), bill("b", 1)], approvals=[(1, po(1), 1), (2, po(2), 3)], lines=[line(1, 1, 1)])
+    given.vendors.write.parquet(f"{tmp_path}/vendors_table")
+    given = dataclasses.replace(given, vendors=spark.read.parquet(f"{tmp_path}/vendors_table"))
+    monkeypatch.setattr(checks, "assert_key", lambda *_, **__: pytest.fail("a job to check keys"))
+    with Match(given, MatchOptions(as_of=NOW)) as match:
+        by_rows = values(status_rollup(match.rows), "status_bucket", "match_flag", "rows", "bill_amount")
+        assert values(match.rollup, "status_bucket", "match_flag", "rows", "bill_amount") == by_rows
+        assert "vendors_table" in match.rows._jdf.queryExecution().toString()
+        assert "vendors_table" not in match.rollup._jdf.queryExecution().toString()
+        paths = [path for _, path in match._stages._own]
+    assert len(paths) == 2 and not any(Path(path.removeprefix("file://")).exists() for path in paths)
