@@ -212,7 +212,8 @@ def needed(*names: str) -> list[str]:
 
 
 def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A test table over all cores; each is a single row group, which one task would read and derive everything from."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(spark.sparkContext.defaultParallelism)
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

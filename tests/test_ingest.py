@@ -339,6 +339,20 @@ def test_one_failing_entity_does_not_stop_the_others(spark, store):
         ("inspection_codes", 0, 0, "failed"), ("skills", 1, 1, "success"), ("users", 1, 0, "failed")]
 
 
+@pytest.mark.parametrize("order", [["users", "skills", "work_centers"], ["work_centers", "skills", "users"]])
+def test_entities_side_by_side_give_what_they_give_in_turn(spark, store, tmp_path, order):
+    given = {"users": pages(spark, [{"id": "bad"}]), "skills": pages(spark, [{"id": guid(1), "siteId": guid(2)}]),
+             "work_centers": pages(spark, [{"id": guid(n), "site": {"id": guid(9), "code": "S"}} for n in (1, 2)])}
+    in_turn = VersionedStore(spark, str(tmp_path / "turn"))
+    assert [r.name for r in run_entities(in_turn, given, order, OPTIONS).results] == [s.name for s in select_entities(order)]
+    summary = run_entities(store, {name: given[name] for name in order}, order, OPTIONS, side_by_side=3)
+    assert [(r.name, r.status) for r in summary.results] == [(r.name, r.status) for r in run_entities(in_turn, given, order, OPTIONS).results]
+    for name in ("skills", "work_centers", "staging/users"):
+        columns = [c for c in store.read(name).columns if c not in ("synced_at", "pulled_at", "pulled_on")]
+        assert values(store.read(name).select(*columns).distinct(), *columns) == values(in_turn.read(name).select(*columns).distinct(), *columns)
+    assert not store.has("users") and store.read(ingest.RUN_LOG).count() == 3
+
+
 def test_selection():
     assert [s.name for s in select_entities("fast")] == ["nonconformances", "conditions"]
     assert len(select_entities("slow")) == 12 and len(select_entities()) == 14

@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from tallyweave.operators import hot_keys as hot_keys_module
+from tallyweave.operators.hot_keys import hot_keys
+from tallyweave.operators.ordered import positions
 from tallyweave.operators import allocation, ordered, parts
 from tallyweave.plans.part_demand import PartInputs, UnknownPart, part_demand_status, single_part_status
 
@@ -259,3 +262,32 @@ def test_no_hot_key_is_left_whole(spark):
 
     rows = spark.range(30_000).selectExpr("id % 15000 as k")
     assert hot_keys(rows, ["k"], 2).count() == 15_000 and hot_keys(rows, ["k"], 3).count() == 0
+
+
+# Hot keys by sketch, and positions
+
+@pytest.mark.parametrize("kind", ["string", "long", "int", "decimal(9,0)"])
+def test_hot_keys_are_found_without_shuffling_keys(spark, kind):
+    spread = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).when(F.col("id") % 50 == 2, 8).otherwise(F.col("id") + 100).cast(kind).alias("k"))
+    keys = hot_keys(spread.repartition(5), ["k"], 1_000)
+    assert keys.schema["k"].dataType == spread.schema["k"].dataType
+    assert sorted((row["k"] for row in keys.collect()), key=repr) == sorted((row["k"] for row in spread.groupBy("k").count().filter("count >= 1000").collect()), key=repr)
+    assert "hashpartitioning" not in keys._jdf.queryExecution().executedPlan().toString()
+    assert hot_keys(spread, ["k"], 30_000).collect() == [] and hot_keys(spread.limit(0), ["k"], 1).collect() == []
+
+
+def test_every_key_over_the_bound_of_the_sketch_is_found(spark, monkeypatch):
+    """Far more keys than the sketch keeps; each key with more than one of TRACKED / 7 rows must come out."""
+    monkeypatch.setattr(hot_keys_module, "TRACKED", 1024)
+    rows = spark.range(40_000).select(F.when(F.col("id") % 40 < 4, F.col("id") % 40 % 4).otherwise(F.col("id") + 100).alias("k")).repartition(7)
+    assert sorted(row["k"] for row in hot_keys(rows, ["k"], 900).collect()) == [0, 1, 2, 3]
+
+
+def test_positions_number_a_total_order(spark):
+    rows = [(n % 5 if n % 7 else None, n) for n in range(500)]
+    df = spark.createDataFrame(rows, "a int, n int").repartition(6)
+    placed = positions(df, [F.asc_nulls_first("a"), F.desc("n")])
+    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, -r[1]))
+    assert [tuple(r) for r in placed.orderBy("position").select("a", "n").collect()] == expected
+    assert [r["position"] for r in placed.orderBy("position").collect()] == list(range(1, 501))
+    assert positions(df.limit(0), [F.asc("n")]).collect() == []
