@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,16 @@ def components(edges: DataFrame) -> DataFrame:
         mark = (count, total)
     stars = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return stars.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def merged_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Within a task: the smallest row number of each row's component, after linking the rows a and b. ``labels`` is changed."""
+    while True:
+        x, y = labels[a], labels[b]
+        apart = x != y
+        if not apart.any():
+            return labels
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(labels, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(jumped := labels[labels], labels):
+            labels = jumped

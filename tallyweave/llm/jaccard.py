@@ -4,21 +4,22 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
 one node from the start. Then:
 
 1. *Stars.* Of the nodes that share a min-hash, the one with the fewest rare shingles is their hub; the others are compared with it,
-   and what is linked becomes a component. This is linear, and a large group of near copies is one component from here on.
+   and what is linked becomes a component. This is linear, and a large group of near copies is one component from here on. A node that
+   shares half its shingles with a hub is kept as its differences from the hub, and the nodes around one hub are held against each other
+   by them: what two sets have in common follows from what each shares with the hub and from the differences they share.
 2. *Prefixes.* Shingles are ordered from rare to frequent by counts over all documents. If two sets have t shingles
    in common, the first n - t + l of either share at least l. Every document chooses its l from the estimated cost of
    its candidates: the more rows its prefix would meet, the longer it makes the prefix and the more shared shingles it asks
    for. The larger document of a pair decides.
 3. *Counting.* Prefix shingles meet by hash. Those that one node alone has are dropped at once; of the rest, pairs in different
-   components are counted, and pairs with too few shared prefix shingles are dropped. Pairs within a component need
-   no further proof, so a group of copies never makes all its pairs. Nor does what is left of a group around its hub: two
-   nodes that share nothing outside their hub share at most what either shares with the hub. Where that is too little, the pair
-   is left to a count of the shingles that the hub lacks, which are few and rare.
+   components and around different hubs are counted, and pairs with too few shared prefix shingles are dropped. Pairs within a component
+   need no further proof, so a group of copies never makes all its pairs, and pairs around one hub have been decided before.
 4. *Verification* of what is left, on the whole sets, and connected components.
 
 The counts of step 2 are kept in a table of fixed size (``CELLS``), which is the only thing besides bit fields of bounded size
 that the driver sees; sharing a cell makes a shingle seem more frequent, which changes costs and not results.
-A shingle of very many documents is met in blocks of pairs of salts, each of about ``HOT`` rows.
+A shingle of very many documents is met in blocks of pairs of salts, each of about ``HOT`` rows, and so are the nodes of a hub, of
+about ``HUB_NODES`` each; such a block gives one link per merged component.
 
 A document without words has an empty set and is linked with nothing. NULL text is empty; rows with a NULL id are grouped
 like others and count only if a group has no other id. Rows that repeat an id and text are one node; no rows give no rows; further columns are
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm.bits import bit_field, log2_bits_for, merged, segments
 from tallyweave.llm.common import numbered, text_or_empty
-from tallyweave.llm.components import components
+from tallyweave.llm.components import components, merged_labels
 from tallyweave.llm.shingles import mixed, shingle_sets
 from tallyweave.sources.staging import stage
 
@@ -51,6 +52,9 @@ PER_MATCH = 8  # at most one of them for so many shingles of the document
 POST, SCAN, VERIFY = 1.0, 0.2, 20.0  # costs of a prefix entry, of a row that it meets, of a candidate
 HOT = 20_000
 BUCKET_ROWS = 400_000
+HUB_NODES, HUB_BUCKET_NODES = 4096, 8192
+FEW = 64  # nodes that share a difference, up to which their pairs are counted one by one
+STRIP = 512
 
 
 def text_hash(text_column: str) -> Column:
@@ -194,9 +198,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, counts: Broadcast, words: int, t
     return stage(made, "jaccard-sets").dropDuplicates(["node"])
 
 
-def compared(pairs: DataFrame, sets: DataFrame, added: bool = False) -> DataFrame:
-    """The pairs with what their whole sets have in common: ``a``, ``b``, ``common``, ``na``, ``nb``; on request also ``added``, the shingles
-    of b that a lacks, where they share one of HUB_SHARE."""
+def compared(pairs: DataFrame, sets: DataFrame, deltas: bool = False) -> DataFrame:
+    """The pairs with what their whole sets have in common: ``a``, ``b``, ``common``, ``na``, ``nb``; on request also ``delta``, the shingles
+    that one of them alone has, where they share one of HUB_SHARE."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,15 +210,19 @@ def compared(pairs: DataFrame, sets: DataFrame, added: bool = False) -> DataFram
                 at = np.searchsorted(x, y)
                 at[at == len(x)] = 0
                 both = x[at] == y
-                common = int(both.sum())
-                rows.append((common, len(x), len(y), y[~both].tobytes() if added and common * HUB_SHARE >= len(x) + len(y) - common else None))
+                common, delta = int(both.sum()), None
+                if deltas and common * HUB_SHARE >= len(x) + len(y) - common:
+                    own = np.ones(len(x), bool)
+                    own[at[both]] = False
+                    delta = np.concatenate([x[own], y[~both]]).tobytes()
+                rows.append((common, len(x), len(y), delta))
             made = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *made], ["a", "b", "common", "na", "nb", "added"])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *made], ["a", "b", "common", "na", "nb", "delta"])
 
     one = sets.select("node", "shingles")
     left = pairs.join(one.select(F.col("node").alias("_a"), F.col("shingles").alias("sa")).hint("merge"), F.col("a") == F.col("_a"))
     both = left.join(one.select(F.col("node").alias("_b"), F.col("shingles").alias("sb")).hint("merge"), F.col("b") == F.col("_b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long, common long, na long, nb long, added binary")
+    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long, common long, na long, nb long, delta binary")
 
 
 def linked(compared_pairs: DataFrame, threshold: Threshold) -> DataFrame:
@@ -223,15 +231,100 @@ def linked(compared_pairs: DataFrame, threshold: Threshold) -> DataFrame:
 
 
 def hubs_of(compared_pairs: DataFrame) -> DataFrame:
-    """For each node the hub it shares most with: ``node``, ``hub``, ``shared``, ``n``, ``added``. A hub is its own."""
-    near = compared_pairs.filter("added is not null")
+    """For each node the hub it shares most with: ``node``, ``hub``, ``hub_n``, ``shared``, ``n``, ``delta``. A hub is its own."""
+    near = compared_pairs.filter("delta is not null")
     own = near.groupBy(F.col("a").alias("node")).agg(F.first("na").alias("n")).select(
-        "node", F.col("node").alias("hub"), F.col("n").alias("shared"), "n", F.lit(b"").alias("added"))
-    best = near.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("common", "a", "nb", "added")).alias("m")).select(
-        "node", F.col("m.a").alias("hub"), F.col("m.common").alias("shared"), F.col("m.nb").alias("n"), F.col("m.added").alias("added"))
+        "node", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("n").alias("shared"), "n", F.lit(b"").alias("delta"))
+    best = near.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("common", "a", "na", "nb", "delta")).alias("m")).select(
+        "node", F.col("m.a").alias("hub"), F.col("m.na").alias("hub_n"), F.col("m.common").alias("shared"), F.col("m.nb").alias("n"), F.col("m.delta").alias("delta"))
     return own.unionByName(best.join(own.select(F.col("node").alias("_own")), F.col("node") == F.col("_own"), "left_anti"))
 
 
+def shared_differences(deltas: list[np.ndarray], rows: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For strips of the first ``rows`` deltas, how many elements each has in common with each delta: ``(first row, counts)``. An element
+    that few have is counted pair by pair, one that many have by a product of matrices."""
+    sizes = np.array([len(d) for d in deltas])
+    tokens, of = np.unique(np.concatenate(deltas), return_inverse=True)
+    node = np.repeat(np.arange(len(deltas)), sizes)
+    held = np.bincount(of, minlength=len(tokens))
+    order = np.argsort(of, kind="stable")
+    of, node = of[order], node[order]
+    few = (held[of] > 1) & (held[of] <= FEW)
+    many = np.flatnonzero(held > FEW)
+    place = np.full(len(tokens), -1)
+    place[many] = np.arange(len(many))
+    thick_token, thick_node = place[of[held[of] > FEW]], node[held[of] > FEW]
+    of, node = of[few], node[few]
+    begin = np.searchsorted(of, of, "left")
+    group = np.searchsorted(of, of, "right") - begin
+    for first in range(0, rows, STRIP):
+        last = min(first + STRIP, rows)
+        counts = np.zeros((last - first, len(deltas)), np.float32)
+        own = np.flatnonzero((node >= first) & (node < last))
+        for step in range(0, len(own), 20_000):
+            part = own[step:step + 20_000]
+            each = group[part]
+            other = np.repeat(begin[part], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            np.add.at(counts, (np.repeat(node[part], each) - first, node[other]), 1)
+        for chunk in range(0, len(many), STRIP):
+            inside = (thick_token >= chunk) & (thick_token < chunk + STRIP)
+            table = np.zeros((STRIP, len(deltas)), np.float32)
+            table[thick_token[inside] - chunk, thick_node[inside]] = 1
+            counts += table[:, first:last].T @ table
+        yield first, counts
+
+
+def links_around(nodes: np.ndarray, component: np.ndarray, n: np.ndarray, shared: np.ndarray, hub_n: int, deltas: list[np.ndarray], rows: int,
+                 threshold: Threshold) -> list[tuple[int, int]]:
+    """Links that connect the components of nodes around one hub, the first ``rows`` held against all."""
+    start, component = np.unique(component, return_inverse=True)
+    if len(start) < 2:
+        return []
+    labels, of = np.arange(len(start)), np.full(len(start), -1)
+    of[component] = np.arange(len(nodes))  # a node of each component
+    for first, counts in shared_differences(deltas, rows):
+        own = slice(first, first + len(counts))
+        common = shared[own, None] + shared[None, :] - hub_n + counts.astype(np.int64)
+        x, y = np.nonzero(threshold.holds(common, n[own, None], n[None, :]) & (component[own, None] != component[None, :]))
+        labels = merged_labels(labels, component[x + first], component[y])
+    moved = np.flatnonzero(labels != np.arange(len(labels)))
+    return list(zip(nodes[of[moved]].tolist(), nodes[of[labels[moved]]].tolist()))
+
+
+def hub_links(hubs: DataFrame, early: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links ``a``, ``b`` among the nodes around each hub, exact on whole sets. Large hubs are met in blocks of pairs of salts."""
+    placed = hubs.join(early.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").drop("_node")
+    sizes = hubs.groupBy(F.col("hub").alias("_hub")).agg(F.count("*").alias("_n")).filter("_n > 1")
+    large = F.broadcast(sizes.filter(F.col("_n") > HUB_NODES))  # one row for so many nodes at least
+    known = placed.join(large, F.col("hub") == F.col("_hub"), "left")
+    salts = F.coalesce(F.ceil(F.col("_n") / HUB_NODES), F.lit(1)).cast("int")
+    own = known.withColumns({"_salts": salts, "component": F.coalesce("component", "node")}).withColumn(
+        "salt", F.pmod(F.xxhash64("node"), F.col("_salts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    buckets = max(1, (sizes.agg(F.sum("_n")).first()[0] or 0) // HUB_BUCKET_NODES)
+    dealt = own.select("hub", F.least("salt", "_other").alias("low"), F.greatest("salt", "_other").alias("high"), "salt", "node", "component", "n", "shared", "hub_n", "delta")
+
+    def link(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        f = {name: table.column(name).to_numpy() for name in table.column_names if name != "delta"}
+        delta = table.column("delta").combine_chunks()
+        order = np.lexsort((f["node"], f["component"], f["salt"], f["high"], f["low"], f["hub"]))
+        f = {name: values[order] for name, values in f.items()}
+        new = np.flatnonzero(np.append(True, (f["hub"][1:] != f["hub"][:-1]) | (f["low"][1:] != f["low"][:-1]) | (f["high"][1:] != f["high"][:-1])))
+        found: list[tuple[int, int]] = []
+        for a, b in zip(new, np.append(new[1:], len(order))):
+            group = slice(a, b)
+            if b - a > 1 and f["component"][group].min() != f["component"][group].max():
+                # rows of one salt meet in that salt's own block, rows of two salts in the block of both
+                rows = b - a if f["low"][a] == f["high"][a] else int((f["salt"][group] == f["low"][a]).sum())
+                deltas = [np.frombuffer(delta[int(i)].as_buffer(), np.uint64) for i in order[group]]
+                found += links_around(*(f[name][group] for name in ("node", "component", "n", "shared")), int(f["hub_n"][a]), deltas, rows, threshold)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    bucket = F.pmod(F.xxhash64("hub", "low", "high"), F.lit(buckets)).alias("bucket")
+    return dealt.select(bucket, *dealt.columns).groupBy("bucket").applyInArrow(link, "a long, b long")
+
+
 _POSTING = [("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "<u2"), ("block", "<u4"), ("salt", "<u2")]
 
 
@@ -329,35 +422,21 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(share, ", ".join(f"{name} long" for name, _ in _POSTING))
 
 
-def added_entries(hubs: DataFrame, early: DataFrame) -> DataFrame:
-    """An entry for every shingle that a node has and its hub lacks, in a block of the hub's own."""
-
-    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("added")]
-            sizes = [len(x) for x in own]
-            if sum(sizes):
-                plain = [name for name in batch.schema.names if name != "added"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(own)), *[pa.array(np.repeat(batch.column(name).to_numpy(), sizes)) for name in plain]], ["token", *plain])
-
-    rows = hubs.join(early.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").select(
-        "added", F.lit(0).cast("long").alias("block"), "node", "n", F.lit(-1).cast("long").alias("at"), F.lit(0).cast("long").alias("asks"),
-        F.lit(0).cast("long").alias("salt"), F.coalesce("component", "node").alias("component"), "hub", "shared")
-    return rows.mapInArrow(spread, "token long, " + ", ".join(f"{name} long" for name in rows.columns if name != "added"))
-
-
-def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_hubs: bool = False) -> DataFrame:
-    """Pairs of nodes of different components that share as many prefix shingles as the larger one asks for; ``around_hubs``: pairs
-    with one hub that share as many shingles outside it as they lack inside."""
+def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold) -> DataFrame:
+    """Pairs of nodes of different components and hubs that share as many prefix shingles as the larger one asks for."""
 
     def pair(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        columns = {name: table.column(name).to_numpy() for name in ("token", "block", "node", "n", "at", "asks", "salt", "component", "hub", "shared")}
-        if around_hubs:  # the shingles of a hub's nodes meet among themselves, a hub being a block
-            columns["block"] = columns["hub"]
+        columns = {name: table.column(name).to_numpy() for name in ("token", "block", "node", "n", "at", "asks", "salt", "component", "hub")}
         f, new = _sorted_groups(columns, ("n", "node"))  # the larger one of a pair comes later
-        n, low, starts = f["n"], np.empty(len(new), np.int64), np.flatnonzero(new).tolist()
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(new)))
+        # a group around one hub, or of one component, has no pairs to offer
+        useful = (np.minimum.reduceat(f["hub"], starts) != np.maximum.reduceat(f["hub"], starts)) & (
+            np.minimum.reduceat(f["component"], starts) != np.maximum.reduceat(f["component"], starts))
+        kept_rows = np.repeat(useful, sizes)
+        f, starts = {name: values[kept_rows] for name, values in f.items()}, np.append(0, np.cumsum(sizes[useful]))[:-1].tolist()
+        n, low = f["n"], np.empty(int(kept_rows.sum()), np.int64)
         for a, b in zip(starts, [*starts[1:], len(n)]):  # the first row of the group that is large enough for each
             low[a:b] = a + np.searchsorted(n[a:b], _ceil(n[a:b] * threshold.num, threshold.den), "left")
         many = np.arange(len(n)) - low
@@ -369,17 +448,12 @@ def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_
             each = many[at:upto]
             x = np.repeat(np.arange(at, upto), each)
             y = np.repeat(low[at:upto], each) + np.arange(len(x)) - np.repeat(np.cumsum(each) - each, each)
+            apart = (f["component"][x] != f["component"][y]) & (f["hub"][x] != f["hub"][y])
+            x, y = x[apart], y[apart]
             need, asks, block = threshold.overlap(n[x], n[y]), f["asks"][x], f["block"][x] - 1
-            keep = f["component"][x] != f["component"][y]
-            outside = need - np.minimum(f["shared"][x], f["shared"][y])  # what a pair must share besides its hub's shingles
-            around = (f["hub"][x] == f["hub"][y]) & (outside > 0)
-            if around_hubs:
-                keep &= around
-                asks = outside
-            else:
-                keep &= ~around & (f["at"][x] < n[x] - need + asks) & (f["at"][y] < n[y] - need + asks)
+            keep = (f["at"][x] < n[x] - need + asks) & (f["at"][y] < n[y] - need + asks)
             # rows of one salt meet in that salt's own block alone, rows of two salts in the block of both
-            keep &= around_hubs | (block < 0) | (block >> 16 == block & 0xFFFF) | (f["salt"][x] != f["salt"][y])
+            keep &= (block < 0) | (block >> 16 == block & 0xFFFF) | (f["salt"][x] != f["salt"][y])
             if keep.any():
                 x, y, asks = x[keep], y[keep], asks[keep]
                 order = np.lexsort((f["node"][y], f["node"][x]))
@@ -397,7 +471,7 @@ def counted_pairs(shared: DataFrame, buckets: int, threshold: Threshold, around_
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[first]), pa.array(b[first]), pa.array(asks[first]), pa.array(np.add.reduceat(n, first))], list(kept))
 
-    keyed = shared.withColumn("bucket", F.pmod(F.xxhash64("token", "hub" if around_hubs else "block"), F.lit(buckets)))
+    keyed = shared.withColumn("bucket", F.pmod(F.xxhash64("token", "block"), F.lit(buckets)))
     counted = keyed.groupBy("bucket").applyInArrow(pair, "a long, b long, asks long, n long")
     return counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("asks").alias("asks")).filter("n >= asks").select("a", "b")
 
@@ -419,22 +493,22 @@ def labelled(docs: DataFrame, words: int, num: int, den: int, id_column: str, te
 
     members = stage(star_members(nodes), "jaccard-stars")
     sets = sets_of(docs, members.select("node").distinct(), counts, words, text_column)
-    stars = stage(compared(stage(star_pairs(members, sets), "jaccard-pairs"), sets, added=True), "jaccard-stars")
+    stars = stage(compared(stage(star_pairs(members, sets), "jaccard-pairs"), sets, deltas=True), "jaccard-stars")
     early = stage(components(linked(stars, threshold)), "jaccard-components")
     hubs = stage(hubs_of(stars), "jaccard-hubs")
+    around = stage(hub_links(hubs, early, threshold), "jaccard-around")
 
     size = nodes.agg(F.sum(F.col("n") * (den - num) / den + MATCHES[-1])).first()[0] or 0
     buckets = max(1, int(size // BUCKET_ROWS))
     entries = prefix_entries(docs, counts, words, threshold, buckets, text_column)
     shared = (shared_entries(entries)
               .join(early.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").drop("_node")
-              .join(hubs.select(F.col("node").alias("_node"), "hub", "shared"), F.col("node") == F.col("_node"), "left").drop("_node")
-              .withColumns({"component": F.coalesce("component", "node"), "hub": F.coalesce("hub", "node"), "shared": F.coalesce("shared", "n")}))
-    pairs = counted_pairs(shared, buckets, threshold).union(counted_pairs(added_entries(hubs, early), buckets, threshold, around_hubs=True))
-    pairs = stage(pairs.distinct(), "jaccard-pairs")
+              .join(hubs.select(F.col("node").alias("_node"), "hub"), F.col("node") == F.col("_node"), "left").drop("_node")
+              .withColumns({"component": F.coalesce("component", "node"), "hub": F.coalesce("hub", "node")}))
+    pairs = stage(counted_pairs(shared, buckets, threshold), "jaccard-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     more = linked(compared(pairs, sets_of(docs, wanted, counts, words, text_column)), threshold)
-    edges = early.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+    edges = early.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more).union(around)
     final = components(stage(edges, "jaccard-links"))
 
     grouped = stage(nodes.select("node", "first_id").join(final.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left")

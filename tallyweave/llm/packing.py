@@ -33,7 +33,7 @@ from tallyweave.sources.staging import stage
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 250_000
+CACHED_WORDS = 100_000  # in each of two generations, some 20 MB; a worker keeps them between tasks
 _MARKS = b".,;:!?\"()[]{}|*#%&$@+=/-"  # ASCII characters that are neither letters nor digits and begin nothing special
 _KEEP_CASE = (b"<|", b"\xcc", b"\xcd")  # special tokens, and what begins the UTF-8 form of U+0300 to U+037F
 

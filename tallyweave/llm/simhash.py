@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.common import text_or_empty
-from tallyweave.llm.components import components
+from tallyweave.llm.components import components, merged_labels
 from tallyweave.operators.hot_keys import lookup
 from tallyweave.sources.staging import stage
 
@@ -120,19 +120,6 @@ def within(planes: np.ndarray, fps: np.ndarray, probe: np.ndarray, word: np.ndar
     return probe[pair], word[pair] * 64 + lane
 
 
-def _merged(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest row number of each row's component, after linking a and b."""
-    while True:
-        x, y = labels[a], labels[b]
-        apart = x != y
-        if not apart.any():
-            return labels
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(labels, np.maximum(x, y), np.minimum(x, y))
-        while not np.array_equal(jumped := labels[labels], labels):
-            labels = jumped
-
-
 def linked_rows(fps: np.ndarray, first: np.ndarray, last: np.ndarray, radius: int) -> np.ndarray:
     """The label of each row, after it was held against the rows from ``first`` to before ``last``."""
     n = len(fps)
@@ -151,7 +138,7 @@ def linked_rows(fps: np.ndarray, first: np.ndarray, last: np.ndarray, radius: in
         lanes = (_ALL << from_lane.astype(np.uint64)) & (_ALL >> (64 - to_lane).astype(np.uint64))
         for step in range(0, len(probe), PAIRS):
             part = slice(step, step + PAIRS)
-            labels = _merged(labels, *within(planes, fps, probe[part], word[part], lanes[part], radius))
+            labels = merged_labels(labels, *within(planes, fps, probe[part], word[part], lanes[part], radius))
         at = upto
     return labels
 

@@ -41,7 +41,7 @@ from tallyweave.llm.common import numbered, text_or_empty, total_bytes, with_res
 from tallyweave.llm.shingles import mixed, range_hash, running_hash, steps
 
 GRAM = 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 3 << 20
 HELD_BYTES = 8 << 20  # text that a task collects stretches of before it sends them
 NO_ID = (1 << 63) - 1
 

@@ -132,7 +132,7 @@ def trained_model(ordinary: list[bytes], toxic: list[bytes], held_ordinary: list
     at = np.minimum(np.searchsorted(known, strings), max(len(known) - 1, 0))
     usual = np.where(known[at] == strings, seen[at], 0) if len(known) else np.zeros(len(strings))
     telling = strings[(found >= max(3, COMMON * len(toxic))) & (found / len(toxic) > RATIO * (usual + 0.5) / len(ordinary))]
-    plain = _trained(ORDINARY_BYTES, [t[i:i + 64] for t in ordinary for i in range(0, len(t), 64)][:40_000])
+    plain = _trained(ORDINARY_BYTES, [t[i:i + 64] for t in ordinary for i in range(0, len(t), 64)])
     stretches = [s for t in toxic for s in covered(t, telling)]
     content = _trained(TOXIC_BYTES, stretches * 2) if stretches else b""
     rare = strings[~np.isin(strings, known[seen > max(1, 0.002 * len(ordinary))])] if len(known) else strings
