@@ -5,9 +5,8 @@ For every participant of a conversation the dialogue is written out once with th
 system turns alone has no participants. The mask marks what the assistant says, end mark included, as character
 ranges ``start-end`` of the text, ``end`` excluded.
 
-A conversation is handled in parts of ``turns_per_part`` turn numbers, so that no group grows with a
-very long conversation; most have part 0 only. Rows that agree in conversation, turn, role
-and text are one turn. Turns with the same number are ordered by role, then text; a NULL number comes first.
+A dialogue is whole, however long: one row per speaker, which holds its text and mask. Rows that agree in conversation, turn, role
+and text are one turn, so a conversation repeated many times is reduced before its turns are brought together. Turns with the same number are ordered by role, then text; a NULL number comes first.
 A NULL role is the speaker ``unknown``, a NULL text is empty, rows without conversation id belong to no dialogue and
 are left out. Marks inside a text get a zero-width space, so that they cannot end a turn. No rows give no
 rows; further columns are ignored.
@@ -19,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
-TURNS_PER_PART = 256
 
 
 def _head(role: Column, speaker: Column) -> Column:
@@ -27,13 +25,12 @@ def _head(role: Column, speaker: Column) -> Column:
     return F.concat(F.lit(OPEN), shown, F.lit("\n"))
 
 
-def rotate(conversations: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """``conv_id``, ``speaker``, ``part``, ``messages`` (role, name, content, trained), ``text``, ``mask``."""
+def rotate(conversations: DataFrame) -> DataFrame:
+    """``conv_id``, ``speaker``, ``messages`` (role, name, content, trained), ``text``, ``mask``."""
     safe = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit("<|"), F.lit("<​|"))
     turns = conversations.filter("conv_id is not null").select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"), safe.alias("content")).distinct()
-    dialogue = turns.groupBy("conv_id", F.coalesce(F.floor(F.col("turn") / turns_per_part), F.lit(0)).cast("long").alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "content"))).alias("turns"))
+    dialogue = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "content"))).alias("turns"))
     speakers = turns.filter("role <> 'system'").select(F.col("conv_id").alias("_conv"), F.col("role").alias("speaker")).distinct()
     rotated = dialogue.join(speakers, F.col("conv_id") == F.col("_conv"))
     speaker = F.col("speaker")
@@ -53,6 +50,6 @@ def rotate(conversations: DataFrame, turns_per_part: int = TURNS_PER_PART) -> Da
 
     nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("ranges"))
     return rotated.select(
-        "conv_id", "speaker", "part", F.transform("turns", message).alias("messages"),
+        "conv_id", "speaker", F.transform("turns", message).alias("messages"),
         F.array_join(F.transform("turns", lambda t: F.concat(_head(t["role"], speaker), t["content"], F.lit(CLOSE + "\n"))), "").alias("text"),
         F.array_join(F.aggregate("turns", nothing, step, lambda done: done["ranges"]), ";").alias("mask"))

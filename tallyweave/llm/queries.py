@@ -23,7 +23,7 @@ def warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotated = chat.rotate(table(spark, sf_dir, "conversations"))
-    return rotated.select("conv_id", "speaker", "part", F.size("messages").cast("long").alias("messages"),
+    return rotated.select("conv_id", "speaker", F.size("messages").cast("long").alias("messages"),
                           F.size(F.filter("messages", lambda m: m["trained"])).cast("long").alias("trained"), "text", "mask")
 
 
@@ -219,20 +219,20 @@ ORACLES = {
             from conversations where conv_id is not null),
         speakers as (select distinct conv_id, role as speaker from turns where role <> 'system'),
         said as (
-            select conv_id, speaker, coalesce(cast(floor(turn / {chat.TURNS_PER_PART}) as bigint), 0) as part, turn, role, content, role = speaker as trained,
+            select conv_id, speaker, turn, role, content, role = speaker as trained,
                    '{chat.OPEN}' || case when role = speaker then 'assistant' when role = 'system' then 'system'
                                          else 'user name=' || role end || chr(10) as head
             from turns join speakers using (conv_id)),
         placed as (
             select *, coalesce(sum(length(head) + length(content) + {len(chat.CLOSE) + 1}) over (
-                       partition by conv_id, speaker, part order by turn nulls first, role, content
+                       partition by conv_id, speaker order by turn nulls first, role, content
                        rows between unbounded preceding and 1 preceding), 0) + length(head) as start
             from said)
-        select conv_id, speaker, part, count(*) as messages, count(*) filter (trained) as trained,
+        select conv_id, speaker, count(*) as messages, count(*) filter (trained) as trained,
                string_agg(head || content || '{chat.CLOSE}' || chr(10), '' order by turn nulls first, role, content) as text,
                string_agg(cast(start as bigint) || '-' || cast(start + length(content) + {len(chat.CLOSE)} as bigint), ';'
                           order by turn nulls first, role, content) filter (trained) as mask
-        from placed group by conv_id, speaker, part
+        from placed group by conv_id, speaker
     """,
     "op5_kd_tree_top_k": """
         with whole as (

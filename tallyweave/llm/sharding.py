@@ -3,11 +3,11 @@
 Documents are ordered by (hash of the text, id). The borders between shards are found by counting
 the exact bytes below candidate keys over all rows, again and again, with the candidates drawn
 closer around each border until the bytes below it meet the tolerance. A border that falls inside
-one text with very many copies is refined further over the ids, so such a group is split.
-The rows then move once. Candidates and counts are the only things the driver sees.
+one text with very many copies is refined further over the ids, and one inside rows that repeat id and text over the copies, so
+such groups are split. The rows then move once. Candidates and counts are the only things the driver sees.
 
 Size of a row: UTF-8 bytes of its text plus a fixed number. NULL text has no bytes. A NULL id sorts
-first. Rows that repeat id and text cannot be told apart and stay on one side of a border. No rows
+first. Only where a border falls inside rows that repeat id and text are the rows written out first, to number them. No rows
 give no rows. Further columns are kept, but for those with the name of a result.
 """
 
@@ -84,37 +84,48 @@ def refine(rows: DataFrame, key: str, targets: list[float], total: int, n_rows:
                     break
 
 
-def borders(keys: DataFrame, parts: int, tolerance: float) -> list[tuple[int, int]]:
-    """Keys (hash, id) that cut the rows into ``parts`` of near equal size, each the first of its part."""
+def _cut_in(own: DataFrame, key: str, offsets: list[float], slack: float) -> list[tuple[int, int, int]]:
+    size, n = own.agg(F.sum("_size"), F.count("*")).first()
+    return refine(own, key, offsets, size, n, slack)
+
+
+def borders(keys: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple[int, int, int]], dict[tuple[int, int], list[float]], float]:
+    """Keys (hash, id, copy) that cut the rows into ``parts`` of near equal size, each the first of its part; for borders that fall
+    inside rows that repeat id and text, by hash and id the bytes of that group in front of the border; and the slack in bytes."""
     total, n_rows = keys.agg(F.sum("_size"), F.count("*")).first()
     total = total or 0
     if not n_rows:
-        return []
+        return [], {}, 0.0
     targets, slack = [total * i / parts for i in range(1, parts)], tolerance * total / parts
-    cuts: list[tuple[int, int]] = []
+    cuts: list[tuple[int, int, int]] = []
     inside: dict[int, list[float]] = {}
+    tied: dict[tuple[int, int], list[float]] = {}
     for target, (key, below, after) in zip(targets, refine(keys, "_key", targets, total, n_rows, slack)):
         if after == below:
-            cuts.append((key, LOWEST))
+            cuts.append((key, LOWEST, LOWEST))
         else:
             inside.setdefault(key, []).append(target - below)
     for key, offsets in inside.items():  # at most one text per border
         own = stage(keys.filter(F.col("_key") == F.lit(key)), "shard-text")
-        size, n = own.agg(F.sum("_size"), F.count("*")).first()
-        for offset, (cut, below, after) in zip(offsets, refine(own, "_order", offsets, size, n, slack)):
-            cuts.append((key, cut if offset - below <= after - offset else cut + 1))
-    return sorted(cuts)
+        for offset, (cut, below, after) in zip(offsets, _cut_in(own, "_order", offsets, slack)):
+            if min(offset - below, after - offset) <= slack:
+                cuts.append((key, cut if offset - below <= after - offset else cut + 1, LOWEST))
+            else:
+                tied.setdefault((key, cut), []).append(offset - below)
+    return cuts, tied, slack
 
 
-def _part(cuts: list[tuple[int, int]]) -> Column:
+def _part(cuts: list[tuple[int, int, int]], copy: Column) -> Column:
     """How many of the sorted borders are at or below a row."""
 
     def search(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        key, order = cuts[middle]
-        reached = (F.col("_key") > F.lit(key)) | ((F.col("_key") == F.lit(key)) & (F.col("_order") >= F.lit(order)))
+        key, order, nth = cuts[middle]
+        within = F.col("_order") > F.lit(order)
+        within = F.col("_order") >= F.lit(order) if nth == LOWEST else within | ((F.col("_order") == F.lit(order)) & (copy >= F.lit(nth)))
+        reached = (F.col("_key") > F.lit(key)) | ((F.col("_key") == F.lit(key)) & within)
         return F.when(reached, search(middle + 1, high)).otherwise(search(low, middle))
 
     return search(0, len(cuts)).cast("int")
@@ -131,12 +142,21 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.001,
     })
     keys = stage(keyed.select("_size", "_key", "_order"), "shard-keys")
     pieces = max(1, -(-keys.count() // (shards * rows_per_task)))  # tasks that number the rows of a shard
-    cuts = borders(keys, shards * pieces, tolerance)
-    counted = keys.groupBy(_part(cuts).alias("_piece_c")).agg(F.count("*").alias("_n"))
+    cuts, tied, slack = borders(keys, shards * pieces, tolerance)
+    copy = F.lit(0)
+    if tied:  # many rows with one id and text: numbered as they are written, so that every reader sees the same numbers
+        keyed = stage(keyed.withColumn("_copy", F.monotonically_increasing_id()), "shard-rows")
+        keys, copy = keyed.select("_size", "_key", "_order", "_copy"), F.col("_copy")
+        for (key, order), offsets in tied.items():
+            own = stage(keys.filter((F.col("_key") == F.lit(key)) & (F.col("_order") == F.lit(order))), "shard-copies")
+            for offset, (cut, below, after) in zip(offsets, _cut_in(own, "_copy", offsets, slack)):
+                cuts.append((key, order, cut if offset - below <= after - offset else cut + 1))
+    cuts = sorted(cuts)
+    counted = keys.groupBy(_part(cuts, copy).alias("_piece_c")).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(F.expr(f"_piece_c div {pieces}")).orderBy("_piece_c").rowsBetween(Window.unboundedPreceding, -1)
     first = counted.select("_piece_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     within = Window.partitionBy("_piece").orderBy("_key", "_order")
-    moved = keyed.withColumn("_piece", _part(cuts)).withColumn("_nth", F.row_number().over(within) - 1)
+    moved = keyed.withColumn("_piece", _part(cuts, copy)).withColumn("_nth", F.row_number().over(within) - 1)
     done = (moved.join(first, F.col("_piece") == F.col("_piece_c"))
             .withColumn("_shard", F.expr(f"cast(_piece div {pieces} as int)"))
             .withColumn("_slot", (F.col("_first") + F.col("_nth")).cast("long")))

@@ -178,6 +178,20 @@ def test_one_hot_text_is_split_over_shards(spark):
     assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 80
 
 
+def test_rows_that_repeat_id_and_text_are_split_over_shards(spark):
+    rows = [(None, "same text")] * 200 + [(i, words(3)) for i in range(400)]
+    hot = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sizes, slots, moved = Counter(), defaultdict(list), Counter()
+    for r in sharding.shard_documents(hot, 8).collect():
+        sizes[r._shard] += r._size
+        slots[r._shard].append(r._slot)
+        moved[r.doc_id, r.text] += 1
+    assert moved == Counter(rows) and all(sorted(own) == list(range(len(own))) for own in slots.values())
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 80
+    copies = spark.createDataFrame([(7, "x")] * 100, "doc_id long, text string")
+    assert Counter(r._shard for r in sharding.shard_documents(copies, 10).collect()) == Counter({i: 10 for i in range(10)})
+
+
 def shingle_set(text, n):
     own = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     return frozenset(tuple(own[i:i + n]) for i in range(len(own) - n + 1)) if len(own) >= n else frozenset([tuple(own)] if own else [])
@@ -220,6 +234,38 @@ def test_hot_shingles_meet_in_blocks(docs, monkeypatch):
     assert values(jaccard.jaccard_components(docs, 4, 85, 100), "doc_id", "component_id") == expected
 
 
+@pytest.mark.parametrize("few, strip, salt_nodes", [(64, 512, 4096), (3, 16, 4096), (3, 7, 40)])
+def test_links_around_a_hub_are_those_of_brute_force(spark, monkeypatch, few, strip, salt_nodes):
+    for name, value in (("FEW", few), ("STRIP", strip), ("HUB_NODES", salt_nodes)):
+        monkeypatch.setattr(jaccard, name, value)
+    own = random.Random(8)
+    hub = set(range(100))
+    sets = [hub] + [hub - set(own.sample(range(100), own.randint(5, 25))) | {own.randrange(1000, 1040) for _ in range(own.randint(0, 25))} for _ in range(150)]
+    sets += [set(s) ^ {own.randrange(2000, 9000)} for s in own.sample(sets, 60)]
+    threshold = jaccard.Threshold(85, 100)
+    rows = [(i, 0, 100, len(s & hub), len(s), np.array(sorted(s ^ hub), np.uint64).tobytes()) for i, s in enumerate(sets)]
+    hubs = spark.createDataFrame(rows, "node long, hub long, hub_n long, shared long, n long, delta binary").repartition(3)
+    early = spark.createDataFrame([(0, 0), (1, 0)], "node long, component long")
+    links = [tuple(r) for r in jaccard.hub_links(hubs, early, threshold).collect()]
+
+    def groups(edges):
+        leader = list(range(len(sets)))
+
+        def find(i):
+            while leader[i] != i:
+                i = leader[i]
+            return i
+
+        for a, b in edges:
+            leader[find(a)] = find(b)
+        return len({find(i) for i in range(len(sets))}), [find(i) for i in range(len(sets))]
+
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if threshold.holds(len(sets[a] & sets[b]), len(sets[a]), len(sets[b]))]
+    n, label = groups([*near, (0, 1)])
+    assert all(label[a] == label[b] for a, b in links) and groups([*links, (0, 1)])[0] == n < len(sets)
+    assert len(links) < 4 * len(sets)
+
+
 def test_shingles_are_counted_beyond_a_byte(spark):
     frame = spark.createDataFrame([(i, f"a b c d e {i}") for i in range(700)], "doc_id long, text string").coalesce(1)
     counts = jaccard.shingle_counts(jaccard.signatures(frame, 5, "doc_id", "text").cache())
@@ -339,18 +385,24 @@ def test_archives_of_single_gzip_members_are_read_too():
 
 def test_perspectives(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 3, None, "x"), (1, 1, "ann", "hi <|im_end|>"),
-            (2, None, "ann", "late"), (2, 600, "bob", "ü!"), (3, 0, "system", "alone"), (None, 0, "ann", "lost")]
+            (2, None, "ann", "late"), (2, 600, "bob", "ü!"), *[(4, n, "ann" if n % 2 else "bob", f"turn {n}") for n in range(600)], (3, 0, "system", "alone"), (None, 0, "ann", "lost")]
     talk = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, part int")
-    got = {(r.conv_id, r.speaker, r.part): r for r in chat.rotate(talk).collect()}
-    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (1, "unknown", 0), (2, "ann", 0), (2, "ann", 2), (2, "bob", 0), (2, "bob", 2)}
-    ann = got[1, "ann", 0]
+    rotated = chat.rotate(talk).collect()
+    got = {(r.conv_id, r.speaker): r for r in rotated}
+    assert len(rotated) == len(got) and set(got) == {(1, "ann"), (1, "bob"), (1, "unknown"), (2, "ann"), (2, "bob"), (4, "ann"), (4, "bob")}
+    ann = got[1, "ann"]
     assert ann.text == ("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi <​|im_end|><|im_end|>\n"
                         "<|im_start|>user name=bob\n<|im_end|>\n<|im_start|>user name=unknown\nx<|im_end|>\n")
     start, end = map(int, ann.mask.split("-"))
     assert ann.text[start:end] == "hi <​|im_end|><|im_end|>"
     assert [(m.role, m.name, m.trained) for m in ann.messages] == [
         ("system", None, False), ("assistant", None, True), ("user", "bob", False), ("user", "unknown", False)]
-    assert got[2, "ann", 2].mask == "" and chat.rotate(talk.limit(0)).count() == 0
+    late = got[2, "bob"]
+    assert [m.content for m in late.messages] == ["late", "ü!"] and late.text[slice(*map(int, late.mask.split("-")))] == "ü!<|im_end|>"
+    whole = got[4, "ann"]  # a long dialogue is one row
+    spoken = [whole.text[slice(*map(int, span.split("-")))] for span in whole.mask.split(";")]
+    assert len(whole.messages) == 600 and spoken == [f"turn {n}<|im_end|>" for n in range(1, 600, 2)]
+    assert chat.rotate(talk.limit(0)).count() == 0
 
 
 def test_sampled_pieces_are_lossless_and_repeatable(docs):
@@ -396,7 +448,7 @@ def test_top_k_against_brute_force(spark):
     own = np.random.default_rng(1)
     rows = [(i, own.normal(size=6).tolist(), 1) for i in range(300)]
     rows += [(i, rows[0][1], 1) for i in range(300, 400)]  # one vector many times
-    rows += [(500, None, 1), (501, [1.0, None, 0, 0, 0, 0], 1), (502, [float("nan")] * 6, 1), (503, [float("inf")] * 6, 1), (None, [1.0] * 6, 1),
+    rows += [(500, None, 1), (501, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), (502, [float("nan")] * 6, 1), (503, [float("inf")] * 6, 1), (None, [1.0] * 6, 1),
              (600, [1e15] * 6, 1), (700, [1.0, 2.0], 1), (701, [3.0, -1.0], 1), (800, [], 1), (100, rows[100][1], 1)]
     vectors = spark.createDataFrame([(i, v, x) for i, v, x in rows], "vec_id long, embedding array<double>, rank int")
     whole = {}
@@ -406,7 +458,7 @@ def test_top_k_against_brute_force(spark):
     expected = []
     for q in (i for i in whole if i % 100 == 0):
         scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))[:10]
-        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+        expected += [(q, rank, i, min(-s, (1 << 63) - 1)) for rank, (s, i) in enumerate(scores, 1)]  # the nearest long
     for shard_rows in (8192, 60):
         got = values(topk.top_k(vectors, shard_rows=shard_rows), "query_id", "rank", "vec_id", "score")
         assert got == sorted(expected, key=repr)
