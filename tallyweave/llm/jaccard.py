@@ -173,6 +173,18 @@ def star_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.filter(close).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
+def with_parents(pairs: DataFrame) -> DataFrame:
+    """The pairs ``a`` (hub), ``b``, and each node also with the most popular hub that its own hub is a node of, so that a large group
+    of near copies has one hub and not one for each of its stars."""
+    popular = pairs.groupBy(F.col("a").alias("_hub")).agg(F.count("*").alias("_members"))
+    known = pairs.join(popular, F.col("a") == F.col("_hub")).drop("_hub")
+    own = popular.select(F.col("_hub").alias("_own"), F.col("_members").alias("_own_members"))
+    parents = known.join(own, F.col("b") == F.col("_own")).filter("_members > _own_members").groupBy(F.col("b").alias("_child")).agg(
+        F.max(F.struct("_members", "a")).alias("_parent"))
+    more = pairs.join(parents, F.col("a") == F.col("_child")).select(F.col("_parent.a").alias("a"), "b").filter("a <> b")
+    return pairs.union(more).distinct()
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, counts: Broadcast, words: int, text_column: str) -> DataFrame:
     """``node``, ``n``, ``shingles`` and ``rare``, how many shingles few documents seem to have, for the wanted nodes (and few others)."""
     field = docs.sparkSession.sparkContext.broadcast(bit_field(wanted, "node", log2_bits_for(wanted.count())))
@@ -231,13 +243,16 @@ def linked(compared_pairs: DataFrame, threshold: Threshold) -> DataFrame:
 
 
 def hubs_of(compared_pairs: DataFrame) -> DataFrame:
-    """For each node the hub it shares most with: ``node``, ``hub``, ``hub_n``, ``shared``, ``n``, ``delta``. A hub is its own."""
+    """For each node the hub of most nodes among those it is close to, a hub being close to itself: ``node``, ``hub``, ``hub_n``,
+    ``shared``, ``n``, ``delta``."""
     near = compared_pairs.filter("delta is not null")
-    own = near.groupBy(F.col("a").alias("node")).agg(F.first("na").alias("n")).select(
-        "node", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("n").alias("shared"), "n", F.lit(b"").alias("delta"))
-    best = near.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("common", "a", "na", "nb", "delta")).alias("m")).select(
-        "node", F.col("m.a").alias("hub"), F.col("m.na").alias("hub_n"), F.col("m.common").alias("shared"), F.col("m.nb").alias("n"), F.col("m.delta").alias("delta"))
-    return own.unionByName(best.join(own.select(F.col("node").alias("_own")), F.col("node") == F.col("_own"), "left_anti"))
+    popular = near.groupBy(F.col("a").alias("_hub")).agg(F.count("*").alias("_members"), F.first("na").alias("_n"))
+    own = popular.select(F.col("_hub").alias("node"), "_members", F.col("_n").alias("shared"), F.col("_hub").alias("hub"), F.col("_n").alias("hub_n"),
+                         F.col("_n").alias("n"), F.lit(b"").alias("delta"))
+    others = near.join(popular, F.col("a") == F.col("_hub")).select(
+        F.col("b").alias("node"), "_members", F.col("common").alias("shared"), F.col("a").alias("hub"), F.col("na").alias("hub_n"), F.col("nb").alias("n"), "delta")
+    best = own.unionByName(others).groupBy("node").agg(F.max(F.struct("_members", "shared", "hub", "hub_n", "n", "delta")).alias("m"))
+    return best.select("node", *[F.col(f"m.{name}").alias(name) for name in ("hub", "hub_n", "shared", "n", "delta")])
 
 
 def shared_differences(deltas: list[np.ndarray], rows: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -493,7 +508,7 @@ def labelled(docs: DataFrame, words: int, num: int, den: int, id_column: str, te
 
     members = stage(star_members(nodes), "jaccard-stars")
     sets = sets_of(docs, members.select("node").distinct(), counts, words, text_column)
-    stars = stage(compared(stage(star_pairs(members, sets), "jaccard-pairs"), sets, deltas=True), "jaccard-stars")
+    stars = stage(compared(stage(with_parents(stage(star_pairs(members, sets), "jaccard-pairs")), "jaccard-pairs"), sets, deltas=True), "jaccard-stars")
     early = stage(components(linked(stars, threshold)), "jaccard-components")
     hubs = stage(hubs_of(stars), "jaccard-hubs")
     around = stage(hub_links(hubs, early, threshold), "jaccard-around")
