@@ -11,7 +11,7 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import StructField, StructType
 
 from tallyweave.sources.staging import stage
 
@@ -25,18 +25,18 @@ SALTS = 1 << 20
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The hot keys of ``df``. A single key column is put through a frequent-items sketch, so no key is shuffled: each task sends at
-    most ``TRACKED`` of them. The sketch finds every key that owns more than one of ``TRACKED`` / 7 of all rows, so all keys
-    of ``hot_rows`` rows while there are fewer than ``hot_rows`` * ``TRACKED`` / 7 rows, and the hottest ones beyond.
-    Several columns are counted, with map-side combine."""
-    if len(on) > 1:
-        return heavy_keys(df.groupBy(*on).agg(F.count("*").alias("_rows")), on, "_rows", hot_rows)
-    key = F.col(on[0])
-    kind = df.schema[on[0]].dataType
-    top = F.call_function("approx_top_k", key, F.lit(TRACKED // 8), F.lit(TRACKED))
-    found = df.agg(top.alias("_top"), F.count_if(key.isNull()).alias("_nulls"))
-    hot = F.transform(F.filter("_top", lambda x: x["count"] >= hot_rows), lambda x: x["item"])
-    without = F.when(F.col("_nulls") >= hot_rows, F.array(F.lit(None).cast(kind))).otherwise(F.array().cast(ArrayType(kind)))
-    return found.select(F.explode(F.concat(F.filter(hot, lambda x: x.isNotNull()), without)).alias(on[0]))
+    most ``TRACKED`` of them. The sketch finds every key that owns more than one of ``TRACKED`` / 7 of all rows, which holds for all keys
+    of ``hot_rows`` rows while there are fewer than ``hot_rows`` * ``TRACKED`` / 7 rows. Beyond, and for several columns, keys
+    are counted, with map-side combine."""
+    if len(on) == 1:
+        key = F.col(on[0])
+        top = F.call_function("approx_top_k", key, F.lit(TRACKED // 7), F.lit(TRACKED))
+        found = df.agg(F.count("*").alias("rows"), top.alias("top"), F.count_if(key.isNull()).alias("nulls")).first()
+        if found["rows"] * 7 <= hot_rows * TRACKED:
+            hot = [item["item"] for item in found["top"] if item["count"] >= hot_rows and item["item"] is not None]
+            schema = StructType([StructField(on[0], df.schema[on[0]].dataType)])
+            return df.sparkSession.createDataFrame([(item,) for item in hot + [None] * (found["nulls"] >= hot_rows)], schema)
+    return heavy_keys(df.groupBy(*on).agg(F.count("*").alias("_rows")), on, "_rows", hot_rows)
 
 
 def heavy_keys(counts: DataFrame, on: Sequence[str], weight: str, hot_rows: int = HOT_ROWS) -> DataFrame:
