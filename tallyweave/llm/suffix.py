@@ -12,12 +12,12 @@ are judged on the input, they may overlap, and none crosses documents.
    one stretch.
 3. *Shard arrays.* The stretches of a shard that share an anchor with another one are put together and their suffix array is built: suffixes are
    classified as smaller or larger than the next, the leftmost-smaller substrings are sorted by induction and named, the string of names
-   is sorted, and all suffixes are induced from it. The common prefixes of neighbours in the array, permuted to text order, tell where a string of ``length`` bytes
+   is sorted recursively, and all suffixes are induced from it. The common prefixes of neighbours in the array, permuted to text order, tell where a string of ``length`` bytes
    occurs again; the smallest id of each run of the array decides.
 4. Covered ranges meet their documents, and the rest of each text is put together.
 
-The sorts of induction are done a bucket at a time on arrays. The string of names has nearly as many symbols as letters and is
-sorted by doubling.
+The string of names is sorted by the same method, level by level, until all names differ. Where buckets are large, induction takes a bucket at a time
+on arrays; with the large alphabets of names it takes a suffix at a time.
 
 NULL text is empty. A NULL id is larger than all others and not smaller than another NULL. Rows that repeat an id do not count
 against each other. Texts under ``length`` bytes stay whole. A text is kept as bytes: where a removal cuts a character, ``kept_text``
@@ -27,6 +27,7 @@ leaves out its remaining bytes. No rows give no rows; further columns are kept,
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,6 +45,8 @@ GRAM = 20
 SHARD_BYTES = 3 << 20
 HELD_BYTES = 8 << 20  # text that a task collects stretches of before it sends them
 NO_ID = (1 << 63) - 1
+BUCKET_ROWS = 512  # from this mean size on, buckets are induced as arrays
+PACKED = 7  # symbols of nine bits in a word
 
 
 # ---- suffix arrays ----
@@ -106,35 +109,49 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: i
     return np.concatenate(out)[::-1]
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """The suffixes of a string with a large alphabet in order."""
-    n, width = len(names), 1
-    rank = names.astype(np.int64)
-    while True:
-        following = np.zeros(n, np.int64)
-        following[:n - width] = rank[width:] + 1 if width < n else rank[:0]
-        key = rank * (int(rank.max()) + 2) + following
-        order = np.argsort(key, kind="stable")
-        steps_ = np.append(0, np.cumsum(key[order][1:] != key[order][:-1]))
-        rank = np.empty(n, np.int64)
-        rank[order] = steps_
-        if steps_[-1] == n - 1:
-            return order
-        width *= 2
+def _induce_singly(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: int) -> np.ndarray:
+    """The same, a suffix at a time: for strings whose buckets are too small to be worth arrays of their own."""
+    n = len(text)
+    ends = np.cumsum(np.bincount(text, minlength=symbols))
+    heads = array("i", np.append(0, ends[:-1]).astype(np.int32).tobytes())
+    tails = array("i", ends.astype(np.int32).tobytes())
+    before = np.append(-1, text).astype(np.int32)  # the symbol before each place
+    grows = np.append(False, smaller)  # and whether the suffix there is smaller than the next
+    larger_before = array("i", np.where(grows, -1, before)[:n].tobytes()) + array("i", [-1])  # place -1 is an empty slot
+    smaller_before = array("i", np.where(grows, before, -1)[:n].tobytes()) + array("i", [-1])
+
+    start = np.full(n, -1, np.int32)
+    own = text[seeds]
+    start[ends[own] - np.searchsorted(own, own, "right") + np.arange(len(seeds))] = seeds  # at the ends of their buckets
+    order = array("i", start.tobytes())
+    order[heads[text[-1]]] = n - 1
+    heads[text[-1]] += 1
+    for place in order:  # grows ahead of the reading
+        symbol = larger_before[place]
+        if symbol >= 0:
+            order[heads[symbol]] = place - 1
+            heads[symbol] += 1
+    for place in reversed(order):
+        symbol = smaller_before[place]
+        if symbol >= 0:
+            tails[symbol] -= 1
+            order[tails[symbol]] = place - 1
+    return np.frombuffer(order, np.int32).astype(np.int64)
 
 
 def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     """The suffix array of an array of symbols 0 .. symbols - 1."""
-    text = text.astype(np.int64)
+    text = text.astype(np.int32)
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
+    induce = _induce if symbols * BUCKET_ROWS <= n else _induce_singly
     smaller = _larger_types(text)
     leftmost = smaller & np.append(False, ~smaller[:-1])
     where = np.flatnonzero(leftmost)
     if len(where) > 1:
         # sort the leftmost-smaller substrings: induce from them in the order of their first symbols
-        sorted_once = _induce(text, smaller, where[np.argsort(text[where], kind="stable")], symbols)
+        sorted_once = induce(text, smaller, where[np.argsort(text[where], kind="stable")], symbols)
         seeds = sorted_once[leftmost[sorted_once]]
         # name them: equal neighbours get one name; a substring goes up to the next leftmost-smaller one
         size = np.append(where[1:] + 1, n) - where
@@ -154,44 +171,50 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
         names = np.empty(len(where), np.int64)
         names[of[seeds]] = name
         if name[-1] < len(where) - 1:
-            seeds = where[_doubled(names)]
-        return _induce(text, smaller, seeds, symbols)
-    return _induce(text, smaller, where, symbols)
+            seeds = where[suffix_array(names, int(name[-1]) + 1)]
+        return induce(text, smaller, seeds, symbols)
+    return induce(text, smaller, where, symbols)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """For each place in the text the bytes, up to ``most``, that its suffix shares with the one before it in the array."""
+    """For each place in the text the symbols, up to ``most``, that its suffix shares with the one before it in the array.
+
+    Where the symbols before the two suffixes are equal too, the place before shares one symbol more with its own predecessor, so only
+    the other places are compared; all that follow count down from them."""
     n = len(text)
+    if n == 0:
+        return np.zeros(0, np.int64)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, np.int64)
-    padded = np.concatenate([text, np.arange(n, n + most) * 0 - 1])
-    open_ = np.flatnonzero(before >= 0)
-    # compared eight symbols at a time, packed; a packed pair that differs is looked at symbol by symbol
-    packed = np.zeros(n, np.uint64)
-    for i in range(7):
-        packed = (packed << np.uint64(9)) | (padded[i:i + n] + 1).astype(np.uint64)
-    depth = 0
-    while len(open_) and depth < most:
-        x, y = open_ + depth, before[open_] + depth
-        inside = (x < n) & (y < n)
-        open_, x, y = open_[inside], x[inside], y[inside]
-        equal = packed[x] == packed[y]
-        for i in range(7):
-            rest = open_[~equal]
-            still = padded[np.minimum(rest + depth + i, n)] == padded[np.minimum(before[rest] + depth + i, n)]
-            prior = shared[rest] == depth + i
-            shared[rest] += still & prior
-        open_ = open_[equal]
-        depth += 7
-        shared[open_] = depth
-    return np.minimum(shared, most)
+    led = np.append(-1, text)  # the symbol before each place
+    compared = (before <= 0) | (led[:-1] != led[before])
+    compared[0] = True
+    padded = np.append(text, np.full(PACKED, -1))
+    packed = np.zeros(n + 1, np.uint64)
+    for i in range(PACKED):
+        packed[:n] = (packed[:n] << np.uint64(9)) | (padded[i:i + n] + 1).astype(np.uint64)
+    open_ = np.flatnonzero(compared & (before >= 0))
+    while len(open_):  # PACKED symbols at a time
+        x, y = np.minimum(open_ + shared[open_], n), np.minimum(before[open_] + shared[open_], n)
+        differing = packed[x] ^ packed[y]
+        ended = (differing != 0) | (x == n) | (y == n)
+        if ended.any():
+            at, bits = open_[ended], differing[ended]
+            step = np.zeros(len(at), np.int64)
+            for i in range(1, PACKED):
+                step += bits < np.uint64(1 << 9 * (PACKED - i))  # the first i symbols agree
+            shared[at] += np.where((x[ended] == n) | (y[ended] == n), 0, step)
+            open_ = open_[~ended]
+        shared[open_] += PACKED
+    last = np.maximum.accumulate(np.where(compared, np.arange(n), 0))  # the compared place that each one counts down from
+    return np.minimum(shared[last] - (np.arange(n) - last), most)
 
 
 def smallest_ids(stretches: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
     """For each stretch and each string of ``length`` bytes in it, the smallest id of the stretches that have the string."""
     sizes = np.array([len(s) + 1 for s in stretches])
-    text = np.frombuffer(b"\0".join(stretches) + b"\0", np.uint8).astype(np.int64) + 1
+    text = np.frombuffer(b"\0".join(stretches) + b"\0", np.uint8).astype(np.int32) + 1
     starts = np.cumsum(sizes) - sizes
     text[starts + sizes - 1] = 0  # the end of a stretch is smaller than every byte
     order = suffix_array(text, 257)

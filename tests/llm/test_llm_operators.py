@@ -309,8 +309,27 @@ def test_repeats_are_removed_as_by_brute_force(docs, length):
     assert set(docs.columns) < set(done.columns)
 
 
+@pytest.mark.parametrize("bucket_rows", [suffix.BUCKET_ROWS, 0])
+def test_names_are_sorted_level_by_level(monkeypatch, bucket_rows):
+    monkeypatch.setattr(suffix, "BUCKET_ROWS", bucket_rows)
+    levels, build = [], suffix.suffix_array
+    monkeypatch.setattr(suffix, "suffix_array", lambda text, symbols: levels.append(symbols) or build(text, symbols))
+    unit, text = [2, 1, 2, 0], []
+    for part in ([unit, [2, 1, 2, 1]] * 5 + [unit] * 2) * 4:
+        text += part
+    order = suffix.suffix_array(np.array(text), 3)
+    expected = sorted(range(len(text)), key=lambda i: text[i:])
+    assert order.tolist() == expected
+    assert len(levels) >= 3  # the text, its names, and theirs
+    shared = suffix.common_prefixes(np.array(text), order, len(text))
+    for a, b in zip(expected, expected[1:]):
+        assert shared[b] == next((i for i, (x, y) in enumerate(zip(text[a:], text[b:])) if x != y), len(text) - max(a, b))
+
+
+@pytest.mark.parametrize("bucket_rows", [suffix.BUCKET_ROWS, 0])
 @pytest.mark.parametrize("seed", range(30))
-def test_suffix_arrays_and_common_prefixes(seed):
+def test_suffix_arrays_and_common_prefixes(monkeypatch, seed, bucket_rows):
+    monkeypatch.setattr(suffix, "BUCKET_ROWS", bucket_rows)
     own = random.Random(seed)
     text = np.array([own.randint(0, own.choice([1, 2, 6])) for _ in range(own.randint(1, 120))] if seed % 3 else ([0, 1, 1] * 40)[:own.randint(1, 119)])
     order = suffix.suffix_array(text, 8)
