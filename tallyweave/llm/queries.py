@@ -204,7 +204,58 @@ def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
     """
 
 
+_WORDS = "regexp_extract_all(normal, '[^\\x20\\x09-\\x0D]+')"
+
+
+def _jaccard_sql(words: int, num: int, den: int) -> str:
+    """Sets of shingles, pairs counted over shared shingles, and the closure of the links."""
+    return f"""
+        with recursive docs as materialized (
+            select row_number() over () as row, doc_id, {_WORDS} as words from (select doc_id, {_NORMAL} as normal from documents)),
+        shingles as materialized (
+            select distinct row, array_to_string(words[nth:nth + {words - 1}], ' ') as shingle
+            from (select row, words, unnest(range(1, greatest(len(words) - {words - 2}, least(len(words), 1) + 1))) as nth from docs)),
+        sizes as materialized (select row, count(*) as n from shingles group by row),
+        pairs as materialized (
+            select a.row as x, b.row as y, count(*) as n from shingles a join shingles b on a.shingle = b.shingle and a.row < b.row group by a.row, b.row),
+        close as materialized (
+            select x, y from pairs p join sizes sx on sx.row = x join sizes sy on sy.row = y where {den} * p.n >= {num} * (sx.n + sy.n - p.n)),
+        links as materialized (select x, y from close union all select y, x from close),
+        reached as (select row as x, row as y from docs union select r.x, l.y from reached r join links l on r.y = l.x),
+        least as (select r.x, min(d.doc_id) as component_id from reached r join docs d on d.row = r.y group by r.x)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id from docs left join sizes using (row) join least on x = docs.row
+    """
+
+
+def _repeats_sql(length: int) -> str:
+    """Bytes as pairs of hexadecimal digits; every string of ``length`` bytes with the smallest id that has it."""
+    return f"""
+        with docs as materialized (
+            select row_number() over () as row, doc_id, coalesce(doc_id, 9223372036854775807) as id, strlen(coalesce(text, '')) as n,
+                   hex(encode(coalesce(text, ''))) as digits from documents),
+        strings as (select row, id, place, substr(digits, 2 * place + 1, {2 * length}) as s from (
+            select *, unnest(range(n - {length - 1})) as place from docs where n >= {length})),
+        held as (select row, place from (select row, id, place, min(id) over (partition by s) as least from strings) where least < id),
+        marked as (select row, place, coalesce(place > lag(place) over (partition by row order by place) + {length}, true) as opens from held),
+        runs as (select row, place, sum(opens::int) over (partition by row order by place) as run from marked),
+        spans as (select row, min(place) as first, max(place) + {length} as past from runs group by row, run),
+        parts as (
+            select row, first, past, coalesce(lag(past) over (partition by row order by first), 0) as since,
+                   lead(first) over (partition by row order by first) is null as last
+            from spans),
+        cut as (
+            select row, sum(past - first) as removed, count(*) as spans,
+                   string_agg(substr(digits, 2 * since + 1, 2 * (first - since)) || case when last then substr(digits, 2 * past + 1) else '' end, '' order by first) as kept
+            from parts join docs using (row) group by row)
+        select doc_id, n as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, coalesce(spans, 0) as n_spans,
+               sha256(unhex(coalesce(kept, digits))) as kept_sha256
+        from docs left join cut using (row)
+    """
+
+
 ORACLES = {
+    "op4_jaccard_join": _jaccard_sql(words=4, num=85, den=100),
+    "op7_suffix_array_dedup": _repeats_sql(length=50),
     "op1_warc_transactions": f"""
         select page_id, strlen(payload) as payload_bytes, {_BASE32} as payload_digest,
                case when nth = 1 then 'response' else 'revisit' end as record_type,
