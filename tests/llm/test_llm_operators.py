@@ -463,6 +463,24 @@ def test_sampling_follows_the_weights_of_the_paths():
         assert abs(got[path] / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-5
 
 
+def test_queries_reach_few_cells_and_lose_none():
+    own = np.random.default_rng(5)
+    points = np.floor(np.repeat(own.normal(0, 1000, (16, 4)), 200, axis=0) + own.normal(0, 20, (3200, 4)))
+    cells = topk.Cells.fitted(points[::3], 16)
+    of = cells.of(points)
+    assert cells.count == 16 and set(of.tolist()) == set(range(16))
+    low, high = (np.array([side(points[of == c], axis=0) for c in range(16)]) for side in (np.min, np.max))
+    sent = 0
+    for query in points[::100]:
+        scores = points @ query
+        kth = int(np.sort(scores)[-10])
+        found = topk.reached(query, kth, low, high)
+        sent += len(found)
+        assert set(of[scores >= kth].tolist()) <= set(found.tolist())
+    assert sent < 32 * 16 / 3
+    assert topk.Cells.fitted(np.ones((50, 3)), 8).count == 1 and topk.Cells.fitted(np.zeros((0, 3)), 8).count == 1
+
+
 def test_top_k_against_brute_force(spark):
     own = np.random.default_rng(1)
     rows = [(i, own.normal(size=6).tolist(), 1) for i in range(300)]
