@@ -55,7 +55,7 @@ def _larger_types(text: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than the next one; the last suffix is not, its end counts as smallest."""
     n = len(text)
     differs = np.append(text[1:] != text[:-1], True)
-    at = np.where(differs, np.arange(n), n)
+    at = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n))
     following = np.minimum.accumulate(at[::-1])[::-1]  # where the run of equal symbols ends
     after = np.append(text, -1)
     return text < after[following + 1]
@@ -80,7 +80,7 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: i
                 lists[own[a]].append(found[a:b])
         return back
 
-    last = np.array([len(text) - 1])
+    last = np.array([len(text) - 1], np.int32)
     deal(last, larger_lists, -1)
     whole: list[np.ndarray] = []
     for symbol in range(symbols):
@@ -89,7 +89,7 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: i
             done.append(now)
             before = now[now > 0] - 1
             now = deal(before[~smaller[before]], larger_lists, symbol)
-        whole.append(np.concatenate(done) if done else np.zeros(0, np.int64))
+        whole.append(np.concatenate(done) if done else np.zeros(0, np.int32))
         own = seeds[first_of[symbol]:first_of[symbol + 1]]
         before = own[own > 0] - 1
         deal(before, larger_lists, -1)  # what stands before a leftmost-smaller suffix is larger
@@ -136,7 +136,7 @@ def _induce_singly(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sym
         if symbol >= 0:
             tails[symbol] -= 1
             order[tails[symbol]] = place - 1
-    return np.frombuffer(order, np.int32).astype(np.int64)
+    return np.frombuffer(order, np.int32)
 
 
 def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
@@ -148,14 +148,15 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     induce = _induce if symbols * BUCKET_ROWS <= n else _induce_singly
     smaller = _larger_types(text)
     leftmost = smaller & np.append(False, ~smaller[:-1])
-    where = np.flatnonzero(leftmost)
+    where = np.flatnonzero(leftmost).astype(np.int32)
     if len(where) > 1:
         # sort the leftmost-smaller substrings: induce from them in the order of their first symbols
         sorted_once = induce(text, smaller, where[np.argsort(text[where], kind="stable")], symbols)
         seeds = sorted_once[leftmost[sorted_once]]
+        del sorted_once
         # name them: equal neighbours get one name; a substring goes up to the next leftmost-smaller one
-        size = np.append(where[1:] + 1, n) - where
-        of = np.full(n, -1, np.int64)
+        size = np.append(where[1:] + 1, np.int32(n)) - where
+        of = np.full(n, -1, np.int32)
         of[where] = np.arange(len(where))
         a, b = seeds[:-1], seeds[1:]
         same = (size[of[a]] == size[of[b]]) & (b != where[-1]) & (a != where[-1])
@@ -168,8 +169,9 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
             open_ = open_[equal]
             depth += 1
         name = np.append(0, np.cumsum(~same))
-        names = np.empty(len(where), np.int64)
+        names = np.empty(len(where), np.int32)
         names[of[seeds]] = name
+        del of, size, a, b, same, open_
         if name[-1] < len(where) - 1:
             seeds = where[suffix_array(names, int(name[-1]) + 1)]
         return induce(text, smaller, seeds, symbols)
@@ -184,16 +186,18 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    shared = np.zeros(n, np.int64)
-    led = np.append(-1, text)  # the symbol before each place
+    shared = np.zeros(n, np.int32)
+    led = np.append(np.int32(-1), text.astype(np.int32))  # the symbol before each place
     compared = (before <= 0) | (led[:-1] != led[before])
     compared[0] = True
-    padded = np.append(text, np.full(PACKED, -1))
+    padded = np.append(led[1:], np.full(PACKED, -1, np.int32))
+    del led
     packed = np.zeros(n + 1, np.uint64)
     for i in range(PACKED):
         packed[:n] = (packed[:n] << np.uint64(9)) | (padded[i:i + n] + 1).astype(np.uint64)
+    del padded
     open_ = np.flatnonzero(compared & (before >= 0))
     while len(open_):  # PACKED symbols at a time
         x, y = np.minimum(open_ + shared[open_], n), np.minimum(before[open_] + shared[open_], n)
@@ -207,8 +211,10 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
             shared[at] += np.where((x[ended] == n) | (y[ended] == n), 0, step)
             open_ = open_[~ended]
         shared[open_] += PACKED
-    last = np.maximum.accumulate(np.where(compared, np.arange(n), 0))  # the compared place that each one counts down from
-    return np.minimum(shared[last] - (np.arange(n) - last), most)
+    del packed, before
+    place = np.arange(n, dtype=np.int32)
+    last = np.maximum.accumulate(np.where(compared, place, np.int32(0)))  # the compared place that each one counts down from
+    return np.minimum(shared[last] - (place - last), np.int32(most))
 
 
 def smallest_ids(stretches: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
@@ -219,9 +225,11 @@ def smallest_ids(stretches: list[bytes], ids: np.ndarray, length: int) -> list[n
     text[starts + sizes - 1] = 0  # the end of a stretch is smaller than every byte
     order = suffix_array(text, 257)
     prefixes = common_prefixes(text, order, length)
-    left = np.repeat(starts + sizes - 1, sizes) - np.arange(len(text))
-    own = np.where(left >= length, np.repeat(ids, sizes), NO_ID)
     begin = np.flatnonzero(prefixes[order] < length)
+    del prefixes
+    left = np.repeat((starts + sizes - 1).astype(np.int32), sizes) - np.arange(len(text), dtype=np.int32)
+    own = np.where(left >= length, np.repeat(ids, sizes), NO_ID)
+    del left
     least = np.minimum.reduceat(own[order], begin)
     of_place = np.empty(len(text), np.int64)
     of_place[order] = np.repeat(least, np.diff(np.append(begin, len(text))))
