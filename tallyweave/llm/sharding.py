@@ -4,7 +4,12 @@ Documents are ordered by (hash of the text, id). The borders between shards are
 the exact bytes below candidate keys over all rows, again and again, with the candidates drawn
 closer around each border until the bytes below it meet the tolerance. A border that falls inside
 one text with very many copies is refined further over the ids, and one inside rows that repeat id and text over the copies, so
-such groups are split. The rows then move once. Candidates and counts are the only things the driver sees.
+such groups are split. The rows then move once. Candidates and counts are the only things the driver sees; their number follows the
+shards, not the rows.
+
+Rows are numbered in cells, ranges of equal width of the hash, as many as the rows ask for; a table says how many rows lie before each. A cell with
+too many rows for one task, which has a text with very many copies, is dealt further by a hash of the id. Slots follow the order of cells, and the order of
+(hash of the text, id) within what is numbered together.
 
 Size of a row: UTF-8 bytes of its text plus a fixed number. NULL text has no bytes. A NULL id sorts
 first. Only where a border falls inside rows that repeat id and text are the rows written out first, to number them. No rows
@@ -131,9 +136,15 @@ def _part(cuts: list[tuple[int, int, int]], copy: Column) -> Column:
     return search(0, len(cuts)).cast("int")
 
 
+def _cell(n_rows: int, rows_per_task: int) -> Column:
+    """The leading bits of the text's hash, in its order; more bits for more rows."""
+    bits = min(32, max(0, -(-n_rows // rows_per_task) - 1).bit_length())
+    return F.shiftrightunsigned(F.col("_key").bitwiseXOR(F.lit(LOWEST)), 64 - bits) if bits else F.lit(0).cast("long")
+
+
 def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.001, rows_per_task: int = 1_000_000,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents with ``_size``, ``_shard`` and ``_slot`` (gapless from 0 within the shard, in order)."""
+    """The documents with ``_size``, ``_shard`` and ``_slot`` (gapless from 0 within the shard)."""
     inner, (id_column, text_column) = numbered(docs, id_column, text_column)
     text = text_or_empty(text_column)
     keyed = inner.withColumns({
@@ -141,8 +152,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.001,
         "_order": F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)),
     })
     keys = stage(keyed.select("_size", "_key", "_order"), "shard-keys")
-    pieces = max(1, -(-keys.count() // (shards * rows_per_task)))  # tasks that number the rows of a shard
-    cuts, tied, slack = borders(keys, shards * pieces, tolerance)
+    cuts, tied, slack = borders(keys, shards, tolerance)
     copy = F.lit(0)
     if tied:  # many rows with one id and text: numbered as they are written, so that every reader sees the same numbers
         keyed = stage(keyed.withColumn("_copy", F.monotonically_increasing_id()), "shard-rows")
@@ -151,13 +161,24 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.001,
             own = stage(keys.filter((F.col("_key") == F.lit(key)) & (F.col("_order") == F.lit(order))), "shard-copies")
             for offset, (cut, below, after) in zip(offsets, _cut_in(own, "_copy", offsets, slack)):
                 cuts.append((key, order, cut if offset - below <= after - offset else cut + 1))
-    cuts = sorted(cuts)
-    counted = keys.groupBy(_part(cuts, copy).alias("_piece_c")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(F.expr(f"_piece_c div {pieces}")).orderBy("_piece_c").rowsBetween(Window.unboundedPreceding, -1)
-    first = counted.select("_piece_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy("_piece").orderBy("_key", "_order")
-    moved = keyed.withColumn("_piece", _part(cuts, copy)).withColumn("_nth", F.row_number().over(within) - 1)
-    done = (moved.join(first, F.col("_piece") == F.col("_piece_c"))
-            .withColumn("_shard", F.expr(f"cast(_piece div {pieces} as int)"))
-            .withColumn("_slot", (F.col("_first") + F.col("_nth")).cast("long")))
+    placed = {"_shard": _part(sorted(cuts), copy), "_cell": _cell(keys.count(), rows_per_task)}
+    cells = stage(keys.withColumns(placed).groupBy("_shard", "_cell").agg(F.count("*").alias("_n")), "shard-cells")
+    large = cells.filter(F.col("_n") > 2 * rows_per_task).select(
+        F.col("_shard").alias("_shard_l"), F.col("_cell").alias("_cell_l"), F.ceil(F.col("_n") / rows_per_task).alias("_deals"))
+    nothing_large = large.isEmpty()
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns(placed)
+        if nothing_large:
+            return rows.withColumn("_deal", F.lit(0).cast("long"))
+        return rows.join(large, (F.col("_shard") == F.col("_shard_l")) & (F.col("_cell") == F.col("_cell_l")), "left").withColumn(
+            "_deal", F.coalesce(F.pmod(F.xxhash64("_order", copy), "_deals"), F.lit(0).cast("long")))
+
+    piece = ["_shard", "_cell", "_deal"]
+    counted = cells.withColumn("_deal", F.lit(0).cast("long")) if nothing_large else dealt(keys).groupBy(*piece).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_shard").orderBy("_cell", "_deal").rowsBetween(Window.unboundedPreceding, -1)  # a row per piece
+    first = counted.select(*[F.col(name).alias(f"{name}_f") for name in piece], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    moved = dealt(keyed).withColumn("_nth", F.row_number().over(Window.partitionBy(*piece).orderBy("_key", "_order")) - 1)
+    same = (F.col("_shard") == F.col("_shard_f")) & (F.col("_cell") == F.col("_cell_f")) & (F.col("_deal") == F.col("_deal_f"))
+    done = moved.join(first, same).withColumn("_slot", (F.col("_first") + F.col("_nth")).cast("long"))
     return with_results(docs, done, ["_size", "_shard", "_slot"])

@@ -226,15 +226,15 @@ def members(records: DataFrame) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per response or revisit record."""
-    records = records.dropDuplicates(["record_id"])
+    """One nested row per response or revisit record. Records of a kind (captures or members) with one id are one record."""
+    anchors = records.filter(F.col("record_type").isin(*ANCHORS)).dropDuplicates(["record_id"])
+    own = records.filter(F.col("record_type").isin(*MEMBERS)).dropDuplicates(["record_id"])
     nested = F.struct("record_id", "record_type", "target_uri", "date", "content_type", "head", "payload", "payload_bytes", "payload_digest")
-    owned = (records.filter(F.col("record_type").isin(*MEMBERS)).join(members(records), F.col("record_id") == F.col("member_id"))
+    owned = (own.join(members(records), F.col("record_id") == F.col("member_id"))
              .groupBy("capture_id").agg(*[
                  column for kind, plural in (("request", "n_requests"), ("metadata", "n_metadata"))
                  for column in (F.min_by(F.when(F.col("record_type") == kind, nested), F.when(F.col("record_type") == kind, F.col("record_id"))).alias(kind),
                                 F.count_if(F.col("record_type") == kind).alias(plural))]))
-    anchors = records.filter(F.col("record_type").isin(*ANCHORS))
     return anchors.join(owned, F.col("record_id") == F.col("capture_id"), "left").select(
         F.col("record_id").alias("capture_id"), F.col("record_type"), "refers_to", "declared_digest",
         nested.alias("response"), "request", "metadata",
@@ -247,7 +247,7 @@ def unassembled(records: DataFrame) -> DataFrame:
     return records.filter(F.col("record_type").isin(*MEMBERS)).join(owned, F.col("record_id") == F.col("member_id"), "left_anti")
 
 
-def page_captures(pages: DataFrame, min_bytes: int = 0, payloads: bool = False) -> DataFrame:
+def page_captures(pages: DataFrame, min_bytes: int = 0, payloads: bool = True) -> DataFrame:
     """Write the pages to archives, read them back, and give one assembled row per page, with revisits
     resolved to the response that they refer to. The archives are parsed once; without ``payloads`` the bodies of
     responses stay in them, and only their size and digest are carried."""

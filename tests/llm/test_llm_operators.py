@@ -178,6 +178,26 @@ def test_one_hot_text_is_split_over_shards(spark):
     assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 80
 
 
+@pytest.mark.parametrize("shards", [1, 2, 8])
+def test_cells_of_a_hot_text_are_dealt_to_several_tasks(spark, shards):
+    rows = [(i, "same text" if i % 3 else words(3)) for i in range(400)] + [(None, None), (3, ""), (5, "same text")]
+    slots, moved, sizes = defaultdict(list), Counter(), Counter()
+    for r in sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards, rows_per_task=10).collect():
+        slots[r._shard].append(r._slot)
+        sizes[r._shard] += r._size
+        moved[r.doc_id, r.text] += 1
+    assert moved == Counter(rows) and len(slots) == shards and all(sorted(own) == list(range(len(own))) for own in slots.values())
+    assert max(sizes.values()) - min(sizes.values()) <= 100
+
+
+def test_no_expression_of_the_borders_grows_with_the_rows(spark):
+    plans = []
+    for rows_per_task in (1000, 10):
+        docs = spark.createDataFrame([(i, f"text {i}") for i in range(1000)], "doc_id long, text string")
+        plans.append(sharding.shard_documents(docs, 4, rows_per_task=rows_per_task)._jdf.queryExecution().analyzed().toString().count("CASE WHEN"))
+    assert plans[0] == plans[1]
+
+
 def test_rows_that_repeat_id_and_text_are_split_over_shards(spark):
     rows = [(None, "same text")] * 200 + [(i, words(3)) for i in range(400)]
     hot = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
