@@ -34,7 +34,7 @@ from tallyweave.llm.common import text_or_empty
 from tallyweave.sources.staging import new_path, stage
 
 CRLF = "\r\n"
-MAX_FILE_BYTES = 64 << 20
+MAX_FILE_BYTES, BATCH_BYTES = 64 << 20, 1 << 20
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ANCHORS, MEMBERS = ("response", "revisit"), ("request", "metadata")
 
@@ -142,10 +142,11 @@ def _unpacked(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
     for at in range(0, len(view), step):
         piece = bytes(view[at:at + step])
         while piece:
-            yield unzip.decompress(piece)
-            piece = unzip.unused_data
-            if piece:
+            yield unzip.decompress(piece, step)
+            piece = unzip.unconsumed_tail or unzip.unused_data
+            if unzip.eof:
                 unzip = zlib.decompressobj(31)
+    yield unzip.flush()
 
 
 def parsed_records(content: bytes) -> Iterator[tuple]:
@@ -198,15 +199,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives under ``path``; digest and size are those of the payload as read."""
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
+        for files in batches:
+            for content in files.column(0):
                 rows, size = [], 0
                 for row in parsed_records(content.as_py()):
                     rows.append(row)
                     size += len(row[9]) + 500
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+                    if size > BATCH_BYTES:
+                        batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
                         rows, size = [], 0
+                        yield batch
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
