@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallyweave.llm.common import text_or_empty
+from tallyweave.operators.hot_keys import heavy_keys, hot_keys, lookup
 from tallyweave.sources.staging import new_path, stage
 
 CRLF = "\r\n"
@@ -89,14 +90,14 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         "_sha1", F.sha1(F.col("_payload").cast("binary")))
     keys = stage(base.groupBy("_page", "_url", "_sha1", F.octet_length("_payload").alias("_bytes")).agg(F.count("*").alias("_copies")), "warc-keys")
     order = F.struct(F.col("_page").isNull().alias("a"), F.col("_page").alias("page"), F.col("_url").isNull().alias("b"), F.col("_url").alias("url"))
-    groups = (keys.filter(F.col("_bytes") >= min_bytes).groupBy(F.col("_sha1").alias("_sha1_g"))
+    groups = (keys.filter(F.col("_bytes") >= min_bytes).groupBy("_sha1")
               .agg(F.min(order).alias("_first"), F.sum("_copies").alias("_n")).filter("_n > 1"))
-    joined = base.join(groups.hint("merge"), F.col("_sha1") == F.col("_sha1_g"), "left")
+    joined = lookup(base, groups.select("_sha1", "_first"), ["_sha1"], ["_page", "_url"], hot=heavy_keys(groups, ["_sha1"], "_n"))
     copy = F.lit(1)
     if not keys.filter("_copies > 1").isEmpty():  # rows that agree in everything are told apart by a number
         copy = F.row_number().over(Window.partitionBy("_sha1", "_page", "_url").orderBy(F.lit(1)))
     is_first = F.col("_page").eqNullSafe(F.col("_first.page")) & F.col("_url").eqNullSafe(F.col("_first.url")) & (F.col("_copy") == 1)
-    return joined.withColumn("_copy", copy).withColumn("_first", F.when(~is_first, F.col("_first"))).drop("_sha1_g", "_n")
+    return joined.withColumn("_copy", copy).withColumn("_first", F.when(~is_first, F.col("_first")))
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0,
@@ -262,6 +263,6 @@ def page_captures(pages: DataFrame, min_bytes: int = 0, payloads: bool = True) -
     captures = assemble(records).withColumn(
         "page_id", F.regexp_extract(F.col("metadata.payload").cast("string"), r"page-id: (-?\d+)", 1).try_cast("long"))
     originals = captures.filter("record_type = 'response'").select(
-        F.col("capture_id").alias("original_id"), F.col("page_id").alias("original_page"),
+        F.col("capture_id").alias("refers_to"), F.col("page_id").alias("original_page"),
         F.col("response.payload_bytes").alias("original_bytes"), F.col("response.payload_digest").alias("original_digest"))
-    return captures.join(originals, F.col("refers_to") == F.col("original_id"), "left")
+    return lookup(captures, originals, ["refers_to"], ["capture_id"], hot=hot_keys(records.select("refers_to"), ["refers_to"]))

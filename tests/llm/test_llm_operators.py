@@ -388,6 +388,16 @@ def test_archives_give_back_every_page_with_its_original(spark):
         assert all(r.n_requests == r.n_metadata == 1 and r.request.record_type == "request" for r in own)
 
 
+def test_revisits_of_a_hot_payload(spark, monkeypatch):
+    monkeypatch.setattr(warc.heavy_keys, "__defaults__", (20,))
+    monkeypatch.setattr(warc.hot_keys, "__defaults__", (20,))
+    rows = [(i, f"http://h/{i}", "same body" if i % 3 else f"body {i}") for i in range(90)] + [(None, "http://n", None), (200, None, "same body")]
+    captures = warc.page_captures(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4))
+    got = {r.page_id: (r.record_type, r.original_page, bytes(r.response.payload)) for r in captures.collect()}
+    assert got == {page: ("revisit", 1, b"") if html == "same body" and page != 1 else ("response", None, (html or "").encode())
+                   for page, _, html in rows}
+
+
 def test_small_payloads_are_never_revisits(spark):
     pages = spark.createDataFrame([(1, None, "aa"), (2, None, "aa"), (3, None, "bbbb"), (4, None, "bbbb")], "page_id long, url string, html string")
     kinds = dict(values(warc.page_captures(pages, min_bytes=3), "page_id", "record_type"))
