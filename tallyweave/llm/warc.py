@@ -259,7 +259,7 @@ def page_captures(pages: DataFrame, min_bytes: int = 0, payloads: bool = True) -
     records = read_archives(pages.sparkSession, path)
     if not payloads:
         records = records.withColumn("payload", F.when(F.col("record_type").isin(*MEMBERS), F.col("payload")))
-    records = stage(records, "warc-records")
+    records = stage(records, "warc-records", "zstd")
     captures = assemble(records).withColumn(
         "page_id", F.regexp_extract(F.col("metadata.payload").cast("string"), r"page-id: (-?\d+)", 1).try_cast("long"))
     originals = captures.filter("record_type = 'response'").select(
