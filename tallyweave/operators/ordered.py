@@ -18,11 +18,16 @@ from tallyweave.sources.staging import stage
 
 CHUNK = "_chunk"
 MIN_CHUNK_ROWS = 500
+MANY_CHUNKS = 96
 
 
 def chunk_count(df: DataFrame, hot_rows: int) -> int:
-    """So many pieces that one has about half of ``hot_rows`` rows, however many rows there are."""
-    return max(2, -(-2 * df.count() // max(hot_rows, MIN_CHUNK_ROWS)))
+    """So many pieces that one has about half of ``hot_rows`` rows. A small ``hot_rows`` makes no more than ``MANY_CHUNKS`` pieces, or three per core,
+    while one of them has no more than half of ``HOT_ROWS`` rows: every piece costs a sample of its rows in the driver, a block of every task that
+    writes to it, and a file."""
+    rows = 2 * df.count()
+    enough = max(MANY_CHUNKS, 3 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // HOT_ROWS))
+    return max(2, min(-(-rows // max(hot_rows, MIN_CHUNK_ROWS)), enough))
 
 
 def ordered_chunks(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str,

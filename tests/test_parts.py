@@ -257,6 +257,10 @@ def test_chunks_follow_the_rows(spark):
     assert ordered.chunk_count(spark.range(10), 1_000) == 2
 
 
+def test_small_hot_groups_make_few_chunks(spark):
+    assert ordered.chunk_count(spark.range(4_000_000), 500) == ordered.MANY_CHUNKS
+
+
 def test_no_hot_key_is_left_whole(spark):
     from tallyweave.operators.hot_keys import hot_keys
 
