@@ -261,6 +261,18 @@ def test_small_hot_groups_make_few_chunks(spark):
     assert ordered.chunk_count(spark.range(4_000_000), 500) == ordered.MANY_CHUNKS
 
 
+def test_base_tables_are_dealt_only_where_their_files_leave_cores_idle(spark, tmp_path):
+    from driver import views
+
+    many = spark.range(80_000).withColumn("text", F.sha2(F.col("id").cast("string"), 512)).repartition(16)
+    many.write.parquet(str(tmp_path / "many.parquet"))
+    many.coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    tables = {name: views.base_table(spark, str(tmp_path), name) for name in ("many", "one")}
+    exchanged = {name: "Exchange" in df._jdf.queryExecution().executedPlan().toString() for name, df in tables.items()}
+    assert exchanged == {"many": False, "one": True}
+    assert [df.distinct().count() for df in tables.values()] == [80_000, 80_000]
+
+
 def test_no_hot_key_is_left_whole(spark):
     from tallyweave.operators.hot_keys import hot_keys
 
