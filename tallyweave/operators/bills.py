@@ -48,6 +48,11 @@ def read_fields(bills: DataFrame, *, token_prefix: str = "PO_", token_length: in
     return fields.withColumn("po_number", token)
 
 
+def matched_columns(parsed_bills: DataFrame) -> DataFrame:
+    """The columns that a match reads more than once. The key of a record is read of malformed ones only."""
+    return parsed_bills.withColumn("bill_key", F.when(F.col("is_malformed"), F.col("bill_key"))).drop("bill_type", "ingested_at")
+
+
 def malformed(parsed_bills: DataFrame) -> DataFrame:
     """Bills whose raw record is not JSON; they stay in the match with empty fields."""
     return parsed_bills.filter("is_malformed").select("bill_key", "bill_id")

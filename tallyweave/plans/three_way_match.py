@@ -22,7 +22,7 @@ from tallyweave.functions import texts
 from tallyweave.functions.amounts import money
 from tallyweave.functions.times import instant_literal, to_millis
 from tallyweave.operators import bills as bill_ops, checks, classify
-from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, lookup
+from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, hot_keys, lookup
 from tallyweave.operators.purchase_orders import approvals_by_po, receipt_summary
 from tallyweave.sources.staging import Stages
 from tallyweave.sources.versioned import VersionedStore
@@ -118,7 +118,9 @@ def bill_statuses(parsed: DataFrame, facts: DataFrame, options: MatchOptions = M
         "po_number", "billed_amount", "authorized_amount", "approval_status", "is_fully_received",
         "has_suspended_line",
     )
-    joined = lookup(parsed, per_order, ["po_number"], ["bill_id"], hot=busy)
+    # Bills without an order number have nothing to look up and pass no shuffle.
+    cited = lookup(parsed.filter(F.col("po_number").isNotNull()), per_order, ["po_number"], ["bill_id"], hot=busy)
+    joined = cited.unionByName(parsed.filter(F.col("po_number").isNull()), allowMissingColumns=True)
     bucket = classify.status_bucket(
         F.col("po_number"), F.col("billed_amount"), F.col("authorized_amount"), F.col("is_fully_received"),
         options.tolerance, options.overrun,
@@ -134,10 +136,10 @@ def bill_statuses(parsed: DataFrame, facts: DataFrame, options: MatchOptions = M
 
 def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
                 options: MatchOptions = MatchOptions()) -> DataFrame:
-    """One row per bill with its status and its vendor's name."""
+    """One row per bill with its status and its vendor's name. Busy vendors are counted in the bills, before their facts are looked up."""
     known = checks.unique_rows(vendors.select("vendor_id", F.col("vendor_name").alias("supplier")), "vendor_id", "supplier", what="vendors")
     statuses = bill_statuses(parsed, facts, options)
-    return lookup(statuses, known, ["vendor_id"], ["bill_id"], hot_rows=options.hot_rows).drop("vendor_id")
+    return lookup(statuses, known, ["vendor_id"], ["bill_id"], hot=hot_keys(parsed, ["vendor_id"], options.hot_rows)).drop("vendor_id")
 
 
 def awaiting_rows(facts: DataFrame, options: MatchOptions = MatchOptions()) -> DataFrame:
@@ -171,11 +173,11 @@ class Match:
 
     @cached_property
     def parsed(self) -> DataFrame:
-        return self._stages.stage(parsed_bills(self.inputs.bills, self.options), "parsed-bills")
+        return self._stages.stage(bill_ops.matched_columns(parsed_bills(self.inputs.bills, self.options)), "parsed-bills", "zstd")
 
     @cached_property
     def facts(self) -> DataFrame:
-        return self._stages.stage(order_facts(self.parsed, self.inputs, self.options), "order-facts")
+        return self._stages.stage(order_facts(self.parsed, self.inputs, self.options), "order-facts", "zstd")
 
     @cached_property
     def rows(self) -> DataFrame:

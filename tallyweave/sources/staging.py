@@ -73,9 +73,9 @@ class Stages:
     def __init__(self) -> None:
         self._own: list[tuple[SparkSession, str]] = []
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         before = len(_written)
-        rows = stage(df, name)
+        rows = stage(df, name, compression)
         self._own += _written[before:before + 1]
         return rows
 

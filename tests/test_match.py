@@ -262,3 +262,48 @@ def test_building_a_match_runs_no_checks_and_a_rollup_reads_no_vendors(spark, mo
         assert not any("vendors_table" in path for path in match.rollup.inputFiles())
         paths = [path for _, path in match._stages._own]
     assert len(paths) == 2 and not any(Path(path.removeprefix("file://")).exists() for path in paths)
+
+
+def test_bills_without_an_order_pass_no_lookup_of_facts(spark):
+    from tallyweave.plans import three_way_match as plan
+
+    bills = spark.createDataFrame([bill("a", 5, po(1)), bill("b", 7, "none"), bill("c", 9, None), bill(None, 1, po(1)), bill("d", 2, raw="{broken")], BILL)
+    parsed = bill_ops.matched_columns(plan.parsed_bills(bills))
+    facts = spark.createDataFrame([(po(1), 2, Decimal("6.00"), Decimal("6.00"), "ok", True, False), (None, 3, Decimal("1.00"), None, None, None, None)],
+                                  "po_number string, bills long, billed_amount decimal(18,2), authorized_amount decimal(18,2), approval_status string, "
+                                  "is_fully_received boolean, has_suspended_line boolean")
+    statuses = plan.bill_statuses(parsed, facts)
+    assert values(statuses, "bill_id", "po_number", "approval_status", "status_bucket") == values(spark.createDataFrame([
+        ("a", po(1), "ok", "Fully validated"), (None, po(1), "ok", "Fully validated"), ("b", None, None, "No PO in memo"),
+        ("c", None, None, "No PO in memo"), ("d", None, None, "No PO in memo")], "a string, b string, c string, d string"), "a", "b", "c", "d")
+    assert "Union" in statuses._jdf.queryExecution().optimizedPlan().toString()
+    assert values(parsed, "bill_id", "bill_key") == values(spark.createDataFrame(
+        [("a", None), ("b", None), ("c", None), (None, None), ("d", "1")], "a string, b string"), "a", "b")
+
+
+def test_busy_vendors_are_counted_in_the_bills(spark, monkeypatch):
+    from tallyweave.plans import three_way_match as plan
+
+    counted = []
+    monkeypatch.setattr(plan, "hot_keys", lambda df, on, rows: counted.append((df, on)) or df.select(*on).limit(0), raising=False)
+    parsed = plan.parsed_bills(spark.createDataFrame([bill("a", 5, po(1))], BILL))
+    facts = spark.createDataFrame([], "po_number string, bills long, billed_amount decimal(18,2), authorized_amount decimal(18,2), approval_status string, "
+                                      "is_fully_received boolean, has_suspended_line boolean")
+    plan.billed_rows(parsed, facts, spark.createDataFrame([("v1", "V")], "vendor_id string, vendor_name string"))
+    assert [(df is parsed, on) for df, on in counted] == [(True, ["vendor_id"])]
+
+
+def test_keys_with_one_hash_each_are_not_counted_again(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    with pytest.raises(checks.IntegrityError, match="x2"):
+        checks.assert_key(rows.union(rows), "k")
+    with pytest.raises(checks.IntegrityError):
+        checks.assert_key(rows.union(spark.createDataFrame([(None, 3)], rows.schema)), "k")
+    monkeypatch.setattr(checks, "key_violations", None)
+    assert checks.assert_key(rows, "k") is rows
+
+
+def test_a_store_writes_with_its_compression(spark, tmp_path):
+    with VersionedStore(spark, str(tmp_path / "z"), "zstd").commit() as change:
+        change.replace("t", spark.range(3))
+    assert list(tmp_path.glob("z/t/**/*.zstd.parquet"))
