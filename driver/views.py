@@ -212,8 +212,8 @@ def needed(*names: str) -> list[str]:
 
 
 ROWS_DEALT = 1 << 20  # rows of a task, at most, where rows are dealt out
-# About a million rows: these tables take some 12 bytes a row, what is derived of a row takes hundreds, and tasks sort that.
-SPLIT, SPLIT_SIZE = "spark.sql.files.maxPartitionBytes", "16m"
+# Under a million rows: these tables take some 12 bytes a row, what is derived of a row takes hundreds, and tasks sort that.
+SPLIT, SPLIT_SIZE = "spark.sql.files.maxPartitionBytes", "8m"
 
 
 def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
