@@ -11,6 +11,8 @@ _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _ISO_BASIC_DATE = r"^\d{8}$"
 _ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 _WITHOUT_SECONDS = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-].*)?$"
+# What a plain cast reads as it is: seconds, a point and an offset.
+_COMPLETE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})$"
 _HAS_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
@@ -25,7 +27,8 @@ def parse_iso(text: Column) -> Column:
     instant = F.translate(F.regexp_replace(value, _WITHOUT_SECONDS, "$1:00$2"), ",", ".")
     zoned = F.when(instant.rlike(_HAS_OFFSET), instant).otherwise(F.concat(instant, F.lit("Z")))
     return (
-        F.when(value.rlike(_ISO_TIME), zoned.try_cast("timestamp"))
+        F.when(value.rlike(_COMPLETE), value.try_cast("timestamp"))
+        .when(value.rlike(_ISO_TIME), zoned.try_cast("timestamp"))
         .when(value.rlike(_ISO_DATE) | value.rlike(_ISO_BASIC_DATE),
               F.concat(dashed, F.lit("T00:00:00Z")).try_cast("timestamp"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -113,6 +113,29 @@ def typed(value: Column, dtype: str, *steps: PathStep) -> Column:
     return F.try_variant_get(value, json_path(*steps), dtype)
 
 
+def read_once(value: Column, types: Mapping[tuple[PathStep, ...], str]) -> tuple[Column, Callable[[Column, tuple[PathStep, ...]], Column]]:
+    """The values under many paths in one walk over the VARIANT: a struct, and a function from that struct (as a column) and a path to the path's
+    value. Each value is what ``typed`` gives, and NULL where it does not fit. A path that begins another one cannot be read in the same walk."""
+    if len({*types} | {path[:n] for path in types for n in range(1, len(path))}) != len(types) + len({path[:n] for path in types for n in range(1, len(path))}):
+        raise ValueError("a path begins another one")
+    tree: dict = {}
+    for path, dtype in types.items():
+        place = tree
+        for step in path[:-1]:
+            place = place.setdefault(step, {})
+        place[path[-1]] = dtype
+
+    def spelled_type(part: dict | str) -> str:
+        return part if isinstance(part, str) else "struct<" + ",".join(f"`{key}`:{spelled_type(own)}" for key, own in part.items()) + ">"
+
+    def at(struct: Column, path: tuple[PathStep, ...]) -> Column:
+        for step in path:
+            struct = struct.getField(step)
+        return struct
+
+    return F.try_variant_get(value, "$", spelled_type(tree)), at
+
+
 def elements(value: Column, *steps: PathStep) -> Column:
     """The items of an array as ``array<variant>``; NULL for anything that is not an array."""
     return F.try_variant_get(value, json_path(*steps), "array<variant>")

@@ -13,6 +13,7 @@ from tallyweave.operators.checks import out_of_range
 
 ITEM = "item"
 VIOLATIONS = "violations"
+READ = "_read"
 
 
 @dataclass(frozen=True)
@@ -88,24 +89,43 @@ def map_items(items: DataFrame, fields: Sequence[Field], keep: Sequence[str] = (
     """Rows with the declared columns, ``keep``, and the array ``violations``.
 
     A violation names a column whose value does not fit its type or length, or is missing
-    although required. Rows are never dropped here. All values are read in two projections.
+    although required. Rows are never dropped here. The item is walked once; what a path needs besides is looked up only where the walk found nothing.
     """
     item = F.col(ITEM)
-    paths: dict[str, tuple[str, ...]] = {}
-    numbers: list[Column] = []
+    texts_at: dict[str, tuple[str, ...]] = {}
+    wanted: dict[tuple[str, ...], str] = {}  # read in one walk over the item
     for field in fields:
         for i, path in enumerate(field.paths):
-            if field.type.kind == "number":
-                numbers.append(variants.typed(item, field.type.sql, *path).alias(f"_{field.name}_{i}"))
-                numbers.append(variants.has_value(item, *path).alias(f"_{field.name}_{i}_given"))
-            else:
-                paths[f"_{field.name}_{i}"] = path
+            if field.type.kind != "number":
+                texts_at[f"_{field.name}_{i}"] = path
                 if field.type.kind == "audit":
-                    paths[f"_{field.name}_{i}_date"] = (*path, "date")
+                    texts_at[f"_{field.name}_{i}_date"] = (*path, "date")
+            elif wanted.setdefault(path, field.type.sql) != field.type.sql:
+                wanted[path] = ""
+    for path in texts_at.values():
+        wanted[path] = "string" if wanted.get(path, "string") == "string" else ""
+    begun = {path[:n] for path in wanted for n in range(1, len(path))}
+    wanted = {path: dtype for path, dtype in wanted.items() if dtype and path not in begun}
+    walk, at = variants.read_once(item, wanted) if wanted else (F.lit(None).cast("string"), None)
+
+    def read(path: tuple[str, ...], dtype: str) -> Column:
+        return at(F.col(READ), path) if wanted.get(path) == dtype else variants.typed(item, dtype, *path)
+
     parents = [F.col(field.of_parent).alias(f"_parent_{field.name}") for field in fields if field.of_parent]
+    rows = items.select(*dict.fromkeys([ITEM, *keep]), *parents, walk.alias(READ))
+    found: dict[str, Column] = {}
+    for name, path in texts_at.items():
+        dated = (*path, "date")  # what has a date is an object, which is no text: it is not written as one
+        found[name] = (F.when(read(dated, "string").isNull(), variants.text_at(item, *path))
+                       if wanted.get(path) != "string" and wanted.get(dated) == "string" else read(path, "string"))
+    for field in fields:
+        for i, path in enumerate(field.paths):
+            if field.type.kind == "number":
+                found[f"_{field.name}_{i}"] = read(path, field.type.sql)
     if any(field.type is LINE_AMOUNT for field in fields):
-        numbers += [variants.typed(item, "double", camel(name)).alias(f"_factor_{name}") for name in AMOUNT_FACTORS]
-    read = variants.read_scalars(items.select(ITEM, *keep, *parents, *numbers), ITEM, paths)
+        found |= {f"_factor_{name}": read((camel(name),), "double") for name in AMOUNT_FACTORS}
+    rows = rows.withColumns(found) if found else rows
+    rows = rows.withColumns({name: variants.scalar_only(F.col(name), item, *path) for name, path in texts_at.items()}) if texts_at else rows
 
     columns, rules = [], []
     for field in fields:
@@ -113,7 +133,7 @@ def map_items(items: DataFrame, fields: Sequence[Field], keep: Sequence[str] = (
         columns.append(value.alias(field.name))
         rules += _rules(field, value, given)
     violations = F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
-    return read.select(*keep, *columns, violations.alias(VIOLATIONS))
+    return rows.select(*keep, *columns, violations.alias(VIOLATIONS))
 
 
 def _value(field: Field) -> tuple[Column, Column]:
@@ -130,10 +150,10 @@ def _value(field: Field) -> tuple[Column, Column]:
         return line_amount(*factors), factors[0] * factors[1]
     if kind == "number":
         value = F.coalesce(*[F.col(f"_{field.name}_{i}") for i in range(len(field.paths))])
-        given = F.lit(False)
-        for i in range(len(field.paths)):
-            given = given | F.col(f"_{field.name}_{i}_given")
-        return value, F.when(given, F.lit(True))
+        given = F.lit(False)  # looked up only where there is no value
+        for path in field.paths:
+            given = given | variants.has_value(F.col(ITEM), *path)
+        return value, F.when(value.isNotNull() | given, F.lit(True))
     chosen = _chosen(field)
     if kind == "guid":
         return texts.guid(chosen), chosen
@@ -166,7 +186,7 @@ def _rules(field: Field, value: Column, given: Column) -> list[Column]:
 
 def explode_children(parents: DataFrame, key: Field, *path: str, keep: Sequence[str] = ()) -> DataFrame:
     """The items of a child array, each with its ``child_position``, ``keep``, and the key of its parent in the column ``key.name``."""
-    keyed = map_items(parents.select(ITEM, F.col(ITEM).alias("_whole"), *keep), [key], keep=["_whole", *keep])
+    keyed = map_items(parents, [key], keep=[ITEM, *keep])
     return keyed.select(
-        key.name, *keep, F.posexplode(variants.elements(F.col("_whole"), *path)).alias("child_position", ITEM),
+        key.name, *keep, F.posexplode(variants.elements(F.col(ITEM), *path)).alias("child_position", ITEM),
     )

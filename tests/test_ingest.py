@@ -530,3 +530,37 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         staging.checkpoint_folder(Session)
     Context.getCheckpointDir = lambda self: "hdfs:///shared/"
     assert staging.checkpoint_folder(Session) == "hdfs:///shared"
+
+
+# Cost of reading items
+
+
+def test_an_item_is_walked_once(spark):
+    """Fields are read from one walk over the item; no path has a look-up of its own except where that walk found nothing."""
+    lines = BY_NAME["purchase_orders"].targets[1]
+    rows = map_items(items(spark, {"guid": guid(1), "quantityOrdered": 2, "unitCost": 1.5}).withColumn("purchase_order_id", F.lit("p")), lines.fields)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "StringType, false" not in plan and plan.count("try_variant_get(item") > 0
+    assert values(rows, "line_id", "line_amount") == [(guid(1), Decimal("3.0000"))]
+
+
+def test_one_walk_gives_what_each_path_gives(spark):
+    """Paths that begin other paths, a path read as two types, values that do not fit, and objects and arrays where texts are declared."""
+    fields = [plain("n", INT), plain("as_text", text(), "n"), plain("whole", text(), "a"), plain("part", INT, "a", "b"), plain("flag", BOOL, "a", "c"),
+              Field("on", mapping.AUDIT_TIME, (("on",),)), Field("either", INT, (("x",), ("y",)))]
+    given = [{"n": 7, "a": {"b": "5", "c": True}, "on": {"date": "2020-01-02"}, "x": None, "y": 3}, {"n": 1.5e30, "a": "{", "on": "20200103", "x": "z", "y": {"k": 1}},
+             {"n": [1], "a": [2], "on": {"date": {"d": 1}}}, 17, "text", None]
+    rows = map_items(items(spark, *given).withColumn("place", F.col("position")), fields, ["place"]).orderBy("place").collect()
+    empty = (None,) * 7
+    assert [tuple(row)[1:-1] for row in rows] == [
+        (7, "7", None, 5, True, dt.datetime(2020, 1, 2), 3), (None, "1.5E30", "{", None, None, dt.datetime(2020, 1, 3), None), empty, empty, empty, empty]
+    assert [row["violations"] for row in rows[:3]] == [[], ["n is not a int", "either is not a int"], ["n is not a int"]]
+
+
+@pytest.mark.parametrize("given, expected", [
+    ("2020-01-02T10:30:00+02:00", "2020-01-02T08:30:00"), ("2020-01-02 10:30:00.1234567Z", "2020-01-02T10:30:00.123456"), ("2020-01-02T10:30:00+0230", "2020-01-02T08:00:00"),
+    ("2020-13-02T10:30:00Z", None), ("2020-01-02T10:30Z", "2020-01-02T10:30:00"), ("2020-01-02T10:30:00,5Z", "2020-01-02T10:30:00.500000"), ("2020-01-02T10:30:00+02", None),
+])
+def test_complete_times_are_cast_as_they_are(spark, given, expected):
+    from tallyweave.functions.times import parse_iso
+    assert spark.createDataFrame([(given,)], "t string").select(parse_iso(F.col("t"))).first()[0] == (expected and at(expected))
