@@ -33,14 +33,18 @@ def with_parsed(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.withColumn(name, parse(F.col(text)))
 
 
+# How a number may begin that is spelled in more ways than one: with a point, an exponent or a negative zero. Texts may match as well.
+_SPELLING = r"(?:^|[:,\[])\s*+(?:-0|-?[0-9]++[.eE])"
+
+
 def can_mark(text: Column) -> Column:
-    """Whether the mark does not occur in the text itself."""
-    return ~text.contains(_MARK) & ~F.lower(text).contains(r"\ue000")
+    """Whether numbers are to be marked: some may be spelled in more ways than one, and the mark does not occur in the text itself."""
+    return text.rlike(_SPELLING) & ~text.contains(_MARK) & ~F.lower(text).contains(r"\ue000")
 
 
-def marked_numbers(text: Column) -> Column:
-    """JSON text with its numbers as marked texts, which Spark's JSON functions copy as they are spelled, where ``can_mark``."""
-    return F.when(can_mark(text), F.regexp_replace(text, _NUMBER, f'$1"{_MARK}$2"')).otherwise(text)
+def marked_numbers(text: Column, marked: Column) -> Column:
+    """JSON text with its numbers as marked texts, which Spark's JSON functions copy as they are spelled, where ``marked``."""
+    return F.when(marked, F.regexp_replace(text, _NUMBER, f'$1"{_MARK}$2"')).otherwise(text)
 
 
 def unmarked_numbers(text: Column) -> Column:
@@ -57,8 +61,9 @@ def element_texts(marked: Column, key: str | None = None) -> Column:
 
 def spelled(value: Column, text: Column, marked: Column) -> Column:
     """The JSON text of an item: as it was written, or for a text in quotes. ``marked``: whether its numbers are marked."""
-    own = F.to_json(value)
-    return F.when(own.startswith('"'), own).otherwise(F.coalesce(F.when(marked, unmarked_numbers(text)).otherwise(text), own))
+    own = F.to_json(value)  # costly: only for what is no object, or has no text
+    written = F.coalesce(F.when(marked, unmarked_numbers(text)).otherwise(text), own)
+    return F.when(is_object(value), written).when(own.startswith('"'), own).otherwise(written)
 
 
 def is_malformed(text: Column, parsed: Column) -> Column:
@@ -136,6 +141,11 @@ def read_once(value: Column, types: Mapping[tuple[PathStep, ...], str]) -> tuple
     return F.try_variant_get(value, "$", spelled_type(tree)), at
 
 
+def is_object(value: Column) -> Column:
+    """Whether the VARIANT is a JSON object, without writing it as text."""
+    return F.try_variant_get(value, "$", "struct<`_`:boolean>").isNotNull()
+
+
 def elements(value: Column, *steps: PathStep) -> Column:
     """The items of an array as ``array<variant>``; NULL for anything that is not an array."""
     return F.try_variant_get(value, json_path(*steps), "array<variant>")

@@ -30,8 +30,8 @@ def order_items(body: Column, items_key: str = ITEMS_KEY) -> Column:
 
 
 def item_texts(body: str, items_key: str = ITEMS_KEY, single_orders: bool = False) -> Column:
-    """The texts of the items that ``envelope_items`` or ``order_items`` find, with marked numbers; see ``variants.spelled``."""
-    marked = variants.marked_numbers(F.col(body))
+    """The texts of the items that ``envelope_items`` or ``order_items`` find, with marked numbers where ``_marked``; see ``variants.spelled``."""
+    marked = variants.marked_numbers(F.col(body), F.col("_marked"))
     texts = F.when(F.ltrim(body).startswith("["), variants.element_texts(marked)).otherwise(variants.element_texts(marked, items_key))
     if not single_orders:
         return texts
@@ -55,6 +55,6 @@ def unnest(pages: DataFrame, *, body: str = "body", items_key: str = ITEMS_KEY,
     if text is None:
         return parsed.select(*kept, F.posexplode(items(F.col("_body"), items_key)).alias("position", "item"))
     both = F.arrays_zip(items(F.col("_body"), items_key).alias("value"), item_texts(body, items_key, single_orders).alias("text"))
-    rows = parsed.select(*kept, variants.can_mark(F.col(body)).alias("_marked"), F.posexplode(both).alias("position", "_both"))
+    rows = parsed.withColumn("_marked", variants.can_mark(F.col(body))).select(*kept, "_marked", F.posexplode(both).alias("position", "_both"))
     spelled = variants.spelled(F.col("_both.value"), F.col("_both.text"), F.col("_marked"))
     return rows.select(*kept, "position", F.col("_both.value").alias("item"), spelled.alias(text))

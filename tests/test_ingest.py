@@ -557,6 +557,15 @@ def test_one_walk_gives_what_each_path_gives(spark):
     assert [row["violations"] for row in rows[:3]] == [[], ["n is not a int", "either is not a int"], ["n is not a int"]]
 
 
+def test_items_as_text_with_and_without_marks(spark):
+    """Numbers are marked only where some are spelled in more ways than one; the staged text is the same."""
+    bodies = ['[{"b":12,"a":[1,-5]},7,"x",null]', '[ {"b" : -0 , "a":[1.50,1e3,-0.0]}, 1.0 ]', '[{"id":"10:30.5 -0","n":123456789012345678901234567890}]']
+    given = spark.createDataFrame([(body,) for body in bodies], "body string")
+    assert [row[0] for row in given.select(envelope.variants.can_mark(F.col("body"))).collect()] == [False, True, True]
+    texts = [row["raw"] for row in envelope.unnest(given.coalesce(1), text="raw").collect()]
+    assert texts == ['{"b":12,"a":[1,-5]}', "7", '"x"', "null", '{"b":-0,"a":[1.50,1e3,-0.0]}', "1.0", '{"id":"10:30.5 -0","n":123456789012345678901234567890}']
+
+
 @pytest.mark.parametrize("given, expected", [
     ("2020-01-02T10:30:00+02:00", "2020-01-02T08:30:00"), ("2020-01-02 10:30:00.1234567Z", "2020-01-02T10:30:00.123456"), ("2020-01-02T10:30:00+0230", "2020-01-02T08:00:00"),
     ("2020-13-02T10:30:00Z", None), ("2020-01-02T10:30Z", "2020-01-02T10:30:00"), ("2020-01-02T10:30:00,5Z", "2020-01-02T10:30:00.500000"), ("2020-01-02T10:30:00+02", None),
