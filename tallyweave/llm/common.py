@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import string
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,3 +47,15 @@ def with_results(docs: DataFrame, done: DataFrame, results: list[str]) -> DataFr
     """The columns of ``docs`` under their names, out of ``done`` that has them numbered, and the results. A column of
     ``docs`` with the name of a result gives way to it."""
     return done.select(*[done[f"c{i}"].alias(name) for i, name in enumerate(docs.columns) if name not in results], *results)
+
+
+def byte_steps(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that end with the text in which they reach ``most`` bytes."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= most:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)

@@ -15,6 +15,7 @@ they occur, NULL ids stay NULL, and no rows give no rows. Further columns of the
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -22,20 +23,26 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyweave.llm.common import text_or_empty
+from tallyweave.llm.common import byte_steps, text_or_empty
 from tallyweave.sources.staging import stage
 
 CAPACITY = 4096
 END_ID = 1
 CACHED_WORDS = 100_000  # in each of two generations, some 20 MB; a worker keeps them between tasks
-_MARKS = b".,;:!?\"()[]{}|*#%&$@+=/-"  # ASCII characters that are neither letters nor digits and begin nothing special
-_KEEP_CASE = (b"<|", b"\xcc", b"\xcd")  # special tokens, and what begins the UTF-8 form of U+0300 to U+037F
+STEP_BYTES = 6 << 20  # of texts that are split at once
+_MARKS = ".,;:!?\"()[]{}|*#%&$@+=/-"  # ASCII characters that are neither letters nor digits and begin nothing special
+_KEEP_CASE = re.compile(r"<\||[\u0300-\u037f]").search  # special tokens and, among others, combining marks
+_SMALL_LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+").fullmatch  # of Latin-1
+# Byte-level models spell a byte as the character of Latin-1 if that is visible, else as one of U+0100 and on, in order.
+_HIDDEN = {byte: chr(256 + i) for i, byte in enumerate([*range(33), *range(127, 161), 173])}
+_SPELLED = {code: "".join(_HIDDEN.get(byte, chr(byte)) for byte in chr(code).encode()) for code in range(0xDF, 0x100)}
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -57,61 +64,74 @@ class WordEncoder:
     The tokenizer ignores case and drops white space, and no token crosses it, so the ids of a text are those of its
     lower-cased words put together. ASCII white space alone is split at here; other white space stays inside a
     "word" and is left to the tokenizer. Words that may spell a special token keep their case, and so do those that may hold
-    combining marks, because some compose with a small letter only. Small ASCII letters alone skip the tokenizer's
-    normalizer. Words are kept in two generations, so that frequent ones stay when room is made.
+    combining marks, because some compose with a small letter only. Small letters of Latin-1 alone skip the tokenizer's
+    normalizer and splitting, which leave them as they are, and go to its model in the model's spelling of bytes.
+    Texts are split a step at a time, and a word is looked up once a step. Words that a step repeats are kept, in two
+    generations, so that frequent ones stay when room is made.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached, self.known, self.older = Tokenizer.from_file(path), cached, {}, {}
+        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
         self.model = self.tokenizer.model
-
-    def learn(self, words: set[bytes]) -> None:
-        known, rest, pairs, stems = self.known, [], [], set()
-        for word in words:
-            ids = self.older.get(word)
-            if ids is not None:
-                known[word] = ids
-                continue
-            stem = word.rstrip(_MARKS)
-            letters = stem.decode()
-            if letters.isalpha() and stays_letter(letters[-1]):  # letters and marks are split by the tokenizer, too
-                stems.add(stem)
-                if len(stem) < len(word):
-                    pairs.append((word, stem, word[len(stem):]))
-                    stems.add(word[len(stem):])
-            else:
-                rest.append(word)
-        for stem in stems:
-            if stem in known:
-                continue
-            if stem.isalpha() and stem.islower() and stem not in self.older:  # small ASCII letters, as the model itself takes them
-                known[stem] = np.array([token.id for token in self.model.tokenize(stem.decode())], "<u4").tobytes()
-            elif stem in self.older:
-                known[stem] = self.older[stem]
-            else:
-                rest.append(stem)
-        for word, found in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-        for word, stem, marks in pairs:
-            known[word] = known[stem] + known[marks]
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def find(self, words: list[str], counts: list[int]) -> list[bytes]:
+        """Ids of different words; those of words that occur more than once are kept."""
+        known, older, packed, tokenize, stems, out = self.known, self.older, self.packed, self.model.tokenize, {}, []
+        for word, count in zip(words, counts):
+            ids = known.get(word)
+            if ids is None:
+                ids = older.get(word)
+                if ids is None:
+                    stem = word.rstrip(_MARKS)
+                    if _SMALL_LETTERS(stem):
+                        ids = stems.get(stem)
+                        if ids is None:
+                            letters = stem if stem.isascii() else stem.translate(_SPELLED)
+                            ids = stems[stem] = b"".join([packed[token.id] for token in tokenize(letters)])
+                        if len(stem) < len(word):
+                            ids += self.ids(word[len(stem):])
+                    else:
+                        ids = self.other(word, stem)
+                if count > 1:
+                    known[word] = ids
+            out.append(ids)
+        return out
+
+    def ids(self, word: str) -> bytes:
+        return self.find([word], [2])[0]
+
+    def other(self, word: str, stem: str) -> bytes:
+        """Ids of a word that begins with something else than small letters of Latin-1."""
+        if not _KEEP_CASE(word):
+            lower = word.encode().lower().decode()  # A to Z alone
+            if lower != word:
+                return self.ids(lower)
+        if len(stem) < len(word) and stem.isalpha() and stays_letter(stem[-1]):  # letters and marks are split by the tokenizer, too
+            return self.ids(stem) + self.ids(word[len(stem):])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        for text in texts:
-            if any(sign in text for sign in _KEEP_CASE):
-                words = [word.lower() if word.isascii() and b"<|" not in word else word for word in text.split()]
-            else:
-                words = text.lower().split()
-            new = set(words).difference(self.known)
-            if new:
-                if len(self.known) > self.cached:
-                    self.known, self.older = {}, self.known
-                    new = set(words)
-                self.learn(new)
-            yield b"".join(map(self.known.__getitem__, words))
+        for first, last in byte_steps(texts, STEP_BYTES):
+            words = pc.ascii_split_whitespace(pa.array(texts[first:last], pa.string()))
+            bounds, coded = words.offsets.to_numpy(), words.values.dictionary_encode()
+            del words
+            counts = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)).tolist()
+            if len(self.known) > self.cached:
+                self.known, self.older = {}, self.known
+            found = self.find(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), counts)
+            ids = pa.array(found, pa.large_binary()).take(coded.indices)
+            del coded, counts, found
+            ends = np.frombuffer(ids.buffers()[1], np.int64)[bounds]
+            whole = memoryview(ids.buffers()[2] or b"")
+            for start, end in zip(ends, ends[1:]):
+                yield whole[start:end].tobytes()
 
 
 @lru_cache(maxsize=1)

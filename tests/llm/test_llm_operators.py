@@ -157,6 +157,41 @@ def test_every_letter_is_split_from_a_mark_behind_it():
     assert [np.frombuffer(ids, "<u4").tolist() for ids in packing.WordEncoder(path).encode([x.encode() for x in every])] == expected
 
 
+class CountedTokenizer:
+    """A tokenizer that counts the texts given to it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode(self, text, **options):
+        self.texts += 1
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_small_letters_of_latin_1_skip_the_normalizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = packing.WordEncoder(path)
+    plain, encoder.tokenizer = encoder.tokenizer, CountedTokenizer(encoder.tokenizer)
+    letters = [chr(c) for c in (*range(0x61, 0x7b), *range(0xdf, 0x100)) if c != 0xf7]
+    texts = [f"{a}{b}t\u00e9&&& \u00e9{b}{a}&&&" for a in letters for b in letters]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode([text.encode() for text in texts])]
+    assert found == [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert encoder.tokenizer.texts == 1  # the marks
+
+
+def test_texts_of_several_steps_have_the_ids_of_each(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "STEP_BYTES", 20, raising=False)
+    texts = ["", " ", "\n a", "The the THE the.", "", "a\u00a0b \u0130x.. \u00c9t\u00e9", "x" * 50, "(the) the, \u4e2d\u6587. ...", "\t"]
+    encoder = packing.WordEncoder(path, cached=2)
+    expected = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts * 3]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode([text.encode() for text in texts * 3])] == expected
+
+
 def test_shards_are_even_and_slots_gapless(docs):
     rows = sharding.shard_documents(docs, 4, rows_per_task=5).collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter(ROWS)
