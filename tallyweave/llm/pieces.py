@@ -15,20 +15,21 @@ mark alone and decodes to the empty text; NULL keys draw as the key ``None``. No
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyweave.llm.common import text_or_empty
+from tallyweave.llm.common import byte_steps, text_or_empty
 from tallyweave.llm.shingles import mixed
 
 MARK = "▁"
-STRETCH = re.compile(rb" *[^ \n]+| +|\n")
+SEPARATOR = 256  # a code that no byte has
+DRAWS = 1 << 30
 STEP_BYTES, HELD_NODES = 1 << 20, 1_500_000
 
 
@@ -59,70 +60,73 @@ class PieceModel:
         if (self.byte_id < 0).any():
             raise ValueError("the model has no byte pieces")
         self.weights = np.array(weights)
-        self.tables = {}
-        for length, ids in sorted(by_length.items()):
-            buffer = np.frombuffer(b"".join(self.spelled[i].ljust(length + 8, b"\0") for i in ids), np.uint8).reshape(len(ids), -1)
-            words = [self._word(buffer, at, min(8, length)) for at in self._cover(length)]
-            order = np.lexsort(words[::-1])
-            self.tables[length] = [w[order] for w in words], np.array(ids, np.int64)[order]
-
-    @staticmethod
-    def _cover(length: int) -> list[int]:
-        return [0] if length <= 8 else [*range(0, length - 8, 8), length - 8]
-
-    @staticmethod
-    def _word(rows: np.ndarray, at: int, n: int) -> np.ndarray:
-        out = np.zeros(len(rows), np.uint64)
-        for i in range(n):
-            out = (out << np.uint64(8)) | rows[:, at + i].astype(np.uint64)
-        return out
-
-    def edges(self, text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, length and piece of every edge; ``ends`` gives each byte the end of its stretch."""
-        raw = np.frombuffer(text + b"\0" * 8, np.uint8)
-        n = len(text)
-        words = np.zeros(n, np.uint64)
-        for i in range(8):
-            words = (words << np.uint64(8)) | raw[i:i + n].astype(np.uint64)
-        left = ends - np.arange(n)
-        where = np.flatnonzero((raw[:n] & 0xC0) != 0x80)  # first bytes of characters
-        starts, lengths, pieces, chars = [], [], [], where
-        for length, (keys, ids) in self.tables.items():
-            where = where[left[where] >= length]
-            if not len(where):
-                break
-            own = words[where] >> np.uint64(8 * (8 - length)) if length <= 8 else words[where]
-            first = np.searchsorted(keys[0], own)
-            first[first == len(ids)] = 0
-            hit = keys[0][first] == own
-            found, at = where[hit], first[hit]
-            if len(keys) > 1 and len(found):  # longer pieces: step through those with the same first bytes
-                rest = [words[found + offset] for offset in self._cover(length)[1:]]
-                head, done = words[found], np.full(len(found), -1)
-                open_ = np.arange(len(found))
-                while len(open_):
-                    here = at[open_]
-                    same = np.all([k[here] == r[open_] for k, r in zip(keys[1:], rest)], axis=0)
-                    done[open_[same]] = here[same]
-                    at[open_] += 1
-                    open_ = open_[~same]
-                    open_ = open_[at[open_] < len(ids)]
-                    open_ = open_[keys[0][at[open_]] == head[open_]]
-                found, at = found[done >= 0], done[done >= 0]
-            starts.append(found)
-            lengths.append(np.full(len(found), length))
-            pieces.append(ids[at])
-        size = np.diff(np.append(chars, n))
-        known = np.zeros(n, bool)
-        for start, length in zip(starts, lengths):
-            if len(start):
-                known[start[self._char_size(raw, start) == length]] = True
-        lone = np.repeat(~known[chars], size)
-        spelled = np.flatnonzero(lone)
-        starts.append(spelled)
-        lengths.append(np.ones(len(spelled), np.int64))
-        pieces.append(self.byte_id[raw[spelled]])
-        return np.concatenate(starts), np.concatenate(lengths), np.concatenate(pieces)
+        self.sizes = np.array([len(piece) for piece in self.spelled])
+        self.tables = {length: ([self.spelled[i] for i in ids], np.array(ids, np.int64)) for length, ids in sorted(by_length.items())}
+        self._build_trie()
+
+    def _build_trie(self) -> None:
+        """A trie of the pieces in two arrays: the child of state ``s`` by byte ``c`` is ``base[s] + c`` if ``parent`` of that is ``s``."""
+        children, ends = [{}], [-1]
+        for spelled, ids in self.tables.values():
+            for piece, i in zip(spelled, ids.tolist()):
+                at = 0
+                for byte in piece:
+                    if byte not in children[at]:
+                        children[at][byte] = len(children)
+                        children.append({})
+                        ends.append(-1)
+                    at = children[at][byte]
+                ends[at] = i if ends[at] < 0 else ends[at]
+        # the first free place that has room for all children, those with most children first; places up to SEPARATOR stay free
+        taken, bases, low = bytearray(SEPARATOR + 1), [0] * len(children), SEPARATOR + 1
+        for at in sorted((at for at in range(len(children)) if children[at]), key=lambda at: -len(children[at])):
+            head, *rest = sorted(children[at])
+            place, tries = low, 0
+            while True:
+                if len(taken) < place + 2 * SEPARATOR:
+                    taken.extend(bytes(len(taken)))
+                place, tries = taken.index(0, place), tries + 1
+                if not any(taken[place - head + byte] for byte in rest):
+                    break
+                place += 1
+            bases[at] = place - head
+            for byte in (head, *rest):
+                taken[place - head + byte] = 1
+            low = place if tries > 64 or not rest else low
+        size = len(taken) + SEPARATOR + 1
+        self.base, self.parent, self.ending = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        places = [0] * len(children)
+        for at, below in enumerate(children):  # parents come before their children
+            self.base[places[at]], self.ending[places[at]] = bases[at], ends[at]
+            for byte, child in below.items():
+                places[child] = bases[at] + byte
+                self.parent[places[child]] = places[at]
+
+    def edges(self, raw: np.ndarray, finals: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Start, length and piece of every edge, by ascending length; no two edges that come together have the same end.
+        Stretches lie one behind the other, each with one more byte at ``finals``, its end, which is no part of it."""
+        codes = raw.astype(np.int32)
+        codes[finals] = SEPARATOR
+        chars = np.flatnonzero((raw & 0xC0) != 0x80).astype(np.int32)  # first bytes of characters
+        char_size = np.diff(np.append(chars, len(raw)))
+        known = np.zeros(len(raw), bool)
+        at, state, length = chars, np.zeros(len(chars), np.int32), 0
+        while len(at):
+            below = self.base[state] + codes[at + length]
+            alive = np.flatnonzero(self.parent[below] == state)
+            at, state, length = at[alive], below[alive], length + 1
+            pieces = self.ending[state]
+            hit = np.flatnonzero(pieces >= 0)
+            starts = at[hit]
+            if length <= 4:
+                known[starts[self._char_size(raw, starts) == length]] = True
+            yield starts, length, pieces[hit]
+            inside = np.flatnonzero(self.base[state])
+            at, state = at[inside], state[inside]
+        lone = np.repeat(~known[chars], char_size)
+        lone[finals - chars[0]] = False
+        spelled = np.flatnonzero(lone) + chars[0]
+        yield spelled, 1, self.byte_id[raw[spelled]]
 
     @staticmethod
     def _char_size(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -136,7 +140,7 @@ class PieceModel:
 
 class Lattices:
     """Lattices of many stretches: for each node (a byte position) the edges that end there, with running
-    probabilities of where a path through it came from."""
+    probabilities of where a path through it came from, in steps of 2^-30 above the edge's piece."""
 
     def __init__(self, model: PieceModel):
         self.model = model
@@ -144,70 +148,83 @@ class Lattices:
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.finals = np.zeros(0, np.int64)
-        self.nodes = 0
-        self.reach, self.piece, self.before = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.first = np.zeros(0, bool)
+        self.finals, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.begin, self.edges = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+
+    @property
+    def nodes(self) -> int:
+        return len(self.begin)
 
     def add(self, stretches: list[bytes]) -> None:
         """Build the lattices of new stretches."""
-        text = b"".join(stretches)
+        raw = np.frombuffer(b"\0".join([*stretches, b""]), np.uint8)
         sizes = np.array([len(s) for s in stretches])
-        ends = np.cumsum(sizes)
-        starts, lengths, pieces = self.model.edges(text, np.repeat(ends, sizes))
-        # each stretch has one node more than bytes: byte i of stretch s starts at node i + s
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        source = starts + of[starts]
-        target = source + lengths
-        order = np.argsort(target, kind="stable")
-        source, target, pieces = source[order], target[order], pieces[order]
-        weight = self.model.weights[pieces]
-        first_node = np.append(0, ends[:-1] + np.arange(1, len(sizes)))
-        n_nodes = len(text) + len(sizes)
-        depth = np.arange(n_nodes) - np.repeat(first_node, sizes + 1)
-        by_depth = np.argsort(depth[target], kind="stable")  # targets stay together
-        cuts = np.flatnonzero(np.diff(depth[target[by_depth]])) + 1
-        total = np.zeros(n_nodes)
-        share = np.empty(len(source))
-        for own in np.split(by_depth, cuts):
-            if not len(own):
+        finals = np.cumsum(sizes + 1) - 1
+        firsts = finals - sizes
+        # edges lie by the depth of the node they end at, then longest stretch first, so that a depth's nodes are together
+        order = np.argsort(-sizes, kind="stable")
+        rank = np.empty(len(sizes), np.int64)
+        rank[order] = np.arange(len(sizes))
+        wide = np.bincount(sizes)[::-1].cumsum()[::-1]  # stretches that reach a depth
+        level = np.append(0, np.cumsum(wide))
+        place = level[np.arange(len(raw)) - np.repeat(firsts, sizes + 1)] + np.repeat(rank, sizes + 1)
+        blocks = [(starts, place[starts + length], pieces) for starts, length, pieces in self.model.edges(raw, finals)]
+        count = np.zeros(len(raw), np.int64)
+        for _, ends, _ in blocks:
+            count[ends] += 1
+        begin = np.append(0, np.cumsum(count))
+        source, pieces, free = np.empty(begin[-1], np.int64), np.empty(begin[-1], np.int64), begin[:-1].copy()
+        for starts, ends, own in blocks:
+            at = free[ends]
+            source[at], pieces[at], free[ends] = starts, own, at + 1
+        weight, by_rank = self.model.weights[pieces], firsts[order]
+        total, share = np.zeros(len(raw)), np.empty(len(source), np.uint64)
+        for depth in range(1, len(wide)):
+            here = np.flatnonzero(count[level[depth]:level[depth + 1]])  # none inside a character that is a piece
+            if not len(here):
                 continue
+            own = slice(begin[level[depth]], begin[level[depth + 1]])
+            head, n = begin[level[depth] + here] - own.start, count[level[depth] + here]
             value = total[source[own]] + weight[own]
-            node = target[own]
-            head = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            count = np.diff(np.append(head, len(own)))
             most = np.maximum.reduceat(value, head)
-            part = np.exp(value - np.repeat(most, count))
+            part = np.exp(value - np.repeat(most, n))
             summed = np.add.reduceat(part, head)
-            total[node[head]] = most + np.log(summed)
-            running = np.cumsum(part) - np.repeat(np.cumsum(part)[head] - part[head], count)
-            running /= np.repeat(summed, count)
-            running[head + count - 1] = 1.0
-            share[own] = running
-        self.reach = np.concatenate([self.reach, self.nodes + target + np.minimum(share, 1.0)])
-        self.piece = np.concatenate([self.piece, pieces.astype(np.int32)])
-        self.before = np.concatenate([self.before, (self.nodes + source).astype(np.int32)])
-        is_first = np.zeros(n_nodes, bool)
-        is_first[first_node] = True
-        self.first = np.concatenate([self.first, is_first])
-        self.finals = np.concatenate([self.finals, self.nodes + first_node + sizes])
+            total[by_rank[here] + depth] = most + np.log(summed)
+            running = np.cumsum(part)
+            running -= np.repeat(running[head] - part[head], n)
+            running /= np.repeat(summed, n)
+            running[head + n - 1] = 1.0
+            share[own] = np.ceil(np.minimum(running, 1.0) * DRAWS)
+        self.begin = np.concatenate([self.begin, len(self.edges) + begin[place]])
+        self.finals = np.concatenate([self.finals, self.nodes - len(raw) + finals])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.edges = np.concatenate([self.edges, share << np.uint64(32) | pieces.astype(np.uint64)])
         for stretch in stretches:
             self.index[stretch] = len(self.index)
-        self.nodes += n_nodes
 
     def sample(self, which: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of the given stretches in order, and how many each has."""
-        node, active, steps = self.finals[which], np.arange(len(which)), []
+        node, left, active, steps = self.finals[which], self.sizes[which], np.arange(len(which)), []
         counts = np.zeros(len(which), np.int64)
+        low = np.uint64(0xFFFFFFFF)
         while len(active):
             shift = len(steps) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF
-            draw = uniform(keys[active] + np.uint64(shift))
-            edge = np.searchsorted(self.reach, node + draw, side="right")
-            steps.append((active, self.piece[edge]))
-            counts[active] += 1
-            node = self.before[edge].astype(np.int64)
-            going = ~self.first[node]
-            node, active = node[going], active[going]
+            bar = drawn(keys + np.uint64(shift)) << np.uint64(32) | low
+            at = self.begin[node]
+            edge = self.edges[at]
+            on = np.flatnonzero(edge <= bar)  # the node's last edge has all of the probability before it
+            while len(on):
+                at[on] += 1
+                next_edge = self.edges[at[on]]
+                edge[on] = next_edge
+                on = on[next_edge <= bar[on]]
+            piece = (edge & low).astype(np.int32)
+            size = self.model.sizes[piece]
+            steps.append((active, piece))
+            left = left - size
+            going = np.flatnonzero(left > 0)
+            counts[active] = len(steps)
+            node, left, keys, active = (node - size)[going], left[going], keys[going], active[going]
         ends = np.cumsum(counts)
         out = np.empty(int(counts.sum()), np.int32)
         for step, (own, piece) in enumerate(steps):
@@ -215,21 +232,31 @@ class Lattices:
         return out, counts
 
 
-def uniform(keys: np.ndarray) -> np.ndarray:
-    """Numbers from 0 up to, and never, 1, in steps that stay exact when a node number is added."""
-    return (mixed(keys) >> np.uint64(34)).astype(np.float64) / (1 << 30)
+def drawn(keys: np.ndarray) -> np.ndarray:
+    """Numbers from 0 up to, and never, DRAWS."""
+    return mixed(keys) >> np.uint64(34)
+
+
+@lru_cache(maxsize=1)
+def piece_model(path: str, alpha: float) -> PieceModel:
+    """One model for all tasks of a Python worker."""
+    return PieceModel(path, alpha)
 
 
-def _steps(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about STEP_BYTES."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= STEP_BYTES:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def _stretches(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The stretches of all texts, each with a space in front, the first stretch of each text and the number of its stretches."""
+    joined = b"".join([part for text in texts for part in (b" ", text)])
+    raw = np.frombuffer(joined, np.uint8)
+    text_at = np.cumsum([0, *(len(text) + 1 for text in texts[:-1])])
+    space, line = raw == 0x20, raw == 0x0A
+    begins = line.copy()  # at a newline, behind one and at the first of some spaces
+    begins[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    begins[text_at] = True
+    starts = np.flatnonzero(begins)
+    offsets = np.append(starts, len(raw))
+    stretches = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+    first = np.searchsorted(starts, text_at)
+    return stretches, first, np.diff(np.append(first, len(starts)))
 
 
 def sampled_pieces(docs: DataFrame, model_path: str, seed: int = 0, alpha: float = 1.0,
@@ -237,31 +264,30 @@ def sampled_pieces(docs: DataFrame, model_path: str, seed: int = 0, alpha: float
     """``key``, ``ids`` (array of int), ``n_pieces`` and ``lossless``: whether the pieces decode to the text."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path, alpha)
+        model = piece_model(model_path, alpha)
         lattices = Lattices(model)
         base = np.uint64((seed * 0x9E3779B97F4A7C15 + 1) & 0xFFFFFFFFFFFFFFFF)
         for batch in batches:
             keys = batch.column(0)
             names = keys.cast(pa.string()).to_pylist()
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for first, last in _steps(texts):
-                found = [STRETCH.findall(b" " + text) for text in texts[first:last]]
-                sizes = np.array([len(f) for f in found])
-                flat = [stretch for f in found for stretch in f]
-                del found
-                new = [s for s in dict.fromkeys(flat) if s not in lattices.index]
+            for first, last in byte_steps(texts, STEP_BYTES):
+                stretches, row_at, sizes = _stretches(texts[first:last])
+                coded = stretches.dictionary_encode()
+                distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+                new = [s for s in distinct if s not in lattices.index]
                 if new and lattices.nodes > HELD_NODES:
                     lattices.clear()
-                    new = list(dict.fromkeys(flat))
+                    new = distinct
                 if new:
                     lattices.add(new)
-                which = np.fromiter(map(lattices.index.__getitem__, flat), np.int64, len(flat))
+                which = np.fromiter(map(lattices.index.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
                 row = np.array([zlib.crc32(str(name).encode()) for name in names[first:last]], np.uint64)
-                place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                place = np.arange(len(which)) - np.repeat(row_at, sizes)
                 occurrence = mixed(np.repeat(mixed(row + base), sizes)
                                    + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 ids, counts = lattices.sample(which, occurrence)
-                of_row = np.add.reduceat(counts, np.cumsum(sizes) - sizes)
+                of_row = np.add.reduceat(counts, row_at)
                 offsets = np.append(0, np.cumsum(of_row))
                 values = ids.tolist()
                 same = [model.decode(values[a:b]) == text for a, b, text in zip(offsets, offsets[1:], texts[first:last])]
@@ -278,7 +304,7 @@ def decoded(pieces: DataFrame, model_path: str) -> DataFrame:
     """``key`` and the text that its ``ids`` spell."""
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path, 1.0)
+        model = piece_model(model_path, 1.0)
         for batch in batches:
             texts = [None if ids is None else model.decode(ids).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["key", "text"])

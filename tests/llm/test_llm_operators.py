@@ -499,6 +499,47 @@ def test_sampled_pieces_are_lossless_and_repeatable(docs):
     assert back == sorted(((i, t or "") for i, t in ROWS), key=repr)
 
 
+def test_lattices_hold_all_edges_with_their_shares():
+    model = pieces.piece_model(public_tokenizers.path("piece_bpe_32k.model"), 1.0)
+    assert model is pieces.piece_model(public_tokenizers.path("piece_bpe_32k.model"), 1.0)  # one per worker, not per task
+    ids_of = {model.spelled[i]: i for _, ids in model.tables.values() for i in ids.tolist()}
+    lattices = pieces.Lattices(model)
+    for texts in [[" the", "\n", "    ", " \u2581a\u2581"], [" na\u00efve\0b\x7f", "a" * 40, "  \u4e2d\u6587\U0001f600\U00012345!", " \u00e9\u00e9\u0430\u0431", "\0"]]:
+        before = len(lattices.index)
+        stretches = [text.encode() for text in texts]
+        lattices.add(stretches)
+        for s, (text, stretch) in enumerate(zip(texts, stretches)):
+            chars = [len(text[:i].encode()) for i in range(len(text) + 1)]
+            into = {at: [] for at in range(1, len(stretch) + 1)}
+            for i, start in enumerate(chars[:-1]):
+                for end in chars[i + 1:]:
+                    if stretch[start:end] in ids_of:
+                        into[end].append((end - start, ids_of[stretch[start:end]]))
+                if stretch[start:chars[i + 1]] not in ids_of:
+                    for at in range(start, chars[i + 1]):
+                        into[at + 1].append((99, int(model.byte_id[stretch[at]])))  # bytes come last
+            weight = {0: 1.0}
+            first = lattices.finals[before + s] - len(stretch)
+            for at, edges in into.items():
+                parts = [weight[at - int(model.sizes[i])] * np.exp(model.weights[i]) for _, i in sorted(edges)]
+                weight[at] = sum(parts)
+                begin = lattices.begin[first + at]
+                held = lattices.edges[begin:begin + len(edges)]
+                assert (held & np.uint64(0xFFFFFFFF)).tolist() == [i for _, i in sorted(edges)]
+                if edges:
+                    assert np.allclose((held >> np.uint64(32)) / 2 ** 30, np.cumsum(parts) / weight[at], atol=1e-8)
+                    assert int(held[-1] >> np.uint64(32)) == 1 << 30
+
+
+@pytest.mark.parametrize("text", ["", "\n", " ", "\n\n a", "a  b\n  \n c ", "  ", "a b", "\u2581 \u2581\n\0 "])
+def test_stretches_begin_at_newlines_behind_them_and_at_runs_of_spaces(text):
+    others = ["x y", "\nz "]
+    found, first, sizes = pieces._stretches([t.encode() for t in (text, *others)])
+    expected = [re.findall(rb" *[^ \n]+| +|\n", b" " + t.encode()) for t in (text, *others)]
+    assert found.to_pylist() == [stretch for own in expected for stretch in own]
+    assert sizes.tolist() == [len(own) for own in expected] and first.tolist() == [0, sizes[0], sizes[0] + sizes[1]]
+
+
 def test_sampling_follows_the_weights_of_the_paths():
     model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"), 0.7)
     lattices = pieces.Lattices(model)
