@@ -36,7 +36,7 @@ from tallyweave.sources.staging import stage
 CAPACITY = 4096
 END_ID = 1
 CACHED_WORDS = 100_000  # in each of two generations, some 20 MB; a worker keeps them between tasks
-STEP_BYTES = 6 << 20  # of texts that are split at once
+STEP_ROWS, STEP_BYTES = 1250, 6 << 20  # of texts that are split at once, at most
 _MARKS = ".,;:!?\"()[]{}|*#%&$@+=/-"  # ASCII characters that are neither letters nor digits and begin nothing special
 _KEEP_CASE = re.compile(r"<\||[\u0300-\u037f]").search  # special tokens and, among others, combining marks
 _SMALL_LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+").fullmatch  # of Latin-1
@@ -147,7 +147,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, part = word_encoder(tokenizer), {}, TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (batch.slice(at, STEP_ROWS) for batch in batches for at in range(0, batch.num_rows, STEP_ROWS)):
             rows: list[tuple] = []
             ids = batch.column(0).to_pylist()
             for doc_id, tokens in zip(ids, encoder.encode(batch.column(1).cast(pa.binary()).to_pylist())):
