@@ -10,7 +10,7 @@ are judged on the input, they may overlap, and none crosses documents.
    a string meet in one shard. Equal stretches are one before they are shuffled, with the smallest id that has them; where a task
    sees a stretch in several documents, the larger ids lose it on the spot. So a passage that very many documents share costs each task
    one stretch.
-3. *Shard arrays.* The stretches of a shard that share an anchor with another one are put together and their suffix array is built: suffixes are
+3. *Shard arrays.* The stretches of a shard that share an anchor, and enough bytes around it, with another one are put together and their suffix array is built: suffixes are
    classified as smaller or larger than the next, the leftmost-smaller substrings are sorted by induction and named, the string of names
    is sorted recursively, and all suffixes are induced from it. The common prefixes of neighbours in the array, permuted to text order, tell where a string of ``length`` bytes
    occurs again; the smallest id of each run of the array decides.
@@ -39,13 +39,15 @@ from pyspark.sql import types as T
 
 from tallyweave.llm.bits import BitField, log2_bits_for, merged, segments
 from tallyweave.llm.common import numbered, text_or_empty, total_bytes, with_results
-from tallyweave.llm.shingles import mixed, range_hash, running_hash, steps
+from tallyweave.llm.shingles import mixed, next_hashes, range_hash, running_hash, steps
 
 GRAM = 20
 SHARD_BYTES = 3 << 20
 HELD_BYTES = 8 << 20  # text that a task collects stretches of before it sends them
 NO_ID = (1 << 63) - 1
 BUCKET_ROWS = 512  # from this mean size on, buckets are induced as arrays
+PLACES = 20_000  # of stretches whose strings are looked up at once
+SLACK = 10  # places of an anchor in a string that candidates are looked for at once
 PACKED = 7  # symbols of nine bits in a word
 
 
@@ -236,6 +238,42 @@ def smallest_ids(stretches: list[bytes], ids: np.ndarray, length: int) -> list[n
     return [of_place[a:a + size - length] for a, size in zip(starts.tolist(), sizes.tolist())]
 
 
+def with_partners(stretches: list[bytes], leads: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Which of different stretches may share a string of ``length`` bytes with another one; ``leads``: where in each its anchor is.
+
+    Equal strings have their anchors at the same place. For every ``SLACK`` places the bytes around the anchor that are in all those strings
+    are hashed, so a stretch whose bytes no other one has is alone. Those that remain are candidates, which their suffix array judges."""
+    sizes = np.array([len(s) for s in stretches])
+    right = sizes - leads - gram  # bytes behind the anchor
+    slices = [(least, max(length - gram - least - SLACK + 1, 0)) for least in range(0, length - gram + 1, SLACK)]
+    hashes = np.empty((len(slices), len(stretches)), np.uint64)
+    with np.errstate(over="ignore"):
+        for a, b in steps(stretches):
+            sums = running_hash(np.frombuffer(b"".join(stretches[a:b]), np.uint8))
+            at = np.cumsum(sizes[a:b]) - sizes[a:b] + leads[a:b]
+            for own, (least, behind) in zip(hashes, slices):
+                own[a:b] = range_hash(sums, np.maximum(at - least, 0), np.minimum(at + gram + behind, len(sums) - 1))
+    found = np.zeros(len(stretches), bool)
+    for own, (least, behind) in zip(hashes, slices):
+        long = np.flatnonzero((leads >= least) & (right >= behind))
+        _, of, count = np.unique(own[long], return_inverse=True, return_counts=True)
+        found[long[count[of] > 1]] = True
+    return found
+
+
+def hit_ranges(hit: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of true values in groups of ``counts`` values put together: group, first value and last value in the group."""
+    starts = np.cumsum(counts) - counts
+    opens, closes = hit.copy(), hit.copy()
+    opens[1:] &= ~hit[:-1]
+    closes[:-1] &= ~hit[1:]
+    opens[starts] = hit[starts]
+    closes[starts + counts - 1] = hit[starts + counts - 1]
+    first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+    group = np.searchsorted(starts, first, "right") - 1
+    return group, first - starts[group], last - starts[group]
+
+
 # ---- anchors and stretches ----
 
 def stretches_of(texts: list[bytes], length: int, gram: int) -> Iterator[tuple]:
@@ -251,23 +289,29 @@ def stretches_of(texts: list[bytes], length: int, gram: int) -> Iterator[tuple]:
             if n <= 0:
                 continue
             sums = running_hash(raw)
-            at = np.arange(len(raw) - gram + 1)
-            grams = range_hash(sums, at, at + gram)
-            best = ((grams >> np.uint64(32)) << np.uint64(32)) | at.astype(np.uint64)  # the leftmost of the smallest wins
+            grams = next_hashes(sums, gram)
+            best = grams & np.uint64(0xFFFFFFFF00000000)
+            best |= np.arange(len(grams), dtype=np.uint64)  # the leftmost of the smallest wins
             wide, width = length - gram + 1, 1
             while 2 * width <= wide:
                 best = np.minimum(best[:-width], best[width:])
                 width *= 2
             if wide > width:
                 best = np.minimum(best[:n], best[wide - width:wide - width + n])
-            anchor = (best[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            anchor = best[:n].astype(np.uint32)
             del best
-            of = np.repeat(np.arange(len(sizes)), sizes)[:n]
-            valid = np.arange(n) + length <= (starts + sizes)[of]
-            new = valid & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1]) | ~valid[:-1]])
-            ends = valid & np.concatenate([new[1:] | ~valid[1:], [True]])
+            crossing = np.zeros(n, bool)  # strings that begin in one text and end in a later one
+            for text_end in (starts + sizes)[:-1].tolist():
+                crossing[max(text_end - length + 1, 0):text_end] = True
+            new = ~crossing
+            new[1:] &= (anchor[1:] != anchor[:-1]) | crossing[:-1]
+            new[starts[starts < n]] = ~crossing[starts[starts < n]]
+            ends = ~crossing
+            ends[:-1] &= new[1:] | crossing[1:]
             first, last = np.flatnonzero(new), np.flatnonzero(ends)
-            yield a, whole, starts, of[first], first, last + length, grams[anchor[first]], anchor[first] - first, sums
+            anchor = anchor[first].astype(np.int64)
+            of = np.searchsorted(starts, first, "right") - 1
+            yield a, whole, starts, of, first, last + length, grams[anchor], anchor - first, sums
 
 
 def _packed(kind: str, values: np.ndarray) -> bytes:
@@ -450,8 +494,7 @@ def covered_ranges(docs: DataFrame, field: BitField, length: int, gram: int, buc
             return
         unpack = zstandard.ZstdDecompressor().decompress
         index: dict[bytes, int] = {}
-        gram_index: dict[bytes, int] = {}
-        of_anchor, places, smallest = [], [], []
+        lead_of, places = [], []
         for batch in batches:
             for values in batch.to_pylist():
                 text, at, local = unpack(values["bytes"]), 0, []
@@ -459,33 +502,36 @@ def covered_ranges(docs: DataFrame, field: BitField, length: int, gram: int, buc
                     own = text[at:at + size]
                     at += size
                     i = index.setdefault(own, len(index))
-                    if i == len(of_anchor):
-                        of_anchor.append(gram_index.setdefault(own[lead:lead + gram], len(gram_index)))
+                    if i == len(lead_of):
+                        lead_of.append(lead)
                     local.append(i)
                 doc = _unsqueezed(values["place_doc"], "<u4")
                 places.append((np.array(local, np.int64)[_unsqueezed(values["place_stretch"], "<u4")], _unsqueezed(values["place_at"], "<u4").astype(np.int64),
                                np.frombuffer(values["doc_ids"], "<i8")[doc], np.frombuffer(values["doc_hashes"], "<i8")[doc]))
-        spelled, of_anchor = list(index), np.array(of_anchor)
+        spelled = list(index)
         stretch, at, ids, text_hashes = (np.concatenate(c) for c in zip(*places))
         least = np.full(len(spelled), NO_ID)
         np.minimum.at(least, stretch, ids)
-        count = np.bincount(of_anchor)
-        several = np.flatnonzero(count[of_anchor] > 1)  # a stretch that is alone with its anchor has only its own ids
-        decided: dict[int, np.ndarray] = {}
-        if len(several):
-            decided = dict(zip(several.tolist(), smallest_ids([spelled[i] for i in several], least[several], length)))
-        alone = np.ones(len(spelled), bool)
-        alone[several] = False
+        several = np.flatnonzero(with_partners(spelled, np.array(lead_of), length, gram))  # one that is alone has only its own ids
         sizes = np.array([len(s) for s in spelled])
-        gone = np.flatnonzero(alone[stretch] & (least[stretch] < ids))
+        rank = np.full(len(spelled), -1)
+        rank[several] = np.arange(len(several))
+        gone = np.flatnonzero((rank[stretch] < 0) & (least[stretch] < ids))
         rows_, firsts, ends = [gone], [at[gone]], [at[gone] + sizes[stretch[gone]]]
-        for i in np.flatnonzero(~alone[stretch]).tolist():
-            hit = decided[int(stretch[i])] < ids[i]
-            if hit.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-                rows_.append(np.full(len(edge) // 2, i))
-                firsts.append(at[i] + edge[::2])
-                ends.append(at[i] + edge[1::2] - 1 + length)
+        if len(several):
+            decided = np.concatenate(smallest_ids([spelled[i] for i in several], least[several], length))
+            strings = sizes[several] - length + 1
+            begin = np.cumsum(strings) - strings
+            met = np.flatnonzero(rank[stretch] >= 0)
+            for first in range(0, len(met), PLACES):  # some places at a time
+                own = met[first:first + PLACES]
+                of = rank[stretch[own]]
+                counts = strings[of]
+                string = np.repeat(begin[of] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+                group, first_hit, last_hit = hit_ranges(decided[string] < np.repeat(ids[own], counts), counts)
+                rows_.append(own[group])
+                firsts.append(at[own[group]] + first_hit)
+                ends.append(at[own[group]] + last_hit + length)
         rows_ = np.concatenate(rows_)
         made = list(_by_document(ids[rows_], text_hashes[rows_], np.concatenate(firsts), np.concatenate(ends), buckets))
         if made:

@@ -364,6 +364,41 @@ def test_repeats_are_removed_as_by_brute_force(docs, length):
     assert set(docs.columns) < set(done.columns)
 
 
+@pytest.mark.parametrize("length, gram", [(50, 20), (20, 20), (21, 20)])
+def test_stretches_that_share_no_string_are_not_sorted(length, gram):
+    own, spare = random.Random(length), length - gram
+    anchors = [own.randbytes(gram) for _ in range(40)]
+    stretches, leads = {}, []
+    for anchor in anchors:
+        left, right = own.randbytes(spare), own.randbytes(spare)
+        for _ in range(4):  # around one anchor, some bytes on each side agree
+            a, b = own.randint(0, spare), own.randint(0, spare)
+            before = own.randbytes(own.randint(0, spare - a)) + left[spare - a:]
+            behind = right[:b] + own.randbytes(spare - b)
+            if len(before) + gram + len(behind) >= length and before + anchor + behind not in stretches:
+                stretches[before + anchor + behind] = anchor
+                leads.append(len(before))
+    texts = list(stretches)
+    strings = [{t[i:i + length] for i in range(max(lead - spare, 0), lead + 1) if i + length <= len(t)} for t, lead in zip(texts, leads)]
+    shares = [any(x & y for j, y in enumerate(strings) if j != i) for i, x in enumerate(strings)]
+    found = suffix.with_partners(texts, np.array(leads), length, gram).tolist()
+    assert all(f for f, s in zip(found, shares) if s)
+    crowd = Counter(stretches.values())
+    assert length <= gram + 1 or sum(found) < sum(crowd[a] > 1 for a in stretches.values()) * 0.8
+
+
+def test_runs_of_hits_by_group():
+    own = random.Random(3)
+    groups = [[own.random() < 0.6 for _ in range(own.randint(1, 6))] for _ in range(200)]
+    expected = []
+    for g, hits in enumerate(groups):
+        for i, hit in enumerate(hits):
+            if hit and (i == 0 or not hits[i - 1]):
+                expected.append((g, i, next((j for j in range(i, len(hits)) if not hits[j]), len(hits)) - 1))
+    found = suffix.hit_ranges(np.array(sum(groups, [])), np.array([len(g) for g in groups]))
+    assert list(zip(*(x.tolist() for x in found))) == expected
+
+
 @pytest.mark.parametrize("bucket_rows", [suffix.BUCKET_ROWS, 0])
 def test_names_are_sorted_level_by_level(monkeypatch, bucket_rows):
     monkeypatch.setattr(suffix, "BUCKET_ROWS", bucket_rows)
