@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -333,6 +334,20 @@ def test_shingle_hashes_count_distinct_shingles():
         assert [len(s) for s in shingles.shingle_sets([t.encode() for t in texts], n)] == [len(shingle_set(t, n)) for t in texts]
 
 
+def test_shingles_of_many_texts_take_little_memory():
+    own = random.Random(5)
+    texts = [b" ".join(b"w%d" % own.randrange(10**5) for _ in range(300)) for _ in range(1000)]
+    whole = [set(s.tolist()) for t in texts[:50] for s in shingles.shingle_sets([t], 5)]
+    tracemalloc.start()
+    try:
+        found = [len(s) for s in shingles.shingle_sets(texts, 5)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 << 20  # with steps of 512 KB: 12 MB
+    assert found[:50] == [len(s) for s in whole]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (100, 102)], "a long, b long")
     found = dict(values(components.components(edges), "node", "component"))
