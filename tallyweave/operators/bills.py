@@ -38,14 +38,22 @@ def latest(bills: DataFrame) -> DataFrame:
 def read_fields(bills: DataFrame, *, token_prefix: str = "PO_", token_length: int = 10,
                 case_insensitive: bool = False) -> DataFrame:
     """Replace ``raw_json`` by the fields the match needs, and find the order number in the memo."""
+    return with_order_number(read_texts(bills), token_prefix, token_length, case_insensitive)
+
+
+def read_texts(bills: DataFrame) -> DataFrame:
+    """Replace ``raw_json`` by the fields the match needs."""
     kept = [name for name in bills.columns if name != "raw_json"]
     parsed = bills.select(*kept, variants.parse(F.col("raw_json")).alias("_raw"),
                           F.col("raw_json").isNotNull().alias("_present"))
-    fields = variants.read_scalars(parsed, "_raw", FIELDS).select(
+    return variants.read_scalars(parsed, "_raw", FIELDS).select(
         *kept, *FIELDS, (F.col("_present") & F.col("_raw").isNull()).alias("is_malformed"),
     )
-    token = texts.reference_token(F.col("memo"), token_prefix, token_length, case_insensitive)
-    return fields.withColumn("po_number", token)
+
+
+def with_order_number(fields: DataFrame, token_prefix: str = "PO_", token_length: int = 10, case_insensitive: bool = False) -> DataFrame:
+    """The order number in the memo. It repeats a part of the memo, so it is read after the shuffle that finds the newest records."""
+    return fields.withColumn("po_number", texts.reference_token(F.col("memo"), token_prefix, token_length, case_insensitive))
 
 
 def matched_columns(parsed_bills: DataFrame) -> DataFrame:

@@ -36,13 +36,15 @@ def assert_key(df: DataFrame, *key: str, what: str = "table") -> DataFrame:
     return df
 
 
-def unique_rows(df: DataFrame, key: str, *columns: str, what: str = "table") -> DataFrame:
+def unique_rows(df: DataFrame, key: str, *columns: str, what: str = "table", where: Column | None = None) -> DataFrame:
     """The right side of a lookup by ``key``: one row per key with the given columns. A key that occurs more than once raises an
     error when the row is computed, out of the count that the grouping carries, so building a plan runs no job. Rows
-    without a key are left out, since nothing finds them."""
+    without a key are left out, since nothing finds them, and so are those for which ``where`` does not hold. The key itself comes out
+    as it was grouped, so a join by it needs no other shuffle."""
     grouped = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"), *[F.max(name).alias(name) for name in columns])
     message = F.concat(F.lit(f"{what}: key ({key}) is not unique, e.g. "), F.col(key).cast("string"))
-    return grouped.select(F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.col(key)).alias(key), *columns)
+    once = F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return grouped.filter(once if where is None else where & once).select(key, *columns)
 
 
 def row_violations(required: Sequence[str] = (), max_length: Mapping[str, int] | None = None) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -21,6 +22,7 @@ HOT_ROWS = 2_000_000
 MANY_KEYS = 50_000
 TRACKED = 1 << 14  # keys that a sketch keeps
 SALTS = 1 << 20
+SMALL_BYTES = 32 << 20  # of a right side that is sent to every task as a whole
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -53,8 +55,17 @@ def collected(keys: DataFrame) -> DataFrame | None:
     return keys.sparkSession.createDataFrame(found, keys.schema) if found else None
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the rows, measured as texts with 32 bytes each besides, take at most ``SMALL_BYTES``."""
+    width = F.lit(32).cast("long")
+    for name in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= SMALL_BYTES
+
+
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], *,
-           how: str = "left", hot: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+           how: str = "left", hot: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+           read_again: bool = False, few: bool = False) -> DataFrame:
     """Equi join of many rows to one row per key, with the load of hot and NULL keys spread.
 
     Rows with a hot key take their match from a broadcast of the hot keys alone. They, and rows
@@ -64,19 +75,36 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequ
 
     ``hot`` gives the hot keys where the caller has counted them already. The right side must have one row per
     key, which callers assert where it comes from outside; that bounds the broadcast to one row per hot key.
+
+    ``read_again`` says that ``left`` is cheap to read more than once, such as a staged table. Rows with a hot key and rows without a key
+    then pass no shuffle at all. ``few`` says that the right side ``is_small``: it is broadcast, and no row of the left side is shuffled.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how}")
     on = list(on)
     payload = [name for name in right.columns if name not in on]
     matches = right.select(*on, F.struct(*payload, F.lit(True).alias("_found")).alias("_match"))
+    if few:
+        return _unpacked(left.join(F.broadcast(matches), on, "left"), left, payload, how)
 
     spread = F.lit(False)
     for name in on:
         spread = spread | F.col(name).isNull()
     keys = collected((hot_keys(left, on, hot_rows) if hot is None else hot.select(*on)).dropna())
+    if how == "inner" and keys is None:  # rows without a key find nothing, and no others have to be spread
+        return _unpacked(left.filter(~spread).join(matches, on), left, payload, how)
     if keys is not None:
         hot_matches = matches.join(F.broadcast(keys), on, "left_semi").withColumnRenamed("_match", "_hot_match")
+    if read_again:
+        rest = left.filter(~spread)
+        parts = [left.filter(spread).withColumn("_match", F.lit(None).cast(matches.schema["_match"].dataType))]
+        if keys is not None:
+            known = keys.join(F.broadcast(hot_matches), on, "left").withColumnRenamed("_hot_match", "_match")
+            parts.append(rest.join(F.broadcast(known), on))
+            rest = rest.join(F.broadcast(keys), on, "left_anti")
+        parts.append(rest.join(matches, on, "left"))
+        return _unpacked(reduce(DataFrame.unionByName, parts), left, payload, how)
+    if keys is not None:
         known = keys.join(F.broadcast(hot_matches), on, "left").withColumn("_is_hot", F.lit(True))
         left_marked = left.join(F.broadcast(known), on, "left")
         spread = spread | F.coalesce("_is_hot", F.lit(False))
@@ -91,6 +119,11 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequ
     )
     if keys is not None:
         joined = joined.withColumn("_match", F.coalesce("_hot_match", "_match"))
+    return _unpacked(joined, left, payload, how)
+
+
+def _unpacked(joined: DataFrame, left: DataFrame, payload: Sequence[str], how: str) -> DataFrame:
+    """The rows of ``left`` with what they found."""
     if how == "inner":
         joined = joined.filter(F.col("_match._found"))
     return joined.select(*left.columns, *[F.col(f"_match.{name}").alias(name) for name in payload])

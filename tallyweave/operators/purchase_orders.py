@@ -15,7 +15,7 @@ CANCELLED = "CANCELLED"
 
 def live_headers(headers: DataFrame) -> DataFrame:
     """Headers that are not cancelled; a header without a status is dropped. A repeated id is an error, whatever its status."""
-    return unique_rows(headers, "header_id", "status", what="order headers").filter(F.col("status") != CANCELLED).select("header_id")
+    return unique_rows(headers, "header_id", "status", what="order headers", where=F.col("status") != CANCELLED).select("header_id")
 
 
 def receipt_summary(lines: DataFrame, headers: DataFrame) -> DataFrame:

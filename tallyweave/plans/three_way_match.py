@@ -22,7 +22,7 @@ from tallyweave.functions import texts
 from tallyweave.functions.amounts import money
 from tallyweave.functions.times import instant_literal, to_millis
 from tallyweave.operators import bills as bill_ops, checks, classify
-from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, hot_keys, lookup
+from tallyweave.operators.hot_keys import HOT_ROWS, heavy_keys, hot_keys, is_small, lookup
 from tallyweave.operators.purchase_orders import approvals_by_po, receipt_summary
 from tallyweave.sources.staging import Stages
 from tallyweave.sources.versioned import VersionedStore
@@ -85,11 +85,10 @@ class MatchOptions:
 
 def parsed_bills(bills: DataFrame, options: MatchOptions = MatchOptions()) -> DataFrame:
     """The newest record of every bill with the fields of its raw JSON."""
-    fields = bill_ops.read_fields(
-        bill_ops.only_bills(bills), token_prefix=options.token_prefix, token_length=options.token_length,
-        case_insensitive=options.case_insensitive,
+    newest = bill_ops.with_order_number(
+        bill_ops.latest(bill_ops.read_texts(bill_ops.only_bills(bills))),
+        options.token_prefix, options.token_length, options.case_insensitive,
     )
-    newest = bill_ops.latest(fields)
     if not options.case_insensitive:
         return newest
     written = texts.written_token(F.col("memo"), options.token_prefix, options.token_length, True)
@@ -105,7 +104,12 @@ def order_facts(parsed: DataFrame, inputs: MatchInputs, options: MatchOptions =
     received = receipt_summary(inputs.po_lines, inputs.po_headers).select(
         "po_number", F.col("supplier_name"), "is_fully_received", "has_suspended_line",
     )
-    return billed.join(approved, "po_number", "full").join(received, "po_number", "left").select(
+    # Receipts are joined to both sides, which lie by order number already; what a full join gives would be shuffled once more.
+    left, right = billed.join(received, "po_number", "left"), approved.join(received, "po_number", "left")
+    receipt = [name for name in received.columns if name != "po_number"]
+    renamed = right.withColumnsRenamed({name: f"_{name}" for name in receipt})
+    facts = left.join(renamed, "po_number", "full").withColumns({name: F.coalesce(name, f"_{name}") for name in receipt})
+    return facts.select(
         "po_number", *[name for name in approved.columns if name.endswith(texts.SHOWN)], "bills", "billed_amount", "is_approved", "authorized_amount", "approval_status",
         "supplier_name", "is_fully_received", "has_suspended_line",
     )
@@ -118,9 +122,8 @@ def bill_statuses(parsed: DataFrame, facts: DataFrame, options: MatchOptions = M
         "po_number", "billed_amount", "authorized_amount", "approval_status", "is_fully_received",
         "has_suspended_line",
     )
-    # Bills without an order number have nothing to look up and pass no shuffle.
-    cited = lookup(parsed.filter(F.col("po_number").isNotNull()), per_order, ["po_number"], ["bill_id"], hot=busy)
-    joined = cited.unionByName(parsed.filter(F.col("po_number").isNull()), allowMissingColumns=True)
+    # Bills without an order number have nothing to look up; they and those of busy orders pass no shuffle.
+    joined = lookup(parsed, per_order, ["po_number"], ["bill_id"], hot=busy, read_again=True)
     bucket = classify.status_bucket(
         F.col("po_number"), F.col("billed_amount"), F.col("authorized_amount"), F.col("is_fully_received"),
         options.tolerance, options.overrun,
@@ -136,10 +139,14 @@ def bill_statuses(parsed: DataFrame, facts: DataFrame, options: MatchOptions = M
 
 def billed_rows(parsed: DataFrame, facts: DataFrame, vendors: DataFrame,
                 options: MatchOptions = MatchOptions()) -> DataFrame:
-    """One row per bill with its status and its vendor's name. Busy vendors are counted in the bills, before their facts are looked up."""
+    """One row per bill with its status and its vendor's name. Busy vendors are counted in the bills, before their facts are looked up; that
+    matters only where the vendors are too many to be sent to every task."""
     known = checks.unique_rows(vendors.select("vendor_id", F.col("vendor_name").alias("supplier")), "vendor_id", "supplier", what="vendors")
     statuses = bill_statuses(parsed, facts, options)
-    return lookup(statuses, known, ["vendor_id"], ["bill_id"], hot=hot_keys(parsed, ["vendor_id"], options.hot_rows)).drop("vendor_id")
+    return lookup(
+        statuses, known, ["vendor_id"], ["bill_id"], hot=hot_keys(parsed, ["vendor_id"], options.hot_rows),
+        few=is_small(vendors.select("vendor_id", "vendor_name")),
+    ).drop("vendor_id")
 
 
 def awaiting_rows(facts: DataFrame, options: MatchOptions = MatchOptions()) -> DataFrame:

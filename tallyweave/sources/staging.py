@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -17,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: tempfile.TemporaryDirectory | None = None
 _written: list[tuple[SparkSession, str]] = []
+# The setting by which Spark deletes the shuffle files of a query when it has ended, and not when the driver happens to collect its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: dict[SparkSession, tuple[int, str]] = {}
+_freeing_lock = threading.Lock()
 
 
 class NoSharedFolder(RuntimeError):
@@ -45,11 +50,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind. The session's own setting holds again when the last of several threads is through."""
+    with _freeing_lock:
+        threads, own = _freeing.get(spark) or (0, spark.conf.get(FREE_SHUFFLES, "false"))
+        _freeing[spark] = threads + 1, own
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            threads, own = _freeing.pop(spark)
+            if threads > 1:
+                _freeing[spark] = threads - 1, own
+            else:
+                spark.conf.set(FREE_SHUFFLES, own)
+
+
 def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of the written table."""
+    """Write ``df`` to the shared folder and return a reader of the written table. What it shuffled for that is deleted: nothing reads it again."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path, compression=compression)
+    with shuffles_freed(spark):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -307,3 +307,96 @@ def test_a_store_writes_with_its_compression(spark, tmp_path):
     with VersionedStore(spark, str(tmp_path / "z"), "zstd").commit() as change:
         change.replace("t", spark.range(3))
     assert list(tmp_path.glob("z/t/**/*.zstd.parquet"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_order_number_is_read_after_the_newest_records_are_found(spark):
+    from tallyweave.plans import three_way_match as plan
+
+    parsed = plan.parsed_bills(spark.createDataFrame([bill("a", 5, po(1), key="1"), bill("a", 6, po(2), key="2")], BILL))
+    lines = plan_of(bill_ops.matched_columns(parsed)).splitlines()
+    where = [i for i, text in enumerate(lines) if po(0)[:3] in text]
+    assert where and max(where) < next(i for i, text in enumerate(lines) if "Window" in text)
+    assert values(parsed, "bill_id", "po_number") == [("a", po(2))]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("busy", [["h", "g"], []])
+def test_rows_read_again_are_shuffled_only_for_ordinary_keys(spark, how, busy):
+    from tallyweave.operators.hot_keys import lookup
+
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(["h"] * 5 + ["g"] * 3 + ["a", "b", "b", None, None])], "k string, i int")
+    right = spark.createDataFrame([("h", 1, None), ("a", 2, "x"), ("c", 3, "y")], "k string, n int, t string")
+    hot = spark.createDataFrame([(k,) for k in busy], "k string")
+    rows = lookup(left, right, ["k"], ["i"], how=how, hot=hot, read_again=True)
+    assert rows.columns == ["k", "i", "n", "t"]
+    assert values(rows, "k", "i", "n", "t") == values(lookup(left, right, ["k"], ["i"], how=how, hot=hot), "k", "i", "n", "t") == values(
+        left.join(right, "k", how), "k", "i", "n", "t")
+    text = plan_of(rows)
+    assert "xxhash64" not in text and ("LeftAnti" in text) == bool(busy)
+
+
+def test_few_vendors_are_sent_to_the_bills_and_many_are_not(spark, monkeypatch):
+    from tallyweave.operators import hot_keys as hot
+
+    given = inputs(spark, bills=[bill("a", 1, po(1)), bill("b", 2, po(1), vendor="gone"), bill("c", 3, vendor=None), bill("d", 3, po(2), vendor="v2")],
+                   vendors=[("v1", "Vendor 1"), ("v2", None), (None, "nobody")])
+    assert hot.is_small(given.vendors) and hot.is_small(given.vendors.limit(0))
+    few = three_way_match(given, MatchOptions(as_of=NOW))
+    text = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in text
+    monkeypatch.setattr(hot, "SMALL_BYTES", 3 * 32 + 2 + 8 + 2 + 6 - 1)
+    assert not hot.is_small(given.vendors)
+    many = three_way_match(given, MatchOptions(as_of=NOW))
+    assert "strategy=broadcast" not in plan_of(many)
+    assert values(few, *COLUMNS) == values(many, *COLUMNS)
+    assert values(few, "bill_id", "supplier") == [("a", "Vendor 1"), ("b", None), ("c", None), ("d", None)]
+
+
+def test_checked_rows_keep_their_partitions(spark):
+    rows = spark.createDataFrame([(1, "A"), (2, "B"), (None, "C"), (None, "D")], "k long, s string")
+    more = spark.createDataFrame([(1, 5), (2, 6), (2, 7)], "k long, n int")
+    joined = checks.unique_rows(rows, "k", "s").hint("merge").join(more, "k")
+    text = joined._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("raise_error") == 1 and "Filter" in next(part for part in text.splitlines() if "raise_error" in part)
+    assert values(joined, "k", "s", "n") == [(1, "A", 5), (2, "B", 6), (2, "B", 7)]
+    with pytest.raises(Exception, match="things: key .k. is not unique, e.g. 2"):
+        checks.unique_rows(rows.union(spark.createDataFrame([(2, "E")], rows.schema)), "k", "s", what="things").collect()
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    import time
+    from threading import Barrier, Thread
+
+    from tallyweave.sources import staging
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {path.name for top in folders for path in Path(top).glob("*/shuffle_*")}
+    before = files()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    staged = staging.stage(rows, "freed")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and staged.count() == 7 and rows.count() == 7
+    assert spark.conf.get(staging.FREE_SHUFFLES) == "false"
+
+    both, seen = Barrier(2), []
+
+    def inside(first):
+        with staging.shuffles_freed(spark):
+            both.wait(20)
+            if first:
+                return
+            time.sleep(1)
+            seen.append(spark.conf.get(staging.FREE_SHUFFLES))
+
+    threads = [Thread(target=inside, args=(first,)) for first in (True, False)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert seen == ["true"] and spark.conf.get(staging.FREE_SHUFFLES) == "false" and not staging._freeing
